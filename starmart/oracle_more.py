@@ -1 +1,162 @@
-"""Oracle SQL beyond X1-X9."""
+"""Oracle SQL beyond X1-X9 (profiling, staging, dimensions, fact, marts)."""
+
+from __future__ import annotations
+
+from .oracle import _ORACLES, _cents, _floor_days, _rha, B, D, P, with_base
+
+SRC_COLS = {
+    "orders": ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
+               "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date"],
+    "items": ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"],
+    "payments": ["order_id", "payment_type", "payment_installments", "payment_value"],
+    "customers": ["customer_id", "customer_unique_id", "customer_city", "customer_state", "customer_zip_code_prefix"],
+    "products": ["product_id", "product_category_name", "product_weight_g"],
+    "sellers": ["seller_id", "seller_city", "seller_state", "seller_zip_code_prefix"],
+}
+# Column counts of the Spark source frames (payments carries one struct
+# sequence column; products carries three always-NULL dimension columns).
+SRC_NCOLS = {"orders": 8, "items": 7, "payments": 5, "customers": 5, "products": 6, "sellers": 4, "category_translation": 2}
+SRC_VIEW = {"orders": "src_orders", "items": "src_items", "payments": "src_payments", "customers": "src_customers",
+            "products": "src_products", "sellers": "src_sellers", "category_translation": "src_cat"}
+
+
+def oracle(name):
+    def deco(fn):
+        _ORACLES[name] = fn
+        return fn
+    return deco
+
+
+@oracle("q_shape")
+def _q_shape():
+    parts = [f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count, CAST({n} AS BIGINT) AS column_count FROM {SRC_VIEW[t]}"
+             for t, n in SRC_NCOLS.items()]
+    return with_base("q AS (" + " UNION ALL ".join(parts) + ") SELECT * FROM q")
+
+
+@oracle("q_null_audit")
+def _q_null():
+    parts = []
+    for t, cols in SRC_COLS.items():
+        for c in cols:
+            parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) - count({c}) AS n, count(*) AS total FROM {SRC_VIEW[t]}")
+    # products also carries three always-NULL measure columns
+    for c in ("product_length_cm", "product_height_cm", "product_width_cm"):
+        parts.append(f"SELECT 'products', '{c}', count(*), count(*) FROM src_products")
+    body = " UNION ALL ".join(parts)
+    return with_base(f"a AS ({body}) SELECT table_name, column_name, CAST(n AS BIGINT) AS null_count, {_rha('n * 100', 'total', 2)} AS null_pct FROM a WHERE n > 0")
+
+
+@oracle("q_duplicate_keys")
+def _q_dupes():
+    parts = [f"SELECT '{t}' AS table_name, '{k}' AS key_columns, CAST(count(*) - count(DISTINCT {k}) - (CASE WHEN count(*) > count({k}) THEN 1 ELSE 0 END) AS BIGINT) AS duplicate_rows FROM {SRC_VIEW[t]}"
+             for t, k in (("orders", "order_id"), ("customers", "customer_id"), ("products", "product_id"), ("sellers", "seller_id"))]
+    return with_base("q AS (" + " UNION ALL ".join(parts) + ") SELECT * FROM q")
+
+
+@oracle("q_referential_integrity")
+def _q_ri():
+    checks = (("items_without_order", "src_items", "order_id", "src_orders", "order_id"),
+              ("orders_without_customer", "src_orders", "customer_id", "src_customers", "customer_id"),
+              ("items_without_product", "src_items", "product_id", "src_products", "product_id"),
+              ("items_without_seller", "src_items", "seller_id", "src_sellers", "seller_id"))
+    parts = [f"SELECT '{n}' AS check_name, CAST(count(*) AS BIGINT) AS orphan_rows FROM {c} x WHERE NOT EXISTS (SELECT 1 FROM {p} y WHERE y.{pk} = x.{ck})"
+             for n, c, ck, p, pk in checks]
+    return with_base("q AS (" + " UNION ALL ".join(parts) + ") SELECT * FROM q")
+
+
+def _date_logic_select():
+    return f"""SELECT
+  CAST(count(*) FILTER (WHERE order_delivered_customer_date IS NOT NULL AND order_delivered_customer_date < order_purchase_timestamp) AS BIGINT) AS invalid_delivery_dates,
+  CAST(count(*) FILTER (WHERE order_purchase_timestamp > TIMESTAMP '{P.as_of_ts}') AS BIGINT) AS future_orders,
+  CAST(count(*) FILTER (WHERE order_purchase_timestamp IS NULL) AS BIGINT) AS unparseable_purchase_dates,
+  CAST(count(*) FILTER (WHERE order_approved_at IS NOT NULL AND order_approved_at < order_purchase_timestamp) AS BIGINT) AS approval_before_purchase
+FROM src_orders"""
+
+
+@oracle("q_date_logic")
+def _q_dates():
+    return with_base(f"q AS ({_date_logic_select()}) SELECT * FROM q")
+
+
+@oracle("q_value_distribution")
+def _q_values():
+    parts = []
+    for t, c in (("orders", "order_status"), ("payments", "payment_type")):
+        v = SRC_VIEW[t]
+        parts.append(f"""SELECT '{t}' AS table_name, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, CAST(count(*) AS BIGINT) AS value_count,
+            {_rha('count(*) * 100', f'(SELECT count(*) FROM {v})', 2)} AS value_pct
+            FROM {v} WHERE {c} IS NOT NULL GROUP BY {c}""")
+    return with_base("q AS (" + " UNION ALL ".join(parts) + ") SELECT * FROM q")
+
+
+@oracle("q_describe")
+def _q_describe():
+    quarts = []
+    for q in (1, 2, 3):
+        lo = f"(CAST(floor((n - 1) * {q} / 4) AS BIGINT) + 1)"
+        m = f"(((n - 1) * {q}) % 4)"
+        l_ = f"max(CASE WHEN rn = {lo} THEN c END)"
+        h_ = f"coalesce(max(CASE WHEN rn = {lo} + 1 THEN c END), {l_})"
+        quarts.append(f"{_rha(f'{l_} * 4 + max({m}) * ({h_} - {l_})', '400', 2)} AS p{25 * q}")
+    return with_base(f"""
+x AS (SELECT {_cents('price')} AS c FROM src_items WHERE price IS NOT NULL),
+r AS (SELECT c, row_number() OVER (ORDER BY c) AS rn, count(*) OVER () AS n FROM x),
+a AS (SELECT count(*) AS cnt, sum(c) AS s1, sum(c * c) AS s2, min(c) AS mn, max(c) AS mx FROM x)
+SELECT 'price' AS column_name, CAST((SELECT cnt FROM a) AS BIGINT) AS count,
+       (SELECT {_rha('s1', 'cnt * 100', 2)} FROM a) AS mean,
+       (SELECT CASE WHEN cnt > 1 THEN floor(sqrt(CAST(cnt * s2 - s1 * s1 AS DOUBLE) / CAST(cnt * (cnt - 1) AS DOUBLE)) + 0.5) / 100.0 END FROM a) AS std,
+       (SELECT CAST(mn AS DOUBLE) / 100.0 FROM a) AS min,
+       {', '.join(quarts)},
+       (SELECT CAST(mx AS DOUBLE) / 100.0 FROM a) AS max
+FROM r
+""")
+
+
+def _stats_cte():
+    return "st AS (SELECT avg(CAST(price AS DOUBLE)) AS mean, stddev_samp(CAST(price AS DOUBLE)) AS sd FROM src_items)"
+
+
+@oracle("q_price_checks")
+def _q_price():
+    return with_base(f"""{_stats_cte()}
+SELECT CAST(count(*) FILTER (WHERE price <= 0) AS BIGINT) AS zero_or_negative_price,
+       CAST(count(*) FILTER (WHERE freight_value = 0) AS BIGINT) AS zero_freight,
+       CAST(count(*) FILTER (WHERE CAST(price AS DOUBLE) > st.mean + 3.0 * st.sd) AS BIGINT) AS price_outliers,
+       CAST(max(price) AS DOUBLE) AS max_price,
+       {_rha(_cents('sum(price)'), 'count(price) * 100', 2)} AS avg_price
+FROM src_items, st""")
+
+
+@oracle("q_outliers")
+def _q_outliers():
+    return with_base(f"""{_stats_cte()}
+SELECT CAST(order_id AS BIGINT) AS order_id, CAST(order_item_id AS BIGINT) AS order_item_id, CAST(product_id AS BIGINT) AS product_id, CAST(price AS DOUBLE) AS price
+FROM src_items, st WHERE CAST(price AS DOUBLE) > st.mean + 3.0 * st.sd""")
+
+
+@oracle("q_date_range")
+def _q_range():
+    return with_base(f"""
+a AS (SELECT min(order_purchase_timestamp) AS e, max(order_purchase_timestamp) AS l FROM src_orders)
+SELECT strftime(e, '%Y-%m-%d %H:%M:%S') AS earliest, strftime(l, '%Y-%m-%d %H:%M:%S') AS latest,
+       CAST({_floor_days('e', 'l')} AS BIGINT) AS span_days FROM a""")
+
+
+@oracle("q_profile_summary")
+def _q_summary():
+    dl = _date_logic_select()
+    return with_base(f"""{_stats_cte()}, dl AS ({dl})
+SELECT '{P.as_of_ts}' AS profiled_at,
+  (SELECT CAST(count(*) AS BIGINT) FROM src_orders) AS orders_rows,
+  (SELECT CAST(count(*) AS BIGINT) FROM src_items) AS items_rows,
+  (SELECT CAST(count(*) AS BIGINT) FROM src_customers) AS customers_rows,
+  (SELECT CAST(count(*) AS BIGINT) FROM src_products) AS products_rows,
+  (SELECT CAST(count(*) AS BIGINT) FROM src_sellers) AS sellers_rows,
+  (SELECT invalid_delivery_dates FROM dl) AS invalid_delivery_dates,
+  (SELECT future_orders FROM dl) AS future_orders,
+  (SELECT CAST(count(*) AS BIGINT) FROM src_items x WHERE NOT EXISTS (SELECT 1 FROM src_orders y WHERE y.order_id = x.order_id)) AS orphan_items,
+  (SELECT CAST(count(*) AS BIGINT) FROM src_items WHERE price <= 0) AS zero_price_items,
+  (SELECT CAST(count(*) AS BIGINT) FROM src_items, st WHERE CAST(price AS DOUBLE) > st.mean + 3.0 * st.sd) AS price_outliers,
+  (SELECT CAST(count(*) AS BIGINT) FROM src_orders x WHERE NOT EXISTS (SELECT 1 FROM src_customers y WHERE y.customer_id = x.customer_id)) AS orders_no_customer
+""")

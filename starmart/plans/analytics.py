@@ -234,6 +234,9 @@ def x5_seller_performance(star: dict, top: int | None = 20, quartiles: int = 4,
         rha(F.col("_ot") * 100, F.col("_rows"), 2).alias("on_time_pct"),
         "active_months",
     )
+    # Ranked three times (two ranks read it twice each): materialise the
+    # per-seller aggregate once instead of re-aggregating the fact.
+    m = m.checkpoint(eager=True)
     m = with_rank(m, [("total_revenue", False)], "revenue_rank")
     m = with_rank(m, [("on_time_pct", False)], "delivery_rank")
     m = with_ntile(m, quartiles, [("total_revenue", False), ("seller_key", True)], "revenue_quartile")
@@ -322,6 +325,7 @@ def x8_pareto(star: dict, top: int | None = 100, cutoff_pct: float = 80.0, statu
         .groupBy("customer_key", "customer_state")
         .agg(F.round(F.sum("gross_revenue"), 2).alias("total_revenue"), F.count_distinct("order_id").alias("total_orders"))
     )
+    cr = cr.checkpoint(eager=True)  # read by the rank's count and its join back
     cr = with_rank(cr, [("total_revenue", False)], "revenue_rank")
     cr = global_scan(
         cr,

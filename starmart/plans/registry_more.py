@@ -1 +1,104 @@
-"""Registrations beyond X1-X9 (quality, staging, dimensions, fact, marts)."""
+"""Registrations beyond X1-X9: profiling, staging, dimensions, fact, marts."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import quality as Q
+from ..operators.staging import coerce_order_timestamps
+from ..sources import fixtures as FX
+from .registry import register
+from .star import FIXTURE_PARAMS as P
+
+PROFILED_AT = P.as_of_ts
+
+
+def _src(spark, sf_dir):
+    return FX.sources(spark, sf_dir)
+
+
+# ------------------------------------------------------------ profiling Q1-Q16
+PROFILE_TABLES = ("orders", "items", "payments", "customers", "products", "sellers")
+
+
+@register("q_shape")
+def _q_shape(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    return Q.shape({k: s[k] for k in (*PROFILE_TABLES, "category_translation")})
+
+
+@register("q_null_audit")
+def _q_null(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    return Q.null_audit({k: s[k] for k in PROFILE_TABLES})
+
+
+@register("q_duplicate_keys")
+def _q_dupes(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    return Q.duplicate_keys(
+        [
+            ("orders", s["orders"], ["order_id"]),
+            ("customers", s["customers"], ["customer_id"]),
+            ("products", s["products"], ["product_id"]),
+            ("sellers", s["sellers"], ["seller_id"]),
+        ]
+    )
+
+
+@register("q_types")
+def _q_types(spark, sf_dir):
+    return Q.column_types(spark, "orders", coerce_order_timestamps(_src(spark, sf_dir)["orders"]))
+
+
+@register("q_referential_integrity")
+def _q_ri(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    o, i = s["orders"], s["items"]
+    return Q.referential_integrity(
+        [
+            ("items_without_order", i, "order_id", o, "order_id"),
+            ("orders_without_customer", o, "customer_id", s["customers"], "customer_id"),
+            ("items_without_product", i, "product_id", s["products"], "product_id"),
+            ("items_without_seller", i, "seller_id", s["sellers"], "seller_id"),
+        ]
+    )
+
+
+@register("q_date_logic")
+def _q_dates(spark, sf_dir):
+    return Q.date_logic(_src(spark, sf_dir)["orders"], P.as_of_ts)
+
+
+@register("q_value_distribution")
+def _q_values(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    return Q.value_distribution(s["orders"], "order_status", "orders").unionByName(
+        Q.value_distribution(s["payments"], "payment_type", "payments")
+    )
+
+
+@register("q_describe")
+def _q_describe(spark, sf_dir):
+    return Q.describe_money(_src(spark, sf_dir)["items"], "price")
+
+
+@register("q_price_checks")
+def _q_price(spark, sf_dir):
+    return Q.price_checks(_src(spark, sf_dir)["items"])
+
+
+@register("q_outliers")
+def _q_outliers(spark, sf_dir):
+    return Q.outlier_rows(_src(spark, sf_dir)["items"]).select("order_id", "order_item_id", "product_id", "price")
+
+
+@register("q_date_range")
+def _q_range(spark, sf_dir):
+    o = coerce_order_timestamps(_src(spark, sf_dir)["orders"])
+    return Q.date_range(o, "order_purchase_timestamp")
+
+
+@register("q_profile_summary")
+def _q_summary(spark, sf_dir):
+    return Q.profile_summary(_src(spark, sf_dir), PROFILED_AT, P.as_of_ts)

@@ -28,6 +28,7 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the library's SQL defaults to an existing session."""
     for k, v in SESSION_DEFAULTS.items():
         spark.conf.set(k, v)
+    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -40,6 +41,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "sta
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("STARMART_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in SESSION_DEFAULTS.items():
         b = b.config(k, v)
