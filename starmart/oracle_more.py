@@ -160,3 +160,283 @@ SELECT '{P.as_of_ts}' AS profiled_at,
   (SELECT CAST(count(*) AS BIGINT) FROM src_items, st WHERE CAST(price AS DOUBLE) > st.mean + 3.0 * st.sd) AS price_outliers,
   (SELECT CAST(count(*) AS BIGINT) FROM src_orders x WHERE NOT EXISTS (SELECT 1 FROM src_customers y WHERE y.customer_id = x.customer_id)) AS orders_no_customer
 """)
+
+
+# ---------------------------------------------------------------- helpers
+def _cast(expr: str, kind: str) -> str:
+    return {
+        "i": f"CAST({expr} AS BIGINT)",
+        "d": f"CAST({expr} AS DOUBLE)",
+        "s": f"CAST({expr} AS VARCHAR)",
+        "t": f"strftime({expr}, '%Y-%m-%d %H:%M:%S')",
+        "dt": f"strftime({expr}, '%Y-%m-%d')",
+        "b": f"CAST({expr} AS BOOLEAN)",
+        "x": expr,
+    }[kind]
+
+
+def sel(spec: str, src: str, tail: str = "") -> str:
+    """``spec``: 'name:kind, ...' (kind i/d/s/t/dt/b/x); name may be 'alias=expr'."""
+    cols = []
+    for item in [s.strip() for s in spec.split(",") if s.strip()]:
+        name, kind = item.rsplit(":", 1)
+        alias, _, expr = name.partition("=")
+        cols.append(f"{_cast(expr or alias, kind)} AS {alias}")
+    return f"SELECT {', '.join(cols)} FROM {src} {tail}"
+
+
+ORDERS_SPEC = ("order_id:i, customer_id:i, order_status:s, order_purchase_timestamp:t, order_approved_at:t, "
+               "order_delivered_carrier_date:t, order_delivered_customer_date:t, order_estimated_delivery_date:t")
+STG_ORDERS_SPEC = ORDERS_SPEC + (", date_key:i, order_year:i, order_month:i, order_quarter:i, delivery_days:i, is_on_time:i, "
+                                 "delivery_delay_days:i, status_category:s")
+ITEMS_SPEC = "order_id:i, order_item_id:i, product_id:i, seller_id:i, shipping_limit_date:t, price:d, freight_value:d"
+STG_ITEMS_SPEC = ITEMS_SPEC + (", date_key:i, order_year:i, order_month:i, order_quarter:i, is_on_time:i, delivery_days:i, "
+                               "status_category:s, gross_revenue:d, total_cost:d")
+FACT_SPEC = ("date_key:i, customer_key:i, product_key:i, seller_key:i, order_id:i, order_item_seq:i, unit_price:d, freight_value:d, "
+             "gross_revenue:d, total_cost:d, delivery_days:i, delivery_delay_days:i, is_on_time:i, primary_payment_type:s, "
+             "payment_installments:i, total_payment_value:d, order_status:s, status_category:s, etl_load_date:dt")
+DIM_CUSTOMER_SPEC = ("customer_key:i, customer_id:i, customer_unique_id:s, customer_city:s, customer_state:s, customer_zip_prefix:s, "
+                     "effective_start_date:dt, effective_end_date:dt, is_current:b, record_version:i, etl_load_date:dt")
+
+
+def simple(name, spec, src, tail=""):
+    _ORACLES[name] = lambda: with_base(f"q AS ({sel(spec, src, tail)}) SELECT * FROM q")
+
+
+# ---------------------------------------------------------------- staging
+simple("stg_orders", STG_ORDERS_SPEC, "stg_orders")
+simple("stg_items", STG_ITEMS_SPEC, "stg_items")
+simple("stg_customers", "customer_id:i, customer_unique_id:s, customer_city:s, customer_state:s, customer_zip_code_prefix:s, etl_load_date:dt",
+       "stg_customers")
+simple("stg_products",
+       "product_id:i, product_category_name:s, product_weight_g:s, product_length_cm=NULL:s, product_height_cm=NULL:s, product_width_cm=NULL:s, "
+       "product_category_name_english:s, price_band:s, weight_category:s, "
+       f"avg_price={_rha(_cents('p.sp'), 'p.np * 100', 6)}:x",
+       "stg_products s LEFT JOIN (SELECT product_id AS pid, sum(price) AS sp, count(price) AS np FROM src_items WHERE product_id IS NOT NULL GROUP BY 1) p ON p.pid = s.product_id")
+simple("stg_payments", "order_id:i, total_payment_value:d, payment_installments:i, payment_types_used:i, primary_payment_type:s", "stg_payments")
+
+
+@oracle("stg_rejects")
+def _stg_rejects():
+    o_cols = ORDERS_SPEC + ", order_item_id=NULL:i, product_id=NULL:i, seller_id=NULL:i, shipping_limit_date=NULL:t, price=NULL:d, freight_value=NULL:d"
+    i_cols = ("order_id:i, customer_id=NULL:i, order_status=NULL:s, order_purchase_timestamp=NULL:t, order_approved_at=NULL:t, "
+              "order_delivered_carrier_date=NULL:t, order_delivered_customer_date=NULL:t, order_estimated_delivery_date=NULL:t, "
+              "order_item_id:i, product_id:i, seller_id:i, shipping_limit_date:t, price:d, freight_value:d")
+    parts = [
+        sel(o_cols + ", reject_reason='NULL purchase timestamp':s", "src_orders", "WHERE order_purchase_timestamp IS NULL"),
+        sel(o_cols + ", reject_reason='Delivery date before purchase date':s", "o_bad"),
+        sel(i_cols + ", reject_reason='Zero or negative price':s", "src_items", "WHERE price <= 0"),
+        sel(i_cols + ", reject_reason='No matching order in orders table':s", "i_priced i",
+            "WHERE NOT EXISTS (SELECT 1 FROM stg_orders o WHERE o.order_id = i.order_id)"),
+    ]
+    return with_base("q AS (" + " UNION ALL ".join(parts) + ") SELECT * FROM q")
+
+
+@oracle("stg_summary")
+def _stg_summary():
+    rej = ("(SELECT count(*) FROM src_orders WHERE order_purchase_timestamp IS NULL) + (SELECT count(*) FROM o_bad) + "
+           "(SELECT count(*) FROM src_items WHERE price <= 0) + "
+           "(SELECT count(*) FROM i_priced i WHERE NOT EXISTS (SELECT 1 FROM stg_orders o WHERE o.order_id = i.order_id))")
+    cnt = lambda t: f"(SELECT CAST(count(*) AS BIGINT) FROM {t})"
+    return with_base(f"""q AS (SELECT '{P.as_of_ts}' AS run_timestamp, {cnt('stg_orders')} AS stg_orders_rows, {cnt('stg_items')} AS stg_items_rows,
+       {cnt('stg_customers')} AS stg_customers_rows, {cnt('stg_products')} AS stg_products_rows, {cnt('stg_payments')} AS stg_payments_rows,
+       CAST({rej} AS BIGINT) AS total_records_rejected) SELECT * FROM q""")
+
+
+# ---------------------------------------------------------------- dimensions
+simple("dim_date", "date_key:i, full_date:dt, year:i, quarter:i, quarter_name:s, month_num:i, month_name:s, month_short:s, week_of_year:i, "
+       "day_of_month:i, day_of_week:i, day_name:s, is_weekend:b, is_month_start:b, is_month_end:b, year_month:s", "dim_date")
+simple("dim_seller", "seller_key:i, seller_id:i, seller_city:s, seller_state:s, seller_zip_prefix:s, etl_load_date:dt", "dim_seller")
+simple("dim_product", "product_key:i, product_id:i, product_category:s, price_band:s, weight_category:s, product_weight_g:d, "
+       "product_length_cm:d, product_height_cm:d, product_width_cm:d, etl_load_date:dt", "dim_product")
+simple("dim_customer", DIM_CUSTOMER_SPEC, "dim_customer")
+
+SCD2_RUNS = (("1997-01-01", "1997-01-01"), ("1999-01-01", "1999-01-01"), ("1999-01-01", "1999-06-01"))
+
+
+def _feed(i, as_of, run):
+    from .oracle import _strip, _title
+    return f"""feed{i} AS (
+  SELECT c.customer_id, CAST(c.customer_unique_id AS VARCHAR) AS customer_unique_id,
+         {_title(_strip('l.pri'))} AS customer_city, upper({_strip('c.customer_state')}) AS customer_state,
+         CAST(c.customer_zip_code_prefix AS VARCHAR) AS customer_zip_prefix
+  FROM src_customers c
+  JOIN (SELECT o_custkey, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS pri FROM orders
+        WHERE o_orderdate < TIMESTAMP '{as_of} 00:00:00' GROUP BY o_custkey) l ON l.o_custkey = c.customer_id
+)"""
+
+
+def _merge(i, prev, run):
+    """dim{i} = SCD2 merge of feed{i} into {prev} on run date ``run``."""
+    return f"""cur{i} AS (SELECT * FROM {prev} WHERE is_current),
+cmp{i} AS (
+  SELECT f.*, c.customer_key AS ckey, c.record_version AS cver,
+         CASE WHEN c.customer_key IS NULL THEN 'new'
+              WHEN f.customer_city IS DISTINCT FROM c.customer_city OR f.customer_state IS DISTINCT FROM c.customer_state THEN 'updated'
+              ELSE 'unchanged' END AS action
+  FROM feed{i} f LEFT JOIN cur{i} c ON c.customer_id = f.customer_id
+),
+ins{i} AS (
+  SELECT (SELECT COALESCE(max(customer_key), 0) FROM {prev}) + row_number() OVER (ORDER BY customer_id) AS customer_key,
+         customer_id, customer_unique_id, customer_city, customer_state, customer_zip_prefix,
+         DATE '{run}' AS effective_start_date, CAST(NULL AS DATE) AS effective_end_date, TRUE AS is_current,
+         COALESCE(cver + 1, 1) AS record_version, DATE '{run}' AS etl_load_date
+  FROM cmp{i} WHERE action <> 'unchanged'
+),
+dim{i} AS (
+  SELECT d.customer_key, d.customer_id, d.customer_unique_id, d.customer_city, d.customer_state, d.customer_zip_prefix,
+         d.effective_start_date,
+         CASE WHEN x.ckey IS NOT NULL THEN DATE '{run}' ELSE d.effective_end_date END AS effective_end_date,
+         CASE WHEN x.ckey IS NOT NULL THEN FALSE ELSE d.is_current END AS is_current,
+         d.record_version, d.etl_load_date
+  FROM {prev} d LEFT JOIN (SELECT ckey FROM cmp{i} WHERE action = 'updated') x ON x.ckey = d.customer_key
+  UNION ALL SELECT * FROM ins{i}
+)"""
+
+
+def _scd2_ctes():
+    parts = ["dim0 AS (SELECT CAST(NULL AS BIGINT) AS customer_key, CAST(NULL AS BIGINT) AS customer_id, CAST(NULL AS VARCHAR) AS customer_unique_id, "
+             "CAST(NULL AS VARCHAR) AS customer_city, CAST(NULL AS VARCHAR) AS customer_state, CAST(NULL AS VARCHAR) AS customer_zip_prefix, "
+             "CAST(NULL AS DATE) AS effective_start_date, CAST(NULL AS DATE) AS effective_end_date, CAST(NULL AS BOOLEAN) AS is_current, "
+             "CAST(NULL AS INTEGER) AS record_version, CAST(NULL AS DATE) AS etl_load_date WHERE FALSE)"]
+    for i, (as_of, run) in enumerate(SCD2_RUNS, start=1):
+        parts.append(_feed(i, as_of, run))
+        parts.append(_merge(i, f"dim{i - 1}", run))
+    return ",\n".join(parts)
+
+
+@oracle("dim_customer_scd2")
+def _scd2():
+    return with_base(f"{_scd2_ctes()}\n{sel(DIM_CUSTOMER_SPEC, f'dim{len(SCD2_RUNS)}')}")
+
+
+@oracle("scd2_actions")
+def _scd2_actions():
+    parts = [f"SELECT action, CAST(count(*) AS BIGINT) AS customers, CAST({i} AS BIGINT) AS run FROM cmp{i} GROUP BY action"
+             for i in range(1, len(SCD2_RUNS) + 1)]
+    return with_base(f"{_scd2_ctes()},\nq AS ({' UNION ALL '.join(parts)}) SELECT * FROM q")
+
+
+@oracle("dim_verify_counts")
+def _dim_verify():
+    return with_base("""q AS (SELECT CAST((SELECT count(*) FROM dim_date) AS BIGINT) AS dim_date_rows,
+  (SELECT strftime(min(full_date), '%Y-%m-%d') FROM dim_date) AS date_min, (SELECT strftime(max(full_date), '%Y-%m-%d') FROM dim_date) AS date_max,
+  CAST((SELECT count(*) FROM dim_seller) AS BIGINT) AS dim_seller_rows, CAST((SELECT count(*) FROM dim_product) AS BIGINT) AS dim_product_rows,
+  CAST((SELECT count(*) FROM dim_customer WHERE is_current) AS BIGINT) AS dim_customer_current_rows) SELECT * FROM q""")
+
+
+simple("dim_price_bands", "price_band:s, product_count=count(*):i", "dim_product", "GROUP BY price_band")
+
+# ---------------------------------------------------------------- fact
+simple("fact_full", FACT_SPEC, "fact_sales")
+simple("fact_incremental", FACT_SPEC, "fact_sales")
+_INCR_CUT = "2000-01-01 00:00:00"
+
+
+@oracle("fact_incremental_batch2")
+def _fact_incr2():
+    return with_base(f"""
+fo AS (SELECT f.*, o.order_purchase_timestamp AS pts FROM fact_sales f JOIN stg_orders o ON o.order_id = f.order_id),
+wm AS (SELECT max(pts) AS w FROM fo WHERE pts < TIMESTAMP '{_INCR_CUT}'),
+q AS ({sel(FACT_SPEC, 'fo', 'WHERE pts > (SELECT w FROM wm)')}) SELECT * FROM q""")
+
+
+@oracle("fact_lookup_failures")
+def _fact_fail():
+    from .oracle import _strip, _title
+    return with_base(f"""
+dim_seller_active AS (
+  SELECT row_number() OVER (ORDER BY s.seller_id) AS seller_key, s.seller_id
+  FROM src_sellers s JOIN supplier x ON x.s_suppkey = s.seller_id WHERE x.s_acctbal >= 0
+),
+fa AS (
+  SELECT i.order_id, i.order_item_id, o.customer_id, i.product_id, i.seller_id, c.customer_key, pr.product_key, s.seller_key
+  FROM stg_items i JOIN stg_orders o ON i.order_id = o.order_id
+  LEFT JOIN dim_customer c ON c.customer_id = o.customer_id AND c.is_current
+  LEFT JOIN dim_product pr ON pr.product_id = i.product_id
+  LEFT JOIN dim_seller_active s ON s.seller_id = i.seller_id
+),
+q AS (SELECT CAST(order_id AS BIGINT) AS order_id, CAST(order_item_id AS BIGINT) AS order_item_id, CAST(customer_id AS BIGINT) AS customer_id,
+  CAST(product_id AS BIGINT) AS product_id, CAST(seller_id AS BIGINT) AS seller_id,
+  concat_ws(',', CASE WHEN customer_key IS NULL THEN 'customer' END, CASE WHEN product_key IS NULL THEN 'product' END,
+            CASE WHEN seller_key IS NULL THEN 'seller' END) AS failed_dims
+  FROM fa WHERE customer_key IS NULL OR product_key IS NULL OR seller_key IS NULL)
+SELECT * FROM q""")
+
+
+@oracle("fact_required_audit")
+def _fact_audit():
+    cols = ("date_key", "customer_id", "product_id", "seller_id", "gross_revenue", "delivery_delay_days")
+    parts = [f"SELECT '{c}' AS column_name, TRUE AS present, CAST(count(*) - count({c}) AS BIGINT) AS nulls FROM fact_all" for c in cols]
+    return with_base("q AS (" + " UNION ALL ".join(parts) + ") SELECT * FROM q")
+
+
+simple("fact_verify_totals", "total_rows=count(*):i, total_revenue=sum(gross_revenue):d", "fact_sales")
+simple("fact_rev_by_year", "year=d.year:i, orders=count(DISTINCT f.order_id):i, revenue=sum(f.gross_revenue):d",
+       "fact_sales f JOIN dim_date d ON f.date_key = d.date_key", "GROUP BY d.year")
+simple("fact_rev_by_status", "status_category:s, records=count(*):i, revenue=sum(gross_revenue):d", "fact_sales", "GROUP BY status_category")
+simple("fact_top_categories", "product_category=p.product_category:s, revenue=sum(f.gross_revenue):d, orders=count(DISTINCT f.order_id):i",
+       "fact_sales f JOIN dim_product p ON f.product_key = p.product_key",
+       "GROUP BY p.product_category ORDER BY sum(f.gross_revenue) DESC, p.product_category LIMIT 5")
+simple("fact_rev_by_payment", "primary_payment_type:s, transactions=count(*):i, revenue=sum(gross_revenue):d", "fact_sales",
+       "GROUP BY primary_payment_type")
+
+
+# ---------------------------------------------------------------- marts
+def _m1(where: str = "TRUE"):
+    return with_base(f"""
+a AS (SELECT sum(gross_revenue) AS rev, count(DISTINCT order_id) AS orders, count(DISTINCT customer_key) AS customers,
+             count(DISTINCT CASE WHEN status_category = 'Completed' THEN order_id END) AS done_orders,
+             sum(CASE WHEN status_category = 'Completed' THEN is_on_time END) AS ot,
+             count(*) FILTER (WHERE status_category = 'Completed') AS done_rows
+      FROM fact_sales WHERE {where})
+SELECT CAST(rev AS DOUBLE) AS total_revenue, CAST(orders AS BIGINT) AS total_orders, CAST(customers AS BIGINT) AS total_customers,
+       {_rha(_cents('rev'), 'orders * 100', 2)} AS revenue_per_order, {_rha('ot * 100', 'done_rows', 2)} AS on_time_pct,
+       {_rha('done_orders * 100', 'orders', 2)} AS completed_order_pct
+FROM a""")
+
+
+_ORACLES["m1_kpis"] = _m1
+_ORACLES["m11_kpis_1998"] = lambda: _m1("date_key BETWEEN 19980101 AND 19981231")
+simple("m2_monthly", "year_month=d.year_month:s, revenue=sum(f.gross_revenue):d, orders=count(DISTINCT f.order_id):i",
+       "fact_sales f JOIN dim_date d ON f.date_key = d.date_key", "GROUP BY d.year_month")
+simple("m11_monthly_1999_03", "year_month=d.year_month:s, revenue=sum(f.gross_revenue):d, orders=count(DISTINCT f.order_id):i",
+       "fact_sales f JOIN dim_date d ON f.date_key = d.date_key", "WHERE f.date_key BETWEEN 19990301 AND 19990331 GROUP BY d.year_month")
+simple("m3_top_categories", "product_category=p.product_category:s, revenue=sum(f.gross_revenue):d, orders=count(DISTINCT f.order_id):i",
+       "fact_sales f JOIN dim_product p ON f.product_key = p.product_key",
+       "GROUP BY p.product_category ORDER BY sum(f.gross_revenue) DESC, p.product_category LIMIT 10")
+simple("m8_category_revenue", "product_category=p.product_category:s, revenue=sum(f.gross_revenue):d, orders=count(DISTINCT f.order_id):i",
+       "fact_sales f JOIN dim_product p ON f.product_key = p.product_key", "GROUP BY p.product_category")
+simple("m8_price_band_by_year", "year=d.year:i, price_band=p.price_band:s, revenue=sum(f.gross_revenue):d, orders=count(DISTINCT f.order_id):i",
+       "fact_sales f JOIN dim_product p ON f.product_key = p.product_key JOIN dim_date d ON f.date_key = d.date_key",
+       "GROUP BY d.year, p.price_band")
+
+
+def _share_sql(name, key, src, extra=""):
+    _ORACLES[name] = lambda: with_base(f"""
+g AS (SELECT {key}, sum(gross_revenue) AS revenue {extra} FROM {src} GROUP BY {key})
+SELECT {key}, CAST(revenue AS DOUBLE) AS revenue {', CAST(orders AS BIGINT) AS orders' if extra else ''},
+       {_rha(_cents('revenue') + ' * 100', _cents('sum(revenue) OVER ()'), 2)} AS revenue_pct FROM g""")
+
+
+_share_sql("m4_payment_types", "primary_payment_type", "fact_sales", ", count(DISTINCT order_id) AS orders")
+_share_sql("m5_states", "customer_state", "fact_sales f JOIN dim_customer c ON f.customer_key = c.customer_key")
+simple("m5_cities", "customer_state=c.customer_state:s, customer_city=c.customer_city:s, revenue=sum(f.gross_revenue):d, orders=count(DISTINCT f.order_id):i",
+       "fact_sales f JOIN dim_customer c ON f.customer_key = c.customer_key", "GROUP BY c.customer_state, c.customer_city")
+
+
+@oracle("m6_order_status")
+def _m6():
+    return with_base(f"""g AS (SELECT order_status, count(DISTINCT order_id) AS orders FROM fact_sales GROUP BY order_status)
+SELECT order_status, CAST(orders AS BIGINT) AS orders, {_rha('orders * 100', 'sum(orders) OVER ()', 2)} AS orders_pct FROM g""")
+
+
+@oracle("m7_state_metrics")
+def _m7():
+    return with_base(f"""g AS (
+  SELECT c.customer_state, count(DISTINCT f.order_id) AS orders, count(DISTINCT f.customer_key) AS customers, sum(f.gross_revenue) AS rev,
+         sum(f.delivery_days) AS sd, count(f.delivery_days) AS nd, sum(f.is_on_time) AS ot, count(*) AS nrows
+  FROM fact_sales f JOIN dim_customer c ON f.customer_key = c.customer_key GROUP BY c.customer_state)
+SELECT customer_state, CAST(orders AS BIGINT) AS orders, CAST(customers AS BIGINT) AS customers, CAST(rev AS DOUBLE) AS revenue,
+       {_rha(_cents('rev'), 'orders * 100', 2)} AS revenue_per_order, {_rha('sd', 'nd', 1)} AS avg_delivery_days,
+       {_rha('ot * 100', 'nrows', 2)} AS on_time_pct FROM g""")

@@ -102,3 +102,150 @@ def _q_range(spark, sf_dir):
 @register("q_profile_summary")
 def _q_summary(spark, sf_dir):
     return Q.profile_summary(_src(spark, sf_dir), PROFILED_AT, P.as_of_ts)
+
+
+# ------------------------------------------------------------ staging (P*)
+from ..operators import dims as DM  # noqa: E402
+from ..operators import facts as FA  # noqa: E402
+from . import etl as ETL  # noqa: E402
+from . import marts as M  # noqa: E402
+from .star import build_dims, stage_all, star_from_fixtures  # noqa: E402
+
+
+def _stg(spark, sf_dir):
+    return stage_all(_src(spark, sf_dir), P)
+
+
+for _name in ("stg_orders", "stg_items", "stg_customers", "stg_products", "stg_payments", "stg_rejects"):
+    register(_name)(lambda spark, sf_dir, _n=_name: _stg(spark, sf_dir)[_n])
+
+
+@register("stg_summary")
+def _stg_summary(spark, sf_dir):
+    s = _stg(spark, sf_dir)
+    row = spark.range(1).select(F.lit(P.as_of_ts).alias("run_timestamp"))
+    for name in ("stg_orders", "stg_items", "stg_customers", "stg_products", "stg_payments"):
+        row = row.crossJoin(s[name].agg(F.count(F.lit(1)).alias(f"{name}_rows")))
+    return row.crossJoin(s["stg_rejects"].agg(F.count(F.lit(1)).alias("total_records_rejected")))
+
+
+# ------------------------------------------------------------ dimensions (D*)
+def _dims(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return build_dims(spark, src, stage_all(src, P), P)
+
+
+for _name in ("dim_date", "dim_seller", "dim_product", "dim_customer"):
+    register(_name)(lambda spark, sf_dir, _n=_name: _dims(spark, sf_dir)[_n])
+
+# SCD2 feeds: customers known on each date; the third run repeats the second
+# feed and must change nothing.
+SCD2_RUNS = (("1997-01-01", "1997-01-01"), ("1999-01-01", "1999-01-01"), ("1999-01-01", "1999-06-01"))
+
+
+@register("dim_customer_scd2")
+def _scd2(spark, sf_dir):
+    return ETL.scd2_runs(spark, sf_dir, SCD2_RUNS)[0]
+
+
+@register("scd2_actions")
+def _scd2_actions(spark, sf_dir):
+    return ETL.scd2_runs(spark, sf_dir, SCD2_RUNS)[1]
+
+
+@register("dim_verify_counts")
+def _dim_verify(spark, sf_dir):
+    return M.dim_verify_counts(_dims(spark, sf_dir))
+
+
+@register("dim_price_bands")
+def _dim_bands(spark, sf_dir):
+    return M.dim_price_bands(_dims(spark, sf_dir))
+
+
+# ------------------------------------------------------------ fact (F*)
+def _star(spark, sf_dir):
+    return star_from_fixtures(spark, sf_dir, P)
+
+
+@register("fact_full")
+def _fact_full(spark, sf_dir):
+    return _star(spark, sf_dir)["fact_sales"]
+
+
+INCREMENTAL_CUTOFF = "2000-01-01"
+
+
+@register("fact_incremental")
+def _fact_incr(spark, sf_dir):
+    return ETL.incremental_fact(spark, _src(spark, sf_dir), P, INCREMENTAL_CUTOFF)[2]
+
+
+@register("fact_incremental_batch2")
+def _fact_incr2(spark, sf_dir):
+    return ETL.incremental_fact(spark, _src(spark, sf_dir), P, INCREMENTAL_CUTOFF)[1]
+
+
+@register("fact_lookup_failures")
+def _fact_fail(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    src = dict(src, sellers=src["sellers"].join(FX.active_seller_ids(spark, sf_dir), "seller_id", "left_semi"))
+    stg = stage_all(src, P)
+    dims = build_dims(spark, src, stg, P)
+    fb = FA.build_fact(
+        stg["stg_items"], stg["stg_orders"], stg["stg_payments"], dims["dim_customer"], dims["dim_product"], dims["dim_seller"], P.run_date
+    )
+    return fb.failures.select(
+        "order_id", "order_item_id", "customer_id", "product_id", "seller_id", F.array_join("failed_dims", ",").alias("failed_dims")
+    )
+
+
+@register("fact_required_audit")
+def _fact_audit(spark, sf_dir):
+    return FA.required_column_audit(_star(spark, sf_dir)["fact_assembled"])
+
+
+for _name, _fn in (
+    ("fact_verify_totals", M.fact_totals),
+    ("fact_rev_by_year", M.fact_revenue_by_year),
+    ("fact_rev_by_status", M.fact_revenue_by_status),
+    ("fact_top_categories", M.fact_top_categories),
+    ("fact_rev_by_payment", M.fact_revenue_by_payment),
+    ("m1_kpis", M.m1_kpi_cards),
+    ("m2_monthly", M.m2_monthly),
+    ("m3_top_categories", M.m3_top_categories),
+    ("m4_payment_types", M.m4_payment_types),
+    ("m5_states", M.m5_states),
+    ("m5_cities", M.m5_cities),
+    ("m6_order_status", M.m6_order_status),
+    ("m7_state_metrics", M.m7_state_metrics),
+    ("m8_category_revenue", M.m8_category_revenue),
+    ("m8_price_band_by_year", M.m8_price_band_by_year),
+):
+    register(_name)(lambda spark, sf_dir, _f=_fn: _f(_star(spark, sf_dir)))
+
+
+@register("m11_kpis_1998")
+def _m11(spark, sf_dir):
+    return M.m1_kpi_cards(_star(spark, sf_dir), year=1998)
+
+
+@register("m11_monthly_1999_03")
+def _m11b(spark, sf_dir):
+    return M.m2_monthly(_star(spark, sf_dir), year=1999, month=3)
+
+
+@register("control_log")
+def _control_log(spark, sf_dir):
+    s = _star(spark, sf_dir)
+    rows = [
+        ETL.log_row(spark, 1, "dim_date", "2002-01-01 00:00:00", "2002-01-01 00:00:01", s["dim_date"]),
+        ETL.log_row(spark, 2, "dim_seller", "2002-01-01 00:00:01", "2002-01-01 00:00:02", s["dim_seller"]),
+        ETL.log_row(spark, 3, "dim_product", "2002-01-01 00:00:02", "2002-01-01 00:00:03", s["dim_product"]),
+        ETL.log_row(spark, 4, "dim_customer", "2002-01-01 00:00:03", "2002-01-01 00:00:04", s["dim_customer"]),
+        ETL.log_row(spark, 5, "fact_sales", "2002-01-01 00:00:04", "2002-01-01 00:00:05", s["fact_sales"], s["fact_failures"]),
+    ]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out.orderBy(F.desc("log_id")).limit(8)

@@ -195,3 +195,10 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def as_date(s: str) -> _dt.date:
     return _dt.date.fromisoformat(s)
+
+
+def active_seller_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sellers with a non-negative account balance: the seller extract of a
+    stale dimension load (items of the other sellers fail the lookup)."""
+    s = table(spark, sf_dir, "supplier")
+    return s.where(F.col("s_acctbal") >= 0).select(F.col("s_suppkey").alias("seller_id"))
