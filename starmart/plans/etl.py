@@ -141,13 +141,18 @@ def load_mode(fact: DataFrame) -> str:
 
 
 # ------------------------------------------------------------------ snapshots
-def write_snapshot(df: DataFrame, base: str, name: str, version: str, partition_by: Sequence[str] = ()) -> str:
-    """Write ``df`` as ``base/name/v=<version>`` and switch the pointer."""
+def write_snapshot(
+    df: DataFrame, base: str, name: str, version: str, partition_by: Sequence[str] = (), pointer: bool = True
+) -> str:
+    """Write ``df`` as ``base/name/v=<version>``; then (``pointer``) switch the
+    table's current-version pointer, so readers never see a partial table."""
     path = f"{base.rstrip('/')}/{name}/v={version}"
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    if not pointer:
+        return path
     spark = df.sparkSession
     spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").parquet(
         f"{base.rstrip('/')}/{name}/_current"
@@ -160,17 +165,33 @@ def read_snapshot(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}/v={v}")
 
 
+def write_all(frames: dict[str, DataFrame], base: str, version: str, pointer: bool, workers: int = 4) -> dict[str, str]:
+    """Write independent tables as concurrent Spark jobs (one thread each)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=workers) as ex:
+        futs = {k: ex.submit(write_snapshot, df, base, k, version, (), pointer) for k, df in frames.items()}
+        return {k: f.result() for k, f in futs.items()}
+
+
+def land_raw(src: dict[str, DataFrame], base: str, version: str) -> dict[str, DataFrame]:
+    """S1: land the raw extract once as typed parquet; staging reads it from
+    there, so whatever produced the extract is never recomputed."""
+    paths = write_all({f"raw_{k}": v for k, v in src.items()}, base, version, pointer=False)
+    spark = next(iter(src.values())).sparkSession
+    return {k: spark.read.parquet(paths[f"raw_{k}"]) for k in src}
+
+
 def run_etl(spark: SparkSession, src: dict[str, DataFrame], p: Params, base: str, version: str) -> dict[str, str]:
-    """Full ETL: staging tables, dimensions, fact (partitioned by year) and
-    the control log, each written once. Returns the written paths."""
+    """Full ETL: land the extract, staging tables, dimensions, fact
+    (partitioned by year), each written once. Returns the written paths."""
+    src = land_raw(src, base, version)
     stg = stage_all(src, p)
-    paths = {}
-    for name in ("stg_orders", "stg_items", "stg_customers", "stg_products", "stg_payments", "stg_rejects"):
-        paths[name] = write_snapshot(stg[name], base, name, version)
+    names = ("stg_orders", "stg_items", "stg_customers", "stg_products", "stg_payments", "stg_rejects")
+    paths = write_all({k: stg[k] for k in names}, base, version, pointer=False)
     stg_r = {k: spark.read.parquet(v) for k, v in paths.items()}
     dims = build_dims(spark, src, stg_r, p)
-    for name, df in dims.items():
-        paths[name] = write_snapshot(df, base, name, version)
+    paths.update(write_all(dims, base, version, pointer=True))
     dims_r = {k: spark.read.parquet(paths[k]) for k in dims}
     fb = FA.build_fact(
         stg_r["stg_items"], stg_r["stg_orders"], stg_r["stg_payments"], dims_r["dim_customer"], dims_r["dim_product"],
@@ -178,5 +199,6 @@ def run_etl(spark: SparkSession, src: dict[str, DataFrame], p: Params, base: str
     )
     fact = fb.fact.withColumn("fact_year", (F.col("date_key") / 10000).cast("int"))
     paths["fact_sales"] = write_snapshot(fact, base, "fact_sales", version, partition_by=["fact_year"])
-    paths["fact_failures"] = write_snapshot(fb.failures.withColumn("failed_dims", F.array_join("failed_dims", ",")), base, "fact_lookup_failures", version)
+    fails = fb.failures.withColumn("failed_dims", F.array_join("failed_dims", ","))
+    paths["fact_failures"] = write_snapshot(fails, base, "fact_lookup_failures", version, pointer=False)
     return paths
