@@ -128,6 +128,45 @@ def log_row(
     )
 
 
+class run_logged:  # noqa: N801  (used as a context manager)
+    """L2: time a load and produce its control-log row (SUCCESS or FAILED).
+
+        with run_logged(spark, 5, "fact_sales") as log:
+            write(...)
+            log.loaded = fact_df          # counted lazily
+        log.row  ->  one-row DataFrame to append to the control log
+
+    On an exception the row records FAILED with the message and the
+    exception propagates; the table write itself is a new snapshot, so a
+    failed run leaves the previous version current.
+    """
+
+    def __init__(self, spark: SparkSession, log_id: int, target: str, run_by: str = "starmart"):
+        self.spark, self.log_id, self.target, self.run_by = spark, log_id, target, run_by
+        self.loaded, self.rejected, self.last_loaded_ts, self.row = 0, 0, None, None
+
+    def __enter__(self):
+        self.started = _dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
+        return self
+
+    def __exit__(self, et, ev, tb):
+        ended = _dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
+        if et is None:
+            self.row = log_row(self.spark, self.log_id, self.target, self.started, ended, self.loaded, self.rejected,
+                               self.last_loaded_ts, "SUCCESS", None, self.run_by)
+        else:
+            self.row = log_row(self.spark, self.log_id, self.target, self.started, ended, 0, 0, None, "FAILED",
+                               str(ev)[:1000], self.run_by)
+        return False
+
+
+def load_dim_date_if_empty(spark: SparkSession, existing: DataFrame, start: str, end: str) -> DataFrame | None:
+    """D1: build the calendar only when the table is empty (idempotent)."""
+    if existing.limit(1).count() > 0:
+        return None
+    return D.build_dim_date(spark, start, end)
+
+
 def last_watermark(control_log: DataFrame, target: str = "fact_sales") -> DataFrame:
     """``max(last_loaded_ts)`` over successful loads of ``target`` (one row)."""
     return control_log.where((F.col("target_table") == target) & (F.col("status") == "SUCCESS")).agg(
