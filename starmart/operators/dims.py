@@ -177,7 +177,9 @@ def scd2_merge(
         c = ~F.col(t).eqNullSafe(F.col(f"_old_{t}"))
         changed = c if changed is None else changed | c
     action = F.when(F.col("_ckey").isNull(), "new").when(changed, "updated").otherwise("unchanged")
-    cmp = cmp.withColumn("action", action)
+    # Read three times below (expiries, inserts, action counts): compute the
+    # feed x current comparison once.
+    cmp = cmp.withColumn("action", action).checkpoint(eager=True)
 
     expired_keys = cmp.where(F.col("action") == "updated").select(F.col("_ckey").alias("_xkey"), F.lit(True).alias("_x"))
     kept = dim.join(expired_keys, dim[surrogate] == expired_keys["_xkey"], "left").drop("_xkey")

@@ -72,6 +72,7 @@ def build_fact(
     dim_product: DataFrame,
     dim_seller: DataFrame,
     run_date: str,
+    materialize: bool = False,
 ) -> FactBuild:
     """Items of the selected orders joined to order fields, order-level
     payments and the three surrogate keys.
@@ -104,6 +105,8 @@ def build_fact(
         lambda x: x.isNotNull(),
     )
     f = f.withColumn("failed_dims", failed)
+    if materialize:  # both outputs written: assemble once
+        f = f.checkpoint(eager=True)
     ok = F.size("failed_dims") == 0
     failures = f.where(~ok)
     clean = (

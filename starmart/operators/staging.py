@@ -87,13 +87,17 @@ class StagedItems:
     null_price: DataFrame  # rows the source logic silently drops (audit only)
 
 
-def stage_items(items: DataFrame, clean_orders: DataFrame, key: str = "order_id", null_safe: bool = False) -> StagedItems:
+def stage_items(
+    items: DataFrame, clean_orders: DataFrame, key: str = "order_id", null_safe: bool = False, materialize: bool = False
+) -> StagedItems:
     """Price routes, freight fill, orphan route and the order-field join.
 
     The orphan route (anti join against the cleaned orders) and the
     inheritance of order fields (left join) are one left join here: rows
     with a match are kept (fanning out like the source if an order id
-    repeats), rows without one are the orphans.
+    repeats), rows without one are the orphans. ``materialize`` checkpoints
+    the joined rows once when both outputs are written (the ETL job), so the
+    item x order join is not run twice.
     """
     priced, rej_price = route(items, F.col("price") <= 0, R_BAD_PRICE, keep_if=F.col("price") > 0)
     lost = unrouted(items, F.col("price") <= 0, F.col("price") > 0).withColumn(REJECT_REASON, F.lit(R_NULL_PRICE))
@@ -101,6 +105,8 @@ def stage_items(items: DataFrame, clean_orders: DataFrame, key: str = "order_id"
     oc = clean_orders.select(F.col(key).alias("_ok"), *ORDER_COLS_FOR_ITEMS).withColumn("_matched", F.lit(True))
     cond = priced[key].eqNullSafe(oc["_ok"]) if null_safe else priced[key] == oc["_ok"]
     j = priced.join(oc, cond, "left").drop("_ok")
+    if materialize:
+        j = j.checkpoint(eager=True)
     orphans = j.where(F.col("_matched").isNull()).select(*priced.columns).withColumn(REJECT_REASON, F.lit(R_ORPHAN_ITEM))
     types = dict((f.name, f.dataType) for f in items.schema.fields)
     kept = (

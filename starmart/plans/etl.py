@@ -225,7 +225,7 @@ def run_etl(spark: SparkSession, src: dict[str, DataFrame], p: Params, base: str
     """Full ETL: land the extract, staging tables, dimensions, fact
     (partitioned by year), each written once. Returns the written paths."""
     src = land_raw(src, base, version)
-    stg = stage_all(src, p)
+    stg = stage_all(src, p, materialize=True)
     names = ("stg_orders", "stg_items", "stg_customers", "stg_products", "stg_payments", "stg_rejects")
     paths = write_all({k: stg[k] for k in names}, base, version, pointer=False)
     stg_r = {k: spark.read.parquet(v) for k, v in paths.items()}
@@ -234,7 +234,7 @@ def run_etl(spark: SparkSession, src: dict[str, DataFrame], p: Params, base: str
     dims_r = {k: spark.read.parquet(paths[k]) for k in dims}
     fb = FA.build_fact(
         stg_r["stg_items"], stg_r["stg_orders"], stg_r["stg_payments"], dims_r["dim_customer"], dims_r["dim_product"],
-        dims_r["dim_seller"], p.run_date,
+        dims_r["dim_seller"], p.run_date, materialize=True,
     )
     fact = fb.fact.withColumn("fact_year", (F.col("date_key") / 10000).cast("int"))
     paths["fact_sales"] = write_snapshot(fact, base, "fact_sales", version, partition_by=["fact_year"])

@@ -48,9 +48,9 @@ FIXTURE_PARAMS = Params(
 )
 
 
-def stage_all(src: dict[str, DataFrame], p: Params) -> dict[str, DataFrame]:
+def stage_all(src: dict[str, DataFrame], p: Params, materialize: bool = False) -> dict[str, DataFrame]:
     so = S.stage_orders(src["orders"])
-    si = S.stage_items(src["items"], so.kept)
+    si = S.stage_items(src["items"], so.kept, materialize=materialize)
     return {
         "stg_orders": so.kept,
         "stg_items": si.kept,
