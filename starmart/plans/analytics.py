@@ -245,7 +245,18 @@ def x5_seller_performance(star: dict, top: int | None = 20, quartiles: int = 4,
 
 
 # --------------------------------------------------------------------- X6
-def x6_cohort_retention(star: dict, max_months: int = 6, status: str = COMPLETED) -> DataFrame:
+def _customer_grain(f: DataFrame, star: dict, customer_col: str) -> DataFrame:
+    """Re-key fact rows from the surrogate to another customer attribute
+    (e.g. ``customer_unique_id``: one person across order-level ids)."""
+    if customer_col == "customer_key":
+        return f
+    m = star["dim_customer"].select("customer_key", customer_col)
+    return f.join(m, "customer_key").drop("customer_key")
+
+
+def x6_cohort_retention(
+    star: dict, max_months: int = 6, status: str = COMPLETED, customer_col: str = "customer_key"
+) -> DataFrame:
     """Cohort (first purchase month) x months since first purchase.
 
     Activity is first reduced to distinct (customer, month) pairs with a
@@ -254,9 +265,9 @@ def x6_cohort_retention(star: dict, max_months: int = 6, status: str = COMPLETED
     even for the hottest customer (no self-join of activity with first
     purchase). Distinct customers per cell are then plain counts.
     """
-    f = _fact(star, status).select("date_key", "customer_key")
-    act = f.join(_calendar(star, "year_month"), "date_key").select("customer_key", "year_month").distinct()
-    act = act.withColumn("cohort_month", F.min("year_month").over(Window.partitionBy("customer_key")))
+    f = _customer_grain(_fact(star, status).select("date_key", "customer_key"), star, customer_col)
+    act = f.join(_calendar(star, "year_month"), "date_key").select(customer_col, "year_month").distinct()
+    act = act.withColumn("cohort_month", F.min("year_month").over(Window.partitionBy(customer_col)))
     first_day = lambda c: F.to_date(F.concat(F.col(c), F.lit("-01")), "yyyy-MM-dd")
     act = act.withColumn(
         "months_since_first",
@@ -315,21 +326,26 @@ def x7_delivery_performance(star: dict, buckets: Sequence[int] = (5, 10, 20), st
 
 
 # --------------------------------------------------------------------- X8
-def x8_pareto(star: dict, top: int | None = 100, cutoff_pct: float = 80.0, status: str = COMPLETED) -> DataFrame:
+def x8_pareto(
+    star: dict, top: int | None = 100, cutoff_pct: float = 80.0, status: str = COMPLETED, customer_col: str = "customer_key"
+) -> DataFrame:
     """Customers by revenue with running share of the total; ``top=None``
-    classifies every customer (the running sum is distributed)."""
+    classifies every customer (the running sum is distributed).
+    ``customer_col='customer_unique_id'`` ranks people instead of order-level
+    customer ids (N13)."""
     f = _fact(star, status).select("customer_key", "order_id", "gross_revenue")
-    cust = star["dim_customer"].where(F.col("is_current")).select("customer_key", "customer_state")
+    cols = ["customer_key", "customer_state"] + ([customer_col] if customer_col != "customer_key" else [])
+    cust = star["dim_customer"].where(F.col("is_current")).select(*cols)
     cr = (
         f.join(cust, "customer_key")
-        .groupBy("customer_key", "customer_state")
+        .groupBy(customer_col, "customer_state")
         .agg(F.round(F.sum("gross_revenue"), 2).alias("total_revenue"), F.count_distinct("order_id").alias("total_orders"))
     )
     cr = cr.checkpoint(eager=True)  # read by the rank's count and its join back
     cr = with_rank(cr, [("total_revenue", False)], "revenue_rank")
     cr = global_scan(
         cr,
-        [("total_revenue", False), ("customer_key", True)],
+        [("total_revenue", False), (customer_col, True), ("customer_state", True)],
         row_number=None,
         running_sums={"_cum": F.col("total_revenue")},
         partition_sums={"_tot": F.col("total_revenue")},
@@ -337,7 +353,7 @@ def x8_pareto(star: dict, top: int | None = 100, cutoff_pct: float = 80.0, statu
     pct = rha(cents("_cum") * 100, cents("_tot"), 2)
     out = cr.select(
         "revenue_rank",
-        "customer_key",
+        customer_col,
         "customer_state",
         "total_revenue",
         "total_orders",
@@ -346,7 +362,7 @@ def x8_pareto(star: dict, top: int | None = 100, cutoff_pct: float = 80.0, statu
         "pareto_segment",
         F.when(F.col("cumulative_pct") <= cutoff_pct, "Top 80% Revenue Drivers").otherwise("Remaining 20%"),
     )
-    out = out.orderBy("revenue_rank", "customer_key")
+    out = out.orderBy("revenue_rank", customer_col, "customer_state")
     return out.limit(top) if top else out
 
 

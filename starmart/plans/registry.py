@@ -108,3 +108,18 @@ def _x8(spark, sf_dir):
 @register("x9_quarterly")
 def _x9(spark, sf_dir):
     return X.x9_quarterly_kpis(_star(spark, sf_dir))
+
+
+@register("x3_rfm_high_is_best")
+def _x3h(spark, sf_dir):
+    return X.x3_rfm_segments(_star(spark, sf_dir), as_of=P.rfm_as_of, score_direction="high_is_best")
+
+
+@register("x6_cohort_retention_by_person")
+def _x6u(spark, sf_dir):
+    return X.x6_cohort_retention(_star(spark, sf_dir), customer_col="customer_unique_id")
+
+
+@register("x8_pareto_by_person")
+def _x8u(spark, sf_dir):
+    return X.x8_pareto(_star(spark, sf_dir), customer_col="customer_unique_id")
