@@ -44,15 +44,28 @@ def global_scan(
     running_sums: Mapping[str, Column] | None = None,
     partition_count: str | None = None,
     partition_sums: Mapping[str, Column] | None = None,
+    rank: str | None = None,
+    dense_rank: str | None = None,
+    rank_cols: int | None = None,
     num_chunks: int | None = None,
 ) -> DataFrame:
     """Add ``row_number`` (1-based within ``partition_by``), running sums
-    (ROWS UNBOUNDED PRECEDING .. CURRENT ROW), the partition row count and
-    partition totals, ordered by ``order_by``."""
+    (ROWS UNBOUNDED PRECEDING .. CURRENT ROW), the partition row count,
+    partition totals and ``rank`` / ``dense_rank`` over the first
+    ``rank_cols`` columns of ``order_by`` (ties share a rank), all in one pass.
+
+    Ranks: inside a chunk, windowed ``rank``/``dense_rank`` are exact except
+    for the chunk's first tie group, which may have started in earlier
+    chunks; the summary carries each chunk's first/last value and the size
+    of its last tie group, and a self-join of the (small) summary on
+    "earlier chunk ending with my first value" gives the correction.
+    """
     running_sums = dict(running_sums or {})
     partition_sums = dict(partition_sums or {})
     P = list(partition_by)
     n = _num_chunks(df, num_chunks)
+    want_rank = bool(rank or dense_rank)
+    V = [c for c, _ in order_by[: (rank_cols or len(order_by))]]
     vals = {f"_v_{k}": v for k, v in running_sums.items()}
     pvals = {f"_pv_{k}": v for k, v in partition_sums.items()}
     base = df.withColumns({**vals, **pvals}) if (vals or pvals) else df
@@ -65,6 +78,9 @@ def global_scan(
     wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumn("_lrn", F.row_number().over(w))
     local = local.withColumns({f"_ls_{k}": F.sum(f"_v_{k}").over(wr) for k in running_sums})
+    if want_rank:
+        wv = Window.partitionBy("_chunk", *P).orderBy(*_sort_cols(order_by[: len(V)]))
+        local = local.withColumns({"_lrank": F.rank().over(wv), "_ldense": F.dense_rank().over(wv)})
     # Materialise once in the shared checkpoint folder: the summary below and
     # the final join both read it, so the input and its two shuffles are not
     # recomputed, and the lineage is cut (a lost executor re-reads files).
@@ -74,6 +90,14 @@ def global_scan(
     aggs = [F.count(F.lit(1)).alias("_cnt")]
     aggs += [F.sum(f"_v_{k}").alias(f"_sum_{k}") for k in running_sums]
     aggs += [F.sum(f"_pv_{k}").alias(f"_psum_{k}") for k in partition_sums]
+    if want_rank:
+        vs = F.struct(*[F.col(c) for c in V])
+        aggs += [
+            F.min_by(vs, "_lrn").alias("_fv"),
+            F.max_by(vs, "_lrn").alias("_lv"),
+            F.max("_lrank").alias("_lastg"),
+            F.max("_ldense").alias("_nd"),
+        ]
     summ = local.groupBy("_chunk", *P).agg(*aggs)
     ws = Window.partitionBy(*P).orderBy("_chunk")
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
@@ -83,7 +107,30 @@ def global_scan(
     if partition_count:
         offs["_pcnt"] = F.sum("_cnt").over(whole)
     offs.update({f"_ptot_{k}": F.sum(f"_psum_{k}").over(whole) for k in partition_sums})
-    summ = summ.withColumns(offs).select("_chunk", *P, *offs.keys())
+    if want_rank:
+        # a boundary whose two sides hold the same value splits one tie group
+        split = F.coalesce(F.lag("_lv").over(ws).eqNullSafe(F.col("_fv")), F.lit(False)).cast("long")
+        summ = summ.withColumn("_split", split)
+        offs["_split"] = F.col("_split")
+        # distinct values wholly before this chunk's first value
+        offs["_dbefore"] = (
+            F.coalesce(F.sum("_nd").over(before), F.lit(0))
+            - F.coalesce(F.sum("_split").over(ws.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.lit(0))
+        )
+    summ = summ.withColumns(offs)
+    if want_rank:
+        # rows equal to my first value in earlier chunks (their last groups)
+        prev = summ.select(
+            *[F.col(p).alias(f"_q_{p}") for p in P], F.col("_chunk").alias("_qc"), F.col("_lv").alias("_qlv"),
+            (F.col("_cnt") - F.col("_lastg") + 1).alias("_tail"),
+        )
+        cond = (prev["_qlv"].eqNullSafe(summ["_fv"])) & (prev["_qc"] < summ["_chunk"])
+        for p in P:
+            cond = cond & prev[f"_q_{p}"].eqNullSafe(summ[p])
+        eq = summ.join(prev, cond, "left").groupBy("_chunk", *P).agg(F.coalesce(F.sum("_tail"), F.lit(0)).alias("_eqb"))
+        summ = summ.join(eq, ["_chunk", *P], "left")
+        offs["_eqb"] = F.col("_eqb")
+    summ = summ.select("_chunk", *P, *offs.keys())
     if not P:
         # At most n rows (one per chunk): a proven bound, so broadcast.
         summ = F.broadcast(summ)
@@ -98,6 +145,11 @@ def global_scan(
         out[partition_count] = F.col("_pcnt").cast("long")
     for k in partition_sums:
         out[k] = F.col(f"_ptot_{k}")
+    first_group = F.col("_lrank") == 1
+    if rank:
+        out[rank] = (F.col("_off") + F.col("_lrank") - F.when(first_group, F.col("_eqb")).otherwise(0)).cast("int")
+    if dense_rank:
+        out[dense_rank] = (F.col("_dbefore") + F.col("_ldense")).cast("int")
     keep = [c for c in df.columns]
     return joined.select(*keep, *[v.alias(k) for k, v in out.items()])
 
@@ -134,22 +186,12 @@ def with_rank(
     dense: bool = False,
     num_chunks: int | None = None,
 ) -> DataFrame:
-    """``RANK()`` (or ``DENSE_RANK()``) over ``order_by`` values (no tie-break
-    needed: ties share a rank).
-
-    Rows are first counted per distinct (partition, value) -- a partial
-    aggregate, so a value held by a third of the rows is combined map-side --
-    then the distinct values are scanned in order (rank = rows before + 1,
-    dense rank = distinct values before + 1) and joined back null-safely.
-    """
-    P = list(partition_by)
-    V = [c for c, _ in order_by]
-    d = df.groupBy(*P, *V).agg(F.count(F.lit(1)).alias("_n"))
-    d = global_scan(d, order_by, P, row_number="_drn", running_sums={"_cum": F.col("_n")}, num_chunks=num_chunks)
-    rank = F.col("_drn") if dense else (F.col("_cum") - F.col("_n") + 1)
-    d = d.select(*[F.col(c).alias(f"_k_{c}") for c in P + V], rank.cast("int").alias(name))
-    cond = None
-    for c in P + V:
-        e = df[c].eqNullSafe(d[f"_k_{c}"])
-        cond = e if cond is None else cond & e
-    return df.join(d, cond, "inner").drop(*[f"_k_{c}" for c in P + V])
+    """``RANK()`` (or ``DENSE_RANK()``) over ``order_by`` values; ties share a
+    rank. A hash of the whole row is appended as sort tie-break only so that
+    the range cut can split a value held by a huge number of rows over
+    several chunks; the ranks do not depend on it."""
+    tb = "_rank_tb"
+    d = df.withColumn(tb, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    kw = {"dense_rank": name} if dense else {"rank": name}
+    out = global_scan(d, list(order_by) + [(tb, True)], partition_by, row_number=None, rank_cols=len(order_by), num_chunks=num_chunks, **kw)
+    return out.drop(tb)

@@ -441,3 +441,18 @@ def _m7():
 SELECT customer_state, CAST(orders AS BIGINT) AS orders, CAST(customers AS BIGINT) AS customers, CAST(rev AS DOUBLE) AS revenue,
        {_rha(_cents('rev'), 'orders * 100', 2)} AS revenue_per_order, {_rha('sd', 'nd', 1)} AS avg_delivery_days,
        {_rha('ot * 100', 'nrows', 2)} AS on_time_pct FROM g""")
+
+
+@oracle("control_log")
+def _control_log():
+    rows = [(1, "dim_date", "dim_date", None), (2, "dim_seller", "dim_seller", None), (3, "dim_product", "dim_product", None),
+            (4, "dim_customer", "dim_customer", None), (5, "fact_sales", "fact_sales", "fact_all WHERE customer_key IS NULL OR product_key IS NULL OR seller_key IS NULL")]
+    parts = []
+    for i, tgt, tbl, rej in rows:
+        rej_sql = f"(SELECT count(*) FROM {rej})" if rej else "0"
+        parts.append(
+            f"SELECT CAST({i} AS BIGINT) AS log_id, '{tgt}' AS target_table, '2002-01-01 00:00:0{i - 1}' AS run_start_ts, "
+            f"'2002-01-01 00:00:0{i}' AS run_end_ts, CAST((SELECT count(*) FROM {tbl}) AS BIGINT) AS records_loaded, "
+            f"CAST({rej_sql} AS BIGINT) AS records_rejected, CAST(NULL AS VARCHAR) AS last_loaded_ts, 'SUCCESS' AS status, "
+            f"CAST(NULL AS VARCHAR) AS error_message, 'starmart' AS run_by")
+    return with_base("q AS (" + " UNION ALL ".join(parts) + ") SELECT * FROM q")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import cents, round_half_away as rha
-from ..operators.ranking import global_scan, with_ntile, with_rank
+from ..operators.ranking import global_scan, ntile_from_rn, with_ntile, with_rank
 
 COMPLETED = "Completed"
 
@@ -174,6 +174,8 @@ def x4_product_ranking(star: dict, top: int | None = 50, status: str = COMPLETED
         )
     )
     P = ["product_category"]
+    # One scan gives the running revenue, the category total and the
+    # revenue rank (same order); the volume rank needs its own order.
     ps = global_scan(
         ps,
         [("total_revenue", False), ("product_key", True)],
@@ -181,8 +183,9 @@ def x4_product_ranking(star: dict, top: int | None = 50, status: str = COMPLETED
         row_number=None,
         running_sums={"_cum": F.col("total_revenue")},
         partition_sums={"_cat": F.col("total_revenue")},
+        rank="revenue_rank",
+        rank_cols=1,
     )
-    ps = with_rank(ps, [("total_revenue", False)], "revenue_rank", P)
     ps = with_rank(ps, [("order_count", False)], "volume_rank", P, dense=True)
     out = ps.select(
         "product_category",
@@ -234,12 +237,13 @@ def x5_seller_performance(star: dict, top: int | None = 20, quartiles: int = 4,
         rha(F.col("_ot") * 100, F.col("_rows"), 2).alias("on_time_pct"),
         "active_months",
     )
-    # Ranked three times (two ranks read it twice each): materialise the
-    # per-seller aggregate once instead of re-aggregating the fact.
-    m = m.checkpoint(eager=True)
-    m = with_rank(m, [("total_revenue", False)], "revenue_rank")
+    # Revenue rank and quartile share one order: one scan gives both.
+    m = global_scan(
+        m, [("total_revenue", False), ("seller_key", True)], row_number="_rn", partition_count="_n",
+        rank="revenue_rank", rank_cols=1,
+    )
+    m = m.withColumn("revenue_quartile", ntile_from_rn(F.col("_rn"), F.col("_n"), quartiles)).drop("_rn", "_n")
     m = with_rank(m, [("on_time_pct", False)], "delivery_rank")
-    m = with_ntile(m, quartiles, [("total_revenue", False), ("seller_key", True)], "revenue_quartile")
     out = m.orderBy(F.desc("total_revenue"), "seller_key")
     return out.limit(top) if top else out
 
@@ -341,14 +345,15 @@ def x8_pareto(
         .groupBy(customer_col, "customer_state")
         .agg(F.round(F.sum("gross_revenue"), 2).alias("total_revenue"), F.count_distinct("order_id").alias("total_orders"))
     )
-    cr = cr.checkpoint(eager=True)  # read by the rank's count and its join back
-    cr = with_rank(cr, [("total_revenue", False)], "revenue_rank")
+    # Rank, running revenue and grand total from one distributed scan.
     cr = global_scan(
         cr,
         [("total_revenue", False), (customer_col, True), ("customer_state", True)],
         row_number=None,
         running_sums={"_cum": F.col("total_revenue")},
         partition_sums={"_tot": F.col("total_revenue")},
+        rank="revenue_rank",
+        rank_cols=1,
     )
     pct = rha(cents("_cum") * 100, cents("_tot"), 2)
     out = cr.select(

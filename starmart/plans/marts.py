@@ -31,7 +31,11 @@ def date_slice(year: int | None = None, month: int | None = None):
 def _fact(star: dict, year=None, month=None) -> DataFrame:
     f = star["fact_sales"]
     s = date_slice(year, month)
-    return f.where(s) if s is not None else f
+    if s is None:
+        return f
+    if "fact_year" in f.columns:  # written fact: prune year partitions too
+        s = s & (F.col("fact_year") == year)
+    return f.where(s)
 
 
 def _share(part: str, whole_window: Window) -> F.Column:

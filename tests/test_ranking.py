@@ -48,14 +48,14 @@ def test_partitioned_scan_hot_partition(skewed):
     assert _pairs(got, "k", "rn", "cs", "tot", "n") == _pairs(want, "k", "rn", "cs", "tot", "n")
 
 
-@pytest.mark.parametrize("dense", [False, True])
-def test_rank_with_heavy_ties(skewed, dense):
+@pytest.mark.parametrize("dense,chunks", [(False, 5), (True, 5), (False, 23), (True, 23)])
+def test_rank_with_heavy_ties(skewed, dense, chunks):
     fn = F.dense_rank if dense else F.rank
     want = skewed.select("k", fn().over(Window.partitionBy("cat").orderBy(F.desc("v"))).alias("r"))
-    got = with_rank(skewed, [("v", False)], "r", ["cat"], dense=dense, num_chunks=5)
+    got = with_rank(skewed, [("v", False)], "r", ["cat"], dense=dense, num_chunks=chunks)
     assert _pairs(got, "k", "r") == _pairs(want, "k", "r")
     want_g = skewed.select("k", fn().over(Window.orderBy("v")).alias("r"))
-    got_g = with_rank(skewed, [("v", True)], "r", dense=dense, num_chunks=5)
+    got_g = with_rank(skewed, [("v", True)], "r", dense=dense, num_chunks=chunks)
     assert _pairs(got_g, "k", "r") == _pairs(want_g, "k", "r")
 
 
@@ -70,3 +70,15 @@ def test_ntile_fewer_rows_than_tiles(spark):
     df = spark.createDataFrame([(i,) for i in range(3)], "k long")
     got = with_ntile(df, 5, [("k", True)], "t", num_chunks=2)
     assert _pairs(got, "k", "t") == [(0, 1), (1, 2), (2, 3)]
+
+
+def test_combined_scan_rank_rownumber_running_sum(skewed):
+    w = Window.partitionBy("cat").orderBy(F.desc("v"), "k")
+    want = skewed.select(
+        "k", F.row_number().over(w).alias("rn"), F.rank().over(Window.partitionBy("cat").orderBy(F.desc("v"))).alias("r"),
+        F.dense_rank().over(Window.partitionBy("cat").orderBy(F.desc("v"))).alias("d"),
+        F.sum("amt").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cs"),
+    )
+    got = global_scan(skewed, [("v", False), ("k", True)], ["cat"], row_number="rn", running_sums={"cs": F.col("amt")},
+                      rank="r", dense_rank="d", rank_cols=1, num_chunks=17)
+    assert _pairs(got, "k", "rn", "r", "d", "cs") == _pairs(want, "k", "rn", "r", "d", "cs")
