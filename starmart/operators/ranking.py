@@ -31,9 +31,12 @@ def _sort_cols(order_by: Order) -> list[Column]:
 
 
 def _num_chunks(df: DataFrame, num_chunks: int | None) -> int:
+    """Chunks for the range cut: explicit, else the session's shuffle width
+    (capped: every chunk adds one summary row, and the inputs here are
+    per-entity aggregates, not the fact)."""
     if num_chunks:
         return int(num_chunks)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4096)
 
 
 def global_scan(
