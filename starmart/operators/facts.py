@@ -78,21 +78,24 @@ def build_fact(
     payments and the three surrogate keys.
 
     The source's semi join on the selected order ids followed by a left join
-    to the same orders is an inner join. Payments are pre-aggregated per
-    order (stage_payments), so all three order-keyed inputs hash-partition
-    on order_id. Surrogate lookups are left joins against (id, key); the
-    customer lookup uses current versions only. Dimension sides are sized at
-    runtime by AQE (broadcast when small, shuffle join otherwise).
+    to the same orders is an inner join. The customer key is resolved on the
+    orders (one row per order, several times fewer than lines), so the
+    customer lookup never reshuffles the line-level fact; payments are
+    pre-aggregated per order; items, orders and payments then all meet on
+    order_id. Surrogate lookups are left joins against (id, key); the
+    customer lookup uses current versions only. Dimension sides are sized by
+    Spark (statistics, then AQE at runtime): broadcast when small, shuffle
+    join otherwise.
     """
     items = stg_items.drop(*[c for c in CONFLICT_COLS if c in stg_items.columns])
     o = orders.select(*[c for c in ORDER_COLS if c in orders.columns])
+    cmap = dim_customer.where(F.col("is_current")).select(F.col("customer_id").alias("_c_id"), "customer_key")
+    o = o.join(cmap, o["customer_id"] == cmap["_c_id"], "left").drop("_c_id")
     pay = stg_payments.select("order_id", "primary_payment_type", "payment_installments", "total_payment_value")
     f = items.join(o, "order_id", "inner").join(pay, "order_id", "left")
 
-    cmap = dim_customer.where(F.col("is_current")).select(F.col("customer_id").alias("_c_id"), "customer_key")
     pmap = dim_product.select(F.col("product_id").alias("_p_id"), "product_key")
     smap = dim_seller.select(F.col("seller_id").alias("_s_id"), "seller_key")
-    f = f.join(cmap, f["customer_id"] == cmap["_c_id"], "left").drop("_c_id")
     f = f.join(pmap, f["product_id"] == pmap["_p_id"], "left").drop("_p_id")
     f = f.join(smap, f["seller_id"] == smap["_s_id"], "left").drop("_s_id")
 
