@@ -144,26 +144,32 @@ def value_distribution(df: DataFrame, column: str, table: str) -> DataFrame:
 def describe_money(df: DataFrame, column: str) -> DataFrame:
     """Q11: count, mean, sample std, min, p25, p50, p75, max, rounded to 2.
 
-    Quartiles are exact and interpolated linearly (pandas ``describe``): the
-    values are numbered in order with the distributed global row number, and
-    only the two neighbours of each quartile position are kept; no task ever
-    holds all values (Spark's exact ``percentile`` would). Mean and std come
-    from exact integer sums of cents.
+    Quartiles are exact and interpolated linearly (pandas ``describe``).
+    Rows are first counted per distinct value (a map-side combined
+    aggregate, far smaller than the column), then a distributed running
+    count over the distinct values (G1) locates the values at the needed
+    ranks; no task ever holds all values (Spark's exact ``percentile``
+    would). Mean and std come from exact integer sums of cents.
     """
     x = df.where(F.col(column).isNotNull()).select(cents(column).alias("_c"))
-    s = global_scan(x, [("_c", True)], row_number="_rn", partition_count="_n")
+    d = x.groupBy("_c").agg(F.count(F.lit(1)).alias("_k"))
+    s = global_scan(d, [("_c", True)], row_number=None, running_sums={"_cum": F.col("_k")}, partition_sums={"_n": F.col("_k")})
     n = F.col("_n")
+
+    def at(pos):  # the value whose cumulative count covers rank ``pos``
+        return F.max(F.when((F.col("_cum") - F.col("_k") < pos) & (pos <= F.col("_cum")), F.col("_c")))
+
     aggs = [
-        F.count(F.lit(1)).alias("count"),
-        F.sum("_c").alias("_s1"),
-        F.sum(F.col("_c") * F.col("_c")).alias("_s2"),
+        F.sum("_k").alias("count"),
+        F.sum(F.col("_c") * F.col("_k")).alias("_s1"),
+        F.sum(F.col("_c") * F.col("_c") * F.col("_k")).alias("_s2"),
         F.min("_c").alias("_min"),
         F.max("_c").alias("_max"),
     ]
     for q in (1, 2, 3):
         lo = F.floor((n - 1) * q / 4).cast("long") + 1
-        aggs.append(F.max(F.when(F.col("_rn") == lo, F.col("_c"))).alias(f"_lo{q}"))
-        aggs.append(F.max(F.when(F.col("_rn") == lo + 1, F.col("_c"))).alias(f"_hi{q}"))
+        aggs.append(at(lo).alias(f"_lo{q}"))
+        aggs.append(at(lo + 1).alias(f"_hi{q}"))
         aggs.append(F.max(F.pmod((n - 1) * q, F.lit(4))).alias(f"_m{q}"))
     a = s.agg(*aggs)
     cnt = F.col("count")
