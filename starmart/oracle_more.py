@@ -232,6 +232,9 @@ def _stg_rejects():
     return with_base("q AS (" + " UNION ALL ".join(parts) + ") SELECT * FROM q")
 
 
+simple("stg_null_price", ITEMS_SPEC + ", reject_reason='NULL price':s", "src_items", "WHERE price IS NULL")
+
+
 @oracle("stg_summary")
 def _stg_summary():
     rej = ("(SELECT count(*) FROM src_orders WHERE order_purchase_timestamp IS NULL) + (SELECT count(*) FROM o_bad) + "

@@ -116,7 +116,7 @@ def _stg(spark, sf_dir):
     return stage_all(_src(spark, sf_dir), P)
 
 
-for _name in ("stg_orders", "stg_items", "stg_customers", "stg_products", "stg_payments", "stg_rejects"):
+for _name in ("stg_orders", "stg_items", "stg_customers", "stg_products", "stg_payments", "stg_rejects", "stg_null_price"):
     register(_name)(lambda spark, sf_dir, _n=_name: _stg(spark, sf_dir)[_n])
 
 
