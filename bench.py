@@ -50,7 +50,10 @@ def main() -> None:
     base = tempfile.mkdtemp(prefix="starmart-bench-", dir=os.environ.get("BENCH_SCRATCH", "/tmp"))
     src = FX.sources(spark, sf_dir)
     paths: dict[str, str] = {}
-    timed("etl_build", lambda: paths.update(ETL.run_etl(spark, src, P, base, "1")))
+    landed: dict = {}
+    # the raw extract lands once (S1); the ETL proper starts from it
+    timed("etl_land", lambda: landed.update(ETL.land_raw(src, base, "1")))
+    timed("etl_build", lambda: paths.update(ETL.run_etl(spark, landed, P, base, "2", land=False)))
     star = {k: spark.read.parquet(paths[k]) for k in ("dim_date", "dim_seller", "dim_product", "dim_customer", "fact_sales")}
 
     queries = {
@@ -76,7 +79,7 @@ def main() -> None:
     for name, fn in queries.items():
         timed(name, fn)
 
-    total = round(sum(v for k, v in times.items() if k != "etl_build"), 3)
+    total = round(sum(v for k, v in times.items() if not k.startswith("etl_")), 3)
     print(
         json.dumps(
             {
@@ -86,6 +89,7 @@ def main() -> None:
                 "queries": times,
                 "sf": sf,
                 "etl_build_sec": times["etl_build"],
+                "etl_land_sec": times["etl_land"],
                 "cpus": int(cpus),
             }
         )

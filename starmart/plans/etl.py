@@ -221,10 +221,14 @@ def land_raw(src: dict[str, DataFrame], base: str, version: str) -> dict[str, Da
     return {k: spark.read.parquet(paths[f"raw_{k}"]) for k in src}
 
 
-def run_etl(spark: SparkSession, src: dict[str, DataFrame], p: Params, base: str, version: str) -> dict[str, str]:
-    """Full ETL: land the extract, staging tables, dimensions, fact
-    (partitioned by year), each written once. Returns the written paths."""
-    src = land_raw(src, base, version)
+def run_etl(
+    spark: SparkSession, src: dict[str, DataFrame], p: Params, base: str, version: str, land: bool = True
+) -> dict[str, str]:
+    """Full ETL: land the extract (unless already landed), staging tables,
+    dimensions, fact (partitioned by year), each written once. Returns the
+    written paths."""
+    if land:
+        src = land_raw(src, base, version)
     stg = stage_all(src, p, materialize=True)
     names = ("stg_orders", "stg_items", "stg_customers", "stg_products", "stg_payments", "stg_rejects")
     paths = write_all({k: stg[k] for k in names}, base, version, pointer=False)
