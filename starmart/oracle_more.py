@@ -459,3 +459,12 @@ def _control_log():
             f"CAST({rej_sql} AS BIGINT) AS records_rejected, CAST(NULL AS VARCHAR) AS last_loaded_ts, 'SUCCESS' AS status, "
             f"CAST(NULL AS VARCHAR) AS error_message, 'starmart' AS run_by")
     return with_base("q AS (" + " UNION ALL ".join(parts) + ") SELECT * FROM q")
+
+
+@oracle("m8_price_band_pivot")
+def _m8_pivot():
+    bands = ("Budget", "Mid-Range", "Premium", "Luxury", "Unknown")
+    cols = ", ".join(f'CAST(sum(CASE WHEN p.price_band = \'{b}\' THEN f.gross_revenue END) AS DOUBLE) AS "{b}"' for b in bands)
+    return with_base(f"""q AS (SELECT CAST(d.year AS BIGINT) AS year, {cols}
+FROM fact_sales f JOIN dim_product p ON f.product_key = p.product_key JOIN dim_date d ON f.date_key = d.date_key
+GROUP BY d.year) SELECT * FROM q""")

@@ -109,6 +109,14 @@ def m8_price_band_by_year(star: dict, year=None, month=None) -> DataFrame:
     )
 
 
+def m8_price_band_pivot(star: dict, bands=("Budget", "Mid-Range", "Premium", "Luxury", "Unknown"), year=None, month=None) -> DataFrame:
+    """Revenue per year with one column per price band. The pivot values are
+    given, so Spark does not run a distinct-values job first; the input is
+    the small (year, band) aggregate."""
+    long = m8_price_band_by_year(star, year, month)
+    return long.groupBy("year").pivot("price_band", list(bands)).agg(F.first("revenue")).orderBy("year")
+
+
 # --------------------------------------------------------------------- M4
 def m4_payment_types(star: dict, year=None, month=None) -> DataFrame:
     g = (

@@ -221,6 +221,7 @@ for _name, _fn in (
     ("m7_state_metrics", M.m7_state_metrics),
     ("m8_category_revenue", M.m8_category_revenue),
     ("m8_price_band_by_year", M.m8_price_band_by_year),
+    ("m8_price_band_pivot", M.m8_price_band_pivot),
 ):
     register(_name)(lambda spark, sf_dir, _f=_fn: _f(_star(spark, sf_dir)))
 
