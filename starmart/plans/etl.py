@@ -245,3 +245,23 @@ def run_etl(
     fails = fb.failures.withColumn("failed_dims", F.array_join("failed_dims", ","))
     paths["fact_failures"] = write_snapshot(fails, base, "fact_lookup_failures", version, pointer=False)
     return paths
+
+
+def write_star_bucketed(
+    spark: SparkSession, star: dict[str, DataFrame], base: str, prefix: str, buckets: int,
+    key: str = "customer_key",
+) -> dict[str, DataFrame]:
+    """Write ``fact_sales`` and ``dim_customer`` as catalog tables bucketed
+    and sorted by ``key`` (files under ``base``). Customer-level analytics
+    (RFM, Pareto, cohorts) then join and aggregate the fact without a
+    shuffle: both sides already share the hash partitioning on ``key``.
+    Returns the star with the two tables read back from the catalog."""
+    out = dict(star)
+    for name in ("fact_sales", "dim_customer"):
+        table = f"{prefix}_{name}"
+        (
+            star[name].write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+            .option("path", f"{base.rstrip('/')}/{table}").saveAsTable(table)
+        )
+        out[name] = spark.table(table)
+    return out

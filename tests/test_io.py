@@ -62,3 +62,27 @@ def test_load_mode_and_calendar_idempotent(spark):
     assert ETL.load_mode(spark.range(1)) == "INCREMENTAL"
     assert ETL.load_dim_date_if_empty(spark, spark.range(1), "2020-01-01", "2020-01-31") is None
     assert ETL.load_dim_date_if_empty(spark, spark.createDataFrame([], schemas.DIM_DATE), "2020-01-01", "2020-01-31").count() == 31
+
+
+def test_bucketed_star_avoids_fact_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from starmart.plans.star import FIXTURE_PARAMS as P
+    from starmart.plans.star import star_from_fixtures
+
+    star = star_from_fixtures(spark, SF_SMALL, P)
+    d = tempfile.mkdtemp(prefix="starmart-bucket-")
+    b = ETL.write_star_bucketed(spark, star, d, "t_bucket", 4)
+    q = (
+        b["fact_sales"].join(b["dim_customer"].where("is_current"), "customer_key")
+        .groupBy("customer_key", "customer_state").agg(F.sum("gross_revenue").alias("r"))
+    )
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = q._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert q.count() == star["fact_sales"].select("customer_key").distinct().count()
