@@ -4,12 +4,13 @@
 and ``Window.partitionBy(k)`` puts a hot ``k`` into one task. These operators
 compute the same numbers with balanced tasks:
 
-1. ``repartitionByRange(n, *partition_by, *order_by)`` cuts the total order into
-   ``n`` contiguous chunks (Spark samples the keys to pick the cut points, so
-   a hot partition value is split over several chunks).
+1. ``repartitionByRange(*partition_by, *order_by)`` cuts the total order into
+   contiguous chunks (Spark samples the keys to pick the cut points, so a hot
+   partition value is split over several chunks; AQE merges adjacent small
+   chunks, keeping their order).
 2. Inside each (chunk, partition value) a windowed row number / running sum.
 3. A per-(chunk, partition value) summary (count, sums) -- at most
-   ``n + #partition values`` rows -- gives each chunk its offset through a
+   ``#chunks + #partition values`` rows -- gives each chunk its offset through a
    running sum over chunk ids, which is added back.
 
 The result equals the plain window exactly, provided ``(partition_by,
@@ -30,15 +31,6 @@ def _sort_cols(order_by: Order) -> list[Column]:
     return [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last() for c, asc in order_by]
 
 
-def _num_chunks(df: DataFrame, num_chunks: int | None) -> int:
-    """Chunks for the range cut: explicit, else the session's shuffle width
-    (capped: every chunk adds one summary row, and the inputs here are
-    per-entity aggregates, not the fact)."""
-    if num_chunks:
-        return int(num_chunks)
-    return min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4096)
-
-
 def global_scan(
     df: DataFrame,
     order_by: Order,
@@ -66,14 +58,20 @@ def global_scan(
     running_sums = dict(running_sums or {})
     partition_sums = dict(partition_sums or {})
     P = list(partition_by)
-    n = _num_chunks(df, num_chunks)
     want_rank = bool(rank or dense_rank)
     V = [c for c, _ in order_by[: (rank_cols or len(order_by))]]
     vals = {f"_v_{k}": v for k, v in running_sums.items()}
     pvals = {f"_pv_{k}": v for k, v in partition_sums.items()}
     base = df.withColumns({**vals, **pvals}) if (vals or pvals) else df
     sort = [F.col(p).asc_nulls_first() for p in P] + _sort_cols(order_by)
-    ranged = base.repartitionByRange(n, *sort).withColumn("_chunk", F.spark_partition_id())
+    if num_chunks:
+        ranged = base.repartitionByRange(int(num_chunks), *sort)
+    else:
+        # Width from the session; AQE merges adjacent small ranges to the
+        # advisory partition size, so chunk ids stay in range order while
+        # the chunk count follows the data size.
+        ranged = base.repartitionByRange(*sort)
+    ranged = ranged.withColumn("_chunk", F.spark_partition_id())
 
     # (2) local numbering inside each chunk (and partition value). The chunks
     # are balanced by construction, so this window has no hot task.
@@ -89,7 +87,7 @@ def global_scan(
     # recomputed, and the lineage is cut (a lost executor re-reads files).
     local = local.checkpoint(eager=True)
 
-    # (3) per-chunk summary and offsets: at most n + #partition values rows.
+    # (3) per-chunk summary and offsets: at most #chunks + #partition values rows.
     aggs = [F.count(F.lit(1)).alias("_cnt")]
     aggs += [F.sum(f"_v_{k}").alias(f"_sum_{k}") for k in running_sums]
     aggs += [F.sum(f"_pv_{k}").alias(f"_psum_{k}") for k in partition_sums]
@@ -135,7 +133,7 @@ def global_scan(
         offs["_eqb"] = F.col("_eqb")
     summ = summ.select("_chunk", *P, *offs.keys())
     if not P:
-        # At most n rows (one per chunk): a proven bound, so broadcast.
+        # One row per chunk (at most spark.sql.shuffle.partitions): a proven bound, so broadcast.
         summ = F.broadcast(summ)
     joined = local.join(summ, ["_chunk", *P], "inner")
 

@@ -82,3 +82,22 @@ def test_combined_scan_rank_rownumber_running_sum(skewed):
     got = global_scan(skewed, [("v", False), ("k", True)], ["cat"], row_number="rn", running_sums={"cs": F.col("amt")},
                       rank="r", dense_rank="d", rank_cols=1, num_chunks=17)
     assert _pairs(got, "k", "rn", "r", "d", "cs") == _pairs(want, "k", "rn", "r", "d", "cs")
+
+
+def test_aqe_sized_chunks(spark, skewed):
+    """Default chunking: AQE merges adjacent ranges; numbering must still be exact."""
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2kb",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        w = Window.orderBy(F.desc("v"), "k")
+        want = skewed.select("k", F.row_number().over(w).alias("rn"), F.rank().over(Window.orderBy(F.desc("v"))).alias("r"),
+                             F.sum("amt").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cs"))
+        got = global_scan(skewed, [("v", False), ("k", True)], row_number="rn", running_sums={"cs": F.col("amt")},
+                          rank="r", rank_cols=1)
+        assert _pairs(got, "k", "rn", "r", "cs") == _pairs(want, "k", "rn", "r", "cs")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
