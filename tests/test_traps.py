@@ -47,3 +47,25 @@ def test_incremental_filter_pushdown(spark):
     assert got.count() == 1
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(order_purchase_timestamp), GreaterThan(order_purchase_timestamp" in plan
+
+
+def test_load_fact_full_then_incremental(spark):
+    from conftest import SF_SMALL
+    from starmart.plans.star import FIXTURE_PARAMS as P
+    from starmart.plans.star import build_dims, stage_all
+    from starmart.sources import fixtures as FX
+
+    base = tempfile.mkdtemp(prefix="starmart-load-")
+    src = FX.sources(spark, SF_SMALL)
+    full = stage_all(src, P)
+    dims = {k: v.checkpoint() for k, v in build_dims(spark, src, full, P).items()}
+    early = dict(src, orders=src["orders"].where("order_purchase_timestamp < timestamp_ntz'1999-01-01 00:00:00'"))
+    r1 = ETL.load_fact(spark, stage_all(early, P), dims, base, P.run_date, 1)
+    r2 = ETL.load_fact(spark, full, dims, base, P.run_date, 2)
+    r3 = ETL.load_fact(spark, full, dims, base, P.run_date, 3)  # nothing new: appends nothing
+    assert (r1["mode"], r2["mode"], r3["mode"]) == ("FULL", "INCREMENTAL", "INCREMENTAL")
+    assert r3["rows"] == 0 and r2["watermark"] == r3["watermark"]
+    fact = spark.read.parquet(base + "/fact_sales_table")
+    assert fact.count() == r1["rows"] + r2["rows"] == full["stg_items"].count()
+    log = spark.read.parquet(base + "/etl_control_log").orderBy("log_id").collect()
+    assert [(x.status, x.records_loaded) for x in log] == [("SUCCESS", r1["rows"]), ("SUCCESS", r2["rows"]), ("SUCCESS", 0)]
