@@ -320,3 +320,57 @@ def load_fact(
         log.last_loaded_ts = loaded if loaded is not None else wm
     log.row.write.mode("append").parquet(log_path)
     return {"mode": mode, "rows": rows.count(), "failures": fb.failures.count(), "watermark": log.last_loaded_ts}
+
+
+def _current_or_none(spark: SparkSession, base: str, name: str) -> DataFrame | None:
+    try:
+        return read_snapshot(spark, base, name)
+    except Exception:  # noqa: BLE001  (first run)
+        return None
+
+
+def load_dimensions(
+    spark: SparkSession, src: dict[str, DataFrame], stg: dict[str, DataFrame], p: Params, base: str, version: str,
+    first_log_id: int = 1,
+) -> dict:
+    """Phase-3 job. The calendar is built once (D1); sellers and products are
+    reloaded with the keys of the previous snapshot kept and new members
+    numbered after them (D2/D3, no re-numbering on reload); the customer
+    feed is merged as SCD2 into the previous snapshot (D4). Each table is a
+    new snapshot version; one control-log row per table (L2)."""
+    prev = {k: _current_or_none(spark, base, k) for k in ("dim_date", "dim_seller", "dim_product", "dim_customer")}
+    out, rows = {}, []
+    log_id = first_log_id
+    dd = prev["dim_date"]
+    new_dd = D.build_dim_date(spark, p.date_start, p.date_end) if dd is None else load_dim_date_if_empty(spark, dd, p.date_start, p.date_end)
+    if new_dd is not None:
+        with run_logged(spark, log_id, "dim_date") as log:
+            write_snapshot(new_dd, base, "dim_date", version)
+            log.loaded = new_dd
+        rows.append(log.row)
+        log_id += 1
+    builders = {
+        "dim_seller": lambda: D.build_dim_seller(src["sellers"], p.run_date, prev["dim_seller"]),
+        "dim_product": lambda: D.build_dim_product(stg["stg_products"], p.run_date, prev["dim_product"]),
+    }
+    for name, fn in builders.items():
+        with run_logged(spark, log_id, name) as log:
+            df = fn().checkpoint(eager=True)
+            write_snapshot(df, base, name, version)
+            log.loaded = df
+        rows.append(log.row)
+        log_id += 1
+    with run_logged(spark, log_id, "dim_customer") as log:
+        r = D.scd2_merge(prev["dim_customer"] if prev["dim_customer"] is not None else D.empty_dim_customer(spark),
+                         stg["stg_customers"], p.run_date)
+        dim = r.dim.checkpoint(eager=True)
+        write_snapshot(dim, base, "dim_customer", version)
+        log.loaded = r.actions.where(F.col("action") != "unchanged")
+        out["scd2_actions"] = D.scd2_action_counts(r.actions)
+    rows.append(log.row)
+    logs = rows[0]
+    for x in rows[1:]:
+        logs = logs.unionByName(x)
+    logs.write.mode("append").parquet(f"{base.rstrip('/')}/etl_control_log")
+    out.update({k: read_snapshot(spark, base, k) for k in ("dim_date", "dim_seller", "dim_product", "dim_customer")})
+    return out
