@@ -67,11 +67,6 @@ def micros_between(start: str | Column, end: str | Column) -> Column:
     return F.timestamp_diff("MICROSECOND", col(start), col(end))
 
 
-def floor_div(a: Column, b: int) -> Column:
-    """Integer floor division for a positive constant divisor (``div`` truncates)."""
-    return (a - F.pmod(a, F.lit(b))).cast("long") / F.lit(b)
-
-
 def floor_days(start: str | Column, end: str | Column) -> Column:
     """Whole days elapsed, floored: 25h -> 1, -2h -> -1 (pandas ``.dt.days``).
 
@@ -113,12 +108,6 @@ def band(c: str | Column, edges: Sequence[float], labels: Sequence[str], default
     return out.otherwise(F.lit(default))
 
 
-def map_values(c: str | Column, mapping: dict) -> Column:
-    """Dictionary lookup; keys absent from the mapping give NULL."""
-    m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-    return F.element_at(m, col(c)) if mapping else F.lit(None)
-
-
 def status_category(c: str | Column) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for kv in STATUS_CATEGORY.items() for x in kv]), col(c))
 
