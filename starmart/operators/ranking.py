@@ -129,13 +129,24 @@ def global_scan(
         for p in P:
             cond = cond & prev[f"_q_{p}"].eqNullSafe(summ[p])
         eq = summ.join(prev, cond, "left").groupBy("_chunk", *P).agg(F.coalesce(F.sum("_tail"), F.lit(0)).alias("_eqb"))
-        summ = summ.join(eq, ["_chunk", *P], "left")
-        offs["_eqb"] = F.col("_eqb")
+        eq = eq.select(F.col("_chunk").alias("_e_chunk"), *[F.col(p).alias(f"_e_{p}") for p in P], "_eqb")
+        econd = summ["_chunk"] == eq["_e_chunk"]
+        for p in P:
+            econd = econd & summ[p].eqNullSafe(eq[f"_e_{p}"])
+        summ = summ.join(eq, econd, "left")
+        offs["_eqb"] = F.coalesce(F.col("_eqb"), F.lit(0))
     summ = summ.select("_chunk", *P, *offs.keys())
     if not P:
         # One row per chunk (at most spark.sql.shuffle.partitions): a proven bound, so broadcast.
         summ = F.broadcast(summ)
-    joined = local.join(summ, ["_chunk", *P], "inner")
+    if P:  # NULL is a partition value of its own: join null-safely
+        summ = summ.select("_chunk", *[F.col(p).alias(f"_s_{p}") for p in P], *offs.keys())
+        cond = local["_chunk"] == summ["_chunk"]
+        for p in P:
+            cond = cond & local[p].eqNullSafe(summ[f"_s_{p}"])
+        joined = local.join(summ, cond, "inner").drop(summ["_chunk"])
+    else:
+        joined = local.join(summ, "_chunk", "inner")
 
     out = {}
     if row_number:

@@ -101,3 +101,13 @@ def test_aqe_sized_chunks(spark, skewed):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_null_partition_and_null_values(spark):
+    rows = [(i, None if i % 4 == 0 else "x", None if i % 5 == 0 else i % 3, 1) for i in range(40)]
+    df = spark.createDataFrame(rows, "k long, cat string, v int, amt int")
+    w = Window.partitionBy("cat").orderBy(F.asc_nulls_first("v"), "k")
+    wv = Window.partitionBy("cat").orderBy(F.asc_nulls_first("v"))
+    want = df.select("k", F.row_number().over(w).alias("rn"), F.rank().over(wv).alias("r"), F.dense_rank().over(wv).alias("d"))
+    got = global_scan(df, [("v", True), ("k", True)], ["cat"], row_number="rn", rank="r", dense_rank="d", rank_cols=1, num_chunks=4)
+    assert _pairs(got, "k", "rn", "r", "d") == _pairs(want, "k", "rn", "r", "d")
