@@ -468,3 +468,14 @@ def _m8_pivot():
     return with_base(f"""q AS (SELECT CAST(d.year AS BIGINT) AS year, {cols}
 FROM fact_sales f JOIN dim_product p ON f.product_key = p.product_key JOIN dim_date d ON f.date_key = d.date_key
 GROUP BY d.year) SELECT * FROM q""")
+
+
+@oracle("q_types")
+def _q_types():
+    # DuckDB's own types for the derived orders extract, in Spark's names.
+    from .oracle import BASE_CTES
+    return f"""SELECT 'orders' AS table_name, column_name,
+  CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+       WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DOUBLE' THEN 'double' WHEN 'DATE' THEN 'date'
+       ELSE lower(column_type) END AS data_type
+FROM (DESCRIBE WITH {BASE_CTES.strip()} SELECT * FROM src_orders)"""
