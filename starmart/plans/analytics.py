@@ -115,16 +115,22 @@ def x3_rfm_customers(
     """
     f = _fact(star, status).select("date_key", "customer_key", "order_id", "gross_revenue")
     cust = star["dim_customer"].where(F.col("is_current")).select("customer_key", "customer_city", "customer_state")
-    base = (
+    # Aggregate per customer key first (map-side combined), then attach the
+    # current customer attributes: the attributes depend only on the unique
+    # surrogate key, so this equals join-then-group, and no raw fact row is
+    # shuffled by customer even when the dimension is too big to broadcast.
+    per_key = (
         f.join(_calendar(star, "full_date"), "date_key")
-        .join(cust, "customer_key")
-        .groupBy("customer_key", "customer_city", "customer_state")
+        .groupBy("customer_key")
         .agg(
             F.datediff(F.lit(as_of).cast("date"), F.max("full_date")).alias("recency_days"),
             F.count_distinct("order_id").alias("frequency"),
             F.round(F.sum("gross_revenue"), 2).alias("monetary"),
         )
     )
+    base = per_key.join(cust, "customer_key").select(
+        "customer_key", "customer_city", "customer_state", "recency_days", "frequency", "monetary"
+    )
     flip = score_direction == "high_is_best"
     k = ("customer_key", True)
     s = with_ntile(base, tiles, [("recency_days", not flip), k], "r_score")
@@ -163,16 +169,13 @@ def x4_product_ranking(star: dict, top: int | None = 50, status: str = COMPLETED
     the category. Hot categories are split over tasks (global_scan)."""
     f = _fact(star, status).select("product_key", "order_id", "gross_revenue", "unit_price")
     prod = star["dim_product"].select("product_key", "product_category", "price_band")
-    ps = (
-        f.join(prod, "product_key")
-        .groupBy("product_category", "product_key", "price_band")
-        .agg(
-            F.count_distinct("order_id").alias("order_count"),
-            F.sum("gross_revenue").alias("total_revenue"),
-            F.sum("unit_price").alias("_sp"),
-            F.count("unit_price").alias("_np"),
-        )
+    per_key = f.groupBy("product_key").agg(
+        F.count_distinct("order_id").alias("order_count"),
+        F.sum("gross_revenue").alias("total_revenue"),
+        F.sum("unit_price").alias("_sp"),
+        F.count("unit_price").alias("_np"),
     )
+    ps = per_key.join(prod, "product_key")  # attributes of the unique key, after aggregation
     P = ["product_category"]
     # One scan gives the running revenue, the category total and the
     # revenue rank (same order); the volume rank needs its own order.
@@ -210,9 +213,8 @@ def x5_seller_performance(star: dict, top: int | None = 20, quartiles: int = 4,
     )
     sel = star["dim_seller"].select("seller_key", "seller_city", "seller_state")
     m = (
-        f.join(sel, "seller_key")
-        .join(_calendar(star, "year_month"), "date_key")
-        .groupBy("seller_key", "seller_city", "seller_state")
+        f.join(_calendar(star, "year_month"), "date_key")
+        .groupBy("seller_key")
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
             F.count_distinct("customer_key").alias("unique_customers"),
@@ -224,6 +226,7 @@ def x5_seller_performance(star: dict, top: int | None = 20, quartiles: int = 4,
             F.count(F.lit(1)).alias("_rows"),
             F.count_distinct("year_month").alias("active_months"),
         )
+        .join(sel, "seller_key")  # attributes of the unique key, after aggregation
     )
     m = m.select(
         "seller_key",
@@ -300,21 +303,24 @@ def x7_delivery_performance(star: dict, buckets: Sequence[int] = (5, 10, 20), st
     f = _fact(star, status).where(F.col("delivery_days").isNotNull())
     f = f.select("seller_key", "delivery_days", "delivery_delay_days", "is_on_time")
     dd = F.col("delivery_days")
+    # Additive measures per seller key first, then per state (sums of sums).
+    per_key = f.groupBy("seller_key").agg(
+        F.count(F.lit(1)).alias("total_deliveries"),
+        F.count_if(dd <= a).alias(n1),
+        F.count_if(dd.between(a + 1, b)).alias(n2),
+        F.count_if(dd.between(b + 1, c)).alias(n3),
+        F.count_if(dd > c).alias(n4),
+        F.sum("delivery_days").alias("_sd"),
+        F.count("delivery_days").alias("_nd"),
+        F.sum("delivery_delay_days").alias("_sl"),
+        F.count("delivery_delay_days").alias("_nl"),
+        F.sum("is_on_time").alias("_ot"),
+    )
+    add = ["total_deliveries", n1, n2, n3, n4, "_sd", "_nd", "_sl", "_nl", "_ot"]
     g = (
-        f.join(star["dim_seller"].select("seller_key", "seller_state"), "seller_key")
+        per_key.join(star["dim_seller"].select("seller_key", "seller_state"), "seller_key")
         .groupBy("seller_state")
-        .agg(
-            F.count(F.lit(1)).alias("total_deliveries"),
-            F.count_if(dd <= a).alias(n1),
-            F.count_if(dd.between(a + 1, b)).alias(n2),
-            F.count_if(dd.between(b + 1, c)).alias(n3),
-            F.count_if(dd > c).alias(n4),
-            F.sum("delivery_days").alias("_sd"),
-            F.count("delivery_days").alias("_nd"),
-            F.sum("delivery_delay_days").alias("_sl"),
-            F.count("delivery_delay_days").alias("_nl"),
-            F.sum("is_on_time").alias("_ot"),
-        )
+        .agg(*[F.sum(x).alias(x) for x in add])
     )
     return g.select(
         "seller_state",
@@ -340,10 +346,15 @@ def x8_pareto(
     f = _fact(star, status).select("customer_key", "order_id", "gross_revenue")
     cols = ["customer_key", "customer_state"] + ([customer_col] if customer_col != "customer_key" else [])
     cust = star["dim_customer"].where(F.col("is_current")).select(*cols)
+    # Per key first (orders belong to one customer key, so distinct orders
+    # add up), then the current attributes, then the requested grain.
+    per_key = f.groupBy("customer_key").agg(
+        F.sum("gross_revenue").alias("_rev"), F.count_distinct("order_id").alias("_orders")
+    )
     cr = (
-        f.join(cust, "customer_key")
+        per_key.join(cust, "customer_key")
         .groupBy(customer_col, "customer_state")
-        .agg(F.round(F.sum("gross_revenue"), 2).alias("total_revenue"), F.count_distinct("order_id").alias("total_orders"))
+        .agg(F.round(F.sum("_rev"), 2).alias("total_revenue"), F.sum("_orders").alias("total_orders"))
     )
     # Rank, running revenue and grand total from one distributed scan.
     cr = global_scan(

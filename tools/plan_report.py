@@ -34,11 +34,11 @@ NOTES = """Reading the lists:
   offsets by a running sum over chunk ids).
 - `BroadcastExchange` here is only the explicit, bounded broadcasts (calendar, G1 summary);
   with the threshold off no dimension is broadcast, so lookups show as hash exchanges.
-- Raw fact rows cross a shuffle only in joins with a dimension too large to broadcast (here
-  forced: the `customer_key` exchanges of m7, and inside the x3/x5/x8 scans the customer or
-  seller join); on real sizes the seller and product sides are broadcast by Spark's size
-  check, and `write_star_bucketed` removes the customer exchange. Every other exchange above
-  the fact scan follows a partial (map-side) aggregation.
+- Customer-, product- and seller-level queries (x3, x4, x5, x7, x8, m5, m7) aggregate the
+  fact per surrogate key first (partial aggregation before the exchange) and join the
+  dimension to that per-key result, so raw fact rows are not shuffled by customer, product
+  or seller even with broadcasts off; every exchange above the fact scan follows a partial
+  (map-side) aggregation.
 - `gid` exchanges are Spark's rewrite of several COUNT(DISTINCT) (Expand), partially
   aggregated before the shuffle.
 - The `_fv` / `_qlv` exchanges (x5, x8) are the rank correction's self-join of the small
