@@ -30,3 +30,18 @@ def test_entry_smoke(spark):
 def test_queries_without_oracle_run(spark):
     for name in sorted(set(E.queries()) - set(E.oracle_sql())):
         assert E.queries()[name](spark, SF_SMALL).count() >= 0
+
+
+def test_fixture_expected_sizes(spark):
+    """Golden sizes measured independently when the fixtures were surveyed."""
+    from pyspark.sql import functions as F
+
+    from starmart.plans.star import FIXTURE_PARAMS as P
+    from starmart.plans.star import stage_all
+    from starmart.sources import fixtures as FX
+
+    s = stage_all(FX.sources(spark, SF_SMALL), P)
+    assert s["stg_rejects"].where(F.col("reject_reason") == "Delivery date before purchase date").count() == 291
+    assert s["stg_items"].count() == 5051
+    assert s["stg_items"].where("status_category = 'Completed'").count() == 1710
+    assert s["stg_orders"].where("is_on_time = 1").count() == 602
