@@ -33,7 +33,7 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="starmart")
     ap.add_argument("--data", required=True, help="folder with the source tables (parquet)")
     ap.add_argument("--out", required=True, help="shared output folder for the warehouse")
-    ap.add_argument("--run", default="1", help="run id / snapshot version")
+    ap.add_argument("--run", type=int, default=1, help="run number (snapshot version, log ids)")
     ap.add_argument("--phases", default="profile,stage,dims,fact,analytics")
     ap.add_argument("--fixture-params", action="store_true", help="use the fixture parameter overrides")
     a = ap.parse_args(argv)
@@ -46,25 +46,25 @@ def main(argv=None) -> None:
     src = FX.sources(spark, a.data)
 
     if "profile" in phases:
-        ETL.write_snapshot(Q.profile_summary(src, p.as_of_ts, p.as_of_ts), out, "profiling_summary", a.run, pointer=False)
+        ETL.write_snapshot(Q.profile_summary(src, p.as_of_ts, p.as_of_ts), out, "profiling_summary", str(a.run), pointer=False)
         IO.write_exceptions(Q.orphan_rows(src["items"], "order_id", src["orders"], "order_id"), f"{out}/orphan_items/v={a.run}")
 
     stg = None
     if phases & {"stage", "dims", "fact"}:
-        landed = ETL.land_raw(src, out, a.run)
+        landed = ETL.land_raw(src, out, str(a.run))
         stg_all = stage_all(landed, p, materialize=True)
         names = ("stg_orders", "stg_items", "stg_customers", "stg_products", "stg_payments")
-        paths = ETL.write_all({k: stg_all[k] for k in names}, out, a.run, pointer=False)
-        IO.write_rejects(stg_all["stg_rejects"], out, a.run)
+        paths = ETL.write_all({k: stg_all[k] for k in names}, out, str(a.run), pointer=False)
+        IO.write_rejects(stg_all["stg_rejects"], out, str(a.run))
         stg = {k: spark.read.parquet(v) for k, v in paths.items()}
         src = landed
 
     dims = None
     if "dims" in phases or "fact" in phases:
-        dims = ETL.load_dimensions(spark, src, stg, p, out, a.run, first_log_id=int(a.run) * 100)
+        dims = ETL.load_dimensions(spark, src, stg, p, out, str(a.run), first_log_id=a.run * 100)
 
     if "fact" in phases:
-        ETL.load_fact(spark, stg, dims, out, p.run_date, log_id=int(a.run) * 100 + 99)
+        ETL.load_fact(spark, stg, dims, out, p.run_date, log_id=a.run * 100 + 99)
 
     if "analytics" in phases:
         star = {k: ETL.read_snapshot(spark, out, k) for k in ("dim_date", "dim_seller", "dim_product", "dim_customer")}
