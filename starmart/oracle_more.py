@@ -479,3 +479,46 @@ def _q_types():
        WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DOUBLE' THEN 'double' WHEN 'DATE' THEN 'date'
        ELSE lower(column_type) END AS data_type
 FROM (DESCRIBE WITH {BASE_CTES.strip()} SELECT * FROM src_orders)"""
+
+
+@oracle("m9_delivery_by_state")
+def _m9():
+    from .oracle import _x7
+    return f"SELECT seller_state, total_deliveries, avg_delivery_days, avg_delay_days, on_time_pct FROM ({_x7()})"
+
+
+@oracle("m10_freight_trend")
+def _m10():
+    from .oracle import _x9
+    return f"SELECT period, gross_revenue, total_freight, freight_pct_of_revenue FROM ({_x9()})"
+
+
+_CR = "cr AS (SELECT customer_key, sum(gross_revenue) AS revenue FROM fact_sales GROUP BY customer_key)"
+
+
+@oracle("g1_rank")
+def _g1_rank():
+    return with_base(f"""{_CR}
+SELECT CAST(customer_key AS BIGINT) AS customer_key, CAST(revenue AS DOUBLE) AS revenue,
+       CAST(row_number() OVER (ORDER BY revenue DESC, customer_key) AS BIGINT) AS row_num,
+       CAST(rank() OVER (ORDER BY revenue DESC) AS BIGINT) AS revenue_rank,
+       CAST(dense_rank() OVER (ORDER BY revenue DESC) AS BIGINT) AS revenue_dense_rank
+FROM cr""")
+
+
+@oracle("g1_ntile")
+def _g1_ntile():
+    return with_base(f"""{_CR}
+SELECT CAST(customer_key AS BIGINT) AS customer_key, CAST(revenue AS DOUBLE) AS revenue,
+       CAST(ntile(10) OVER (ORDER BY revenue DESC, customer_key) AS BIGINT) AS revenue_decile
+FROM cr""")
+
+
+@oracle("g1_running_sum")
+def _g1_running():
+    return with_base(f"""{_CR}
+SELECT CAST(customer_key AS BIGINT) AS customer_key, CAST(revenue AS DOUBLE) AS revenue,
+       CAST(sum(revenue) OVER (ORDER BY revenue DESC, customer_key ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cumulative_revenue,
+       CAST(sum(revenue) OVER () AS DOUBLE) AS total_revenue,
+       CAST(count(*) OVER () AS BIGINT) AS customers
+FROM cr""")

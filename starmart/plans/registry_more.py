@@ -274,3 +274,48 @@ def _fact_stream(spark, sf_dir):
         f"{run}/fact", f"{run}/checkpoint", P.run_date, files_per_batch=2,
     )
     return spark.read.parquet(f"{run}/fact").drop("load_epoch")
+
+
+# ------------------------------------------------------------ M9, M10 and G1
+from . import analytics as AX  # noqa: E402
+from ..operators import ranking as G  # noqa: E402
+
+
+@register("m9_delivery_by_state")
+def _m9(spark, sf_dir):
+    return AX.x7_delivery_performance(_star(spark, sf_dir), buckets=P.delivery_buckets).select(
+        "seller_state", "total_deliveries", "avg_delivery_days", "avg_delay_days", "on_time_pct"
+    )
+
+
+@register("m10_freight_trend")
+def _m10(spark, sf_dir):
+    return AX.x9_quarterly_kpis(_star(spark, sf_dir)).select("period", "gross_revenue", "total_freight", "freight_pct_of_revenue")
+
+
+def _customer_revenue(spark, sf_dir):
+    f = _star(spark, sf_dir)["fact_sales"]
+    return f.groupBy("customer_key").agg(F.sum("gross_revenue").alias("revenue"))
+
+
+@register("g1_rank")
+def _g1_rank(spark, sf_dir):
+    """RANK and DENSE_RANK of every customer by revenue (one distributed scan)."""
+    return G.global_scan(
+        _customer_revenue(spark, sf_dir), [("revenue", False), ("customer_key", True)], row_number="row_num",
+        rank="revenue_rank", dense_rank="revenue_dense_rank", rank_cols=1,
+    )
+
+
+@register("g1_ntile")
+def _g1_ntile(spark, sf_dir):
+    return G.with_ntile(_customer_revenue(spark, sf_dir), 10, [("revenue", False), ("customer_key", True)], "revenue_decile")
+
+
+@register("g1_running_sum")
+def _g1_running(spark, sf_dir):
+    return G.global_scan(
+        _customer_revenue(spark, sf_dir), [("revenue", False), ("customer_key", True)], row_number=None,
+        running_sums={"cumulative_revenue": F.col("revenue")}, partition_sums={"total_revenue": F.col("revenue")},
+        partition_count="customers",
+    )
