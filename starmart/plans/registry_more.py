@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import facts as FA
 from ..operators import quality as Q
+from ..operators import ranking as G
 from ..operators.staging import coerce_order_timestamps
 from ..sources import fixtures as FX
+from . import analytics as AX
+from . import etl as ETL
+from . import marts as M
 from .registry import register
 from .star import FIXTURE_PARAMS as P
+from .star import build_dims, stage_all, star_from_fixtures
 
 PROFILED_AT = P.as_of_ts
 
@@ -105,11 +111,6 @@ def _q_summary(spark, sf_dir):
 
 
 # ------------------------------------------------------------ staging (P*)
-from ..operators import dims as DM  # noqa: E402
-from ..operators import facts as FA  # noqa: E402
-from . import etl as ETL  # noqa: E402
-from . import marts as M  # noqa: E402
-from .star import build_dims, stage_all, star_from_fixtures  # noqa: E402
 
 
 def _stg(spark, sf_dir):
@@ -277,8 +278,6 @@ def _fact_stream(spark, sf_dir):
 
 
 # ------------------------------------------------------------ M9, M10 and G1
-from . import analytics as AX  # noqa: E402
-from ..operators import ranking as G  # noqa: E402
 
 
 @register("m9_delivery_by_state")
