@@ -75,10 +75,18 @@ def global_scan(
 
     # (2) local numbering inside each chunk (and partition value). The chunks
     # are balanced by construction, so this window has no hot task.
-    w = Window.partitionBy("_chunk", *P).orderBy(*_sort_cols(order_by))
-    wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn("_lrn", F.row_number().over(w))
-    local = local.withColumns({f"_ls_{k}": F.sum(f"_v_{k}").over(wr) for k in running_sums})
+    if not (P or running_sums or want_rank):
+        # Row numbers only: sort inside the range chunk and take each row's
+        # position in the partition (the low 33 bits of the monotonically
+        # increasing id); no window, so no second exchange.
+        local = ranged.sortWithinPartitions(*sort).withColumn(
+            "_lrn", (F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1).cast("long")
+        )
+    else:
+        w = Window.partitionBy("_chunk", *P).orderBy(*_sort_cols(order_by))
+        wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        local = ranged.withColumn("_lrn", F.row_number().over(w))
+        local = local.withColumns({f"_ls_{k}": F.sum(f"_v_{k}").over(wr) for k in running_sums})
     if want_rank:
         wv = Window.partitionBy("_chunk", *P).orderBy(*_sort_cols(order_by[: len(V)]))
         local = local.withColumns({"_lrank": F.rank().over(wv), "_ldense": F.dense_rank().over(wv)})

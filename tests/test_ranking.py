@@ -111,3 +111,23 @@ def test_null_partition_and_null_values(spark):
     want = df.select("k", F.row_number().over(w).alias("rn"), F.rank().over(wv).alias("r"), F.dense_rank().over(wv).alias("d"))
     got = global_scan(df, [("v", True), ("k", True)], ["cat"], row_number="rn", rank="r", dense_rank="d", rank_cols=1, num_chunks=4)
     assert _pairs(got, "k", "rn", "r", "d") == _pairs(want, "k", "rn", "r", "d")
+
+
+@pytest.mark.parametrize("chunks", [None, 1, 7])
+def test_row_number_only_path(spark, skewed, chunks):
+    """Row numbers without a window (sorted chunks), incl. AQE-sized chunks."""
+    conf = {"spark.sql.shuffle.partitions": "30", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2kb",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        want = skewed.select("k", F.row_number().over(Window.orderBy(F.desc("v"), "k")).alias("rn"),
+                             F.ntile(6).over(Window.orderBy(F.desc("v"), "k")).alias("t"))
+        got = global_scan(skewed, [("v", False), ("k", True)], row_number="rn", num_chunks=chunks)
+        assert _pairs(got, "k", "rn") == _pairs(want, "k", "rn")
+        got_t = with_ntile(skewed, 6, [("v", False), ("k", True)], "t", num_chunks=chunks)
+        assert _pairs(got_t, "k", "t") == _pairs(want, "k", "t")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
