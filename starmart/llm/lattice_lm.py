@@ -83,6 +83,7 @@ class Pieces:
             while self.keys[at]:
                 at = (at + 1) % len(self.keys)
             self.keys[at], self.slot[at] = h, i
+        self.taken = self.keys != 0
         # the vocabulary's scores fall with the rank of a piece
         w = np.where(self.open, 1 / (1 - np.minimum(scores, 0)), 0)
         self.start = np.log(np.where(w > 0, w, 1)) + np.where(w > 0, 0, -np.inf) - np.log(w.sum())
@@ -95,18 +96,21 @@ class Pieces:
         np.cumsum((v * p[: cp.shape[1]]).T, axis=0, out=s[1:])
         return lambda i, j: V.mix((s[j] - s[i]) * q[i]) | np.uint64(1)
 
-    def find(self, h: np.ndarray) -> np.ndarray:
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, piece numbers) of the hashes that are pieces."""
         at = (h >> np.uint64(64 - self.BITS)).astype(np.int64)
-        k = self.keys[at]
-        out = np.where(k == h, self.slot[at], -1)
-        rest = np.flatnonzero((k != h) & (k != 0))
+        rows = np.flatnonzero(self.taken[at])
+        at, h = at[rows], h[rows]
+        out = np.full(len(rows), -1, dtype=np.int64)
+        rest = np.arange(len(rows))
         while len(rest):
-            at[rest] = (at[rest] + 1) & ((1 << self.BITS) - 1)
             k = self.keys[at[rest]]
             hit = k == h[rest]
             out[rest[hit]] = self.slot[at[rest[hit]]]
             rest = rest[~hit & (k != 0)]
-        return out
+            at[rest] = (at[rest] + 1) & ((1 << self.BITS) - 1)
+        good = out >= 0
+        return rows[good], out[good]
 
     def bytes_of(self, c: int) -> list[int]:
         return [int(self.byte[b]) for b in chr(MARK if c == _FOREIGN else c).encode()]
@@ -127,52 +131,63 @@ def _batches(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     texts = [w.decode() for w in words]
     size = np.array([len(t) for t in texts])
     order = np.argsort(size, kind="stable")
+    sizes = size[order]
     i = 0
     while i < len(order):
-        n = size[order[i]]
-        j = min(int(np.searchsorted(size[order], n, side="right")), i + max(1, BATCH // (int(n) + 1)))
-        cp = np.frombuffer("".join(texts[k] for k in order[i:j]).encode("utf-32-le"), dtype=np.uint32).astype(np.int64).reshape(j - i, n)
+        n = int(sizes[i])
+        j = min(int(np.searchsorted(sizes, n, side="right")), i + max(1, BATCH // (n + 1)))
+        cp = np.frombuffer("".join([texts[k] for k in order[i:j].tolist()]).encode("utf-32-le"), dtype=np.uint32).astype(np.int64).reshape(j - i, n)
         cp = np.where(cp == MARK, _FOREIGN, cp)
         yield order[i:j], np.concatenate([np.full((j - i, 1), MARK), cp], axis=1)
         i = j
 
 
-def _edges(pieces: Pieces, cp: np.ndarray, logp: np.ndarray):
-    """For each end j: lists of (begin, word rows' piece or -1, log weight); spelled characters have piece -2."""
+def _edges(pieces: Pieces, cp: np.ndarray, logp: np.ndarray) -> list[list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]]:
+    """For each end j the arcs (begin, rows, pieces, log weights); a spelled character has piece -2."""
     hashes = pieces.hashes(cp)
     n = cp.shape[1]
     out = []
     for j in range(1, n + 1):
         own = []
         for i in range(max(0, j - pieces.longest), j):
-            piece = pieces.find(hashes(i, j))
+            rows, piece = pieces.find(hashes(i, j))
+            w = logp[piece]
             if i == j - 1:
-                w = np.where(piece >= 0, logp[piece], -np.inf)
-                for k in np.flatnonzero(~pieces.single[cp[:, i]]).tolist():
-                    piece[k], w[k] = -2, sum(logp[b] for b in pieces.bytes_of(int(cp[k, i])))
-                own.append((i, piece, w))
-            elif (piece >= 0).any():
-                own.append((i, piece, np.where(piece >= 0, logp[piece], -np.inf)))
+                odd = np.flatnonzero(~pieces.single[cp[:, i]])
+                if len(odd):
+                    rows, piece = np.append(rows, odd), np.append(piece, np.full(len(odd), -2))
+                    w = np.append(w, [sum(logp[b] for b in pieces.bytes_of(int(c))) for c in cp[odd, i]])
+            if len(rows):
+                own.append((i, rows, piece, w))
         out.append(own)
     return out
 
 
-def _logsum(terms: list[np.ndarray]) -> np.ndarray:
-    t = np.stack(terms)
-    top = t.max(axis=0)
-    safe = np.where(np.isfinite(top), top, 0)
+def _logsum(n: int, terms: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Log of the sums over (rows, log terms); -inf for a row without a term."""
+    top = np.full(n, -np.inf)
+    for rows, t in terms:
+        top[rows] = np.maximum(top[rows], t)
+    base = np.where(np.isfinite(top), top, 0)
+    total = np.zeros(n)
+    for rows, t in terms:
+        total[rows] += np.exp(t - base[rows])
     with np.errstate(divide="ignore"):
-        return safe + np.log(np.exp(t - safe).sum(axis=0))
+        return base + np.log(total)
+
+
+def _forward(edges: list, n: int) -> list[np.ndarray]:
+    alpha = [np.zeros(n)]
+    for own in edges:
+        alpha.append(_logsum(n, [(rows, alpha[i][rows] + w) for i, rows, _, w in own]))
+    return alpha
 
 
 def word_logs(pieces: Pieces, words: list[bytes], logp: np.ndarray) -> np.ndarray:
     """Natural log of each word's marginal probability over all segmentations."""
     out = np.zeros(len(words))
     for at, cp in _batches(words):
-        alpha = [np.zeros(len(at))]
-        for own in _edges(pieces, cp, logp):
-            alpha.append(_logsum([alpha[i] + w for i, _, w in own]))
-        out[at] = alpha[-1]
+        out[at] = _forward(_edges(pieces, cp, logp), len(at))[-1]
     return out
 
 
@@ -181,22 +196,26 @@ def expected_counts(pieces: Pieces, words: list[bytes], counts: np.ndarray, logp
     total = np.zeros(len(pieces.names))
     for at, cp in _batches(words):
         edges = _edges(pieces, cp, logp)
-        n = cp.shape[1]
-        alpha = [np.zeros(len(at))]
-        for own in edges:
-            alpha.append(_logsum([alpha[i] + w for i, _, w in own]))
-        into: list[list[np.ndarray]] = [[] for _ in range(n + 1)]
-        beta: list[np.ndarray] = [np.zeros(0)] * (n + 1)
+        n, m = cp.shape[1], len(at)
+        alpha = _forward(edges, m)
+        out_of: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(n + 1)]
+        found, shares = [], []
         for j in range(n, 0, -1):
-            beta[j] = np.zeros(len(at)) if j == n else (_logsum(into[j]) if into[j] else np.full(len(at), -np.inf))
-            for i, piece, w in edges[j - 1]:
-                into[i].append(w + beta[j])
-                share = np.exp(alpha[i] + w + beta[j] - alpha[n]) * counts[at]
-                known = piece >= 0
-                total += np.bincount(piece[known], weights=share[known], minlength=len(total))
-                for k in np.flatnonzero(piece == -2).tolist():
-                    for b in pieces.bytes_of(int(cp[k, i])):
-                        total[b] += share[k]
+            beta = np.zeros(m) if j == n else _logsum(m, out_of[j])
+            for i, rows, piece, w in edges[j - 1]:
+                t = w + beta[rows]
+                out_of[i].append((rows, t))
+                share = np.exp(alpha[i][rows] + t - alpha[n][rows]) * counts[at[rows]]
+                spelled = piece == -2
+                if spelled.any():
+                    for k in np.flatnonzero(spelled).tolist():
+                        for b in pieces.bytes_of(int(cp[rows[k], i])):
+                            total[b] += share[k]
+                    piece, share = piece[~spelled], share[~spelled]
+                found.append(piece)
+                shares.append(share)
+        if found:
+            total += np.bincount(np.concatenate(found), weights=np.concatenate(shares), minlength=len(total))
     return total
 
 
@@ -259,6 +278,19 @@ def fit(spark: SparkSession, words: DataFrame, ends: float, pieces: Pieces, roun
     return logp
 
 
+def frequent(words: DataFrame, most: int) -> pa.Table:
+    """The most frequent words, as many as fit: those of at least the smallest count class that ``most`` rows can hold."""
+    level = F.floor(F.log2(F.col("c")) * 16)
+    sizes = words.where("c > 0").groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("least")).orderBy(F.desc("level")).collect()
+    least, n = None, 0
+    for r in sizes:
+        n += r["n"]
+        if n > most:
+            break
+        least = r["least"]
+    return words.where(F.lit(False) if least is None else F.col("c") >= least).toArrow()
+
+
 def score(spark: SparkSession, documents: DataFrame, pieces: Pieces | None = None, folds: int = 10) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, lattice_score for each document (log10)."""
     pieces = pieces or load_pieces()
@@ -284,8 +316,8 @@ def score(spark: SparkSession, documents: DataFrame, pieces: Pieces | None = Non
             yield pa.RecordBatch.from_arrays([batch["word"], batch["c"], pa.array(full / np.log(10)), pa.array(s / np.log(10))], names=["word", "c", "s", "t"])
 
     words = keep(spark, mapped(words, scored, "word binary, c long, s double, t double"), "word_scores")
-    top = words.orderBy(F.desc("c"), "word").limit(HOT_WORDS).collect()
-    hot = spark.sparkContext.broadcast(({bytes(r["word"]): k for k, r in enumerate(top)}, np.array([r["c"] for r in top], dtype=np.float64), np.array([(r["s"], r["t"]) for r in top], dtype=np.float64).reshape(-1, 2)))
+    top = frequent(words, HOT_WORDS)
+    hot = spark.sparkContext.broadcast(({w: k for k, w in enumerate(top["word"].to_pylist())}, top["c"].to_numpy().astype(float), np.stack([top["s"].to_numpy(), top["t"].to_numpy()], axis=1)))
     del top
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
