@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.session import ensure_checkpoint_dir
 
+BATCH_ROWS = 2000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -50,6 +55,27 @@ def ship(spark: SparkSession) -> None:
 
 
 def mapped(df: DataFrame, task, schema) -> DataFrame:
-    """``mapInArrow`` with a task whose code lives in this package."""
-    ship(df.sparkSession)
-    return df.mapInArrow(task, schema)
+    """``mapInArrow`` with a task whose code lives in this package. Whole texts travel in batches of
+    ``BATCH_ROWS`` rows at most, which bounds what a task and its JVM hold at a time."""
+    spark = df.sparkSession
+    ship(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+    def bounded(batches):
+        try:
+            yield from task(batches)
+        finally:
+            trim()
+
+    return df.mapInArrow(bounded, schema)
+
+
+def trim() -> None:
+    """Give back what a finished task has freed; its worker lives on for the next one."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if give_back is not None:
+        give_back(0)

@@ -19,9 +19,9 @@ import pyarrow as pa
 
 from starmart.llm import textvec as V
 
-MAX_PIECES = 1_200_000
+MAX_PIECES = 400_000
 ENCODE_BYTES = 1 << 18  # texts vectorised at a time
-_BITS = 22
+_BITS = 20
 _LETTER, _NUMBER, _SPACE, _OTHER, _UNSURE = range(5)
 _LIMIT = 0x2E80
 _state: dict[str, Encoder] = {}

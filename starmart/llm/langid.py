@@ -32,11 +32,11 @@ from pyspark.sql import types as T
 
 from starmart.llm.common import fold, mapped
 
-SAMPLE_ROWS = 20_000
-WORDS, GRAMS = 30_000, 20_000  # for each language
+SAMPLE_ROWS = 12_000
+WORDS, GRAMS = 20_000, 12_000  # for each language
 LONGEST = 4
 ALPHA = 0.5
-CACHE = 200_000  # words whose scores a task keeps
+CACHE = 100_000  # words whose scores a task keeps
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -51,9 +51,22 @@ def grams_of(word: str, n: int) -> list[str]:
     return [w[i : i + n] for i in range(len(w) - n + 1)]
 
 
+class Table:
+    """Log scores of terms by language, in one matrix."""
+
+    def __init__(self, scores: dict[str, np.ndarray], width: int):
+        self.row = {t: k for k, t in enumerate(scores)}
+        self.matrix = np.array(list(scores.values()), dtype=np.float64).reshape(len(scores), width)
+
+    def get(self, term: str) -> np.ndarray | None:
+        k = self.row.get(term)
+        return None if k is None else self.matrix[k]
+
+
 class Model:
     def __init__(self, langs: list[str], words: dict[str, np.ndarray], grams: dict[str, np.ndarray]):
-        self.langs, self.words, self.grams = langs, words, grams
+        self.langs = langs
+        self.words, self.grams = Table(words, len(langs)), Table(grams, len(langs))
         self.floor = np.full(len(langs), math.log(1e-6))
 
     def word(self, w: str) -> np.ndarray:

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20  # texts are vectorised in chunks of whole documents of about this size
+CHUNK_BYTES = 1 << 20  # texts are vectorised in chunks of whole documents of about this size
 
 _rng = np.random.default_rng(20240607)
 _BASE = np.uint64(int(_rng.integers(1, 1 << 62)) * 2 + 1)
@@ -41,13 +41,13 @@ _pow = {"p": np.ones(1, dtype=np.uint64), "q": np.ones(1, dtype=np.uint64)}
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0..n of the base and of its inverse (kept for the chunk size, not for one huge text)."""
     if len(_pow["p"]) <= n:
-        m = n + 1 if n > 2 * CHUNK_BYTES else 2 * CHUNK_BYTES + 1
+        m = max(n, CHUNK_BYTES) + 1
         out = []
         for b in (_BASE, _BASE_INV):
             a = np.full(m, b, dtype=np.uint64)
             a[0] = 1
             out.append(np.multiply.accumulate(a))
-        if n > 2 * CHUNK_BYTES:
+        if n > CHUNK_BYTES:
             return out[0], out[1]
         _pow["p"], _pow["q"] = out
     return _pow["p"], _pow["q"]

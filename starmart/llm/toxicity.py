@@ -39,7 +39,7 @@ SAMPLE_ROWS = 20_000
 FEATURES = 4096
 LEAST_CHI2, LEAST_DOCS = 12.0, 3
 FACTORS, EPOCHS, RATE, PENALTY = 8, 30, 0.1, 1e-4
-CACHE = 300_000  # words whose features a task keeps
+CACHE = 150_000  # words whose features a task keeps
 THRESHOLD = 0.3
 
 _WORD = bytes(int(V.LOWER[b]) if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -112,20 +112,18 @@ def fit(spark: SparkSession, documents: DataFrame, labels: DataFrame, rows: int
     # the sample is bounded, so it may go to every task
     docs = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "toxic")
 
-    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [sorted({b for w in words_of(t) for b in buckets_of(w)}) for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array(out, pa.list_(pa.int32()))], names=["toxic", "terms"])
+    def terms(batch: pa.RecordBatch) -> Iterator[tuple[int, set[int]]]:
+        for y, t in zip(batch["toxic"].to_pylist(), batch["text"].to_pylist()):
+            yield y, {b for w in words_of(t) for b in buckets_of(w)}
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: list[Counter] = [Counter(), Counter()]
-            for y, found in zip(batch["toxic"].to_pylist(), batch["terms"].to_pylist()):
+            for y, found in terms(batch):
                 counts[int(y > 0)].update(found)
             keys = sorted(counts[0].keys() | counts[1].keys())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array([counts[1][k] for k in keys], pa.int64()), pa.array([counts[0][k] for k in keys], pa.int64())], names=["bucket", "a", "b"])
 
-    hashed = mapped(docs, terms, "toxic int, terms array<int>")
     total = docs.agg(F.count(F.when(F.col("toxic") > 0, 1)).alias("p"), F.count(F.when(F.col("toxic") <= 0, 1)).alias("q")).head()
     p, q = int(total["p"]), int(total["q"])
     if not p or not q:
@@ -134,17 +132,17 @@ def fit(spark: SparkSession, documents: DataFrame, labels: DataFrame, rows: int
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     c, d = F.lit(float(p)) - a, F.lit(float(q)) - b
     chi2 = F.lit(float(p + q)) * (a * d - b * c) ** 2 / ((a + b) * (c + d) * p * q)
-    best = mapped(hashed, counted, "bucket int, a long, b long").groupBy("bucket").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where((F.col("a") + F.col("b") >= LEAST_DOCS) & (F.col("a") + F.col("b") < p + q))
+    best = mapped(docs, counted, "bucket int, a long, b long").groupBy("bucket").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where((F.col("a") + F.col("b") >= LEAST_DOCS) & (F.col("a") + F.col("b") < p + q))
     top = best.withColumn("x", chi2).where(F.col("x") >= LEAST_CHI2).orderBy(F.desc("x"), "bucket").limit(FEATURES).collect()
     buckets = np.array([r["bucket"] for r in top], dtype=np.int64)
     index = {int(x): k for k, x in enumerate(buckets)}
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [[index[x] for x in t if x in index] for t in batch["terms"].to_pylist()]
+            out = [sorted(index[x] for x in t if x in index) for _, t in terms(batch)]
             yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array(out, pa.list_(pa.int32()))], names=["toxic", "at"])
 
-    got = mapped(hashed, features, "toxic int, at array<int>").collect()
+    got = mapped(docs, features, "toxic int, at array<int>").collect()
     got.sort(key=lambda r: (r["toxic"], len(r["at"]), r["at"]))  # the rows' order must not change the machine
     w0, w, v = train([np.array(r["at"], dtype=np.int64) for r in got], np.array([float(r["toxic"] > 0) for r in got]), len(buckets))
     return Machine(buckets, w0, w, v)
