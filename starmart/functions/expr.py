@@ -52,7 +52,7 @@ def title_case(c: str | Column) -> Column:
     """
     pieces = F.split(col(c), r"(?<=\P{L})(?=\p{L})")
     return F.array_join(
-        F.transform(pieces, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, 2, 1 << 30)))),
+        F.transform(pieces, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, F.lit(2), F.length(x))))),
         "",
     )
 

@@ -9,6 +9,7 @@ never leaves a half-written table behind (no in-place UPDATE/TRUNCATE).
 from __future__ import annotations
 
 import datetime as _dt
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from ..operators import dims as D
 from ..operators import facts as FA
 from ..operators import staging as S
 from ..sources import fixtures as FX
+from ..sources.io import read_if_exists
 from .star import Params, build_dims, stage_all
 
 CONTROL_LOG_SCHEMA = (
@@ -134,15 +136,14 @@ class run_logged:  # noqa: N801  (used as a context manager)
         with run_logged(spark, 5, "fact_sales") as log:
             write(...)
             log.loaded = fact_df          # counted lazily
-        log.row  ->  one-row DataFrame to append to the control log
+        log.row  ->  one-row DataFrame, appended to the control log at ``sink`` if given
 
-    On an exception the row records FAILED with the message and the
-    exception propagates; the table write itself is a new snapshot, so a
-    failed run leaves the previous version current.
+    On an exception the row records FAILED with the whole message, is stored
+    like any other and the exception propagates.
     """
 
-    def __init__(self, spark: SparkSession, log_id: int, target: str, run_by: str = "starmart"):
-        self.spark, self.log_id, self.target, self.run_by = spark, log_id, target, run_by
+    def __init__(self, spark: SparkSession, log_id: int, target: str, run_by: str = "starmart", sink: str | None = None):
+        self.spark, self.log_id, self.target, self.run_by, self.sink = spark, log_id, target, run_by, sink
         self.loaded, self.rejected, self.last_loaded_ts, self.row = 0, 0, None, None
 
     def __enter__(self):
@@ -156,7 +157,9 @@ class run_logged:  # noqa: N801  (used as a context manager)
                                self.last_loaded_ts, "SUCCESS", None, self.run_by)
         else:
             self.row = log_row(self.spark, self.log_id, self.target, self.started, ended, 0, 0, None, "FAILED",
-                               str(ev)[:1000], self.run_by)
+                               str(ev), self.run_by)
+        if self.sink is not None:
+            self.row.write.mode("append").parquet(self.sink)
         return False
 
 
@@ -193,14 +196,19 @@ def write_snapshot(
     if not pointer:
         return path
     spark = df.sparkSession
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").parquet(
+    # the pointer only grows: the last row is current, and there is no moment without one
+    spark.createDataFrame([(version, time.time_ns())], "version string, seq long").coalesce(1).write.mode("append").parquet(
         f"{base.rstrip('/')}/{name}/_current"
     )
     return path
 
 
 def read_snapshot(spark: SparkSession, base: str, name: str) -> DataFrame:
-    v = spark.read.parquet(f"{base.rstrip('/')}/{name}/_current").first()["version"]  # one row
+    return _at_pointer(spark, spark.read.parquet(f"{base.rstrip('/')}/{name}/_current"), base, name)
+
+
+def _at_pointer(spark: SparkSession, pointer: DataFrame, base: str, name: str) -> DataFrame:
+    v = pointer.agg(F.max_by("version", "seq").alias("version")).first()["version"]  # one row
     return spark.read.parquet(f"{base.rstrip('/')}/{name}/v={v}")
 
 
@@ -269,13 +277,6 @@ def write_star_bucketed(
     return out
 
 
-def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001  (table not created yet)
-        return None
-
-
 def load_fact(
     spark: SparkSession,
     stg: dict[str, DataFrame],
@@ -289,44 +290,47 @@ def load_fact(
 
     FULL (fact table missing or empty) writes the table; INCREMENTAL selects
     orders after the last successful watermark, drops orders already loaded
-    (N7) and appends. The watermark stored is the latest purchase time
-    loaded (N6). Returns mode, rows loaded, lookup failures, watermark.
+    (N7) and appends. Lines that fail a lookup are stored under
+    ``fact_lookup_failures``, partitioned by run. The watermark stored is the latest purchase time
+    loaded (N6). Only a missing path counts as a missing table; any other
+    failure ends the run, with a FAILED row in the control log. Returns
+    mode, rows loaded, lookup failures, watermark.
     """
     fact_path = f"{base.rstrip('/')}/fact_sales_table"
     log_path = f"{base.rstrip('/')}/etl_control_log"
-    existing = _try_read(spark, fact_path)
-    mode = "FULL" if existing is None else load_mode(existing)
-    wm = None
-    if mode == "INCREMENTAL":
-        log = _try_read(spark, log_path)
-        wm = last_watermark(log).first()["watermark"] if log is not None else None  # one scalar
-    orders = FA.incremental_orders(stg["stg_orders"], wm)
-    fb = FA.build_fact(
-        stg["stg_items"], orders, stg["stg_payments"], dims["dim_customer"], dims["dim_product"], dims["dim_seller"],
-        run_date, materialize=True,
-    )
-    rows = fb.fact if mode == "FULL" else FA.dedupe_against(fb.fact, existing)
-    rows = rows.checkpoint(eager=True)  # written, counted and used for the watermark
-    with run_logged(spark, log_id, "fact_sales") as log:
+    with run_logged(spark, log_id, "fact_sales", sink=log_path) as log:
+        existing = read_if_exists(spark, fact_path)
+        mode = "FULL" if existing is None else load_mode(existing)
+        wm = None
+        if mode == "INCREMENTAL":
+            past = read_if_exists(spark, log_path)
+            wm = last_watermark(past).first()["watermark"] if past is not None else None  # one scalar
+        orders = FA.incremental_orders(stg["stg_orders"], wm)
+        fb = FA.build_fact(
+            stg["stg_items"], orders, stg["stg_payments"], dims["dim_customer"], dims["dim_product"], dims["dim_seller"],
+            run_date, materialize=True,
+        )
+        rows = fb.fact if mode == "FULL" else FA.dedupe_against(fb.fact, existing)
+        rows = rows.checkpoint(eager=True)  # written, counted and used for the watermark
+        loaded = watermark_of(orders, rows).first()["watermark"]  # one scalar
+        fb.failures.withColumn("run", F.lit(log_id)).write.mode("append").partitionBy("run").parquet(
+            f"{base.rstrip('/')}/fact_lookup_failures"
+        )
         (
             rows.withColumn("fact_year", (F.col("date_key") / 10000).cast("int"))
-            .sortWithinPartitions("date_key")
+            .sortWithinPartitions("fact_year", "date_key")
             .write.mode("overwrite" if mode == "FULL" else "append")
             .partitionBy("fact_year")
             .parquet(fact_path)
         )
-        loaded = watermark_of(orders, rows).first()["watermark"]  # one scalar
         log.loaded, log.rejected = rows, fb.failures
         log.last_loaded_ts = loaded if loaded is not None else wm
-    log.row.write.mode("append").parquet(log_path)
     return {"mode": mode, "rows": rows.count(), "failures": fb.failures.count(), "watermark": log.last_loaded_ts}
 
 
 def _current_or_none(spark: SparkSession, base: str, name: str) -> DataFrame | None:
-    try:
-        return read_snapshot(spark, base, name)
-    except Exception:  # noqa: BLE001  (first run)
-        return None
+    pointer = read_if_exists(spark, f"{base.rstrip('/')}/{name}/_current")
+    return None if pointer is None else _at_pointer(spark, pointer, base, name)
 
 
 def load_dimensions(
@@ -339,38 +343,37 @@ def load_dimensions(
     feed is merged as SCD2 into the previous snapshot (D4). Each table is a
     new snapshot version; one control-log row per table (L2)."""
     prev = {k: _current_or_none(spark, base, k) for k in ("dim_date", "dim_seller", "dim_product", "dim_customer")}
-    out, rows = {}, []
+    out = {}
     log_id = first_log_id
+    log_path = f"{base.rstrip('/')}/etl_control_log"
     dd = prev["dim_date"]
     new_dd = D.build_dim_date(spark, p.date_start, p.date_end) if dd is None else load_dim_date_if_empty(spark, dd, p.date_start, p.date_end)
     if new_dd is not None:
-        with run_logged(spark, log_id, "dim_date") as log:
+        with run_logged(spark, log_id, "dim_date", sink=log_path) as log:
             write_snapshot(new_dd, base, "dim_date", version)
             log.loaded = new_dd
-        rows.append(log.row)
         log_id += 1
     builders = {
         "dim_seller": lambda: D.build_dim_seller(src["sellers"], p.run_date, prev["dim_seller"]),
         "dim_product": lambda: D.build_dim_product(stg["stg_products"], p.run_date, prev["dim_product"]),
     }
     for name, fn in builders.items():
-        with run_logged(spark, log_id, name) as log:
-            df = fn().checkpoint(eager=True)
+        with run_logged(spark, log_id, name, sink=log_path) as log:
+            df = fn()
+            if prev[name] is not None:
+                # members that left the feed stay, so their keys are never given to others
+                member = name.removeprefix("dim_") + "_id"
+                df = df.unionByName(prev[name].join(df.select(member), member, "left_anti").select(*df.columns))
+            df = df.checkpoint(eager=True)
             write_snapshot(df, base, name, version)
             log.loaded = df
-        rows.append(log.row)
         log_id += 1
-    with run_logged(spark, log_id, "dim_customer") as log:
+    with run_logged(spark, log_id, "dim_customer", sink=log_path) as log:
         r = D.scd2_merge(prev["dim_customer"] if prev["dim_customer"] is not None else D.empty_dim_customer(spark),
                          stg["stg_customers"], p.run_date)
         dim = r.dim.checkpoint(eager=True)
         write_snapshot(dim, base, "dim_customer", version)
         log.loaded = r.actions.where(F.col("action") != "unchanged")
         out["scd2_actions"] = D.scd2_action_counts(r.actions)
-    rows.append(log.row)
-    logs = rows[0]
-    for x in rows[1:]:
-        logs = logs.unionByName(x)
-    logs.write.mode("append").parquet(f"{base.rstrip('/')}/etl_control_log")
     out.update({k: read_snapshot(spark, base, k) for k in ("dim_date", "dim_seller", "dim_product", "dim_customer")})
     return out

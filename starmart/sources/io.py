@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -25,6 +26,20 @@ def read_csv_extract(spark: SparkSession, path: str, schema: str) -> DataFrame:
     )
 
 
+def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The parquet table at ``path``, or None where the path does not exist.
+
+    Any other failure (storage, unreadable footers, no files below the path)
+    is raised: it must never look like a table that was not created yet.
+    """
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """S10: float NaN becomes a real NULL (never carry NaN into the warehouse)."""
     cols = []

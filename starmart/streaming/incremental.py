@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..operators import facts as FA
 from ..operators import staging as S
+from ..sources.io import read_if_exists
 
 
 def make_batch_loader(
@@ -48,11 +49,9 @@ def make_batch_loader(
         fb = FA.build_fact(si, so, payments_staged, dims["dim_customer"], dims["dim_product"], dims["dim_seller"], run_date)
         rows = fb.fact
         if guard_existing:
-            try:
-                done = spark.read.parquet(fact_path).where(F.col("load_epoch") != epoch_id)
-                rows = FA.dedupe_against(rows, done)
-            except Exception:  # noqa: BLE001  (no fact written yet)
-                pass
+            done = read_if_exists(spark, fact_path)
+            if done is not None:
+                rows = FA.dedupe_against(rows, done.where(F.col("load_epoch") != epoch_id))
         (
             rows.withColumn("load_epoch", F.lit(epoch_id).cast("long"))
             .write.mode("overwrite")
