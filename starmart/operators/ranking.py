@@ -52,8 +52,8 @@ def global_scan(
     Ranks: inside a chunk, windowed ``rank``/``dense_rank`` are exact except
     for the chunk's first tie group, which may have started in earlier
     chunks; the summary carries each chunk's first/last value and the size
-    of its last tie group, and a self-join of the (small) summary on
-    "earlier chunk ending with my first value" gives the correction.
+    of its last tie group, and running sums along runs of chunks that end
+    with one value give the correction (linear in the number of chunks).
     """
     running_sums = dict(running_sums or {})
     partition_sums = dict(partition_sums or {})
@@ -128,21 +128,14 @@ def global_scan(
         )
     summ = summ.withColumns(offs)
     if want_rank:
-        # rows equal to my first value in earlier chunks (their last groups)
-        prev = summ.select(
-            *[F.col(p).alias(f"_q_{p}") for p in P], F.col("_chunk").alias("_qc"), F.col("_lv").alias("_qlv"),
-            (F.col("_cnt") - F.col("_lastg") + 1).alias("_tail"),
-        )
-        cond = (prev["_qlv"].eqNullSafe(summ["_fv"])) & (prev["_qc"] < summ["_chunk"])
-        for p in P:
-            cond = cond & prev[f"_q_{p}"].eqNullSafe(summ[p])
-        eq = summ.join(prev, cond, "left").groupBy("_chunk", *P).agg(F.coalesce(F.sum("_tail"), F.lit(0)).alias("_eqb"))
-        eq = eq.select(F.col("_chunk").alias("_e_chunk"), *[F.col(p).alias(f"_e_{p}") for p in P], "_eqb")
-        econd = summ["_chunk"] == eq["_e_chunk"]
-        for p in P:
-            econd = econd & summ[p].eqNullSafe(eq[f"_e_{p}"])
-        summ = summ.join(eq, econd, "left")
-        offs["_eqb"] = F.coalesce(F.col("_eqb"), F.lit(0))
+        # Chunks that end with one value are neighbours: number these runs and add up, along each, the sizes
+        # of the last tie groups. A chunk that starts with the value before its border takes the sum so far.
+        ends = F.coalesce(F.lag("_lv").over(ws).eqNullSafe(F.col("_lv")), F.lit(False))
+        summ = summ.withColumn("_run", F.sum((~ends).cast("long")).over(ws.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        along = Window.partitionBy(*P, "_run").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        summ = summ.withColumn("_tails", F.sum(F.col("_cnt") - F.col("_lastg") + 1).over(along))
+        offs["_eqb"] = F.when(F.col("_split") == 1, F.lag("_tails").over(ws)).otherwise(0)
+        summ = summ.withColumn("_eqb", offs["_eqb"])
     summ = summ.select("_chunk", *P, *offs.keys())
     if not P:
         # One row per chunk (at most spark.sql.shuffle.partitions): a proven bound, so broadcast.

@@ -39,6 +39,16 @@ def _calendar(star: dict, *cols: str) -> DataFrame:
     return F.broadcast(star["dim_date"].select("date_key", *cols))
 
 
+def per_order(f: DataFrame, *keys: str, **measures: F.Column) -> DataFrame:
+    """Fact rows reduced to one row per order and ``keys`` (map-side combined).
+
+    An order has one customer, one day and one status, so distinct orders and
+    customers become counts of rows of this and the next coarser grain, and no
+    fact row is copied for a second COUNT(DISTINCT).
+    """
+    return f.groupBy("order_id", *keys).agg(*[v.alias(k) for k, v in measures.items()])
+
+
 def _avg_money(sum_col: str, n_col: str) -> F.Column:
     return rha(cents(sum_col), F.col(n_col) * 100, 2)
 
@@ -46,14 +56,18 @@ def _avg_money(sum_col: str, n_col: str) -> F.Column:
 # --------------------------------------------------------------------- X1
 def x1_monthly_trend(star: dict, status: str = COMPLETED) -> DataFrame:
     f = _fact(star, status).select("date_key", "order_id", "customer_key", "gross_revenue")
+    month = ("year", "month_num", "month_name", "year_month")
+    orders = per_order(f, "date_key", "customer_key", revenue=F.sum("gross_revenue"), _n=F.count("gross_revenue"))
     m = (
-        f.join(_calendar(star, "year", "month_num", "month_name", "year_month"), "date_key")
-        .groupBy("year", "month_num", "month_name", "year_month")
+        orders.join(_calendar(star, *month), "date_key")
+        .groupBy(*month, "customer_key")
+        .agg(F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("total_orders"), F.sum("_n").alias("_n"))
+        .groupBy(*month)
         .agg(
-            F.sum("gross_revenue").alias("revenue"),
-            F.count_distinct("order_id").alias("total_orders"),
-            F.count_distinct("customer_key").alias("unique_customers"),
-            F.count("gross_revenue").alias("_n"),
+            F.sum("revenue").alias("revenue"),
+            F.sum("total_orders").alias("total_orders"),
+            F.count(F.lit(1)).alias("unique_customers"),
+            F.sum("_n").alias("_n"),
         )
     )
     w = Window.orderBy("year", "month_num")  # one row per calendar month
@@ -212,19 +226,22 @@ def x5_seller_performance(star: dict, top: int | None = 20, quartiles: int = 4,
         "seller_key", "date_key", "order_id", "customer_key", "gross_revenue", "delivery_days", "is_on_time"
     )
     sel = star["dim_seller"].select("seller_key", "seller_city", "seller_state")
+    add = ("_rev", "_n", "_sd", "_nd", "_ot", "_rows")
+    orders = per_order(
+        f, "seller_key", "customer_key", "date_key",
+        _rev=F.sum("gross_revenue"), _n=F.count("gross_revenue"), _sd=F.sum("delivery_days"), _nd=F.count("delivery_days"),
+        _ot=F.sum("is_on_time"), _rows=F.count(F.lit(1)),
+    )
     m = (
-        f.join(_calendar(star, "year_month"), "date_key")
+        orders.join(_calendar(star, "year_month"), "date_key")
+        .groupBy("seller_key", "customer_key", "year_month")
+        .agg(F.count(F.lit(1)).alias("_orders"), *[F.sum(c).alias(c) for c in add])
         .groupBy("seller_key")
         .agg(
-            F.count_distinct("order_id").alias("total_orders"),
+            F.sum("_orders").alias("total_orders"),
             F.count_distinct("customer_key").alias("unique_customers"),
-            F.sum("gross_revenue").alias("_rev"),
-            F.count("gross_revenue").alias("_n"),
-            F.sum("delivery_days").alias("_sd"),
-            F.count("delivery_days").alias("_nd"),
-            F.sum("is_on_time").alias("_ot"),
-            F.count(F.lit(1)).alias("_rows"),
             F.count_distinct("year_month").alias("active_months"),
+            *[F.sum(c).alias(c) for c in add],
         )
         .join(sel, "seller_key")  # attributes of the unique key, after aggregation
     )
@@ -252,15 +269,6 @@ def x5_seller_performance(star: dict, top: int | None = 20, quartiles: int = 4,
 
 
 # --------------------------------------------------------------------- X6
-def _customer_grain(f: DataFrame, star: dict, customer_col: str) -> DataFrame:
-    """Re-key fact rows from the surrogate to another customer attribute
-    (e.g. ``customer_unique_id``: one person across order-level ids)."""
-    if customer_col == "customer_key":
-        return f
-    m = star["dim_customer"].select("customer_key", customer_col)
-    return f.join(m, "customer_key").drop("customer_key")
-
-
 def x6_cohort_retention(
     star: dict, max_months: int = 6, status: str = COMPLETED, customer_col: str = "customer_key"
 ) -> DataFrame:
@@ -272,8 +280,11 @@ def x6_cohort_retention(
     even for the hottest customer (no self-join of activity with first
     purchase). Distinct customers per cell are then plain counts.
     """
-    f = _customer_grain(_fact(star, status).select("date_key", "customer_key"), star, customer_col)
-    act = f.join(_calendar(star, "year_month"), "date_key").select(customer_col, "year_month").distinct()
+    f = _fact(star, status).select("date_key", "customer_key")
+    act = f.join(_calendar(star, "year_month"), "date_key").select("customer_key", "year_month").distinct()
+    if customer_col != "customer_key":  # one person across order-level ids, joined after the reduction
+        who = star["dim_customer"].select("customer_key", customer_col)
+        act = act.join(who, "customer_key").select(customer_col, "year_month").distinct()
     act = act.withColumn("cohort_month", F.min("year_month").over(Window.partitionBy(customer_col)))
     first_day = lambda c: F.to_date(F.concat(F.col(c), F.lit("-01")), "yyyy-MM-dd")
     act = act.withColumn(
@@ -342,7 +353,7 @@ def x8_pareto(
     """Customers by revenue with running share of the total; ``top=None``
     classifies every customer (the running sum is distributed).
     ``customer_col='customer_unique_id'`` ranks people instead of order-level
-    customer ids (N13)."""
+    customer ids (N13); a person's state is that of their smallest key."""
     f = _fact(star, status).select("customer_key", "order_id", "gross_revenue")
     cols = ["customer_key", "customer_state"] + ([customer_col] if customer_col != "customer_key" else [])
     cust = star["dim_customer"].where(F.col("is_current")).select(*cols)
@@ -351,15 +362,19 @@ def x8_pareto(
     per_key = f.groupBy("customer_key").agg(
         F.sum("gross_revenue").alias("_rev"), F.count_distinct("order_id").alias("_orders")
     )
-    cr = (
-        per_key.join(cust, "customer_key")
-        .groupBy(customer_col, "customer_state")
-        .agg(F.round(F.sum("_rev"), 2).alias("total_revenue"), F.sum("_orders").alias("total_orders"))
+    cr = per_key.join(cust, "customer_key")
+    if customer_col != "customer_key":
+        cr = cr.groupBy(customer_col).agg(
+            F.sum("_rev").alias("_rev"), F.sum("_orders").alias("_orders"),
+            F.min_by("customer_state", "customer_key").alias("customer_state"),
+        )
+    cr = cr.select(
+        customer_col, "customer_state", F.round("_rev", 2).alias("total_revenue"), F.col("_orders").alias("total_orders")
     )
     # Rank, running revenue and grand total from one distributed scan.
     cr = global_scan(
         cr,
-        [("total_revenue", False), (customer_col, True), ("customer_state", True)],
+        [("total_revenue", False), (customer_col, True)],
         row_number=None,
         running_sums={"_cum": F.col("total_revenue")},
         partition_sums={"_tot": F.col("total_revenue")},
@@ -378,7 +393,7 @@ def x8_pareto(
         "pareto_segment",
         F.when(F.col("cumulative_pct") <= cutoff_pct, "Top 80% Revenue Drivers").otherwise("Remaining 20%"),
     )
-    out = out.orderBy("revenue_rank", customer_col, "customer_state")
+    out = out.orderBy("revenue_rank", customer_col)
     return out.limit(top) if top else out
 
 
@@ -387,20 +402,20 @@ def x9_quarterly_kpis(star: dict, status: str = COMPLETED) -> DataFrame:
     f = _fact(star, status).select(
         "date_key", "order_id", "customer_key", "gross_revenue", "freight_value", "delivery_days", "is_on_time"
     )
+    quarter = ("year", "quarter", "quarter_name")
+    add = ("_rev", "_n", "_fr", "_sd", "_nd", "_ot", "_rows")
+    orders = per_order(
+        f, "date_key", "customer_key",
+        _rev=F.sum("gross_revenue"), _n=F.count("gross_revenue"), _fr=F.sum("freight_value"), _sd=F.sum("delivery_days"),
+        _nd=F.count("delivery_days"), _ot=F.sum("is_on_time"), _rows=F.count(F.lit(1)),
+    )
     q = (
-        f.join(_calendar(star, "year", "quarter", "quarter_name"), "date_key")
-        .groupBy("year", "quarter", "quarter_name")
-        .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            F.count_distinct("customer_key").alias("unique_customers"),
-            F.sum("gross_revenue").alias("_rev"),
-            F.count("gross_revenue").alias("_n"),
-            F.sum("freight_value").alias("_fr"),
-            F.sum("delivery_days").alias("_sd"),
-            F.count("delivery_days").alias("_nd"),
-            F.sum("is_on_time").alias("_ot"),
-            F.count(F.lit(1)).alias("_rows"),
-        )
+        orders.join(_calendar(star, *quarter), "date_key")
+        .groupBy(*quarter, "customer_key")
+        .agg(F.count(F.lit(1)).alias("total_orders"), *[F.sum(c).alias(c) for c in add])
+        .groupBy(*quarter)
+        .agg(F.sum("total_orders").alias("total_orders"), F.count(F.lit(1)).alias("unique_customers"),
+             *[F.sum(c).alias(c) for c in add])
     )
     w = Window.orderBy("year", "quarter")  # one row per calendar quarter
     q = q.withColumn("_prev", F.lag("_rev").over(w))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import cents
 from ..functions.expr import round_half_away as rha
+from .analytics import per_order
 
 COMPLETED = "Completed"
 
@@ -46,15 +47,23 @@ def _share(part: str, whole_window: Window) -> F.Column:
 def m1_kpi_cards(star: dict, year=None, month=None) -> DataFrame:
     """Revenue, orders, customers, revenue per order, on-time % of completed
     lines and completed share of orders."""
-    f = _fact(star, year, month)
     done = F.col("status_category") == COMPLETED
-    return f.agg(
-        F.sum("gross_revenue").alias("total_revenue"),
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("customer_key").alias("total_customers"),
-        F.count_distinct(F.when(done, F.col("order_id"))).alias("_done_orders"),
-        F.sum(F.when(done, F.col("is_on_time"))).alias("_ot"),
-        F.count_if(done).alias("_done_rows"),
+    orders = per_order(
+        _fact(star, year, month), "customer_key",
+        _rev=F.sum("gross_revenue"), _ot=F.sum(F.when(done, F.col("is_on_time"))), _done_rows=F.count_if(done),
+    )
+    customers = orders.groupBy("customer_key").agg(
+        F.sum("_rev").alias("_rev"), F.count(F.lit(1)).alias("_orders"),
+        F.count_if(F.col("_done_rows") > 0).alias("_done_orders"),
+        F.sum("_ot").alias("_ot"), F.sum("_done_rows").alias("_done_rows"),
+    )
+    return customers.agg(
+        F.sum("_rev").alias("total_revenue"),
+        F.coalesce(F.sum("_orders"), F.lit(0)).alias("total_orders"),
+        F.count(F.lit(1)).alias("total_customers"),
+        F.coalesce(F.sum("_done_orders"), F.lit(0)).alias("_done_orders"),
+        F.sum("_ot").alias("_ot"),
+        F.sum("_done_rows").alias("_done_rows"),
     ).select(
         F.round("total_revenue", 2).alias("total_revenue"),
         "total_orders",
@@ -78,35 +87,32 @@ def m2_monthly(star: dict, year=None, month=None) -> DataFrame:
 
 
 # --------------------------------------------------------------------- M3 / M8
-def _by_category(star: dict, year=None, month=None) -> DataFrame:
-    p = star["dim_product"].select("product_key", "product_category")
-    return (
-        _fact(star, year, month)
-        .join(p, "product_key")
-        .groupBy("product_category")
-        .agg(F.sum("gross_revenue").alias("revenue"), F.count_distinct("order_id").alias("orders"))
-    )
+def _by_product_attribute(star: dict, attribute: str, year=None, month=None, by: tuple[str, ...] = ()) -> DataFrame:
+    """Revenue and distinct orders per product attribute (and calendar columns ``by``).
+
+    The fact is reduced to one row per (product, order) before it meets the
+    product: no raw line is shuffled by product, and a hot product is combined
+    map-side. Orders are then distinct (attribute, order) pairs.
+    """
+    p = star["dim_product"].select("product_key", attribute)
+    lines = per_order(_fact(star, year, month), "product_key", "date_key", revenue=F.sum("gross_revenue"))
+    if by:
+        cal = F.broadcast(star["dim_date"].select("date_key", *by))  # bounded calendar
+        lines = lines.join(cal, "date_key")
+    orders = lines.join(p, "product_key").groupBy(*by, attribute, "order_id").agg(F.sum("revenue").alias("revenue"))
+    return orders.groupBy(*by, attribute).agg(F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("orders"))
 
 
 def m3_top_categories(star: dict, top: int = 10, year=None, month=None) -> DataFrame:
-    return _by_category(star, year, month).orderBy(F.desc("revenue"), "product_category").limit(top)
+    return _by_product_attribute(star, "product_category", year, month).orderBy(F.desc("revenue"), "product_category").limit(top)
 
 
 def m8_category_revenue(star: dict, year=None, month=None) -> DataFrame:
-    return _by_category(star, year, month).orderBy(F.desc("revenue"), "product_category")
+    return _by_product_attribute(star, "product_category", year, month).orderBy(F.desc("revenue"), "product_category")
 
 
 def m8_price_band_by_year(star: dict, year=None, month=None) -> DataFrame:
-    p = star["dim_product"].select("product_key", "price_band")
-    cal = F.broadcast(star["dim_date"].select("date_key", "year"))
-    return (
-        _fact(star, year, month)
-        .join(p, "product_key")
-        .join(cal, "date_key")
-        .groupBy("year", "price_band")
-        .agg(F.sum("gross_revenue").alias("revenue"), F.count_distinct("order_id").alias("orders"))
-        .orderBy("year", "price_band")
-    )
+    return _by_product_attribute(star, "price_band", year, month, by=("year",)).orderBy("year", "price_band")
 
 
 def m8_price_band_pivot(star: dict, bands=("Budget", "Mid-Range", "Premium", "Luxury", "Unknown"), year=None, month=None) -> DataFrame:
@@ -215,15 +221,8 @@ def fact_revenue_by_status(star: dict) -> DataFrame:
 
 
 def fact_top_categories(star: dict, top: int = 5) -> DataFrame:
-    p = star["dim_product"].select("product_key", "product_category")
-    return (
-        star["fact_sales"]
-        .join(p, "product_key")
-        .groupBy("product_category")
-        .agg(F.round(F.sum("gross_revenue"), 2).alias("revenue"), F.count_distinct("order_id").alias("orders"))
-        .orderBy(F.desc("revenue"), "product_category")
-        .limit(top)
-    )
+    g = _by_product_attribute(star, "product_category")
+    return g.withColumn("revenue", F.round("revenue", 2)).orderBy(F.desc("revenue"), "product_category").limit(top)
 
 
 def fact_revenue_by_payment(star: dict) -> DataFrame:
