@@ -12,14 +12,30 @@ from ..functions import expr as E
 from .ranking import with_row_number
 
 
+def keep_absent(new: DataFrame, previous: DataFrame | None, member: str) -> DataFrame:
+    """Members that left the feed stay in the dimension, so their keys are never given to others."""
+    if previous is None:
+        return new
+    return new.unionByName(previous.join(new.select(member), member, "left_anti").select(*new.columns))
+
+
+def calendar_span(dates: DataFrame, column: str) -> DataFrame:
+    """One row: first day of the first year and last day of the last year of ``column``."""
+    y = F.year(column)
+    return dates.agg(F.min(y).alias("_a"), F.max(y).alias("_b")).select(
+        F.make_date("_a", F.lit(1), F.lit(1)).alias("start"), F.make_date("_b", F.lit(12), F.lit(31)).alias("end")
+    )
+
+
 def build_dim_date(spark: SparkSession, start: str, end: str) -> DataFrame:
-    """Daily calendar ``start..end`` with 16 attributes (key YYYYMMDD, %W week,
+    """Calendar ``start..end``; see ``calendar``."""
+    return calendar(spark.range(1).select(F.lit(start).cast("date").alias("start"), F.lit(end).cast("date").alias("end")))
+
+
+def calendar(span: DataFrame) -> DataFrame:
+    """Daily calendar of a one-row (start, end) frame with 16 attributes (key YYYYMMDD, %W week,
     ISO weekday 1=Mon, weekend = Sat/Sun, month start/end, 'yyyy-MM')."""
-    d = spark.range(1).select(
-        F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("interval 1 day"))).alias(
-            "full_date"
-        )
-    )
+    d = span.select(F.explode(F.sequence("start", "end", F.expr("interval 1 day"))).alias("full_date"))
     dow = F.weekday("full_date") + 1
     return d.select(
         E.date_key("full_date").alias("date_key"),

@@ -46,6 +46,8 @@ ORDER_COLS = (
     "is_on_time",
     "order_purchase_timestamp",
 )
+# What identifies a line: the keys of products and sellers are stable.
+LINE_KEY = ("order_id", "order_item_seq", "product_key", "seller_key")
 REQUIRED_COLS = ("date_key", "customer_id", "product_id", "seller_id", "gross_revenue", "delivery_delay_days")
 
 
@@ -60,10 +62,28 @@ def incremental_orders(stg_orders: DataFrame, watermark) -> DataFrame:
 @dataclass
 class FactBuild:
     fact: DataFrame  # final projection, lookups resolved
-    failures: DataFrame  # rows with any surrogate lookup miss (+ failed_dims)
+    failures: DataFrame  # rows with any surrogate lookup miss or no date (+ failed_dims)
     assembled: DataFrame  # before failure routing (for required-column audits)
 
 
+def key_map(dim: DataFrame, id_col: str, key_col: str, alias: str) -> DataFrame:
+    """(id, key) with one row per id, so that a lookup never multiplies lines: the latest key of an id
+    loaded twice (``duplicate_members`` counts those)."""
+    return dim.groupBy(F.col(id_col).alias(alias)).agg(F.max(key_col).alias(key_col))
+
+
+def duplicate_members(dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Per dimension, the business keys held by more than one (current) row."""
+    parts = []
+    for name, (dim, id_col) in dims.items():
+        twice = dim.groupBy(id_col).count().where(F.col("count") > 1)
+        parts.append(twice.agg(F.count(F.lit(1)).alias("duplicate_ids")).select(F.lit(name).alias("dimension"), "duplicate_ids"))
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
 def build_fact(
     stg_items: DataFrame,
     orders: DataFrame,
@@ -83,19 +103,22 @@ def build_fact(
     customer lookup never reshuffles the line-level fact; payments are
     pre-aggregated per order; items, orders and payments then all meet on
     order_id. Surrogate lookups are left joins against (id, key); the
-    customer lookup uses current versions only. Dimension sides are sized by
+    customer lookup uses current versions only; an id held by several rows
+    resolves to its latest key. Lines without a date or with a lookup that
+    misses are failures; a column the fact needs and the input lacks raises.
+    Dimension sides are sized by
     Spark (statistics, then AQE at runtime): broadcast when small, shuffle
     join otherwise.
     """
     items = stg_items.drop(*[c for c in CONFLICT_COLS if c in stg_items.columns])
     o = orders.select(*[c for c in ORDER_COLS if c in orders.columns])
-    cmap = dim_customer.where(F.col("is_current")).select(F.col("customer_id").alias("_c_id"), "customer_key")
+    cmap = key_map(dim_customer.where(F.col("is_current")), "customer_id", "customer_key", "_c_id")
     o = o.join(cmap, o["customer_id"] == cmap["_c_id"], "left").drop("_c_id")
     pay = stg_payments.select("order_id", "primary_payment_type", "payment_installments", "total_payment_value")
     f = items.join(o, "order_id", "inner").join(pay, "order_id", "left")
 
-    pmap = dim_product.select(F.col("product_id").alias("_p_id"), "product_key")
-    smap = dim_seller.select(F.col("seller_id").alias("_s_id"), "seller_key")
+    pmap = key_map(dim_product, "product_id", "product_key", "_p_id")
+    smap = key_map(dim_seller, "seller_id", "seller_key", "_s_id")
     f = f.join(pmap, f["product_id"] == pmap["_p_id"], "left").drop("_p_id")
     f = f.join(smap, f["seller_id"] == smap["_s_id"], "left").drop("_s_id")
 
@@ -104,6 +127,7 @@ def build_fact(
             F.when(F.col("customer_key").isNull(), F.lit("customer")),
             F.when(F.col("product_key").isNull(), F.lit("product")),
             F.when(F.col("seller_key").isNull(), F.lit("seller")),
+            F.when(F.col("date_key").isNull(), F.lit("date")),
         ),
         lambda x: x.isNotNull(),
     )
@@ -113,11 +137,14 @@ def build_fact(
     ok = F.size("failed_dims") == 0
     failures = f.where(~ok)
     clean = (
-        f.where(ok & F.col("date_key").isNotNull())
+        f.where(ok)
         .withColumnsRenamed({"order_item_id": "order_item_seq", "price": "unit_price"})
         .withColumn("etl_load_date", F.lit(run_date).cast("date"))
     )
-    fact = clean.select(*[c for c in FACT_COLUMNS if c in clean.columns])
+    absent = missing_columns(clean, FACT_COLUMNS)
+    if absent:
+        raise ValueError(f"the staged input lacks fact columns: {', '.join(absent)}")
+    fact = clean.select(*FACT_COLUMNS)
     return FactBuild(fact, failures, f)
 
 
@@ -139,11 +166,24 @@ def required_column_audit(assembled: DataFrame, required: Sequence[str] = REQUIR
     return out.select("column_name", "present", F.col("nulls").cast("long").alias("nulls"))
 
 
-def dedupe_against(new_rows: DataFrame, existing_fact: DataFrame, key: Sequence[str] = ("order_id",)) -> DataFrame:
-    """Idempotent append guard: drop rows of orders already in the fact.
-
-    Loads select whole orders (the watermark is on the order time), so an
-    order that is present is present with all its lines; the order id is
-    the right grain for the guard (the line number alone is not unique).
-    """
+def fact_key_audit(star: dict) -> DataFrame:
+    """(check, rows): facts whose key has no calendar day or dimension row, or whose key is NULL."""
+    f = star["fact_sales"]
+    parts = []
+    for dim, key in (("dim_date", "date_key"), ("dim_customer", "customer_key"), ("dim_product", "product_key"), ("dim_seller", "seller_key")):
+        # one row per key value first, so that no fact row is shuffled to the dimension
+        held = f.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        lost = held.join(star[dim].select(key).distinct(), key, "left_anti")
+        n = F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows")
+        parts.append(lost.where(F.col(key).isNotNull()).agg(n).select(F.lit(f"{key} not in {dim}").alias("check_name"), "rows"))
+        parts.append(held.where(F.col(key).isNull()).agg(n).select(F.lit(f"{key} is null").alias("check_name"), "rows"))
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+def dedupe_against(new_rows: DataFrame, existing_fact: DataFrame, key: Sequence[str] = LINE_KEY) -> DataFrame:
+    """Idempotent append guard: drop lines already in the fact. The grain is
+    the line, because some lines of an order may have failed a lookup."""
     return new_rows.join(existing_fact.select(*key).distinct(), list(key), "left_anti")

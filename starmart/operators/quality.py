@@ -78,10 +78,10 @@ def duplicate_keys(checks: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> Da
 
 
 def column_types(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
-    """Q4: (table, column, type) from the schema (metadata only)."""
-    return spark.createDataFrame(
-        [(name, f.name, f.dataType.simpleString()) for f in df.schema.fields], "table_name string, column_name string, data_type string"
-    )
+    """Q4: (table, column, type) from the schema, with the values each column holds."""
+    row = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f.name) for f in df.schema.fields])
+    held = ", ".join(f"'{f.name}', '{f.dataType.simpleString()}', `{f.name}`" for f in df.schema.fields)
+    return row.selectExpr(f"'{name}' as table_name", f"stack({len(df.schema.fields)}, {held}) as (column_name, data_type, held)")
 
 
 def referential_integrity(

@@ -248,13 +248,16 @@ def _stg_summary():
 
 # ---------------------------------------------------------------- dimensions
 simple("dim_date", "date_key:i, full_date:dt, year:i, quarter:i, quarter_name:s, month_num:i, month_name:s, month_short:s, week_of_year:i, "
-       "day_of_month:i, day_of_week:i, day_name:s, is_weekend:b, is_month_start:b, is_month_end:b, year_month:s", "dim_date")
+       "day_of_month:i, day_of_week:i, day_name:s, is_weekend:b, is_month_start:b, is_month_end:b, year_month:s", "dim_date",
+       "WHERE year BETWEEN (SELECT min(year(o_orderdate)) FROM orders) AND (SELECT max(year(o_orderdate)) FROM orders)")
 simple("dim_seller", "seller_key:i, seller_id:i, seller_city:s, seller_state:s, seller_zip_prefix:s, etl_load_date:dt", "dim_seller")
 simple("dim_product", "product_key:i, product_id:i, product_category:s, price_band:s, weight_category:s, product_weight_g:d, "
        "product_length_cm:d, product_height_cm:d, product_width_cm:d, etl_load_date:dt", "dim_product")
 simple("dim_customer", DIM_CUSTOMER_SPEC, "dim_customer")
 
-SCD2_RUNS = (("1997-01-01", "1997-01-01"), ("1999-01-01", "1999-01-01"), ("1999-01-01", "1999-06-01"))
+SCD2_RUNS = (
+    ("1997-01-01", "1997-01-01"), ("1999-01-01", "1999-01-01"), ("1999-01-01", "1999-06-01"), ("2100-01-01", "2002-01-01"),
+)
 
 
 def _feed(i, as_of, run):
@@ -345,13 +348,52 @@ wm AS (SELECT max(pts) AS w FROM fo WHERE pts < TIMESTAMP '{_INCR_CUT}'),
 q AS ({sel(FACT_SPEC, 'fo', 'WHERE pts > (SELECT w FROM wm)')}) SELECT * FROM q""")
 
 
+SELLER_FEEDS = ("1995-01-04", "1995-01-06", "1995-01-08")
+
+
+def _sellers_in(start, end):
+    after = f"o_orderdate >= TIMESTAMP '{start} 00:00:00' AND " if start else ""
+    return f"SELECT l_suppkey FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE {after}o_orderdate < TIMESTAMP '{end} 00:00:00'"
+
+
+@oracle("dim_seller_three_feeds")
+def _seller_feeds():
+    # a seller's key: place of the first feed that holds it, then its id; the date: the last feed that holds it
+    feeds = " UNION ALL ".join(f"SELECT {n} AS feed, id FROM (SELECT DISTINCT l_suppkey AS id FROM ({_sellers_in(a, b)}))"
+                               for n, (a, b) in enumerate(zip((None, *SELLER_FEEDS), SELLER_FEEDS), start=1))
+    return with_base(f"""
+seen AS (SELECT id, min(feed) AS first_feed, max(feed) AS last_feed FROM ({feeds}) GROUP BY id)
+SELECT CAST(row_number() OVER (ORDER BY first_feed, id) AS BIGINT) AS seller_key, CAST(seller_id AS BIGINT) AS seller_id,
+       seller_city, seller_state, seller_zip_prefix, '2000-0' || last_feed || '-01' AS etl_load_date
+FROM seen JOIN dim_seller ON seller_id = id""")
+
+
+simple("fact_load_two_runs", FACT_SPEC, "fact_sales")
+simple("fact_after_dimension_fix", FACT_SPEC.replace("seller_key:i", "seller_id:i"),
+       "(SELECT f.*, d.seller_id FROM fact_sales f JOIN dim_seller d ON d.seller_key = f.seller_key)")
+simple("fact_duplicate_product", FACT_SPEC.replace("product_key:i", "product_key=product_key + (SELECT max(product_key) FROM dim_product):i"), "fact_sales")
+
+
+@oracle("fact_key_audit")
+def _key_audit():
+    short = {"dim_date": f"(SELECT date_key FROM dim_date WHERE full_date < DATE '{_INCR_CUT[:10]}')",
+             "dim_seller": f"(SELECT seller_key FROM dim_seller WHERE seller_id IN ({_sellers_in(None, SELLER_FEEDS[0])}))"}
+    parts = []
+    for dim in ("dim_date", "dim_customer", "dim_product", "dim_seller"):
+        key = dim.removeprefix("dim_") + "_key"
+        src = short.get(dim, f"(SELECT {key} FROM {dim})")
+        parts.append(f"SELECT '{key} not in {dim}' AS check_name, count(*) AS \"rows\" FROM fact_sales WHERE {key} NOT IN {src}")
+        parts.append(f"SELECT '{key} is null' AS check_name, count(*) - count({key}) AS \"rows\" FROM fact_sales")
+    return with_base(f"q AS ({' UNION ALL '.join(parts)}) SELECT * FROM q")
+
+
 @oracle("fact_lookup_failures")
 def _fact_fail():
     from .oracle import _strip, _title
     return with_base(f"""
 dim_seller_active AS (
   SELECT row_number() OVER (ORDER BY s.seller_id) AS seller_key, s.seller_id
-  FROM src_sellers s JOIN supplier x ON x.s_suppkey = s.seller_id WHERE x.s_acctbal >= 0
+  FROM src_sellers s WHERE s.seller_id IN ({_sellers_in(None, SELLER_FEEDS[0])})
 ),
 fa AS (
   SELECT i.order_id, i.order_item_id, o.customer_id, i.product_id, i.seller_id, c.customer_key, pr.product_key, s.seller_key
@@ -474,11 +516,14 @@ GROUP BY d.year) SELECT * FROM q""")
 def _q_types():
     # DuckDB's own types for the derived orders extract, in Spark's names.
     from .oracle import BASE_CTES
+    cols = [c.split(":")[0].strip() for c in ORDERS_SPEC.split(",")]
+    held = " UNION ALL ".join(f"SELECT '{c}' AS column_name, count({c}) AS held FROM src_orders" for c in cols)
     return f"""SELECT 'orders' AS table_name, column_name,
   CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
        WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DOUBLE' THEN 'double' WHEN 'DATE' THEN 'date'
-       ELSE lower(column_type) END AS data_type
-FROM (DESCRIBE WITH {BASE_CTES.strip()} SELECT * FROM src_orders)"""
+       ELSE lower(column_type) END AS data_type, held
+FROM (DESCRIBE WITH {BASE_CTES.strip()} SELECT * FROM src_orders)
+JOIN (WITH {BASE_CTES.strip()} {held}) USING (column_name)"""
 
 
 @oracle("m9_delivery_by_state")

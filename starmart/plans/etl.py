@@ -277,6 +277,14 @@ def write_star_bucketed(
     return out
 
 
+def batch_days(fact: DataFrame, batch: DataFrame) -> DataFrame:
+    """The rows of the written fact on the days of ``batch``: years as literals, so other year folders
+    are never listed or read, and days by a broadcast of at most the calendar's days."""
+    days = batch.select((F.col("date_key") / 10000).cast("int").alias("fact_year"), "date_key").distinct().checkpoint(eager=True)
+    years = [r["fact_year"] for r in days.select("fact_year").distinct().collect()]  # at most the calendar's years
+    return fact.where(F.col("fact_year").isin(years)).join(F.broadcast(days.select("date_key")), "date_key", "left_semi")
+
+
 def load_fact(
     spark: SparkSession,
     stg: dict[str, DataFrame],
@@ -284,38 +292,52 @@ def load_fact(
     base: str,
     run_date: str,
     log_id: int,
+    purchase_time_fixed: bool = True,
 ) -> dict:
     """Phase-4 job: F1 load mode, F2 watermark from the control log, F3
     selection, F4-F6 assembly, F7 load, L2 control-log row.
 
     FULL (fact table missing or empty) writes the table; INCREMENTAL selects
-    orders after the last successful watermark, drops orders already loaded
-    (N7) and appends. Lines that fail a lookup are stored under
-    ``fact_lookup_failures``, partitioned by run. The watermark stored is the latest purchase time
-    loaded (N6). Only a missing path counts as a missing table; any other
+    orders after the last successful watermark and those with stored lookup
+    failures, drops lines already loaded (N7) and appends. Lines that fail a
+    lookup are stored under ``fact_lookup_failures``, partitioned by run, and
+    tried again by every later run until they load. The guard reads only the
+    fact's years and days that the batch holds, as an order keeps its purchase
+    time; ``purchase_time_fixed=False`` compares with the whole fact. The
+    watermark stored is the latest purchase time loaded (N6). Only a missing path counts as a missing table; any other
     failure ends the run, with a FAILED row in the control log. Returns
     mode, rows loaded, lookup failures, watermark.
     """
     fact_path = f"{base.rstrip('/')}/fact_sales_table"
     log_path = f"{base.rstrip('/')}/etl_control_log"
     with run_logged(spark, log_id, "fact_sales", sink=log_path) as log:
-        existing = read_if_exists(spark, fact_path)
+        shape = FA.build_fact(
+            stg["stg_items"], stg["stg_orders"], stg["stg_payments"], dims["dim_customer"], dims["dim_product"],
+            dims["dim_seller"], run_date,
+        ).fact.withColumn("fact_year", F.lit(0)).schema
+        existing = read_if_exists(spark, fact_path, shape)
         mode = "FULL" if existing is None else load_mode(existing)
         wm = None
         if mode == "INCREMENTAL":
             past = read_if_exists(spark, log_path)
             wm = last_watermark(past).first()["watermark"] if past is not None else None  # one scalar
         orders = FA.incremental_orders(stg["stg_orders"], wm)
+        failed_path = f"{base.rstrip('/')}/fact_lookup_failures"
+        order_id = stg["stg_orders"].select("order_id").schema
+        failed = read_if_exists(spark, failed_path, order_id) if wm is not None else None
+        if failed is not None:  # orders up to the watermark with lines that failed before
+            old = stg["stg_orders"].where(F.col("order_purchase_timestamp") <= F.lit(wm).cast("timestamp_ntz"))
+            orders = orders.unionByName(old.join(failed.select("order_id").distinct(), "order_id", "left_semi"))
         fb = FA.build_fact(
             stg["stg_items"], orders, stg["stg_payments"], dims["dim_customer"], dims["dim_product"], dims["dim_seller"],
             run_date, materialize=True,
         )
-        rows = fb.fact if mode == "FULL" else FA.dedupe_against(fb.fact, existing)
+        rows = fb.fact
+        if mode == "INCREMENTAL":
+            rows = FA.dedupe_against(rows, batch_days(existing, rows) if purchase_time_fixed else existing)
         rows = rows.checkpoint(eager=True)  # written, counted and used for the watermark
         loaded = watermark_of(orders, rows).first()["watermark"]  # one scalar
-        fb.failures.withColumn("run", F.lit(log_id)).write.mode("append").partitionBy("run").parquet(
-            f"{base.rstrip('/')}/fact_lookup_failures"
-        )
+        fb.failures.withColumn("run", F.lit(log_id)).write.mode("append").partitionBy("run").parquet(failed_path)
         (
             rows.withColumn("fact_year", (F.col("date_key") / 10000).cast("int"))
             .sortWithinPartitions("fact_year", "date_key")
@@ -324,7 +346,7 @@ def load_fact(
             .parquet(fact_path)
         )
         log.loaded, log.rejected = rows, fb.failures
-        log.last_loaded_ts = loaded if loaded is not None else wm
+        log.last_loaded_ts = max((t for t in (loaded, wm) if t is not None), default=None)
     return {"mode": mode, "rows": rows.count(), "failures": fb.failures.count(), "watermark": log.last_loaded_ts}
 
 
@@ -360,11 +382,7 @@ def load_dimensions(
     for name, fn in builders.items():
         with run_logged(spark, log_id, name, sink=log_path) as log:
             df = fn()
-            if prev[name] is not None:
-                # members that left the feed stay, so their keys are never given to others
-                member = name.removeprefix("dim_") + "_id"
-                df = df.unionByName(prev[name].join(df.select(member), member, "left_anti").select(*df.columns))
-            df = df.checkpoint(eager=True)
+            df = D.keep_absent(df, prev[name], name.removeprefix("dim_") + "_id").checkpoint(eager=True)
             write_snapshot(df, base, name, version)
             log.loaded = df
         log_id += 1

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..operators import dims as D
 from ..operators import facts as FA
 from ..operators import quality as Q
 from ..operators import ranking as G
 from ..operators.staging import coerce_order_timestamps
+from ..session import scratch_path
 from ..sources import fixtures as FX
 from . import analytics as AX
 from . import etl as ETL
@@ -136,12 +140,20 @@ def _dims(spark, sf_dir):
     return build_dims(spark, src, stage_all(src, P), P)
 
 
-for _name in ("dim_date", "dim_seller", "dim_product", "dim_customer"):
+@register("dim_date")
+def _dim_date(spark, sf_dir):
+    """The calendar of the years in which orders were placed."""
+    return D.calendar(D.calendar_span(_src(spark, sf_dir)["orders"], "order_purchase_timestamp"))
+
+
+for _name in ("dim_seller", "dim_product", "dim_customer"):
     register(_name)(lambda spark, sf_dir, _n=_name: _dims(spark, sf_dir)[_n])
 
 # SCD2 feeds: customers known on each date; the third run repeats the second
-# feed and must change nothing.
-SCD2_RUNS = (("1997-01-01", "1997-01-01"), ("1999-01-01", "1999-01-01"), ("1999-01-01", "1999-06-01"))
+# feed and must change nothing; the last one knows every order.
+SCD2_RUNS = (
+    ("1997-01-01", "1997-01-01"), ("1999-01-01", "1999-01-01"), ("1999-01-01", "1999-06-01"), ("2100-01-01", "2002-01-01"),
+)
 
 
 @register("dim_customer_scd2")
@@ -175,6 +187,83 @@ def _fact_full(spark, sf_dir):
 
 
 INCREMENTAL_CUTOFF = "2000-01-01"
+# Ends of the order periods whose sellers make up three successive seller feeds.
+SELLER_FEEDS = ("1995-01-04", "1995-01-06", "1995-01-08")
+
+
+@register("dim_seller_three_feeds")
+def _dim_seller_feeds(spark, sf_dir):
+    """Each feed holds the sellers of one period: members leave and arrive, and no key changes hands."""
+    src = _src(spark, sf_dir)
+    dim, start = None, None
+    for n, end in enumerate(SELLER_FEEDS, start=1):
+        feed = src["sellers"].join(FX.sellers_in_orders(spark, sf_dir, start, end), "seller_id", "left_semi")
+        new = D.build_dim_seller(feed, f"2000-0{n}-01", dim)
+        dim, start = D.keep_absent(new, dim, "seller_id").checkpoint(eager=True), end
+    return dim
+
+
+def _job_base(spark):
+    return scratch_path(spark, f"jobs-{uuid.uuid4().hex}")
+
+
+def _staged(spark, src, base):
+    """Staged tables as the stage phase writes them."""
+    stg = stage_all(src, P)
+    names = ("stg_orders", "stg_items", "stg_customers", "stg_products", "stg_payments")
+    paths = ETL.write_all({k: stg[k] for k in names}, base, f"stg-{uuid.uuid4().hex}", pointer=False)
+    return {k: spark.read.parquet(v) for k, v in paths.items()}
+
+
+@register("fact_load_two_runs")
+def _fact_two_runs(spark, sf_dir):
+    """The load jobs run on the extract up to the cutoff and again on all of it."""
+    src, base = _src(spark, sf_dir), _job_base(spark)
+    early = dict(src, orders=src["orders"].where(F.col("order_purchase_timestamp") < F.lit(INCREMENTAL_CUTOFF).cast("timestamp_ntz")))
+    for n, extract in enumerate((early, src), start=1):
+        stg = _staged(spark, extract, base)
+        dims = ETL.load_dimensions(spark, extract, stg, P, base, str(n), first_log_id=10 * n)
+        ETL.load_fact(spark, stg, dims, base, P.run_date, 10 * n + 9)
+    return spark.read.parquet(f"{base}/fact_sales_table").drop("fact_year")
+
+
+@register("fact_after_dimension_fix")
+def _fact_after_fix(spark, sf_dir):
+    """First load with an early seller dimension, second with all sellers: the lines that failed are loaded."""
+    src, base = _src(spark, sf_dir), _job_base(spark)
+    known = FX.sellers_in_orders(spark, sf_dir, None, SELLER_FEEDS[0])
+    stg = _staged(spark, src, base)
+    for n, sellers in enumerate((src["sellers"].join(known, "seller_id", "left_semi"), src["sellers"]), start=1):
+        dims = ETL.load_dimensions(spark, dict(src, sellers=sellers), stg, P, base, str(n), first_log_id=10 * n)
+        ETL.load_fact(spark, stg, dims, base, P.run_date, 10 * n + 9)
+    fact = spark.read.parquet(f"{base}/fact_sales_table")
+    return fact.join(dims["dim_seller"].select("seller_key", "seller_id"), "seller_key").drop("fact_year", "seller_key")
+
+
+@register("fact_duplicate_product")
+def _fact_dupe_product(spark, sf_dir):
+    """Every product held twice by its dimension: each line is there once, with the latest key."""
+    src = _src(spark, sf_dir)
+    stg = stage_all(src, P)
+    dims = build_dims(spark, src, stg, P)
+    n = dims["dim_product"].agg(F.max("product_key").alias("_n"))
+    again = dims["dim_product"].crossJoin(F.broadcast(n))  # one row
+    twice = dims["dim_product"].unionByName(again.withColumn("product_key", F.col("product_key") + F.col("_n")).drop("_n"))
+    return FA.build_fact(
+        stg["stg_items"], stg["stg_orders"], stg["stg_payments"], dims["dim_customer"], twice, dims["dim_seller"], P.run_date
+    ).fact
+
+
+@register("fact_key_audit")
+def _fact_keys(spark, sf_dir):
+    """The fact against a calendar that ends before it and the sellers of an earlier load."""
+    star = _star(spark, sf_dir)
+    known = FX.sellers_in_orders(spark, sf_dir, None, SELLER_FEEDS[0])
+    return FA.fact_key_audit({
+        **star,
+        "dim_date": star["dim_date"].where(F.col("full_date") < F.lit(INCREMENTAL_CUTOFF).cast("date")),
+        "dim_seller": star["dim_seller"].join(known, "seller_id", "left_semi"),
+    })
 
 
 @register("fact_incremental")
@@ -190,7 +279,8 @@ def _fact_incr2(spark, sf_dir):
 @register("fact_lookup_failures")
 def _fact_fail(spark, sf_dir):
     src = _src(spark, sf_dir)
-    src = dict(src, sellers=src["sellers"].join(FX.active_seller_ids(spark, sf_dir), "seller_id", "left_semi"))
+    known = FX.sellers_in_orders(spark, sf_dir, None, SELLER_FEEDS[0])
+    src = dict(src, sellers=src["sellers"].join(known, "seller_id", "left_semi"))
     stg = stage_all(src, P)
     dims = build_dims(spark, src, stg, P)
     fb = FA.build_fact(
@@ -258,9 +348,6 @@ def _control_log(spark, sf_dir):
 def _fact_stream(spark, sf_dir):
     """The order extract lands as 8 time-ranged files; the stream drains them
     two files per micro-batch into the fact. Must equal the full load."""
-    import uuid
-
-    from ..session import scratch_path
     from ..streaming.incremental import run_incremental_stream
 
     run = scratch_path(spark, f"stream-{uuid.uuid4().hex}")

@@ -121,7 +121,8 @@ def source_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation is a fixed 25-row reference table: broadcasting it is bounded.
     return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left").select(
         F.col("c_custkey").alias("customer_id"),
-        F.col("c_name").alias("customer_unique_id"),
+        # people hold several customer ids: those whose balances agree up to the last digit
+        F.concat(F.lit("P"), F.floor(F.col("c_acctbal") / 10).cast("string")).alias("customer_unique_id"),
         F.col("c_mktsegment").alias("customer_city"),
         F.col("n_name").alias("customer_state"),
         F.col("c_nationkey").cast("string").alias("customer_zip_code_prefix"),
@@ -197,8 +198,12 @@ def as_date(s: str) -> _dt.date:
     return _dt.date.fromisoformat(s)
 
 
-def active_seller_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sellers with a non-negative account balance: the seller extract of a
-    stale dimension load (items of the other sellers fail the lookup)."""
-    s = table(spark, sf_dir, "supplier")
-    return s.where(F.col("s_acctbal") >= 0).select(F.col("s_suppkey").alias("seller_id"))
+def sellers_in_orders(spark: SparkSession, sf_dir: str, start: str | None, end: str) -> DataFrame:
+    """Ids of the sellers with an item of an order placed in [start, end): the seller extract of an
+    earlier load (items of the other sellers fail the lookup)."""
+    day = F.col("o_orderdate")
+    o = table(spark, sf_dir, "orders").where(day < F.lit(end).cast("timestamp_ntz"))
+    if start is not None:
+        o = o.where(day >= F.lit(start).cast("timestamp_ntz"))
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("seller_id"))
+    return li.join(o.select("o_orderkey"), "o_orderkey").select("seller_id").distinct()

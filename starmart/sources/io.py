@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 CORRUPT = "_corrupt_record"
 
@@ -26,14 +26,16 @@ def read_csv_extract(spark: SparkSession, path: str, schema: str) -> DataFrame:
     )
 
 
-def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_exists(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     """The parquet table at ``path``, or None where the path does not exist.
 
-    Any other failure (storage, unreadable footers, no files below the path)
-    is raised: it must never look like a table that was not created yet.
+    Any other failure (storage, unreadable footers) is raised: it must never
+    look like a table that was not created yet. With ``schema``, a folder
+    that holds no files yet (partitioned, no rows) is an empty table.
     """
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None

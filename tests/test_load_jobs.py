@@ -22,6 +22,38 @@ def test_only_a_missing_path_is_a_missing_table(spark, tmp_path):
         read_if_exists(spark, str(tmp_path / "t")).count()
 
 
+def test_failed_lines_are_tried_again(spark, tmp_path):
+    """An order with one line of an unknown product: its other line loads at once, that one after the product arrives."""
+    base = str(tmp_path / "wh")
+    src = FX.sources(spark, SF_SMALL)
+    stg = stage_all(src, P)
+    dims = ETL.load_dimensions(spark, src, stg, P, base, "1")
+    half = dict(dims, dim_product=dims["dim_product"].where(F.col("product_key") > 20))
+    first = ETL.load_fact(spark, stg, half, base, "2002-01-01", 7)
+    assert first["failures"] > 0
+    second = ETL.load_fact(spark, stg, dims, base, "2002-01-01", 8)
+    assert (second["mode"], second["rows"], second["failures"]) == ("INCREMENTAL", first["failures"], 0)
+    assert second["watermark"] == first["watermark"]
+    third = ETL.load_fact(spark, stg, dims, base, "2002-01-01", 9)
+    assert third["rows"] == 0
+    fact = spark.read.parquet(f"{base}/fact_sales_table")
+    plan = ETL.batch_days(fact, fact.where(F.col("date_key") < 19960101))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(fact_year" in plan or "PartitionFilters: [fact_year" in plan
+
+
+def test_empty_loads(spark, tmp_path):
+    """A fact without rows and a run without failures are empty tables, not storage errors."""
+    base = str(tmp_path / "wh")
+    src = FX.sources(spark, SF_SMALL)
+    none = stage_all(dict(src, orders=src["orders"].where(F.lit(False))), P)
+    stg = stage_all(src, P)
+    dims = ETL.load_dimensions(spark, src, stg, P, base, "1")
+    assert ETL.load_fact(spark, none, dims, base, "2002-01-01", 7)["rows"] == 0
+    full = ETL.load_fact(spark, stg, dims, base, "2002-01-01", 8)
+    assert full["mode"] == "FULL" and full["rows"] > 0
+    assert ETL.load_fact(spark, stg, dims, base, "2002-01-01", 9)["rows"] == 0
+
+
 def test_load_jobs(spark, tmp_path):
     base = str(tmp_path / "wh")
     src = FX.sources(spark, SF_SMALL)

@@ -48,6 +48,17 @@ def test_partitioned_scan_hot_partition(skewed):
     assert _pairs(got, "k", "rn", "cs", "tot", "n") == _pairs(want, "k", "rn", "cs", "tot", "n")
 
 
+def test_rank_of_one_value_over_many_chunks(spark, capfd):
+    rows = [(i, 5 if 100 <= i < 900 else i) for i in range(1000)]  # one value spans most chunks
+    df = spark.createDataFrame(rows, "k long, v int")
+    got = global_scan(df, [("v", False), ("k", True)], row_number=None, rank="r", dense_rank="d", rank_cols=1, num_chunks=200)
+    w = Window.orderBy(F.desc("v"))
+    want = df.select("k", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("d"))
+    assert _pairs(got, "k", "r", "d") == _pairs(want, "k", "r", "d")
+    got.explain()
+    assert capfd.readouterr().out.count("Join") <= 2  # rows with the chunk summary, no summary with itself
+
+
 @pytest.mark.parametrize("dense,chunks", [(False, 5), (True, 5), (False, 23), (True, 23)])
 def test_rank_with_heavy_ties(skewed, dense, chunks):
     fn = F.dense_rank if dense else F.rank

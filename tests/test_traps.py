@@ -19,10 +19,37 @@ def test_null_keys_sql_vs_pandas_semantics(spark):
     assert (sql, pandas_like) == (1, 0)
 
 
-def test_append_guard_drops_loaded_orders(spark):
-    loaded = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "order_id long, order_item_seq int")
-    new = spark.createDataFrame([(2, 1), (2, 2), (3, 1)], "order_id long, order_item_seq int")
-    assert sorted(tuple(r) for r in FA.dedupe_against(new, loaded).collect()) == [(3, 1)]
+def test_append_guard_drops_loaded_lines(spark):
+    """The grain is the line: a line of a loaded order that failed before is let in."""
+    cols = "order_id long, order_item_seq int, product_key long, seller_key long"
+    loaded = spark.createDataFrame([(1, 1, 5, 5), (1, 2, 5, 5), (2, 1, 5, 5)], cols)
+    new = spark.createDataFrame([(2, 1, 5, 5), (2, 2, 6, 5), (3, 1, 5, 5)], cols)
+    assert sorted(tuple(r) for r in FA.dedupe_against(new, loaded).collect()) == [(2, 2, 6, 5), (3, 1, 5, 5)]
+
+
+def test_lookups_neither_multiply_nor_lose_lines(spark):
+    """A product id held twice gives one line with the latest key; a line without a date is a failure; a missing column raises."""
+    items = spark.createDataFrame(
+        [(1, 1, 10, 20), (2, 1, 10, 20)], "order_id long, order_item_id int, product_id long, seller_id long"
+    ).withColumns({c: F.lit("5.00").cast("decimal(12,2)") for c in ("price", "freight_value", "gross_revenue", "total_cost")})
+    orders = spark.createDataFrame(
+        [(1, 7, 20180101), (2, 7, None)], "order_id long, customer_id long, date_key int"
+    ).withColumns({
+        "order_status": F.lit("delivered"), "status_category": F.lit("Completed"), "delivery_days": F.lit(1),
+        "delivery_delay_days": F.lit(0), "is_on_time": F.lit(1),
+        "order_purchase_timestamp": F.lit("2018-01-01").cast("timestamp_ntz"),
+    })
+    pay = spark.createDataFrame([], "order_id long, primary_payment_type string, payment_installments int, total_payment_value decimal(14,2)")
+    cust = spark.createDataFrame([(1, 7, True)], "customer_key long, customer_id long, is_current boolean")
+    prod = spark.createDataFrame([(1, 10), (2, 10)], "product_key long, product_id long")
+    sell = spark.createDataFrame([(3, 20)], "seller_key long, seller_id long")
+    fb = FA.build_fact(items, orders, pay, cust, prod, sell, "2018-02-01")
+    assert [(r.order_id, r.product_key) for r in fb.fact.collect()] == [(1, 2)]
+    assert [(r.order_id, r.failed_dims) for r in fb.failures.collect()] == [(2, ["date"])]
+    twice = {r.dimension: r.duplicate_ids for r in FA.duplicate_members({"product": (prod, "product_id"), "seller": (sell, "seller_id")}).collect()}
+    assert twice == {"product": 1, "seller": 0}
+    with pytest.raises(ValueError, match="freight_value"):
+        FA.build_fact(items.drop("freight_value"), orders, pay, cust, prod, sell, "2018-02-01")
 
 
 def test_snapshot_switch_is_atomic(spark):
