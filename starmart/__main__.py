@@ -1,14 +1,16 @@
 """Command line: run the warehouse phases on a data folder.
 
     python -m starmart --data /root/testdata/sf0.01 --out /shared/wh --run 1 \
-        [--phases profile,stage,dims,fact,analytics] [--fixture-params]
+        [--phases profile,stage,dims,fact,analytics] [--fixture-params] [--run-date 2018-10-18]
 
 Phases (each writes tables under ``--out``):
   profile    profiling summary row, orphan items (exception sink)
   stage      landed extract, staged tables, reject log for the run
   dims       dimension snapshots (calendar once, stable keys, SCD2 merge)
   fact       fact load: FULL first, INCREMENTAL afterwards, control log
-  analytics  X1-X9 and the marts, one table each
+  analytics  X1-X9, the marts and the verification tables, one table each
+The run date (default: today) stamps the rows, starts and ends customer
+versions and is the day after which a purchase counts as in the future.
 The checkpoint folder comes from ``spark.checkpoint.dir`` (required on a
 cluster).
 """
@@ -16,15 +18,18 @@ cluster).
 from __future__ import annotations
 
 import argparse
+import datetime as _dt
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
 from . import session as S
+from .operators import facts as FA
 from .operators import quality as Q
 from .plans import analytics as X
 from .plans import etl as ETL
 from .plans import marts as M
-from .plans.star import FIXTURE_PARAMS, Params, stage_all
+from .plans.star import FIXTURE_PARAMS, Params, stage_all, star_from_tables
 from .sources import fixtures as FX
 from .sources import io as IO
 
@@ -36,11 +41,15 @@ def main(argv=None) -> None:
     ap.add_argument("--run", type=int, default=1, help="run number (snapshot version, log ids)")
     ap.add_argument("--phases", default="profile,stage,dims,fact,analytics")
     ap.add_argument("--fixture-params", action="store_true", help="use the fixture parameter overrides")
+    ap.add_argument("--run-date", help="date of the load, YYYY-MM-DD (default: today, or the fixture's own)")
     a = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("starmart").getOrCreate()
     S.configure(spark, cluster=not spark.sparkContext.master.startswith("local"))
     p: Params = FIXTURE_PARAMS if a.fixture_params else Params()
+    if a.run_date or not a.fixture_params:
+        day = _dt.date.fromisoformat(a.run_date) if a.run_date else _dt.date.today()
+        p = replace(p, run_date=str(day), as_of_ts=f"{day} 00:00:00")
     out = a.out.rstrip("/")
     phases = set(a.phases.split(","))
     src = FX.sources(spark, a.data)
@@ -56,6 +65,7 @@ def main(argv=None) -> None:
         names = ("stg_orders", "stg_items", "stg_customers", "stg_products", "stg_payments")
         paths = ETL.write_all({k: stg_all[k] for k in names}, out, str(a.run), pointer=False)
         IO.write_rejects(stg_all["stg_rejects"], out, str(a.run))
+        IO.write_exceptions(stg_all["stg_null_price"], f"{out}/stg_null_price/v={a.run}")
         stg = {k: spark.read.parquet(v) for k, v in paths.items()}
         src = landed
 
@@ -67,8 +77,7 @@ def main(argv=None) -> None:
         ETL.load_fact(spark, stg, dims, out, p.run_date, log_id=a.run * 100 + 99)
 
     if "analytics" in phases:
-        star = {k: ETL.read_snapshot(spark, out, k) for k in ("dim_date", "dim_seller", "dim_product", "dim_customer")}
-        star["fact_sales"] = spark.read.parquet(f"{out}/fact_sales_table")
+        star = star_from_tables(spark, out)
         reports = {
             "x1_monthly": X.x1_monthly_trend(star),
             "x2_yoy": X.x2_year_over_year(star, years=p.yoy_years),
@@ -84,9 +93,23 @@ def main(argv=None) -> None:
             "m3_top_categories": M.m3_top_categories(star),
             "m4_payment_types": M.m4_payment_types(star),
             "m5_states": M.m5_states(star),
+            "m5_cities": M.m5_cities(star),
             "m6_order_status": M.m6_order_status(star),
             "m7_state_metrics": M.m7_state_metrics(star),
             "m8_category_revenue": M.m8_category_revenue(star),
+            "m8_price_band_by_year": M.m8_price_band_by_year(star),
+            "dim_verify_counts": M.dim_verify_counts(star),
+            "dim_price_bands": M.dim_price_bands(star),
+            "fact_verify_totals": M.fact_totals(star),
+            "fact_rev_by_year": M.fact_revenue_by_year(star),
+            "fact_rev_by_status": M.fact_revenue_by_status(star),
+            "fact_rev_by_payment": M.fact_revenue_by_payment(star),
+            "fact_top_categories": M.fact_top_categories(star),
+            "fact_key_audit": FA.fact_key_audit(star),
+            "duplicate_members": FA.duplicate_members({
+                "dim_product": (star["dim_product"], "product_id"), "dim_seller": (star["dim_seller"], "seller_id"),
+                "dim_customer": (star["dim_customer"].where("is_current"), "customer_id"),
+            }),
         }
         for name, df in reports.items():
             df.write.mode("overwrite").parquet(f"{out}/reports/{name}/v={a.run}")

@@ -235,6 +235,33 @@ def _stg_rejects():
 simple("stg_null_price", ITEMS_SPEC + ", reject_reason='NULL price':s", "src_items", "WHERE price IS NULL")
 
 
+def _faults(sql: str) -> str:
+    """``sql`` over sources with the faults that ``fixtures.faulty_sources`` describes."""
+    faulty = """src_orders AS (
+  SELECT order_id, if(m = 4, -customer_id - 1, customer_id) AS customer_id, order_status,
+         CASE m WHEN 1 THEN NULL WHEN 2 THEN t + INTERVAL 10 YEAR ELSE t END AS order_purchase_timestamp,
+         if(m = 3, t - INTERVAL 1 DAY, order_approved_at) AS order_approved_at,
+         order_delivered_carrier_date, order_delivered_customer_date, order_estimated_delivery_date
+  FROM (SELECT *, order_purchase_timestamp AS t, if(order_status = 'processing', month(order_purchase_timestamp), 0) AS m
+        FROM given_orders) o, range(1, if(m = 5, 3, 2)) copies
+),
+src_items AS (
+  SELECT if(m = 4, -order_id - 1, order_id) AS order_id, order_item_id, product_id, seller_id, shipping_limit_date,
+         CASE m WHEN 1 THEN CAST(0 AS DECIMAL(12,2)) WHEN 2 THEN NULL ELSE price END AS price,
+         if(m = 3, NULL, freight_value) AS freight_value
+  FROM (SELECT *, if(order_item_id = 1, month(shipping_limit_date), 0) AS m FROM given_items)
+),
+src_payments AS ("""
+    for old, new in (("src_orders AS (", "given_orders AS ("), ("src_items AS (", "given_items AS ("), ("src_payments AS (", faulty)):
+        sql = sql.replace(old, new, 1)
+    return sql
+
+
+for _q in ("stg_orders", "stg_items", "stg_rejects", "stg_null_price", "q_duplicate_keys", "q_referential_integrity",
+           "q_date_logic", "q_price_checks"):
+    _ORACLES[f"{_q}_faults"] = lambda _q=_q: _faults(_ORACLES[_q]())
+
+
 @oracle("stg_summary")
 def _stg_summary():
     rej = ("(SELECT count(*) FROM src_orders WHERE order_purchase_timestamp IS NULL) + (SELECT count(*) FROM o_bad) + "

@@ -250,7 +250,9 @@ def run_etl(
     )
     # Year partitions, rows sorted by date within each file: parquet min/max
     # statistics then skip row groups for month/day slices as well.
-    fact = fb.fact.withColumn("fact_year", (F.col("date_key") / 10000).cast("int")).sortWithinPartitions("date_key")
+    fact = fb.fact.withColumn("fact_year", (F.col("date_key") / 10000).cast("int")).sortWithinPartitions(
+        "fact_year", "date_key"
+    )
     paths["fact_sales"] = write_snapshot(fact, base, "fact_sales", version, partition_by=["fact_year"])
     fails = fb.failures.withColumn("failed_dims", F.array_join("failed_dims", ","))
     paths["fact_failures"] = write_snapshot(fails, base, "fact_lookup_failures", version, pointer=False)

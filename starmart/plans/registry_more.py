@@ -125,6 +125,37 @@ for _name in ("stg_orders", "stg_items", "stg_customers", "stg_products", "stg_p
     register(_name)(lambda spark, sf_dir, _n=_name: _stg(spark, sf_dir)[_n])
 
 
+# The checks and staged tables of sources with faults, where no count is zero.
+for _name in ("stg_orders", "stg_items", "stg_rejects", "stg_null_price"):
+    register(f"{_name}_faults")(lambda spark, sf_dir, _n=_name: stage_all(FX.faulty_sources(spark, sf_dir), P)[_n])
+
+
+@register("q_duplicate_keys_faults")
+def _q_dupes_faults(spark, sf_dir):
+    s = FX.faulty_sources(spark, sf_dir)
+    keys = {"orders": "order_id", "customers": "customer_id", "products": "product_id", "sellers": "seller_id"}
+    return Q.duplicate_keys([(t, s[t], [k]) for t, k in keys.items()])
+
+
+@register("q_referential_integrity_faults")
+def _q_ri_faults(spark, sf_dir):
+    s = FX.faulty_sources(spark, sf_dir)
+    parents = (("items", "order"), ("orders", "customer"), ("items", "product"), ("items", "seller"))
+    return Q.referential_integrity(
+        [(f"{t}_without_{m}", s[t], f"{m}_id", s[f"{m}s"], f"{m}_id") for t, m in parents]
+    )
+
+
+@register("q_date_logic_faults")
+def _q_dates_faults(spark, sf_dir):
+    return Q.date_logic(FX.faulty_sources(spark, sf_dir)["orders"], P.as_of_ts)
+
+
+@register("q_price_checks_faults")
+def _q_price_faults(spark, sf_dir):
+    return Q.price_checks(FX.faulty_sources(spark, sf_dir)["items"])
+
+
 @register("stg_summary")
 def _stg_summary(spark, sf_dir):
     s = _stg(spark, sf_dir)

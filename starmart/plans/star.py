@@ -101,6 +101,8 @@ def star_from_fixtures(spark: SparkSession, sf_dir: str, p: Params = FIXTURE_PAR
 
 
 def star_from_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Read a star written by the ETL job (one parquet directory per table)."""
-    names = ("dim_date", "dim_seller", "dim_product", "dim_customer", "fact_sales")
-    return {n: spark.read.parquet(f"{path.rstrip('/')}/{n}") for n in names}
+    """Read the star written by the load jobs: current snapshots of the dimensions and the fact table."""
+    from .etl import read_snapshot
+
+    dims = {n: read_snapshot(spark, path, n) for n in ("dim_date", "dim_seller", "dim_product", "dim_customer")}
+    return {**dims, "fact_sales": spark.read.parquet(f"{path.rstrip('/')}/fact_sales_table")}

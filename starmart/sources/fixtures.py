@@ -207,3 +207,33 @@ def sellers_in_orders(spark: SparkSession, sf_dir: str, start: str | None, end:
         o = o.where(day >= F.lit(start).cast("timestamp_ntz"))
     li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("seller_id"))
     return li.join(o.select("o_orderkey"), "o_orderkey").select("seller_id").distinct()
+
+
+def faulty_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The source tables with faults in some months, so that every check and reject route finds some.
+
+    Orders in processing: purchased in January, a purchase time that is no time; February, ten years
+    later; March, approved the day before; April, an unknown customer; May, the row twice. First items by
+    the month of their shipping limit: January, price 0; February, no price; March, no freight; April, an
+    unknown order. Purchase times are text throughout.
+    """
+    src = sources(spark, sf_dir)
+    p = "order_purchase_timestamp"
+    o = src["orders"].withColumn("_m", F.when(F.col("order_status") == "processing", F.month(p)))
+    m = F.coalesce("_m", F.lit(0))
+    o = o.withColumns({
+        "order_approved_at": F.when(m == 3, F.col(p) - F.make_interval(days=F.lit(1))).otherwise(F.col("order_approved_at")),
+        "customer_id": F.when(m == 4, -F.col("customer_id") - 1).otherwise(F.col("customer_id")),
+        p: F.when(m == 1, "unknown").otherwise(
+            F.date_format(F.when(m == 2, F.col(p) + F.make_interval(years=F.lit(10))).otherwise(F.col(p)), "yyyy-MM-dd HH:mm:ss")
+        ),
+    })
+    o = o.unionByName(o.where(m == 5)).drop("_m")
+    k = F.when(F.col("order_item_id") == 1, F.month("shipping_limit_date"))
+    i = src["items"].withColumn("_m", F.coalesce(k, F.lit(0)))
+    i = i.withColumns({
+        "price": F.when(F.col("_m") == 1, F.lit(0).cast(MONEY)).when(F.col("_m") != 2, F.col("price")),
+        "freight_value": F.when(F.col("_m") != 3, F.col("freight_value")),
+        "order_id": F.when(F.col("_m") == 4, -F.col("order_id") - 1).otherwise(F.col("order_id")),
+    }).drop("_m")
+    return dict(src, orders=o, items=i)
