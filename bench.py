@@ -35,6 +35,7 @@ def main() -> None:
     from starmart.plans import analytics as X
     from starmart.plans import etl as ETL
     from starmart.plans import marts as M
+    from starmart.plans.registry_more import PROFILE_TABLES
     from starmart.plans.star import FIXTURE_PARAMS as P
     from starmart.sources import fixtures as FX
 
@@ -67,13 +68,18 @@ def main() -> None:
         "x8_pareto": lambda: X.x8_pareto(star),
         "x9_quarterly": lambda: X.x9_quarterly_kpis(star),
         "m1_kpis": lambda: M.m1_kpi_cards(star),
+        "m3_top_categories": lambda: M.m3_top_categories(star),
+        "m8_price_band_by_year": lambda: M.m8_price_band_by_year(star),
         "m4_payment_types": lambda: M.m4_payment_types(star),
         "m7_state_metrics": lambda: M.m7_state_metrics(star),
         "fact_rev_by_year": lambda: M.fact_revenue_by_year(star),
-        "q_null_audit": lambda: Q.null_audit({k: src[k] for k in ("orders", "items", "customers", "products", "sellers")}),
+        "q_null_audit": lambda: Q.null_audit({k: src[k] for k in PROFILE_TABLES}),
         "q_describe": lambda: Q.describe_money(src["items"], "price"),
         "q_referential_integrity": lambda: Q.referential_integrity(
-            [("items_without_order", src["items"], "order_id", src["orders"], "order_id")]
+            [
+                (f"{t}_without_{m}", src[t], f"{m}_id", src[f"{m}s"], f"{m}_id")
+                for t, m in (("items", "order"), ("orders", "customer"), ("items", "product"), ("items", "seller"))
+            ]
         ),
     }
     for name, fn in queries.items():
