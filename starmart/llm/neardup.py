@@ -18,6 +18,8 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from fractions import Fraction
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +27,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from starmart.llm import textvec as V
 from starmart.llm.common import keep, mapped, ship
+from starmart.llm.components import components
+from starmart.llm.ngram_join import CELL, intersections, set_key, verify
 
 SHINGLE = 5
 PERMUTATIONS = 128
@@ -148,34 +153,100 @@ def report(documents: DataFrame) -> DataFrame:
     return mapped(rows, task, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
-def near_pairs(spark: SparkSession, documents: DataFrame, rows_in_band: int = 4, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Verified near-duplicate links between different shingle sets and their class heads: a, b, jaccard.
+def keyed(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, text, fingerprint and key (16 bytes that stand for the shingle set; null without words)."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys: list[bytes | None] = []
+            for i, j, w in V.each_chunk(batch["text"]):
+                values, begin = w.shingles(SHINGLE)
+                keys += [set_key(values[begin[d] : begin[d + 1]]) for d in range(j - i)]
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["text"], pa.array(as_text(sketch(batch["text"])), pa.string()), pa.array(keys, pa.binary())], names=["id", "text", "fingerprint", "key"])
 
-    Documents of equal fingerprint count as one class (its smallest id). Bands of the signatures are
-    joined in Spark: in each band's bucket every class meets the bucket's smallest id, so a bucket of n rows gives
-    n-1 candidates, and the pairs are verified on the exact shingle sets. (All links within
-    large buckets: see ``ngram_join``.)
+    src = documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return mapped(src, task, T.StructType([*src.schema.fields, T.StructField("fingerprint", T.StringType()), T.StructField("key", T.BinaryType())]))
+
+
+def banded_cells(spark: SparkSession, documents: DataFrame, rows_in_band: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows: id, key; classes: key, id, copies; cells: comp, i, j, chunk, key, id, copies, text, sorted by cell).
+
+    Documents of equal shingle sets are one class with its smallest id. Bands of the signatures are joined in Spark:
+    in each band's bucket every class points at the smallest one, so a bucket of n classes gives n-1 edges. Any two
+    classes of a bucket are in one connected part of these edges, and each two of a part meet in one
+    cell (``ngram_join``): two chunks of about ``CELL`` classes.
     """
-    fp = fingerprints(documents.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).where(F.col("id").isNotNull()))
-    heads = keep(spark, fp.groupBy("fingerprint").agg(F.min_by(F.struct("id", "text"), "id").alias("h")).select("h.id", "h.text", "fingerprint"), "fingerprints")
+    rows = keep(spark, keyed(documents, id_col, text_col).withColumn("rid", F.monotonically_increasing_id()), "fingerprints")
+    classes = keep(spark, rows.where("key is not null").groupBy("key").agg(F.min("id").alias("id"), F.min("rid").alias("rid"), F.count(F.lit(1)).alias("copies")), "classes")
     size = rows_in_band * 2
-    n_bands = PERMUTATIONS // rows_in_band
     raw = F.unbase64("fingerprint")
-    bands = heads.select("id", F.posexplode(F.array(*[F.xxhash64(F.substring(raw, 1 + b * size, size)) for b in range(n_bands)])).alias("band", "h"))
-    first = bands.groupBy("band", "h").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = bands.join(first, ["band", "h"]).where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    t = heads.select("id", "text")
-    full = pairs.join(t.withColumnsRenamed({"id": "a", "text": "ta"}), "a").join(t.withColumnsRenamed({"id": "b", "text": "tb"}), "b")
+    hashes = F.array(*[F.xxhash64(F.substring(raw, 1 + b * size, size)) for b in range(PERMUTATIONS // rows_in_band)])
+    bands = rows.join(classes.select("rid"), "rid", "left_semi").select("key", F.posexplode(hashes).alias("band", "h"))
+    first = bands.groupBy("band", "h").agg(F.min("key").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "h", "a")
+    parts = components(spark, bands.join(first, ["band", "h"]).where("key <> a").select("a", F.col("key").alias("b")))
+    chunks = parts.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("m"))
+    members = parts.join(chunks, "comp").join(classes.withColumnRenamed("key", "node"), "node").withColumnRenamed("node", "key").withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("m")).cast("int"))
+    texts = rows.select("rid", "text").join(members, "rid")
+    cells = texts.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).select("comp", F.least("chunk", "o").alias("i"), F.greatest("chunk", "o").alias("j"), "chunk", "key", "id", "copies", "text")
+    return rows.select("id", "key"), classes.drop("rid"), cells.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def near_pairs(spark: SparkSession, documents: DataFrame, rows_in_band: int = 4, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All near-duplicate links between different shingle sets that share a band: a, b, jaccard, verified on the
+    exact sets. A set is named by the smallest id of its documents (a the smaller one); sets without any id
+    are left out. A group of n similar sets has up to n(n-1)/2 links; ``near_groups`` is linear.
+    """
+    exact = Fraction(str(threshold))
+    _, _, cells = banded_cells(spark, documents, rows_in_band, id_col, text_col)
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            x, y = shingle_sets(batch["ta"]), shingle_sets(batch["tb"])
-            j = np.array([jaccard(p, q) for p, q in zip(x, y)])
-            ok = pa.array(j >= threshold)
-            yield pa.RecordBatch.from_arrays([batch["a"].filter(ok), batch["b"].filter(ok), pa.array(j).filter(ok)], names=["a", "b", "jaccard"])
+            yield from zip(*(batch[c].to_pylist() for c in ("comp", "i", "j", "chunk", "key", "id", "text")))
 
-    kind = documents.schema[id_col].dataType.simpleString()
-    return mapped(full.select("a", "b", "ta", "tb"), task, f"a {kind}, b {kind}, jaccard double")
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, cell in groupby(members(batches), key=lambda r: r[:3]):
+            rows = sorted(cell, key=lambda r: r[4])
+            x, y, j = cell_pairs(shingle_sets(pa.array([r[6] for r in rows], pa.large_string())), np.array([r[3] == r[1] for r in rows]), exact)
+            ids = pa.array([r[5] for r in rows], kind)
+            if len(x):
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(x)), ids.take(pa.array(y)), pa.array(j)], names=["x", "y", "jaccard"])
+
+    field = documents.schema[id_col].dataType
+    kind = to_arrow_type(field)
+    links = mapped(cells.where("id is not null"), task, T.StructType([T.StructField("x", field), T.StructField("y", field), T.StructField("jaccard", T.DoubleType())]))
+    return links.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "jaccard")
+
+
+def near_groups(spark: SparkSession, documents: DataFrame, rows_in_band: int = 4, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: the id, class_id (smallest id of all documents connected with it by links) and n_links
+    (other documents of an equal set or linked with it). Texts without words have no link and their own id."""
+    rows, classes, cells = banded_cells(spark, documents, rows_in_band, id_col, text_col)
+    checked = keep(spark, verify(cells.drop("id"), SHINGLE, threshold), "links")
+    groups = components(spark, checked.select(F.col("root").alias("a"), F.col("key").alias("b")))
+    links = checked.groupBy("key").agg(F.sum("links").alias("links"))
+    known = classes.join(links, "key", "left").join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    named = known.groupBy("comp").agg(F.min("id").alias("class_id"))
+    result = known.join(named, "comp").select("key", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    of = rows.join(result, "key", "left")
+    return of.select(F.col("id").alias(id_col), F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def cell_pairs(sets: list[np.ndarray], first: np.ndarray, threshold: Fraction) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Linked pairs of one cell: indices, indices, Jaccard. ``first``: member of the first chunk; if all are,
+    all pairs are compared, else those across."""
+    whole = bool(first.all())
+    left = np.flatnonzero(first)
+    right = left if whole else np.flatnonzero(~first)
+    if not len(left) or not len(right):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    both = intersections(sets, left, right)
+    size = np.array([len(s) for s in sets])
+    union = size[left][:, None] + size[right][None, :] - both
+    linked = both * threshold.denominator >= union * threshold.numerator
+    if whole:
+        linked = np.triu(linked, 1)
+    i, j = np.nonzero(linked)
+    return left[i], right[j], both[i, j] / union[i, j]
 
 
 def shingle_sets(texts: pa.Array, n: int = SHINGLE) -> list[np.ndarray]:
@@ -185,11 +256,3 @@ def shingle_sets(texts: pa.Array, n: int = SHINGLE) -> list[np.ndarray]:
         values, begin = w.shingles(n)
         out += [np.unique(values[begin[d] : begin[d + 1]]) for d in range(j - i)]
     return out
-
-
-def jaccard(x: np.ndarray, y: np.ndarray) -> float:
-    """Of two sorted distinct arrays; 0 where either is empty."""
-    if not len(x) or not len(y):
-        return 0.0
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both)
