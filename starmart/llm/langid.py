@@ -8,7 +8,8 @@ the prediction is the best language, its score the share of the best in the soft
 
 Fitting: a bounded sample of labelled rows (about ``SAMPLE_ROWS`` by a hash of id and text; all rows
 where there are fewer), counted in Spark; for each language the ``WORDS`` most frequent words and
-``GRAMS`` most frequent n-grams make the model, which goes to the tasks as a broadcast.
+``GRAMS`` most frequent n-grams make the model, each with its true count in every language; it goes to the
+tasks as a broadcast.
 Prediction: whole texts, where they are read, without a shuffle.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0. Where no language
@@ -30,7 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.llm.common import fold, mapped
+from starmart.llm.common import fold, keep, mapped
 
 SAMPLE_ROWS = 12_000
 WORDS, GRAMS = 20_000, 12_000  # for each language
@@ -111,22 +112,24 @@ def fit(spark: SparkSession, documents: DataFrame, rows: int = SAMPLE_ROWS) -> M
                 yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(kind, pa.int32()), pa.array(term, pa.string()), pa.array(c, pa.int64())], names=["lang", "kind", "term", "c"])
 
     rows_ = sample(documents.select("text", "lang").where("lang is not null and text is not null"), rows)
-    counts = mapped(rows_, count, "lang string, kind int, term string, c long").groupBy("lang", "kind", "term").agg(F.sum("c").alias("c"))
+    counts = keep(spark, mapped(rows_, count, "lang string, kind int, term string, c long").groupBy("lang", "kind", "term").agg(F.sum("c").alias("c")), "counts")
     word = F.col("kind") == 0
     best = W.partitionBy("lang", word).orderBy(F.desc("c"), "kind", "term")
-    counts = counts.withColumn("total", F.sum("c").over(W.partitionBy("lang", "kind"))).withColumn("n", F.row_number().over(best))
-    top = counts.where(F.col("n") <= F.when(word, WORDS).otherwise(GRAMS)).collect()
-    langs = sorted({r["lang"] for r in top})
+    chosen = counts.withColumn("n", F.row_number().over(best)).where(F.col("n") <= F.when(word, WORDS).otherwise(GRAMS)).select("kind", "term").distinct()
+    # a term that one language keeps has its true count in each
+    top = counts.join(chosen, ["kind", "term"], "left_semi").groupBy("kind", "term").agg(F.map_from_arrays(F.collect_list("lang"), F.collect_list("c")).alias("c")).collect()
+    totals = counts.groupBy("lang", "kind").agg(F.sum("c").alias("c")).collect()
+    langs = sorted({r["lang"] for r in totals})
     at = {x: k for k, x in enumerate(langs)}
     total = defaultdict(lambda: np.zeros(len(langs)))
+    for r in totals:
+        total[r["kind"]][at[r["lang"]]] = r["c"]
     number: dict[str, dict[str, np.ndarray]] = {"w": {}, "g": {}}
     kind_of: dict[str, int] = {}
     for r in top:
-        table = number["g" if r["kind"] else "w"]
-        if r["term"] not in table:
-            table[r["term"]] = np.zeros(len(langs))
-        table[r["term"]][at[r["lang"]]] = r["c"]
-        total[r["kind"]][at[r["lang"]]] = r["total"]
+        number["g" if r["kind"] else "w"][r["term"]] = row = np.zeros(len(langs))
+        for lang, c in r["c"].items():
+            row[at[lang]] = c
         if r["kind"]:
             kind_of[r["term"]] = r["kind"]
     logs = lambda c, t, v: np.log((c + ALPHA) / (t + ALPHA * (v + 1)))

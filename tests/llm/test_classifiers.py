@@ -52,6 +52,24 @@ def test_language_held_out(spark):
     assert held.where("lang_pred = lang").count() >= 0.97 * held.count()
 
 
+def test_language_counts_below_the_cut(spark, monkeypatch):
+    """A word that one language keeps has its true count in the other, where it is beyond the cut; so has an n-gram."""
+    monkeypatch.setattr(langid, "WORDS", 2)
+    monkeypatch.setattr(langid, "GRAMS", 2)
+    texts = {"a": "aa " * 9 + "bb " * 8 + "cc " * 7, "b": "cc dd dd"}
+    docs = spark.createDataFrame([(t, x) for x, t in texts.items()], "text string, lang string")
+    m = langid.fit(spark, docs)
+    assert m.langs == ["a", "b"] and set(m.words.row) == {"aa", "bb", "cc", "dd"}
+    v = langid.ALPHA * 5
+    for w, (a, b) in {"aa": (9, 0), "bb": (8, 0), "cc": (7, 1), "dd": (0, 2)}.items():
+        assert np.allclose(m.words.get(w), np.log([(a + 0.5) / (24 + v), (b + 0.5) / (3 + v)]))
+    grams = {x: [g for w in t.split() for n in range(1, 5) for g in langid.grams_of(w, n)] for x, t in texts.items()}
+    for g in m.grams.row:
+        n = [sum(len(y) == len(g) for y in grams[x]) for x in m.langs]
+        c = [grams[x].count(g) for x in m.langs]
+        assert np.allclose(m.grams.get(g), [np.log((c[k] + 0.5) / (n[k] + 0.5 * (len(m.grams.row) + 1))) for k in range(2)])
+
+
 def test_language_backs_off():
     docs = langid.Model(["a", "b"], {"known": np.log([0.9, 0.1])}, {"xy": np.log([0.1, 0.8]), "<qrs": np.log([0.7, 0.1])})
     assert docs.word("known")[0] > docs.word("known")[1]
