@@ -8,7 +8,11 @@ w0 + sum w_i + 1/2 sum_f ((sum v_if)^2 - sum v_if^2).
 Fitting: a bounded sample of labelled rows (about ``SAMPLE_ROWS`` by a hash of the id; all where there are
 fewer) is joined with its texts and hashed in Spark, which also counts in how many documents of either
 label a bucket occurs; the ``FEATURES`` buckets that tell the labels apart best (chi-square of at least
-``LEAST_CHI2``) enter the machine, trained with AdaGrad on sparse rows of these buckets only.
+``LEAST_CHI2``) enter the machine. Beside them enter the terms of pairs whose effect is not that of its terms
+alone (the ``PAIRED`` strongest at most): of the ``ORDINARY`` most frequent other buckets, with each other and with the ``TELLING`` best ones, those
+whose share of toxic documents changes with the one differently where the other is
+(``interactions`` of at least ``LEAST_PAIR``). Pairs with a rarer term aren't looked for. The machine is
+trained with AdaGrad on sparse rows of its buckets only.
 Scoring: whole texts, where they are read, without a shuffle; long texts aren't diluted, for
 a bucket that isn't a feature counts nothing.
 
@@ -26,18 +30,22 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.llm import textvec as V
-from starmart.llm.common import fold, mapped
+from starmart.llm.common import fold, keep, mapped
 
 BUCKETS = 1 << 22
 PREFIXES = (4, 5)
 SAMPLE_ROWS = 20_000
 FEATURES = 4096
 LEAST_CHI2, LEAST_DOCS = 12.0, 3
+ORDINARY, TELLING = 2048, 512
+LEAST_PAIR, LEAST_TOGETHER = 36.0, 5  # some million pairs are looked at
+PAIRED = 256
 FACTORS, EPOCHS, RATE, PENALTY = 8, 30, 0.1, 1e-4
 CACHE = 150_000  # words whose features a task keeps
 THRESHOLD = 0.3
@@ -103,6 +111,37 @@ def train(rows: list[np.ndarray], y: np.ndarray, n: int, seed: int = 0) -> tuple
     return w0, w, v
 
 
+def interactions(rows: list[np.ndarray], y: np.ndarray, n: int, strip: int = 256) -> np.ndarray:
+    """For each feature below ``n`` and each other: the squared difference, in standard errors, between what the one
+    adds to the share of label 1 where the other is and where it isn't (n x n, float32; 0 where one of the four
+    groups of rows has fewer than ``LEAST_TOGETHER``)."""
+    both = np.zeros((2, n, n), dtype=np.float32)
+    for label in (0, 1):
+        of = np.flatnonzero(y == label)
+        for k in range(0, len(of), 1024):
+            part = [rows[i] for i in of[k : k + 1024]]
+            block = np.zeros((len(part), n), dtype=np.float32)
+            block[np.repeat(np.arange(len(part)), [len(r) for r in part]), np.concatenate(part)] = 1
+            both[label] += block.T @ block
+    all_ = np.array([(y == 0).sum(), (y == 1).sum()], dtype=np.float64)
+    single = np.stack([np.diagonal(m).astype(np.float64) for m in both])
+    out = np.zeros((n, n), dtype=np.float32)
+    for k in range(0, n, strip):
+        with_both = both[:, k : k + strip].astype(np.float64)
+        one = single[:, k : k + strip, None] - with_both
+        other = single[:, None, :] - with_both
+        neither = all_[:, None, None] - with_both - one - other
+        diff, var, least = 0.0, 0.0, np.inf
+        for sign, (clean, toxic) in ((1, with_both), (-1, one), (-1, other), (1, neither)):
+            size = clean + toxic
+            share = (toxic + 0.5) / (size + 1)
+            diff = diff + sign * share
+            var = var + share * (1 - share) / (size + 1)
+            least = np.minimum(least, size)
+        out[k : k + strip] = np.where(least >= LEAST_TOGETHER, diff * diff / var, 0)
+    return out
+
+
 def fit(spark: SparkSession, documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Machine:
     """A machine from ``documents`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -133,18 +172,36 @@ def fit(spark: SparkSession, documents: DataFrame, labels: DataFrame, rows: int
     c, d = F.lit(float(p)) - a, F.lit(float(q)) - b
     chi2 = F.lit(float(p + q)) * (a * d - b * c) ** 2 / ((a + b) * (c + d) * p * q)
     best = mapped(docs, counted, "bucket int, a long, b long").groupBy("bucket").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where((F.col("a") + F.col("b") >= LEAST_DOCS) & (F.col("a") + F.col("b") < p + q))
-    top = best.withColumn("x", chi2).where(F.col("x") >= LEAST_CHI2).orderBy(F.desc("x"), "bucket").limit(FEATURES).collect()
-    buckets = np.array([r["bucket"] for r in top], dtype=np.int64)
-    index = {int(x): k for k, x in enumerate(buckets)}
+    best = keep(spark, best.withColumn("x", chi2), "buckets")
+    told = [r["bucket"] for r in best.where(F.col("x") >= LEAST_CHI2).orderBy(F.desc("x"), "bucket").limit(FEATURES).collect()]
+    known_ = set(told)
+    split = F.least(F.col("a") + F.col("b"), F.lit(p + q) - F.col("a") - F.col("b"))
+    often = [r["bucket"] for r in best.orderBy(F.desc(split), "bucket").limit(ORDINARY + len(told)).collect() if r["bucket"] not in known_][:ORDINARY]
+    # the best of the telling buckets first, then the ordinary ones, then the other telling ones
+    some = told[:TELLING] + often
+    order = some + told[TELLING:]
+    index = {int(x): k for k, x in enumerate(order)}
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [sorted(index[x] for x in t if x in index) for _, t in terms(batch)]
             yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array(out, pa.list_(pa.int32()))], names=["toxic", "at"])
 
-    got = mapped(docs, features, "toxic int, at array<int>").collect()
-    got.sort(key=lambda r: (r["toxic"], len(r["at"]), r["at"]))  # the rows' order must not change the machine
-    w0, w, v = train([np.array(r["at"], dtype=np.int64) for r in got], np.array([float(r["toxic"] > 0) for r in got]), len(buckets))
+    got = mapped(docs, features, "toxic int, at array<int>").toArrow()
+    y = (got["toxic"].to_numpy() > 0).astype(np.float64)
+    sets = [x for c in got["at"].chunks if len(c) for x in np.split(c.flatten().to_numpy(), np.cumsum(pc.list_value_length(c).to_numpy())[:-1])]
+    # both terms of each pair that tells more than its terms, where one isn't telling alone
+    n_told = len(told[:TELLING])
+    z = interactions([x[: np.searchsorted(x, len(some))] for x in sets], y, len(some))[:, n_told:].max(axis=0, initial=0)
+    best_z = np.argsort(-z, kind="stable")[:PAIRED]
+    paired = n_told + best_z[z[best_z] >= LEAST_PAIR]
+    take = np.sort(np.concatenate([np.arange(n_told), paired, np.arange(len(some), len(order))])).astype(np.int64)
+    buckets = np.array(order, dtype=np.int64)[take]
+    to = np.full(len(order), -1)
+    to[take] = np.arange(len(take))
+    kept = [(t, (r := to[x])[r >= 0].tolist()) for t, x in zip(y.tolist(), sets)]
+    kept.sort(key=lambda r: (r[0], len(r[1]), r[1]))  # the rows' order must not change the machine
+    w0, w, v = train([np.array(r, dtype=np.int64) for _, r in kept], np.array([t for t, _ in kept]), len(buckets))
     return Machine(buckets, w0, w, v)
 
 

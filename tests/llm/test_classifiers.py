@@ -23,6 +23,30 @@ def test_machine_learns_a_pair():
     assert m.raw(np.array([0, 1])) > 0 > max(m.raw(np.array([0])), m.raw(np.array([1])), m.raw(np.array([], dtype=np.int64)))
 
 
+def test_fit_learns_a_pair_without_marginal_effect(spark):
+    """Either word alone is toxic, both or none are not: neither tells the labels apart by itself."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(800):
+        a, b = k % 2, k // 2 % 2
+        rows.append((k, " ".join(["zorp"] * a + ["quix"] * b + [f"w{x}" for x in rng.integers(0, 40, 6)]), int(a != b)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    m = toxicity.fit(spark, docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    tests = spark.createDataFrame([(t,) for t in ("zorp", "quix", "zorp quix", "none")], "text string")
+    got = {r.text: r.score for r in toxicity.predict(spark, tests, m).collect()}
+    assert min(got["zorp"], got["quix"]) > 0.8 and max(got["zorp quix"], got["none"]) < 0.2
+
+
+def test_interactions():
+    rng = np.random.default_rng(4)
+    x = rng.random((3000, 12)) < 0.3
+    y = ((x[:, 2] ^ x[:, 7]) | x[:, 0]).astype(float)
+    z = toxicity.interactions([np.flatnonzero(r) for r in x], y, 12, strip=5)
+    assert np.allclose(z, z.T) and z[2, 7] > toxicity.LEAST_PAIR
+    others = [1, 3, 4, 5, 6, 8, 9, 10, 11]
+    assert z[np.ix_(others, range(12))].max() < toxicity.LEAST_PAIR
+
+
 def test_toxicity_held_out(spark):
     out = queries.op1_toxicity(spark, SF)
     labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic")
