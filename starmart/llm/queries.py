@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import decontaminate, langid, lattice_lm, lengths, neardup, ngram_join, packing, toxicity, url_filter, warc
+from starmart.llm import decontaminate, divergence, langid, lattice_lm, lengths, main_text, neardup, ngram_join, packing, prefix_trie, toxicity, url_filter, warc
 from starmart.llm.common import table
 
 
@@ -48,6 +48,18 @@ def op10_warc(spark: SparkSession, d: str) -> DataFrame:
     return warc.report(spark, table(spark, d, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_lm_scoring, op4_token_counts, op5_language_id, op6_decontamination, op7_packing, op8_fingerprints, op9_ngram_join, op10_warc)}
+def op11_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    return prefix_trie.report(spark, d)
 
-ORACLES = {"op2_url_filter": url_filter.ORACLE, "op10_warc": warc.ORACLE}
+
+def op12_source_divergence(spark: SparkSession, d: str) -> DataFrame:
+    return divergence.report(spark, table(spark, d, "documents"))
+
+
+def op13_main_text(spark: SparkSession, d: str) -> DataFrame:
+    return main_text.report(table(spark, d, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_lm_scoring, op4_token_counts, op5_language_id, op6_decontamination, op7_packing, op8_fingerprints, op9_ngram_join, op10_warc, op11_prefix_trie, op12_source_divergence, op13_main_text)}
+
+ORACLES = {"op2_url_filter": url_filter.ORACLE, "op10_warc": warc.ORACLE, "op11_prefix_trie": prefix_trie.ORACLE, "op12_source_divergence": divergence.ORACLE}
