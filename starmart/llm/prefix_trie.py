@@ -2,11 +2,13 @@
 
 A conversation is its turns in the order (turn, null first; role; SHA-256 of the text), a turn the
 SHA-256 digest of role and text with the text's number of code points. Equal conversations
-are one sequence. The walk goes from the longest sequences up: the nodes of one depth, being
+are one sequence. A sequence's end that it shares with no other is peeled where it lies: its
+nodes have that sequence's members alone. The walk goes from the deepest shared beginning up: the nodes of one depth, being
 what survives of the next depth once its last turn is stripped and the sequences that
 end at this depth, are grouped by their path; members, smallest member, children, childless nodes
 and saved code points are aggregated in that same grouping. One grouping finds the nodes of a
-depth and finishes them, so there are as many rounds as the longest conversation has turns.
+depth and finishes them. Where a sequence becomes unshared is looked up at the depths 1, 2, 4, ..., so
+there are less than twice as many rounds as the deepest shared beginning has turns, however long conversations are.
 
 How it runs: a round shuffles paths (36 bytes a turn), combined before the shuffle, so that
 a beginning shared by any number of conversations arrives as one row a task. Each round's nodes are
@@ -26,6 +28,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +37,7 @@ from starmart.llm.common import keep, mapped, table
 
 HOT_PARENTS = 1000
 CHUNK = 10_000
+SLICE = 10_000  # rows of a long tail given at a time
 PATH = "array<struct<k: binary, c: int>>"
 EMPTY = hashlib.sha256(b"").hexdigest()
 
@@ -104,20 +108,70 @@ def ends(convs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return mapped(chunks.repartition("key").sortWithinPartitions("key", "first"), hashed, "key binary, ends_sha256 string")
 
 
-def peel(spark: SparkSession, convs: DataFrame) -> list[DataFrame]:
-    """Nodes by depth, deepest first: path, depth, conv_id, n_convs, n_children, n_leaves, saved_tokens."""
-    whole = keep(spark, convs.groupBy("path").agg(F.count(F.lit(1)).alias("n_convs"), F.min("conv_id").alias("conv_id")), "sequences")
+def private_from(sequences: DataFrame) -> DataFrame:
+    """conv_id, first: a depth from which on a sequence's beginnings are its own alone, looked for at the
+    depths 1, 2, 4, ... Every sequence that long has a probe there, so a key found once is one sequence's. Sequences
+    without such a depth aren't listed."""
+    powers = F.expr("transform(sequence(0, cast(floor(log2(size(path))) as int)), k -> shiftleft(1, k))")
+    probes = sequences.where(F.size("path") > 0).select("conv_id", "path", F.explode(powers).alias("depth"))
+    beginnings = probes.select("conv_id", "depth", _key(F.slice("path", F.lit(1), F.col("depth"))).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("conv_id").alias("conv_id"), F.min("depth").alias("depth"))
+    return beginnings.where("n = 1").groupBy("conv_id").agg(F.min("depth").alias("first"))
+
+
+def tails(sequences: DataFrame) -> DataFrame:
+    """Nodes that one sequence has alone, peeled where it lies. ``key`` stands at its end, ``parent`` at the first of them."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for conv, n, first, chars, key, parent in zip(*(batch[c].to_pylist() for c in ("conv_id", "n_convs", "first", "chars", "key", "parent"))):
+                saved = (n - 1) * np.cumsum(np.array(chars[first - 1 :], dtype=np.int64)[::-1])[::-1]
+                for k in range(0, len(saved), SLICE):
+                    m = min(SLICE, len(saved) - k)
+                    depth = np.arange(first + k, first + k + m)
+                    ends_here, first_here = depth == len(chars), depth == first
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([key if e else None for e in ends_here], pa.binary()),
+                            pa.array([parent if e else None for e in first_here], pa.binary()),
+                            pa.array(depth, pa.int64()),
+                            pa.array([conv] * m, pa.int64()),
+                            pa.array([None if e else conv for e in first_here], pa.int64()),
+                            pa.array([n] * m, pa.int64()),
+                            pa.array((~ends_here).astype(np.int64)),
+                            pa.array([1] * m, pa.int64()),
+                            pa.array(saved[k : k + m]),
+                        ],
+                        names=["key", "parent", "depth", "conv_id", "known", "n_convs", "n_children", "n_leaves", "saved_tokens"],
+                    )
+
+    rows = sequences.where("first is not null").select("conv_id", "n_convs", "first", F.transform("path", lambda x: x["c"]).alias("chars"), _key(F.col("path")).alias("key"), _key(F.slice("path", F.lit(1), F.col("first") - 1)).alias("parent"))
+    return mapped(rows, task, "key binary, parent binary, depth long, conv_id long, known long, n_convs long, n_children long, n_leaves long, saved_tokens long")
+
+
+def peel(spark: SparkSession, sequences: DataFrame) -> list[DataFrame]:
+    """Shared nodes by depth, deepest first: path, depth, conv_id, n_convs, n_children, n_leaves, saved_tokens."""
+    zero, one = (F.lit(k).cast("long") for k in (0, 1))
+    tail = F.col("first").isNotNull()
+    left = F.aggregate(F.slice("path", F.col("first"), F.size("path") - F.col("first") + 1), zero, lambda a, x: a + x["c"])
+    whole = sequences.select(
+        F.when(tail, F.slice("path", F.lit(1), F.col("first") - 1)).otherwise(F.col("path")).alias("path"),
+        "n_convs",
+        "conv_id",
+        tail.cast("long").alias("child"),
+        tail.cast("long").alias("n_leaves"),
+        F.when(tail, (F.col("n_convs") - 1) * left).otherwise(zero).alias("saved"),
+    )
+    whole = keep(spark, whole, "ending")
     deepest = whole.agg(F.max(F.size("path"))).head()[0]
-    zero = F.lit(0).cast("long")
     levels: list[DataFrame] = []
     for depth in range(-1 if deepest is None else deepest, -1, -1):
-        rows = whole.where(F.size("path") == depth).select("path", "n_convs", "conv_id", zero.alias("child"), zero.alias("n_leaves"), zero.alias("saved"))
+        rows = whole.where(F.size("path") == depth)
         if levels:
-            stripped = levels[-1].select(F.slice("path", 1, depth).alias("path"), "n_convs", "conv_id", F.lit(1).cast("long").alias("child"), "n_leaves", F.col("saved_tokens").alias("saved"))
+            stripped = levels[-1].select(F.slice("path", 1, depth).alias("path"), "n_convs", "conv_id", one.alias("child"), "n_leaves", F.col("saved_tokens").alias("saved"))
             rows = rows.unionByName(stripped)
         found = rows.groupBy("path").agg(F.sum("n_convs").alias("n_convs"), F.min("conv_id").alias("conv_id"), F.sum("child").alias("n_children"), F.sum("n_leaves").alias("leaves"), F.sum("saved").alias("saved"))
         last = F.coalesce(F.try_element_at("path", F.lit(-1))["c"].cast("long"), zero)
-        nodes = found.select("path", F.lit(depth).cast("long").alias("depth"), "conv_id", "n_convs", "n_children", F.greatest("leaves", F.lit(1).cast("long")).alias("n_leaves"), (F.col("saved") + (F.col("n_convs") - 1) * last).alias("saved_tokens"))
+        nodes = found.select("path", F.lit(depth).cast("long").alias("depth"), "conv_id", "n_convs", "n_children", F.greatest("leaves", one).alias("n_leaves"), (F.col("saved") + (F.col("n_convs") - 1) * last).alias("saved_tokens"))
         levels.append(keep(spark, nodes, f"nodes-{depth}"))
     return levels
 
@@ -127,24 +181,30 @@ NODE = "conv_id long, depth long, parent_conv_id long, n_convs long, n_children
 
 def trie(spark: SparkSession, convs: DataFrame, hot_parents: int = HOT_PARENTS, chunk: int = CHUNK) -> DataFrame:
     """One row for each node of the trie over ``convs`` (conv_id, path)."""
-    levels = peel(spark, convs)
+    sequences = keep(spark, convs.groupBy("path").agg(F.count(F.lit(1)).alias("n_convs"), F.min("conv_id").alias("conv_id")), "distinct")
+    sequences = keep(spark, sequences.join(private_from(sequences), "conv_id", "left"), "sequences")
+    levels = peel(spark, sequences)
     if not levels:
         return spark.createDataFrame([], NODE)
     nodes = levels[0]
     for level in levels[1:]:
         nodes = nodes.unionByName(level)
-    nodes = keep(spark, nodes.withColumn("key", _key(F.col("path"))).withColumn("parent", F.when(F.col("depth") > 0, _key(F.slice("path", F.lit(1), F.greatest(F.size("path") - 1, F.lit(0)))))).drop("path"), "trie")
+    parent = F.when(F.col("depth") > 0, _key(F.slice("path", F.lit(1), F.greatest(F.size("path") - 1, F.lit(0)))))
+    nodes = nodes.withColumns({"key": _key(F.col("path")), "parent": parent, "known": F.lit(None).cast("long")}).drop("path")
+    nodes = keep(spark, nodes.unionByName(tails(sequences)), "trie")
     least = nodes.count() // hot_parents
-    inner = nodes.where("n_children > 0").select(F.col("key").alias("parent"), F.col("conv_id").alias("parent_conv_id"), "n_children")
+    inner = nodes.where("n_children > 0 and key is not null").select(F.col("key").alias("parent"), F.col("conv_id").alias("parent_conv_id"), "n_children")
     hot = inner.where(F.col("n_children") > least).select("parent", F.col("parent_conv_id").alias("hot_conv_id"))
     rest = inner.where(F.col("n_children") <= least).drop("n_children")
-    placed = nodes.join(F.broadcast(hot), "parent", "left")
     shown = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"]
-    # nodes of hot parents are done; only the others meet the table of parents
-    done = placed.where("hot_conv_id is not null or parent is null").withColumn("parent_conv_id", F.col("hot_conv_id"))
+    placed = nodes.join(F.broadcast(hot), "parent", "left")
+    # nodes of hot parents and of tails are done; only the others meet the table of parents
+    done = placed.where("hot_conv_id is not null or parent is null").withColumn("parent_conv_id", F.coalesce("hot_conv_id", "known"))
     open_ = placed.where("hot_conv_id is null and parent is not null").join(rest, "parent", "left")
     placed = done.select("key", *shown).unionByName(open_.select("key", *shown))
-    return placed.join(ends(convs, chunk), "key", "left").select(*shown, F.coalesce("ends_sha256", F.lit(EMPTY)).alias("ends_sha256"))
+    # inside a tail nothing ends
+    ending = placed.where("key is not null").join(ends(convs, chunk), "key", "left").select(*shown, F.coalesce("ends_sha256", F.lit(EMPTY)).alias("ends_sha256"))
+    return ending.unionByName(placed.where("key is null").select(*shown, F.lit(EMPTY).alias("ends_sha256")))
 
 
 def report(spark: SparkSession, d: str) -> DataFrame:

@@ -75,7 +75,14 @@ def test_turnless_conversation_ends_at_the_root(spark):
     assert any(r[1] == 0 and r[7] != T.EMPTY for r in plain(rows))
 
 
-def test_a_round_groups_hash_based(spark):
-    convs = spark.createDataFrame([(1, [(b"a", 1), (b"b", 2)]), (2, [(b"a", 1)])], f"conv_id long, path {T.PATH}")
-    levels = T.peel(spark, convs)
-    assert [(r.depth, r.n_convs, r.n_children, r.n_leaves, r.saved_tokens) for level in levels for r in level.collect()] == [(2, 1, 0, 1, 0), (1, 2, 1, 1, 1), (0, 2, 1, 1, 1)]
+def test_long_conversations_add_no_rounds(spark):
+    rows = [(c, t, "user", f"{c if t > 2 else 0} {t}", "p", 1.0) for c in (7, 8, 9) for t in range(500)] + [(900 + c, t, "user", f"twin {t}", "p", 1.0) for c in range(3) for t in range(300)]
+    convs = T.turns_of(spark.createDataFrame(rows, SCHEMA))
+    sequences = convs.groupBy("path").agg(T.F.count(T.F.lit(1)).alias("n_convs"), T.F.min("conv_id").alias("conv_id"))
+    levels = T.peel(spark, sequences.join(T.private_from(sequences), "conv_id", "left"))
+    assert len(levels) <= 4
+    nodes = {(r.conv_id, r.depth): r for r in T.trie(spark, convs).collect()}
+    assert len(nodes) == 1 + 3 + 3 * 497 + 300
+    assert nodes[7, 0].n_leaves == 4 and nodes[7, 3].n_children == 3 and nodes[8, 4].parent_conv_id == 7 and nodes[8, 500].parent_conv_id == 8
+    assert nodes[900, 1].saved_tokens == 2 * sum(len(f"twin {t}") for t in range(300)) and nodes[900, 1].parent_conv_id == 7
+    assert nodes[900, 300].ends_sha256 == hashlib.sha256(b"900,901,902").hexdigest() and nodes[900, 299].ends_sha256 == T.EMPTY
