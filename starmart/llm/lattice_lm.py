@@ -14,7 +14,7 @@ segmentations with these arcs, ``lattice_score`` that of the pieces alone.
 
 How it runs: words of all documents are counted (before and after one shuffle),
 each distinct word's probability is computed once, a batch of words of one length at a
-time. The ``HOT_WORDS`` most frequent words go to the tasks as a broadcast of bounded size;
+time, gathered over Arrow batches; a very long run is a word of its own lattice, walked in blocks. The ``HOT_WORDS`` most frequent words go to the tasks as a broadcast of bounded size;
 what a document has beyond them is joined by word. Since no word outside the
 broadcast is frequent, the join has no hot key, and nothing is left out.
 
@@ -26,6 +26,7 @@ and the vocabulary's own weights are used. Further columns aren't read.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -41,6 +42,10 @@ HOT_WORDS = 150_000  # bound of the broadcast
 ROUNDS = 2  # of expectation maximisation
 SMOOTHING = 0.1
 BATCH = 1 << 16  # characters of words of one length taken at a time
+GATHER = 32_000  # words of several Arrow batches grouped by length at a time
+GATHER_BYTES = 1 << 20
+LONG = 400  # bytes; longer words are taken one by one
+REACH = 1 << 15  # positions of a long word whose arcs are held at a time
 MARK = 0x2581  # begins each word in the vocabulary
 _FOREIGN = 0x110000  # the mark as a character of a text
 _TO_LOWER = bytes(V.LOWER)
@@ -183,18 +188,118 @@ def _forward(edges: list, n: int) -> list[np.ndarray]:
     return alpha
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: str = "word") -> Iterator[pa.RecordBatch]:
+    """Larger batches, so that words of one length come together; Arrow's own hold as few rows as whole texts allow."""
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        rows, size = rows + batch.num_rows, size + batch[column].nbytes
+        if rows >= GATHER or size >= GATHER_BYTES:
+            yield pa.concat_batches(held)
+            held, rows, size = [], 0, 0
+    if rows:
+        yield pa.concat_batches(held)
+
+
+class LongWord:
+    """The lattice of one long word: arcs are found for a block of positions at a time, a piece length at a time."""
+
+    def __init__(self, pieces: Pieces, word: bytes, logp: np.ndarray):
+        cp = np.frombuffer(word.decode().encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+        self.cp = np.concatenate([[MARK], np.where(cp == MARK, _FOREIGN, cp)])
+        self.n, self.pieces, self.logp = len(self.cp), pieces, logp
+        v = pieces.value[self.cp & 0xFFF] * (self.cp.astype(np.uint64) * np.uint64(2) + np.uint64(1))
+        p, self.inverse = V._powers(self.n)
+        self.sums = np.zeros(self.n + 1, dtype=np.uint64)
+        np.cumsum(v * p[: self.n], out=self.sums[1:])
+
+    def blocks(self) -> list[int]:
+        return list(range(0, self.n, REACH))
+
+    def arcs(self, lo: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(end, begin, piece, log weight) of the arcs that end in lo+1..lo+REACH, by end; a spelled character has piece -2."""
+        hi = min(self.n, lo + REACH)
+        ends, begins, found = [], [], []
+        for size in range(1, self.pieces.longest + 1):
+            j = np.arange(max(lo + 1, size), hi + 1)
+            i = j - size
+            rows, piece = self.pieces.find(V.mix((self.sums[j] - self.sums[i]) * self.inverse[i]) | np.uint64(1))
+            ends.append(j[rows])
+            begins.append(i[rows])
+            found.append(piece)
+        weights = [self.logp[p] for p in found]
+        at = np.arange(lo, hi)
+        odd = at[~self.pieces.single[self.cp[at]]]
+        if len(odd):
+            kinds, which = np.unique(self.cp[odd], return_inverse=True)
+            ends.append(odd + 1)
+            begins.append(odd)
+            found.append(np.full(len(odd), -2))
+            weights.append(np.array([sum(self.logp[b] for b in self.pieces.bytes_of(int(c))) for c in kinds])[which])
+        j = np.concatenate(ends)
+        order = np.argsort(j, kind="stable")
+        return j[order], np.concatenate(begins)[order], np.concatenate(found)[order], np.concatenate(weights)[order]
+
+    def forward(self) -> np.ndarray:
+        alpha = [-math.inf] * (self.n + 1)
+        alpha[0] = 0.0
+        for lo in self.blocks():
+            j, i, _, w = self.arcs(lo)
+            for end, begin, weight in zip(j.tolist(), i.tolist(), w.tolist()):
+                alpha[end] = _added(alpha[end], alpha[begin] + weight)
+        return np.array(alpha)
+
+    def counts(self, times: float, total: np.ndarray) -> None:
+        """Adds the expected use of each piece."""
+        alpha = self.forward()
+        beta = [-math.inf] * (self.n + 1)
+        beta[self.n] = 0.0
+        for lo in reversed(self.blocks()):
+            j, i, piece, w = self.arcs(lo)
+            for end, begin, weight in zip(j[::-1].tolist(), i[::-1].tolist(), w[::-1].tolist()):
+                beta[begin] = _added(beta[begin], beta[end] + weight)
+            first = int(j[0])
+            share = np.exp(alpha[i] + w + np.array(beta[first : int(j[-1]) + 1])[j - first] - alpha[self.n]) * times
+            own = piece >= 0
+            total += np.bincount(piece[own], weights=share[own], minlength=len(total))
+            if not own.all():
+                kinds, which = np.unique(self.cp[i[~own]], return_inverse=True)
+                for c, x in zip(kinds.tolist(), np.bincount(which, weights=share[~own]).tolist()):
+                    for b in self.pieces.bytes_of(c):
+                        total[b] += x
+
+
+def _added(a: float, b: float) -> float:
+    """log(exp(a) + exp(b))"""
+    if a < b:
+        a, b = b, a
+    return a if b == -math.inf else a + math.log1p(math.exp(b - a))
+
+
+def _parted(words: list[bytes]) -> tuple[np.ndarray, list[int]]:
+    size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    return np.flatnonzero(size <= LONG), np.flatnonzero(size > LONG).tolist()
+
+
 def word_logs(pieces: Pieces, words: list[bytes], logp: np.ndarray) -> np.ndarray:
     """Natural log of each word's marginal probability over all segmentations."""
     out = np.zeros(len(words))
-    for at, cp in _batches(words):
-        out[at] = _forward(_edges(pieces, cp, logp), len(at))[-1]
+    short, long = _parted(words)
+    for at, cp in _batches([words[k] for k in short.tolist()] if long else words):
+        out[short[at]] = _forward(_edges(pieces, cp, logp), len(at))[-1]
+    for k in long:
+        out[k] = LongWord(pieces, words[k], logp).forward()[-1]
     return out
 
 
 def expected_counts(pieces: Pieces, words: list[bytes], counts: np.ndarray, logp: np.ndarray) -> np.ndarray:
     """Expected use of each piece over all segmentations of the words (forward-backward)."""
     total = np.zeros(len(pieces.names))
-    for at, cp in _batches(words):
+    short, long = _parted(words)
+    for k in long:
+        LongWord(pieces, words[k], logp).counts(float(counts[k]), total)
+    counts = counts[short]
+    for at, cp in _batches([words[k] for k in short.tolist()] if long else words):
         edges = _edges(pieces, cp, logp)
         n, m = cp.shape[1], len(at)
         alpha = _forward(edges, m)
@@ -263,7 +368,7 @@ def fit(spark: SparkSession, words: DataFrame, ends: float, pieces: Pieces, roun
 
         def task(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             total = np.zeros(len(sent.value.names))
-            for batch in batches:
+            for batch in gathered(batches):
                 total += expected_counts(sent.value, batch["word"].to_pylist(), np.ones(batch.num_rows), now.value)
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], names=["piece", "n"])
@@ -308,7 +413,7 @@ def score(spark: SparkSession, documents: DataFrame, pieces: Pieces | None = Non
     lower = discount * kinds / max(1, n_tokens) * (begins + p[pieces.end]) / begins if kinds else 1.0
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches):
             s = word_logs(sent.value, batch["word"].to_pylist(), probs.value)
             arc = np.maximum(batch["c"].to_numpy() - discount, 0) / max(1, n_tokens)
             with np.errstate(divide="ignore"):

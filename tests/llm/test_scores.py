@@ -1,5 +1,6 @@
 """Lattice language model and length histogram against brute force."""
 
+import time
 from collections import Counter
 from math import log10
 from zlib import crc32
@@ -52,6 +53,35 @@ def test_expected_counts_are_gradients(pieces):
     assert lattice_lm.word_logs(pieces, [b"z" * 5000], pieces.start)[0] < -1000
 
 
+def test_long_words_like_short_ones(pieces, monkeypatch):
+    words = ["thanedble日☃x" * 9, "z" * 90, "the", "\u2581a" * 40, "\U0001f600é" * 30]
+    words = [w.encode() for w in words]
+    counts = np.array([1.0, 2.0, 3.0, 1.0, 5.0])
+    a, e = lattice_lm.word_logs(pieces, words, pieces.start), lattice_lm.expected_counts(pieces, words, counts, pieces.start)
+    monkeypatch.setattr(lattice_lm, "LONG", 0)
+    monkeypatch.setattr(lattice_lm, "REACH", 7)
+    assert np.allclose(lattice_lm.word_logs(pieces, words, pieces.start), a, rtol=1e-9, atol=0)
+    assert np.allclose(lattice_lm.expected_counts(pieces, words, counts, pieces.start), e, rtol=1e-9)
+
+
+def test_a_run_of_200000_letters(pieces):
+    word = ("qzjxkvbpthe日本" * 20_000)[:200_000].encode()
+    began = time.monotonic()
+    assert lattice_lm.word_logs(pieces, [word], pieces.start)[0] < -200_000
+    assert lattice_lm.expected_counts(pieces, [word], np.ones(1), pieces.start).sum() > 20_000
+    assert time.monotonic() - began < 30
+
+
+def test_batch_size_changes_nothing(pieces):
+    import pyarrow as pa
+
+    words = [f"w{k * k}x{'ab' * (k % 9)}".encode() for k in range(3000)]
+    table = pa.table({"word": pa.array(words, pa.binary())})
+    logs = [np.concatenate([lattice_lm.word_logs(pieces, b["word"].to_pylist(), pieces.start) for b in lattice_lm.gathered(table.to_batches(max_chunksize=n))]) for n in (7, 2000, 5000)]
+    assert all(np.allclose(x, logs[0], rtol=1e-9) for x in logs)
+    assert sum(b.num_rows for b in lattice_lm.gathered(table.to_batches(max_chunksize=2000))) == 3000
+
+
 def test_scores_against_brute_force(spark, pieces, monkeypatch):
     monkeypatch.setattr(lattice_lm, "HOT_WORDS", 30)
     docs = awkward(spark)
