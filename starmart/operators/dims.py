@@ -12,11 +12,27 @@ from ..functions import expr as E
 from .ranking import with_row_number
 
 
-def keep_absent(new: DataFrame, previous: DataFrame | None, member: str) -> DataFrame:
-    """Members that left the feed stay in the dimension, so their keys are never given to others."""
+def keep_absent(new: DataFrame, previous: DataFrame | None, key: str) -> DataFrame:
+    """Rows whose surrogate key is not in the new load stay in the dimension: members that left the feed, and older keys of an
+    id that was once loaded twice. No key is ever given to others, and none that the fact uses disappears."""
     if previous is None:
         return new
-    return new.unionByName(previous.join(new.select(member), member, "left_anti").select(*new.columns))
+    return new.unionByName(previous.join(new.select(key), key, "left_anti").select(*new.columns))
+
+
+def one_per_id(feed: DataFrame, id_col: str) -> DataFrame:
+    """One row for each id (a NULL id is one value): of several the one that sorts first by the other columns."""
+    others = [c for c in feed.columns if c != id_col]
+    if not others:
+        return feed.distinct()
+    kept = feed.groupBy(id_col).agg(F.min(F.struct(*others)).alias("_r"))
+    return kept.select(id_col, "_r.*").select(*feed.columns)
+
+
+def repeated_ids(feed: DataFrame, id_col: str) -> DataFrame:
+    """member (as text), rows: ids that a feed holds more than once."""
+    n = feed.groupBy(id_col).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    return n.select(F.col(id_col).cast("string").alias("member"), "rows")
 
 
 def calendar_span(dates: DataFrame, column: str) -> DataFrame:
@@ -74,7 +90,7 @@ def assign_keys(
     order = [(c, True) for c in (order_by or [id_col])]
     if existing is None:
         return with_row_number(incoming, order, key_col).withColumn(key_col, F.col(key_col).cast("long"))
-    ex = existing.select(F.col(id_col).alias("_id"), F.col(key_col).alias("_key"))
+    ex = existing.groupBy(F.col(id_col).alias("_id")).agg(F.max(key_col).alias("_key"))  # an id held twice: its latest key
     j = incoming.join(ex, incoming[id_col] == ex["_id"], "left").drop("_id")
     old = j.where(F.col("_key").isNotNull()).withColumnRenamed("_key", key_col)
     new = j.where(F.col("_key").isNull()).drop("_key")
@@ -92,7 +108,7 @@ def build_dim_seller(sellers: DataFrame, run_date: str, existing: DataFrame | No
         F.col("seller_zip_code_prefix").cast("string").alias("seller_zip_prefix"),
         F.lit(run_date).cast("date").alias("etl_load_date"),
     )
-    s = assign_keys(s, "seller_id", "seller_key", existing)
+    s = assign_keys(one_per_id(s, "seller_id"), "seller_id", "seller_key", existing)
     return s.select("seller_key", "seller_id", "seller_city", "seller_state", "seller_zip_prefix", "etl_load_date")
 
 
@@ -105,7 +121,7 @@ def build_dim_product(stg_products: DataFrame, run_date: str, existing: DataFram
         *[E.coerce_number(c, "decimal(10,2)").alias(c) for c in ("product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")],
         F.lit(run_date).cast("date").alias("etl_load_date"),
     )
-    p = assign_keys(p, "product_id", "product_key", existing)
+    p = assign_keys(one_per_id(p, "product_id"), "product_id", "product_key", existing)
     return p.select(
         "product_key",
         "product_id",
@@ -141,9 +157,10 @@ class Scd2Result:
     actions: DataFrame  # one row per incoming member: id, action in (new, updated, unchanged)
 
 
-def empty_dim_customer(spark: SparkSession) -> DataFrame:
+def empty_dim_customer(spark: SparkSession, id_type: str = "bigint") -> DataFrame:
+    """The customer dimension before its first load; ``id_type`` is the feed's."""
     schema = (
-        "customer_key long, customer_id long, customer_unique_id string, customer_city string, "
+        f"customer_key long, customer_id {id_type}, customer_unique_id string, customer_city string, "
         "customer_state string, customer_zip_prefix string, effective_start_date date, "
         "effective_end_date date, is_current boolean, record_version int, etl_load_date date"
     )

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The columns of the fact table.
 FACT_COLUMNS = (
     "date_key",
     "customer_key",
@@ -30,33 +31,19 @@ FACT_COLUMNS = (
     "etl_load_date",
 )
 
-# Columns stg_items carries from phase 2 that are re-joined from the orders.
-CONFLICT_COLS = ("date_key", "order_year", "order_month", "order_quarter", "is_on_time", "delivery_days", "status_category")
-ORDER_COLS = (
-    "order_id",
-    "customer_id",
-    "date_key",
-    "order_year",
-    "order_month",
-    "order_quarter",
-    "order_status",
-    "status_category",
-    "delivery_days",
-    "delivery_delay_days",
-    "is_on_time",
-    "order_purchase_timestamp",
-)
 # What identifies a line: the keys of products and sellers are stable.
 LINE_KEY = ("order_id", "order_item_seq", "product_key", "seller_key")
-REQUIRED_COLS = ("date_key", "customer_id", "product_id", "seller_id", "gross_revenue", "delivery_delay_days")
+# Ids that the lookups start from; with the fact's date and money they must be there and not NULL.
+LOOKUP_IDS = ("customer_id", "product_id", "seller_id")
+REQUIRED_COLS = ("date_key", *LOOKUP_IDS, "gross_revenue", "delivery_delay_days")
 
 
-def incremental_orders(stg_orders: DataFrame, watermark) -> DataFrame:
+def incremental_orders(stg_orders: DataFrame, watermark, clock: str = "order_purchase_timestamp") -> DataFrame:
     """Orders strictly after the watermark (``None`` -> all). The predicate is
     on a plain column, so it reaches the parquet scan as a pushed filter."""
     if watermark is None:
         return stg_orders
-    return stg_orders.where(F.col("order_purchase_timestamp") > F.lit(watermark).cast("timestamp_ntz"))
+    return stg_orders.where(F.col(clock) > F.lit(watermark).cast("timestamp_ntz"))
 
 
 @dataclass
@@ -110,8 +97,10 @@ def build_fact(
     Spark (statistics, then AQE at runtime): broadcast when small, shuffle
     join otherwise.
     """
-    items = stg_items.drop(*[c for c in CONFLICT_COLS if c in stg_items.columns])
-    o = orders.select(*[c for c in ORDER_COLS if c in orders.columns])
+    # what the fact needs of an order comes from the order itself, whatever the lines carry along
+    needed = {*FACT_COLUMNS, *LOOKUP_IDS, "order_purchase_timestamp"}
+    o = orders.select(*[c for c in orders.columns if c in needed])
+    items = stg_items.drop(*[c for c in stg_items.columns if c in orders.columns and c != "order_id"])
     cmap = key_map(dim_customer.where(F.col("is_current")), "customer_id", "customer_key", "_c_id")
     o = o.join(cmap, o["customer_id"] == cmap["_c_id"], "left").drop("_c_id")
     pay = stg_payments.select("order_id", "primary_payment_type", "payment_installments", "total_payment_value")

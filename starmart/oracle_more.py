@@ -437,6 +437,50 @@ q AS (SELECT CAST(order_id AS BIGINT) AS order_id, CAST(order_item_id AS BIGINT)
 SELECT * FROM q""")
 
 
+@oracle("fact_failure_queue")
+def _failure_queue():
+    # lines of sellers that the first feed lacks fail twice; the second feed's load at the third run, the rest at the fourth
+    return with_base(f"""
+fa AS (
+  SELECT i.order_id, i.order_item_id, i.product_id, i.seller_id, o.order_purchase_timestamp AS ts, i.seller_id IN ({_sellers_in(None, SELLER_FEEDS[1])}) AS third
+  FROM stg_items i JOIN stg_orders o ON i.order_id = o.order_id
+  WHERE i.seller_id NOT IN ({_sellers_in(None, SELLER_FEEDS[0])})
+)
+SELECT CAST(order_id AS BIGINT) AS order_id, CAST(order_item_id AS BIGINT) AS order_item_id, CAST(product_id AS BIGINT) AS product_id,
+  CAST(seller_id AS BIGINT) AS seller_id, 'loaded' AS state, 'seller' AS failed_dims, CAST(count(*) AS BIGINT) AS lines,
+  CAST(CASE WHEN third THEN 3 ELSE 4 END AS BIGINT) AS attempts, CAST(10 AS BIGINT) AS first_run,
+  CAST(CASE WHEN third THEN 30 ELSE 40 END AS BIGINT) AS last_run, CAST(max(year(ts) * 100 + month(ts)) AS BIGINT) AS fail_month
+FROM fa GROUP BY order_id, order_item_id, product_id, seller_id, third""")
+
+
+simple("fact_full_reload", FACT_SPEC, "fact_sales")
+simple("fact_late_orders", FACT_SPEC, "fact_sales")
+
+
+@oracle("control_log_jobs")
+def _control_log_jobs():
+    def row(log_id, target, loaded, last="NULL", status="SUCCESS", error="NULL"):
+        return (f"SELECT CAST({log_id} AS BIGINT) AS log_id, '{target}' AS target_table, CAST({loaded} AS BIGINT) AS records_loaded, CAST(0 AS BIGINT) AS records_rejected, "
+                f"CAST({last} AS VARCHAR) AS last_loaded_ts, '{status}' AS status, CAST({error} AS VARCHAR) AS error_message, TRUE AS timed")
+
+    placed = "(SELECT strftime(max(o.order_purchase_timestamp), '%Y-%m-%d %H:%M:%S') FROM fact_sales f JOIN stg_orders o ON o.order_id = f.order_id{})"
+    early = f" WHERE o.order_purchase_timestamp < TIMESTAMP '{_INCR_CUT}'"
+    lines = "(SELECT count(*) FROM fact_sales f JOIN stg_orders o ON o.order_id = f.order_id WHERE o.order_purchase_timestamp {} TIMESTAMP '" + _INCR_CUT + "')"
+    parts = [row(n, t, f"(SELECT count(*) FROM {t})") for n, t in enumerate(("dim_date", "dim_seller", "dim_product", "dim_customer"), start=1)]
+    parts.append(row(5, "fact_sales", lines.format("<"), placed.format(early)))
+    parts.append(row(6, "fact_sales", "0", status="FAILED", error="'the staged input lacks fact columns: gross_revenue'"))
+    parts.append(row(7, "fact_sales", lines.format(">="), placed.format("")))
+    return with_base("q AS (" + " UNION ALL ".join(parts) + ") SELECT * FROM q")
+
+
+@oracle("dim_seller_duplicate_feed")
+def _seller_duplicates():
+    return with_base("""q AS (SELECT * FROM dim_seller)
+SELECT CAST(row_number() OVER (ORDER BY seller_id) AS BIGINT) AS seller_key, CAST(seller_id AS BIGINT) AS seller_id,
+  CASE WHEN 'A ' || seller_city < seller_city THEN 'A ' || seller_city ELSE seller_city END AS seller_city,
+  seller_state, seller_zip_prefix, '2000-03-01' AS etl_load_date FROM q""")
+
+
 @oracle("fact_required_audit")
 def _fact_audit():
     cols = ("date_key", "customer_id", "product_id", "seller_id", "gross_revenue", "delivery_delay_days")

@@ -19,8 +19,9 @@ from ..operators import dims as D
 from ..operators import facts as FA
 from ..operators import staging as S
 from ..sources import fixtures as FX
-from ..sources.io import read_if_exists
+from ..sources.io import nan_to_null
 from .star import Params, build_dims, stage_all
+from .warehouse import LOG, ROWS_PER_FILE, Transaction, Warehouse
 
 CONTROL_LOG_SCHEMA = (
     "log_id long, target_table string, run_start_ts timestamp_ntz, run_end_ts timestamp_ntz, "
@@ -287,6 +288,64 @@ def batch_days(fact: DataFrame, batch: DataFrame) -> DataFrame:
     return fact.where(F.col("fact_year").isin(years)).join(F.broadcast(days.select("date_key")), "date_key", "left_semi")
 
 
+QUEUE = "fact_failure_queue"
+QUEUE_KEY = ("order_id", "order_item_id", "product_id", "seller_id")
+
+
+def merge_failures(tx: Transaction, assembled: DataFrame, run: int) -> None:
+    """F5/S6: the failure queue holds each line that ever failed a lookup once, with its state (pending or loaded),
+    the number of attempts, and the first and last run that tried it. The outcomes of a run are merged by
+    line into the months that hold them; other months keep their files. Lines with equal business keys
+    are one row with their number. ``assembled``: all lines of the run with ``failed_dims``, checkpointed."""
+    old = tx.read(QUEUE)
+    bad = F.size("failed_dims") > 0
+    month = F.coalesce(F.year("order_purchase_timestamp") * 100 + F.month("order_purchase_timestamp"), F.lit(0)).alias("fail_month")
+    tried = assembled.select(*QUEUE_KEY, month, bad.alias("bad"), F.array_join("failed_dims", ",").alias("failed_dims"))
+    out = tried.where("bad")
+    if old is not None:
+        # a line that loads matters only if it failed before
+        waiting = old.where("state = 'pending'").select(*[F.col(c).alias(f"_{c}") for c in QUEUE_KEY])
+        out = out.unionByName(tried.where(~F.col("bad")).join(waiting, _same(QUEUE_KEY, "_"), "left_semi"))
+    out = out.groupBy(*QUEUE_KEY).agg(
+        F.max("fail_month").alias("fail_month"), F.max(F.col("bad").cast("int")).alias("bad"), F.count(F.lit(1)).alias("lines"), F.max("failed_dims").alias("failed_dims")
+    ).checkpoint(eager=True)
+    touched = [r[0] for r in out.select("fail_month").distinct().collect()]  # at most the calendar's months
+    if not touched:
+        return
+    runs = F.lit(run).cast("long")
+    new = out.select(*[F.col(c).alias(f"_{c}") for c in QUEUE_KEY], F.col("fail_month").alias("_month"), F.col("bad").alias("_bad"), F.col("lines").alias("_lines"), F.col("failed_dims").alias("_failed"))
+    if old is None:
+        old = tx.w.spark.createDataFrame([], queue_schema(out))
+    both = old.where(F.col("fail_month").isin(touched)).withColumn("_old", F.lit(True)).join(new, _same(QUEUE_KEY, "_"), "full")
+    hit = F.col("_bad").isNotNull()
+    key = [F.when(F.col("_old"), F.col(c)).otherwise(F.col(f"_{c}")).alias(c) for c in QUEUE_KEY]
+    merged = both.select(
+        *key,
+        F.when(hit, F.when(F.col("_bad") > 0, F.lit("pending")).otherwise(F.lit("loaded"))).otherwise(F.col("state")).alias("state"),
+        F.when(F.col("_bad") > 0, F.col("_failed")).otherwise(F.col("failed_dims")).alias("failed_dims"),
+        F.when(hit, F.col("_lines")).otherwise(F.col("lines")).alias("lines"),
+        (F.coalesce("attempts", F.lit(0)) + hit.cast("int")).cast("int").alias("attempts"),
+        F.coalesce("first_run", runs).alias("first_run"),
+        F.when(hit, runs).otherwise(F.col("last_run")).alias("last_run"),
+        F.coalesce("fail_month", "_month").alias("fail_month"),
+    )
+    tx.replace_partitions(QUEUE, merged, "fail_month", touched)
+
+
+def queue_schema(lines: DataFrame) -> str:
+    """Columns of the failure queue for lines with these key types."""
+    kinds = dict(lines.dtypes)
+    return ", ".join(f"{c} {kinds[c]}" for c in QUEUE_KEY) + ", state string, failed_dims string, lines long, attempts int, first_run long, last_run long, fail_month int"
+
+
+def _same(keys: Sequence[str], prefix: str):
+    """Null-safe equality of each key with its prefixed twin."""
+    cond = F.lit(True)
+    for c in keys:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))
+    return cond
+
+
 def load_fact(
     spark: SparkSession,
     stg: dict[str, DataFrame],
@@ -295,66 +354,66 @@ def load_fact(
     run_date: str,
     log_id: int,
     purchase_time_fixed: bool = True,
+    full_reload: bool = False,
+    watermark_basis: str = "data",
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> dict:
     """Phase-4 job: F1 load mode, F2 watermark from the control log, F3
     selection, F4-F6 assembly, F7 load, L2 control-log row.
 
-    FULL (fact table missing or empty) writes the table; INCREMENTAL selects
-    orders after the last successful watermark and those with stored lookup
-    failures, drops lines already loaded (N7) and appends. Lines that fail a
-    lookup are stored under ``fact_lookup_failures``, partitioned by run, and
-    tried again by every later run until they load. The guard reads only the
+    FULL (no fact yet, an empty one, or ``full_reload``) replaces the table; INCREMENTAL selects
+    orders after the last successful watermark and those with lines pending in the
+    failure queue, drops lines already loaded (N7) and appends. Fact, failure queue, the audit of required columns (P26) and
+    control log change in one commit (N8): a run that dies at any point leaves the tables as they were. The guard reads only the
     fact's years and days that the batch holds, as an order keeps its purchase
     time; ``purchase_time_fixed=False`` compares with the whole fact. The
-    watermark stored is the latest purchase time loaded (N6). Only a missing path counts as a missing table; any other
-    failure ends the run, with a FAILED row in the control log. Returns
+    watermark is the latest purchase time loaded; with ``watermark_basis='load_time'`` it is the latest arrival
+    (column ``arrived_at`` of the staged orders, see ``sources.io.with_arrival``), so orders placed earlier that arrive late are found (N6).
+    A failure ends the run, with a FAILED row in the control log. Returns
     mode, rows loaded, lookup failures, watermark.
     """
-    fact_path = f"{base.rstrip('/')}/fact_sales_table"
-    log_path = f"{base.rstrip('/')}/etl_control_log"
-    with run_logged(spark, log_id, "fact_sales", sink=log_path) as log:
-        shape = FA.build_fact(
-            stg["stg_items"], stg["stg_orders"], stg["stg_payments"], dims["dim_customer"], dims["dim_product"],
-            dims["dim_seller"], run_date,
-        ).fact.withColumn("fact_year", F.lit(0)).schema
-        existing = read_if_exists(spark, fact_path, shape)
-        mode = "FULL" if existing is None else load_mode(existing)
+    clock = {"data": "order_purchase_timestamp", "load_time": "arrived_at"}[watermark_basis]
+    with Warehouse(spark, base).begin(log_id, "fact_sales") as tx:
+        existing = tx.read("fact_sales")
+        mode = "FULL" if full_reload or existing is None else load_mode(existing)
         wm = None
         if mode == "INCREMENTAL":
-            past = read_if_exists(spark, log_path)
+            past = tx.read(LOG)
             wm = last_watermark(past).first()["watermark"] if past is not None else None  # one scalar
-        orders = FA.incremental_orders(stg["stg_orders"], wm)
-        failed_path = f"{base.rstrip('/')}/fact_lookup_failures"
-        order_id = stg["stg_orders"].select("order_id").schema
-        failed = read_if_exists(spark, failed_path, order_id) if wm is not None else None
-        if failed is not None:  # orders up to the watermark with lines that failed before
-            old = stg["stg_orders"].where(F.col("order_purchase_timestamp") <= F.lit(wm).cast("timestamp_ntz"))
-            orders = orders.unionByName(old.join(failed.select("order_id").distinct(), "order_id", "left_semi"))
+        orders = FA.incremental_orders(stg["stg_orders"], wm, clock)
+        queue = tx.read(QUEUE) if wm is not None else None
+        if queue is not None:  # orders up to the watermark with lines that wait
+            old = stg["stg_orders"].where(F.col(clock) <= F.lit(wm).cast("timestamp_ntz"))
+            waiting = queue.where("state = 'pending'").select("order_id").distinct()
+            orders = orders.unionByName(old.join(waiting, "order_id", "left_semi"))
         fb = FA.build_fact(
             stg["stg_items"], orders, stg["stg_payments"], dims["dim_customer"], dims["dim_product"], dims["dim_seller"],
             run_date, materialize=True,
         )
-        rows = fb.fact
+        rows = nan_to_null(fb.fact)
         if mode == "INCREMENTAL":
             rows = FA.dedupe_against(rows, batch_days(existing, rows) if purchase_time_fixed else existing)
-        rows = rows.checkpoint(eager=True)  # written, counted and used for the watermark
-        loaded = watermark_of(orders, rows).first()["watermark"]  # one scalar
-        fb.failures.withColumn("run", F.lit(log_id)).write.mode("append").partitionBy("run").parquet(failed_path)
-        (
-            rows.withColumn("fact_year", (F.col("date_key") / 10000).cast("int"))
-            .sortWithinPartitions("fact_year", "date_key")
-            .write.mode("overwrite" if mode == "FULL" else "append")
-            .partitionBy("fact_year")
-            .parquet(fact_path)
-        )
-        log.loaded, log.rejected = rows, fb.failures
-        log.last_loaded_ts = max((t for t in (loaded, wm) if t is not None), default=None)
-    return {"mode": mode, "rows": rows.count(), "failures": fb.failures.count(), "watermark": log.last_loaded_ts}
+        # Year partitions, rows sorted by date within each file: parquet min/max
+        # statistics then skip row groups for month/day slices as well.
+        rows = rows.withColumn("fact_year", (F.col("date_key") / 10000).cast("int"))
+        put = tx.replace if mode == "FULL" else tx.append
+        put("fact_sales", rows.sortWithinPartitions("fact_year", "date_key"), ["fact_year"], rows_per_file=rows_per_file)
+        merge_failures(tx, fb.assembled, log_id)
+        tx.append("fact_required_audit", FA.required_column_audit(fb.assembled).withColumn("run", F.lit(log_id).cast("long")).coalesce(1))
+        written = tx.written("fact_sales")
+        tx.loaded, tx.rejected = written, fb.failures
+        seen = watermark_of(orders, written).first()["watermark"] if watermark_basis == "data" else orders.agg(F.max(clock)).first()[0]  # one scalar
+        tx.last_loaded_ts = max((t for t in (seen, wm) if t is not None), default=None)
+        out = {"mode": mode, "rows": written.count(), "failures": fb.failures.count(), "watermark": tx.last_loaded_ts}
+    return out
 
 
-def _current_or_none(spark: SparkSession, base: str, name: str) -> DataFrame | None:
-    pointer = read_if_exists(spark, f"{base.rstrip('/')}/{name}/_current")
-    return None if pointer is None else _at_pointer(spark, pointer, base, name)
+def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """The current snapshot of a table that the load jobs wrote."""
+    found = Warehouse(spark, base).read(name)
+    if found is None:
+        raise ValueError(f"{base} has no table {name}")
+    return found
 
 
 def load_dimensions(
@@ -362,38 +421,47 @@ def load_dimensions(
     first_log_id: int = 1,
 ) -> dict:
     """Phase-3 job. The calendar is built once (D1); sellers and products are
-    reloaded with the keys of the previous snapshot kept and new members
+    reloaded with the keys of the key map kept and new members
     numbered after them (D2/D3, no re-numbering on reload); the customer
-    feed is merged as SCD2 into the previous snapshot (D4). Each table is a
-    new snapshot version; one control-log row per table (L2)."""
-    prev = {k: _current_or_none(spark, base, k) for k in ("dim_date", "dim_seller", "dim_product", "dim_customer")}
+    feed is merged as SCD2 into the previous snapshot (D4). The key map of a dimension (``keys_<name>``: one row for
+    each business id ever seen, of the feed's own type) only grows, in the commit that adds the members. A feed that
+    holds an id twice gives one row (``dims.one_per_id``) and the others to ``dim_duplicates``. Each table is one commit with its control-log row (L2)."""
+    wh = Warehouse(spark, base)
     out = {}
     log_id = first_log_id
-    log_path = f"{base.rstrip('/')}/etl_control_log"
-    dd = prev["dim_date"]
+    dd = wh.read("dim_date")
     new_dd = D.build_dim_date(spark, p.date_start, p.date_end) if dd is None else load_dim_date_if_empty(spark, dd, p.date_start, p.date_end)
     if new_dd is not None:
-        with run_logged(spark, log_id, "dim_date", sink=log_path) as log:
-            write_snapshot(new_dd, base, "dim_date", version)
-            log.loaded = new_dd
+        with wh.begin(log_id, "dim_date") as tx:
+            tx.replace("dim_date", new_dd)
+            tx.loaded = new_dd
         log_id += 1
     builders = {
-        "dim_seller": lambda: D.build_dim_seller(src["sellers"], p.run_date, prev["dim_seller"]),
-        "dim_product": lambda: D.build_dim_product(stg["stg_products"], p.run_date, prev["dim_product"]),
+        "dim_seller": lambda keys: D.build_dim_seller(src["sellers"], p.run_date, keys),
+        "dim_product": lambda keys: D.build_dim_product(stg["stg_products"], p.run_date, keys),
     }
+    feeds = {"dim_seller": src["sellers"], "dim_product": stg["stg_products"]}
     for name, fn in builders.items():
-        with run_logged(spark, log_id, name, sink=log_path) as log:
-            df = fn()
-            df = D.keep_absent(df, prev[name], name.removeprefix("dim_") + "_id").checkpoint(eager=True)
-            write_snapshot(df, base, name, version)
-            log.loaded = df
+        with wh.begin(log_id, name) as tx:
+            short = name.removeprefix("dim_")
+            prev, keys = tx.read(name), tx.read(f"keys_{name}")
+            if keys is None and prev is not None:
+                keys = FA.key_map(prev, f"{short}_id", f"{short}_key", f"{short}_id")
+            df = D.keep_absent(fn(keys), prev, f"{short}_key").checkpoint(eager=True)
+            tx.replace(name, df)
+            members = FA.key_map(df, f"{short}_id", f"{short}_key", f"{short}_id")
+            tx.append(f"keys_{name}", members if keys is None else members.join(keys, f"{short}_id", "left_anti"))
+            twice = D.repeated_ids(feeds[name], f"{short}_id").select(F.lit(name).alias("dimension"), F.col("member"), "rows", F.lit(version).alias("version"))
+            tx.append("dim_duplicates", twice)
+            tx.loaded = df
         log_id += 1
-    with run_logged(spark, log_id, "dim_customer", sink=log_path) as log:
-        r = D.scd2_merge(prev["dim_customer"] if prev["dim_customer"] is not None else D.empty_dim_customer(spark),
-                         stg["stg_customers"], p.run_date)
+    with wh.begin(log_id, "dim_customer") as tx:
+        feed = stg["stg_customers"]
+        prev = tx.read("dim_customer")
+        r = D.scd2_merge(D.empty_dim_customer(spark, dict(feed.dtypes)["customer_id"]) if prev is None else prev, feed, p.run_date)
         dim = r.dim.checkpoint(eager=True)
-        write_snapshot(dim, base, "dim_customer", version)
-        log.loaded = r.actions.where(F.col("action") != "unchanged")
+        tx.replace("dim_customer", dim)
+        tx.loaded = r.actions.where(F.col("action") != "unchanged")
         out["scd2_actions"] = D.scd2_action_counts(r.actions)
-    out.update({k: read_snapshot(spark, base, k) for k in ("dim_date", "dim_seller", "dim_product", "dim_customer")})
+    out.update({k: read_table(spark, base, k) for k in ("dim_date", "dim_seller", "dim_product", "dim_customer")})
     return out

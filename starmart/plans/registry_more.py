@@ -13,6 +13,7 @@ from ..operators import ranking as G
 from ..operators.staging import coerce_order_timestamps
 from ..session import scratch_path
 from ..sources import fixtures as FX
+from ..sources.io import with_arrival
 from . import analytics as AX
 from . import etl as ETL
 from . import marts as M
@@ -230,7 +231,7 @@ def _dim_seller_feeds(spark, sf_dir):
     for n, end in enumerate(SELLER_FEEDS, start=1):
         feed = src["sellers"].join(FX.sellers_in_orders(spark, sf_dir, start, end), "seller_id", "left_semi")
         new = D.build_dim_seller(feed, f"2000-0{n}-01", dim)
-        dim, start = D.keep_absent(new, dim, "seller_id").checkpoint(eager=True), end
+        dim, start = D.keep_absent(new, dim, "seller_key").checkpoint(eager=True), end
     return dim
 
 
@@ -255,7 +256,7 @@ def _fact_two_runs(spark, sf_dir):
         stg = _staged(spark, extract, base)
         dims = ETL.load_dimensions(spark, extract, stg, P, base, str(n), first_log_id=10 * n)
         ETL.load_fact(spark, stg, dims, base, P.run_date, 10 * n + 9)
-    return spark.read.parquet(f"{base}/fact_sales_table").drop("fact_year")
+    return ETL.read_table(spark, base, "fact_sales").drop("fact_year")
 
 
 @register("fact_after_dimension_fix")
@@ -267,10 +268,91 @@ def _fact_after_fix(spark, sf_dir):
     for n, sellers in enumerate((src["sellers"].join(known, "seller_id", "left_semi"), src["sellers"]), start=1):
         dims = ETL.load_dimensions(spark, dict(src, sellers=sellers), stg, P, base, str(n), first_log_id=10 * n)
         ETL.load_fact(spark, stg, dims, base, P.run_date, 10 * n + 9)
-    fact = spark.read.parquet(f"{base}/fact_sales_table")
+    fact = ETL.read_table(spark, base, "fact_sales")
     return fact.join(dims["dim_seller"].select("seller_key", "seller_id"), "seller_key").drop("fact_year", "seller_key")
 
 
+def _all_dims(spark, src, stg, base):
+    return ETL.load_dimensions(spark, src, stg, P, base, "1", first_log_id=1)
+
+
+def _known_sellers(spark, sf_dir, dims, end):
+    """The dimensions of a load that knew the sellers of orders before ``end`` only."""
+    known = FX.sellers_in_orders(spark, sf_dir, None, end)
+    return dict(dims, dim_seller=dims["dim_seller"].join(known, "seller_id", "left_semi"))
+
+
+@register("fact_failure_queue")
+def _failure_queue(spark, sf_dir):
+    """Four loads: two with the sellers of the first feed, one with those up to the second, one with all."""
+    src, base = _src(spark, sf_dir), _job_base(spark)
+    stg = _staged(spark, src, base)
+    dims = _all_dims(spark, src, stg, base)
+    early, later = (_known_sellers(spark, sf_dir, dims, end) for end in SELLER_FEEDS[:2])
+    for n, known in enumerate((early, early, later, dims), start=1):
+        ETL.load_fact(spark, stg, known, base, P.run_date, 10 * n)
+    return ETL.read_table(spark, base, ETL.QUEUE)
+
+
+@register("fact_full_reload")
+def _full_reload(spark, sf_dir):
+    """A fact that lacks the lines of unknown sellers is replaced by a full reload."""
+    src, base = _src(spark, sf_dir), _job_base(spark)
+    stg = _staged(spark, src, base)
+    dims = _all_dims(spark, src, stg, base)
+    ETL.load_fact(spark, stg, _known_sellers(spark, sf_dir, dims, SELLER_FEEDS[0]), base, P.run_date, 5)
+    ETL.load_fact(spark, stg, dims, base, P.run_date, 6, full_reload=True)
+    return ETL.read_table(spark, base, "fact_sales").drop("fact_year")
+
+
+@register("fact_late_orders")
+def _late_orders(spark, sf_dir):
+    """Orders placed before the cutoff land after the others: the load-time watermark finds them."""
+    src, base = _src(spark, sf_dir), _job_base(spark)
+    late = F.col("order_purchase_timestamp") < F.lit(INCREMENTAL_CUTOFF).cast("timestamp_ntz")
+    folders, dims = [], None
+    for n, landed in enumerate((src["orders"].where(~late | late.isNull()), src["orders"].where(late)), start=1):
+        folders.append(f"{base}/landing/orders_{n}")
+        landed.write.parquet(folders[-1])
+        orders = with_arrival(spark.read.schema(src["orders"].schema).parquet(*folders))
+        stg = _staged(spark, dict(src, orders=orders), base)
+        dims = dims or _all_dims(spark, src, stg, base)
+        ETL.load_fact(spark, stg, dims, base, P.run_date, 10 * n, watermark_basis="load_time")
+    return ETL.read_table(spark, base, "fact_sales").drop("fact_year")
+
+
+@register("control_log_jobs")
+def _control_log_jobs(spark, sf_dir):
+    """What the jobs stored: the dimension load, a load of the early orders, one that fails, and one of the rest."""
+    src, base = _src(spark, sf_dir), _job_base(spark)
+    early = dict(src, orders=src["orders"].where(F.col("order_purchase_timestamp") < F.lit(INCREMENTAL_CUTOFF).cast("timestamp_ntz")))
+    stg = _staged(spark, src, base)
+    dims = _all_dims(spark, src, stg, base)
+    ETL.load_fact(spark, _staged(spark, early, base), dims, base, P.run_date, 5)
+    try:
+        ETL.load_fact(spark, dict(stg, stg_items=stg["stg_items"].drop("gross_revenue")), dims, base, P.run_date, 6)
+    except ValueError:
+        pass  # the log has it
+    ETL.load_fact(spark, stg, dims, base, P.run_date, 7)
+    log = ETL.read_table(spark, base, "etl_control_log")
+    return log.select(
+        "log_id", "target_table", "records_loaded", "records_rejected", "last_loaded_ts", "status", "error_message",
+        (F.col("run_end_ts") >= F.col("run_start_ts")).alias("timed"),
+    )
+
+
+@register("dim_seller_duplicate_feed")
+def _seller_duplicates(spark, sf_dir):
+    """Three loads of a feed that holds every seller twice, under two cities."""
+    feed = _src(spark, sf_dir)["sellers"]
+    feed = feed.unionByName(feed.withColumn("seller_city", F.concat(F.lit("a "), "seller_city")))
+    dim = None
+    for n in (1, 2, 3):
+        new = D.build_dim_seller(feed, f"2000-0{n}-01", dim)
+        dim = D.keep_absent(new, dim, "seller_key").checkpoint(eager=True)
+    return dim
+
+
 @register("fact_duplicate_product")
 def _fact_dupe_product(spark, sf_dir):
     """Every product held twice by its dimension: each line is there once, with the latest key."""

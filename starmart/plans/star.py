@@ -101,8 +101,9 @@ def star_from_fixtures(spark: SparkSession, sf_dir: str, p: Params = FIXTURE_PAR
 
 
 def star_from_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Read the star written by the load jobs: current snapshots of the dimensions and the fact table."""
-    from .etl import read_snapshot
+    """Read the star written by the load jobs, as of the latest commit."""
+    from .warehouse import Warehouse
 
-    dims = {n: read_snapshot(spark, path, n) for n in ("dim_date", "dim_seller", "dim_product", "dim_customer")}
-    return {**dims, "fact_sales": spark.read.parquet(f"{path.rstrip('/')}/fact_sales_table")}
+    wh = Warehouse(spark, path)
+    snap = wh.snapshot()  # one snapshot for all five tables
+    return {n: wh.read(n, snap) for n in ("dim_date", "dim_seller", "dim_product", "dim_customer", "fact_sales")}

@@ -26,6 +26,11 @@ def read_csv_extract(spark: SparkSession, path: str, schema: str) -> DataFrame:
     )
 
 
+def with_arrival(files: DataFrame) -> DataFrame:
+    """``arrived_at``: when the file that holds a row was written (for frames that read files)."""
+    return files.withColumn("arrived_at", F.col("_metadata.file_modification_time").cast("timestamp_ntz"))
+
+
 def read_if_exists(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     """The parquet table at ``path``, or None where the path does not exist.
 

@@ -4,28 +4,28 @@ import tempfile
 
 from conftest import SF_SMALL
 from starmart.__main__ import main
+from starmart.plans import etl as ETL
 
 
 def test_cli_two_runs(spark):
     out = tempfile.mkdtemp(prefix="starmart-cli-") + "/wh"
     main(["--data", SF_SMALL, "--out", out, "--run", "1", "--fixture-params"])
     main(["--data", SF_SMALL, "--out", out, "--run", "2", "--fixture-params", "--phases", "stage,dims,fact,analytics"])
-    fact = spark.read.parquet(out + "/fact_sales_table")
+    fact = ETL.read_table(spark, out, "fact_sales")
     assert fact.count() == 5051  # FIXTURES: lines kept at sf0.001; run 2 appended nothing
-    log = spark.read.parquet(out + "/etl_control_log").where("target_table = 'fact_sales'").orderBy("log_id").collect()
+    log = ETL.read_table(spark, out, "etl_control_log").where("target_table = 'fact_sales'").orderBy("log_id").collect()
     assert [r.records_loaded for r in log] == [5051, 0]
     assert spark.read.parquet(out + "/reports/x1_monthly/v=2").count() > 0
     assert spark.read.parquet(out + "/reject_log").select("run_id").distinct().count() == 2
 
 
 def test_year_slice_prunes_partitions(spark):
-    from starmart.plans import etl as ETL
     from starmart.plans import marts as M
 
     out = tempfile.mkdtemp(prefix="starmart-cli-") + "/wh"
     main(["--data", SF_SMALL, "--out", out, "--run", "1", "--fixture-params", "--phases", "stage,dims,fact"])
-    star = {k: ETL.read_snapshot(spark, out, k) for k in ("dim_date", "dim_seller", "dim_product", "dim_customer")}
-    star["fact_sales"] = spark.read.parquet(out + "/fact_sales_table")
+    star = {k: ETL.read_table(spark, out, k) for k in ("dim_date", "dim_seller", "dim_product", "dim_customer")}
+    star["fact_sales"] = ETL.read_table(spark, out, "fact_sales")
     q = M.m1_kpi_cards(star, year=1998)
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(fact_year" in plan and "(fact_year" in plan and "= 1998)" in plan

@@ -36,7 +36,7 @@ def test_failed_lines_are_tried_again(spark, tmp_path):
     assert second["watermark"] == first["watermark"]
     third = ETL.load_fact(spark, stg, dims, base, "2002-01-01", 9)
     assert third["rows"] == 0
-    fact = spark.read.parquet(f"{base}/fact_sales_table")
+    fact = ETL.read_table(spark, base, "fact_sales")
     plan = ETL.batch_days(fact, fact.where(F.col("date_key") < 19960101))._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(fact_year" in plan or "PartitionFilters: [fact_year" in plan
 
@@ -63,11 +63,11 @@ def test_load_jobs(spark, tmp_path):
     assert first["mode"] == "FULL" and first["rows"] > 0
     again = ETL.load_fact(spark, stg, dims, base, "2002-01-01", 8)
     assert again["mode"] == "INCREMENTAL" and again["rows"] == 0
-    fact = spark.read.parquet(f"{base}/fact_sales_table")
+    fact = ETL.read_table(spark, base, "fact_sales")
     assert fact.count() == first["rows"]
 
     # rows lie in date order within each file
-    for f in glob.glob(f"{base}/fact_sales_table/fact_year=*/*.parquet"):
+    for f in glob.glob(f"{base}/fact_sales/load=*/fact_year=*/*.parquet"):
         days = [r.date_key for r in spark.read.parquet(f).coalesce(1).select("date_key").collect()]
         assert days == sorted(days)
 
@@ -80,17 +80,17 @@ def test_load_jobs(spark, tmp_path):
     assert all(now[k] == v for k, v in old.items()) and now[gone + 1] not in old.values()
 
     # a storage error ends the run, is logged, and leaves the files as they are
-    files = sorted(glob.glob(f"{base}/fact_sales_table/**/*.parquet", recursive=True))
+    files = sorted(glob.glob(f"{base}/fact_sales/**/*.parquet", recursive=True))
     kept = {f: open(f, "rb").read() for f in files}
     for f in files:
         os.chmod(f, 0o644)
         open(f, "wb").write(b"broken")
-    for f in glob.glob(f"{base}/fact_sales_table/**/.*.crc", recursive=True):
+    for f in glob.glob(f"{base}/fact_sales/**/.*.crc", recursive=True):
         os.unlink(f)
     with pytest.raises(Exception):
         ETL.load_fact(spark, stg, dims, base, "2002-01-01", 9)
-    assert sorted(glob.glob(f"{base}/fact_sales_table/**/*.parquet", recursive=True)) == files
-    log = {r.log_id: r for r in spark.read.parquet(f"{base}/etl_control_log").collect()}
+    assert sorted(glob.glob(f"{base}/fact_sales/**/*.parquet", recursive=True)) == files
+    log = {r.log_id: r for r in ETL.read_table(spark, base, "etl_control_log").collect()}
     assert log[9].status == "FAILED" and log[9].error_message and log[7].status == "SUCCESS"
     for f, content in kept.items():
         open(f, "wb").write(content)

@@ -92,9 +92,9 @@ def test_load_fact_full_then_incremental(spark):
     r3 = ETL.load_fact(spark, full, dims, base, P.run_date, 3)  # nothing new: appends nothing
     assert (r1["mode"], r2["mode"], r3["mode"]) == ("FULL", "INCREMENTAL", "INCREMENTAL")
     assert r3["rows"] == 0 and r2["watermark"] == r3["watermark"]
-    fact = spark.read.parquet(base + "/fact_sales_table")
+    fact = ETL.read_table(spark, base, "fact_sales")
     assert fact.count() == r1["rows"] + r2["rows"] == full["stg_items"].count()
-    log = spark.read.parquet(base + "/etl_control_log").orderBy("log_id").collect()
+    log = ETL.read_table(spark, base, "etl_control_log").orderBy("log_id").collect()
     assert [(x.status, x.records_loaded) for x in log] == [("SUCCESS", r1["rows"]), ("SUCCESS", r2["rows"]), ("SUCCESS", 0)]
 
 
@@ -118,5 +118,5 @@ def test_load_dimensions_keeps_keys_and_versions(spark):
     cur = d2["dim_customer"].where("is_current")
     assert cur.count() == cur.select("customer_id").distinct().count()
     assert d2["dim_customer"].where("record_version = 2").count() > 0
-    log = spark.read.parquet(base + "/etl_control_log")
+    log = ETL.read_table(spark, base, "etl_control_log")
     assert log.where("target_table = 'dim_date'").count() == 1  # calendar built once
