@@ -1,11 +1,12 @@
 """Profiling and data-quality checks (Q1-Q16) as distributed aggregates.
 
 Each check is one aggregate per table (or an anti join) and returns a small
-result DataFrame; nothing is collected to the driver.
+result DataFrame; nothing that grows with the data is collected to the driver.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import expr as E
 from ..functions.expr import cents
 from ..functions.expr import round_half_away as rha
-from .ranking import global_scan
+from .selection import select_ranks
 from .staging import coerce_order_timestamps
 
 
@@ -144,53 +145,33 @@ def value_distribution(df: DataFrame, column: str, table: str) -> DataFrame:
 def describe_money(df: DataFrame, column: str) -> DataFrame:
     """Q11: count, mean, sample std, min, p25, p50, p75, max, rounded to 2.
 
-    Quartiles are exact and interpolated linearly (pandas ``describe``).
-    Rows are first counted per distinct value (a map-side combined
-    aggregate, far smaller than the column), then a distributed running
-    count over the distinct values (G1) locates the values at the needed
-    ranks; no task ever holds all values (Spark's exact ``percentile``
-    would). Mean and std come from exact integer sums of cents.
+    Quartiles are exact and interpolated linearly (pandas ``describe``). The values at
+    the six ranks they need come from a selection (``selection.select_ranks``): the column is counted
+    in buckets a few times where it lies; nothing is sorted or shuffled by value, and no task
+    holds all values (Spark's exact ``percentile`` would). Mean and std come from exact integer sums of cents.
     """
-    x = df.where(F.col(column).isNotNull()).select(cents(column).alias("_c"))
-    d = x.groupBy("_c").agg(F.count(F.lit(1)).alias("_k"))
-    s = global_scan(d, [("_c", True)], row_number=None, running_sums={"_cum": F.col("_k")}, partition_sums={"_n": F.col("_k")})
-    n = F.col("_n")
-
-    def at(pos):  # the value whose cumulative count covers rank ``pos``
-        return F.max(F.when((F.col("_cum") - F.col("_k") < pos) & (pos <= F.col("_cum")), F.col("_c")))
-
-    aggs = [
-        F.sum("_k").alias("count"),
-        F.sum(F.col("_c") * F.col("_k")).alias("_s1"),
-        F.sum(F.col("_c") * F.col("_c") * F.col("_k")).alias("_s2"),
-        F.min("_c").alias("_min"),
-        F.max("_c").alias("_max"),
-    ]
-    for q in (1, 2, 3):
-        lo = F.floor((n - 1) * q / 4).cast("long") + 1
-        aggs.append(at(lo).alias(f"_lo{q}"))
-        aggs.append(at(lo + 1).alias(f"_hi{q}"))
-        aggs.append(F.max(F.pmod((n - 1) * q, F.lit(4))).alias(f"_m{q}"))
-    a = s.agg(*aggs)
-    cnt = F.col("count")
-    var_num = (cnt * F.col("_s2") - F.col("_s1") * F.col("_s1")).cast("double")
-    var_den = (cnt * (cnt - 1)).cast("double")
-    std = F.when(cnt > 1, F.floor(F.sqrt(var_num / var_den) + F.lit(0.5)) / F.lit(100.0))
-
-    def quart(q: int):
-        lo, hi, m = F.col(f"_lo{q}"), F.coalesce(F.col(f"_hi{q}"), F.col(f"_lo{q}")), F.col(f"_m{q}")
-        return rha(lo * 4 + m * (hi - lo), F.lit(400), 2)
-
-    return a.select(
+    x = df.where(F.col(column).isNotNull()).select(cents(column).cast("long").alias("c"))
+    wide = F.col("c").cast("decimal(19,0)")
+    f = x.agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("s1"), F.sum(wide * wide).alias("s2"), F.min("c").alias("lo"), F.max("c").alias("hi")).first()  # one row
+    n, at = f["n"], {}
+    places = [((n - 1) * q // 4 + 1, (n - 1) * q % 4) for q in (1, 2, 3)] if n else []
+    if n:
+        ranks = sorted({min(n, r + d) for r, _ in places for d in (0, 1)})
+        found = select_ranks(x, {"c": F.col("c")}, None, {"c": ranks}, {"c": (f["lo"], f["hi"])}, None)["c"]
+        at = {r: c for r, (c, _) in zip(ranks, found)}
+    s1, s2 = int(f["s1"] or 0), int(f["s2"] or 0)
+    std = math.floor(math.sqrt(float(n * s2 - s1 * s1) / float(n * (n - 1))) + 0.5) / 100.0 if n > 1 else None
+    quarters = [at[r] * 4 + m * (at[min(n, r + 1)] - at[r]) for r, m in places] or [None] * 3
+    kinds = "count long, s1 long, std double, lo long, hi long, q1 long, q2 long, q3 long"
+    row = df.sparkSession.createDataFrame([(n, f["s1"], std, f["lo"], f["hi"], *quarters)], kinds)
+    return row.select(
         F.lit(column).alias("column_name"),
-        cnt.cast("long").alias("count"),
-        rha(F.col("_s1"), cnt * 100, 2).alias("mean"),
-        std.alias("std"),
-        (F.col("_min") / F.lit(100.0)).cast("double").alias("min"),
-        quart(1).alias("p25"),
-        quart(2).alias("p50"),
-        quart(3).alias("p75"),
-        (F.col("_max") / F.lit(100.0)).cast("double").alias("max"),
+        "count",
+        rha(F.col("s1"), F.col("count") * 100, 2).alias("mean"),
+        "std",
+        (F.col("lo") / F.lit(100.0)).cast("double").alias("min"),
+        *[rha(F.col(f"q{q}"), F.lit(400), 2).alias(f"p{25 * q}") for q in (1, 2, 3)],
+        (F.col("hi") / F.lit(100.0)).cast("double").alias("max"),
     )
 
 

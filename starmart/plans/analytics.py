@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import cents, round_half_away as rha
-from ..operators.ranking import global_scan, ntile_from_rn, with_ntile, with_rank
+from ..operators.ranking import global_scan, ntile_from_rn, with_rank
+from ..operators.selection import with_tiles
 
 COMPLETED = "Completed"
 
@@ -119,6 +120,7 @@ def x3_rfm_customers(
     other: str = RFM_OTHER,
     score_direction: str = "as_written",
     status: str = COMPLETED,
+    customer_col: str = "customer_key",
 ) -> DataFrame:
     """Per-customer recency / frequency / monetary, NTILE scores and segment.
 
@@ -126,9 +128,14 @@ def x3_rfm_customers(
     recency ASC and frequency/monetary DESC, so 1 is best while the segment
     thresholds reward high totals); ``'high_is_best'`` flips the orders so
     that 5 is best. Ties are broken by customer_key (NTILE is tie-dependent).
+    The three scores come from one selection (``operators.selection``): the customers are written
+    once, counted a few times, and never sorted.
+    ``customer_col='customer_unique_id'`` scores people instead of customer ids (N13); a person's key, city and
+    state are those of their smallest key.
     """
     f = _fact(star, status).select("date_key", "customer_key", "order_id", "gross_revenue")
-    cust = star["dim_customer"].where(F.col("is_current")).select("customer_key", "customer_city", "customer_state")
+    person = [] if customer_col == "customer_key" else [customer_col]
+    cust = star["dim_customer"].where(F.col("is_current")).select("customer_key", "customer_city", "customer_state", *person)
     # Aggregate per customer key first (map-side combined), then attach the
     # current customer attributes: the attributes depend only on the unique
     # surrogate key, so this equals join-then-group, and no raw fact row is
@@ -142,14 +149,18 @@ def x3_rfm_customers(
             F.round(F.sum("gross_revenue"), 2).alias("monetary"),
         )
     )
-    base = per_key.join(cust, "customer_key").select(
-        "customer_key", "customer_city", "customer_state", "recency_days", "frequency", "monetary"
-    )
+    base = per_key.join(cust, "customer_key")
+    shown = ["customer_key", "customer_city", "customer_state", "recency_days", "frequency", "monetary"]
+    if customer_col != "customer_key":
+        # orders belong to one customer key, so counts and sums of a person's keys add up
+        shown = [customer_col, *shown]
+        base = base.groupBy(customer_col).agg(
+            F.min("recency_days").alias("recency_days"), F.sum("frequency").alias("frequency"), F.sum("monetary").alias("monetary"),
+            *[F.min_by(c, "customer_key").alias(c) for c in ("customer_city", "customer_state")], F.min("customer_key").alias("customer_key"),
+        )
+    base = base.select(*shown).checkpoint(eager=True)
     flip = score_direction == "high_is_best"
-    k = ("customer_key", True)
-    s = with_ntile(base, tiles, [("recency_days", not flip), k], "r_score")
-    s = with_ntile(s, tiles, [("frequency", flip), k], "f_score")
-    s = with_ntile(s, tiles, [("monetary", flip), k], "m_score")
+    s = with_tiles(base, tiles, {"r_score": ("recency_days", not flip), "f_score": ("frequency", flip), "m_score": ("monetary", flip)}, "customer_key")
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
     seg = None
     for thr, label in segments:

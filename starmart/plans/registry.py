@@ -115,6 +115,11 @@ def _x3h(spark, sf_dir):
     return X.x3_rfm_segments(_star(spark, sf_dir), as_of=P.rfm_as_of, score_direction="high_is_best")
 
 
+@register("x3_rfm_by_person")
+def _x3u(spark, sf_dir):
+    return X.x3_rfm_customers(_star(spark, sf_dir), as_of=P.rfm_as_of, customer_col="customer_unique_id")
+
+
 @register("x6_cohort_retention_by_person")
 def _x6u(spark, sf_dir):
     return X.x6_cohort_retention(_star(spark, sf_dir), customer_col="customer_unique_id")

@@ -10,6 +10,7 @@ from ..operators import dims as D
 from ..operators import facts as FA
 from ..operators import quality as Q
 from ..operators import ranking as G
+from ..operators.selection import with_tiles
 from ..operators.staging import coerce_order_timestamps
 from ..session import scratch_path
 from ..sources import fixtures as FX
@@ -508,7 +509,8 @@ def _g1_rank(spark, sf_dir):
 
 @register("g1_ntile")
 def _g1_ntile(spark, sf_dir):
-    return G.with_ntile(_customer_revenue(spark, sf_dir), 10, [("revenue", False), ("customer_key", True)], "revenue_decile")
+    customers = _customer_revenue(spark, sf_dir).checkpoint(eager=True)
+    return with_tiles(customers, 10, {"revenue_decile": ("revenue", False)}, "customer_key")
 
 
 @register("g1_running_sum")
