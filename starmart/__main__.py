@@ -32,15 +32,19 @@ from .plans import marts as M
 from .plans.star import FIXTURE_PARAMS, Params, stage_all, star_from_tables
 from .sources import fixtures as FX
 from .sources import io as IO
+from .sources import raw as RAW
 
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="starmart")
-    ap.add_argument("--data", required=True, help="folder with the source tables (parquet)")
+    ap.add_argument("--data", required=True, help="folder with the source tables (parquet, or CSV with --csv)")
     ap.add_argument("--out", required=True, help="shared output folder for the warehouse")
     ap.add_argument("--run", type=int, default=1, help="run number (snapshot version, log ids)")
     ap.add_argument("--phases", default="profile,stage,dims,fact,analytics")
     ap.add_argument("--fixture-params", action="store_true", help="use the fixture parameter overrides")
+    ap.add_argument("--csv", action="store_true", help="the data folder holds the raw extract: seven CSV tables with headers (see sources/raw.py)")
+    ap.add_argument("--full-reload", action="store_true", help="replace the fact instead of adding to it")
+    ap.add_argument("--watermark-basis", default="data", choices=("data", "load_time"), help="load_time: orders of files that arrived since the last load")
     ap.add_argument("--run-date", help="date of the load, YYYY-MM-DD (default: today, or the fixture's own)")
     a = ap.parse_args(argv)
 
@@ -52,7 +56,14 @@ def main(argv=None) -> None:
         p = replace(p, run_date=str(day), as_of_ts=f"{day} 00:00:00")
     out = a.out.rstrip("/")
     phases = set(a.phases.split(","))
-    src = FX.sources(spark, a.data)
+    if a.csv:
+        extract = RAW.read_extract(spark, a.data)
+        src = extract.sources
+        IO.write_rejects(extract.malformed, out, str(a.run), "reject_log_lines")
+    else:
+        src = FX.sources(spark, a.data)
+    if a.watermark_basis == "load_time":
+        src = dict(src, orders=IO.with_arrival(src["orders"]))
 
     if "profile" in phases:
         ETL.write_snapshot(Q.profile_summary(src, p.as_of_ts, p.as_of_ts), out, "profiling_summary", str(a.run), pointer=False)
@@ -67,6 +78,7 @@ def main(argv=None) -> None:
         IO.write_rejects(stg_all["stg_rejects"], out, str(a.run))
         IO.write_exceptions(stg_all["stg_null_price"], f"{out}/stg_null_price/v={a.run}")
         stg = {k: spark.read.parquet(v) for k, v in paths.items()}
+        ETL.write_snapshot(Q.staging_summary({**stg_all, **stg}, p.as_of_ts), out, "staging_summary", str(a.run), pointer=False)
         src = landed
 
     dims = None
@@ -74,7 +86,7 @@ def main(argv=None) -> None:
         dims = ETL.load_dimensions(spark, src, stg, p, out, str(a.run), first_log_id=a.run * 100)
 
     if "fact" in phases:
-        ETL.load_fact(spark, stg, dims, out, p.run_date, log_id=a.run * 100 + 99)
+        ETL.load_fact(spark, stg, dims, out, p.run_date, log_id=a.run * 100 + 99, full_reload=a.full_reload, watermark_basis=a.watermark_basis)
 
     if "analytics" in phases:
         star = star_from_tables(spark, out)

@@ -236,3 +236,11 @@ def profile_summary(src: Mapping[str, DataFrame], profiled_at: str, as_of_ts: st
         "price_outliers",
         "orders_no_customer",
     )
+
+
+def staging_summary(stg: Mapping[str, DataFrame], run_ts: str) -> DataFrame:
+    """P29/S5: one row with the run's time, the rows of each staged table and the rejected rows."""
+    row = stg["stg_orders"].sparkSession.range(1).select(F.lit(run_ts).alias("run_timestamp"))
+    for name in ("stg_orders", "stg_items", "stg_customers", "stg_products", "stg_payments"):
+        row = row.crossJoin(stg[name].agg(F.count(F.lit(1)).alias(f"{name}_rows")))  # one row each
+    return row.crossJoin(stg["stg_rejects"].agg(F.count(F.lit(1)).alias("total_records_rejected")))

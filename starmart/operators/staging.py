@@ -127,7 +127,8 @@ def stage_customers(customers: DataFrame, run_date: str, key: str = "customer_id
     """Normalise city (strip + Python title case) and state (strip + upper),
     keep one row per customer id, stamp the load date.
 
-    "Keep first" has no meaning without a file order, so the surviving row is
+    "Keep first" is the first line of the extract where the source carries its lines' places (``row_order``, see
+    ``sources.raw``). Without a file order it has no meaning, and the surviving row is
     the one with the smallest ``tiebreak`` tuple (default: all other columns).
     ``min_by`` is a partial aggregate, so a heavily duplicated id is combined
     map-side instead of landing whole in one task.
@@ -135,8 +136,8 @@ def stage_customers(customers: DataFrame, run_date: str, key: str = "customer_id
     c = customers.withColumns(
         {"customer_city": E.title_case(E.strip("customer_city")), "customer_state": F.upper(E.strip("customer_state"))}
     )
-    others = [x for x in c.columns if x != key]
-    tb = list(tiebreak) if tiebreak else others
+    others = [x for x in c.columns if x not in (key, "row_order")]
+    tb = list(tiebreak) if tiebreak else ["row_order"] if "row_order" in c.columns else others
     first = F.min_by(F.struct(*others), F.struct(*tb)).alias("_r")
     d = c.groupBy(key).agg(first).select(key, "_r.*")
     return d.withColumn("etl_load_date", F.lit(run_date).cast("date"))

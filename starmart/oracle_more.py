@@ -247,18 +247,23 @@ def _faults(sql: str) -> str:
 ),
 src_items AS (
   SELECT if(m = 4, -order_id - 1, order_id) AS order_id, order_item_id, product_id, seller_id, shipping_limit_date,
-         CASE m WHEN 1 THEN CAST(0 AS DECIMAL(12,2)) WHEN 2 THEN NULL ELSE price END AS price,
+         CASE m WHEN 1 THEN CAST(0 AS DECIMAL(12,2)) WHEN 2 THEN NULL WHEN 5 THEN CAST(price * 100 AS DECIMAL(12,2)) ELSE price END AS price,
          if(m = 3, NULL, freight_value) AS freight_value
   FROM (SELECT *, if(order_item_id = 1, month(shipping_limit_date), 0) AS m FROM given_items)
 ),
 src_payments AS ("""
-    for old, new in (("src_orders AS (", "given_orders AS ("), ("src_items AS (", "given_items AS ("), ("src_payments AS (", faulty)):
+    customers = """src_customers AS (
+  SELECT * FROM given_customers UNION ALL SELECT * REPLACE (' a town ' AS customer_city) FROM given_customers WHERE customer_city = 'MACHINERY'
+),
+src_products AS ("""
+    for old, new in (("src_orders AS (", "given_orders AS ("), ("src_items AS (", "given_items AS ("), ("src_payments AS (", faulty),
+                     ("src_customers AS (", "given_customers AS ("), ("src_products AS (", customers)):
         sql = sql.replace(old, new, 1)
     return sql
 
 
 for _q in ("stg_orders", "stg_items", "stg_rejects", "stg_null_price", "q_duplicate_keys", "q_referential_integrity",
-           "q_date_logic", "q_price_checks"):
+           "q_date_logic", "q_price_checks", "q_outliers", "stg_customers"):
     _ORACLES[f"{_q}_faults"] = lambda _q=_q: _faults(_ORACLES[_q]())
 
 

@@ -128,7 +128,7 @@ for _name in ("stg_orders", "stg_items", "stg_customers", "stg_products", "stg_p
 
 
 # The checks and staged tables of sources with faults, where no count is zero.
-for _name in ("stg_orders", "stg_items", "stg_rejects", "stg_null_price"):
+for _name in ("stg_orders", "stg_items", "stg_customers", "stg_rejects", "stg_null_price"):
     register(f"{_name}_faults")(lambda spark, sf_dir, _n=_name: stage_all(FX.faulty_sources(spark, sf_dir), P)[_n])
 
 
@@ -158,13 +158,14 @@ def _q_price_faults(spark, sf_dir):
     return Q.price_checks(FX.faulty_sources(spark, sf_dir)["items"])
 
 
+@register("q_outliers_faults")
+def _q_outliers_faults(spark, sf_dir):
+    return Q.outlier_rows(FX.faulty_sources(spark, sf_dir)["items"]).select("order_id", "order_item_id", "product_id", "price")
+
+
 @register("stg_summary")
 def _stg_summary(spark, sf_dir):
-    s = _stg(spark, sf_dir)
-    row = spark.range(1).select(F.lit(P.as_of_ts).alias("run_timestamp"))
-    for name in ("stg_orders", "stg_items", "stg_customers", "stg_products", "stg_payments"):
-        row = row.crossJoin(s[name].agg(F.count(F.lit(1)).alias(f"{name}_rows")))
-    return row.crossJoin(s["stg_rejects"].agg(F.count(F.lit(1)).alias("total_records_rejected")))
+    return Q.staging_summary(_stg(spark, sf_dir), P.as_of_ts)
 
 
 # ------------------------------------------------------------ dimensions (D*)

@@ -215,7 +215,8 @@ def faulty_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     Orders in processing: purchased in January, a purchase time that is no time; February, ten years
     later; March, approved the day before; April, an unknown customer; May, the row twice. First items by
     the month of their shipping limit: January, price 0; February, no price; March, no freight; April, an
-    unknown order. Purchase times are text throughout.
+    unknown order; May, the price a hundred times. Customers of the machinery segment are there twice, the second time in another
+    city. Purchase times are text throughout.
     """
     src = sources(spark, sf_dir)
     p = "order_purchase_timestamp"
@@ -232,8 +233,10 @@ def faulty_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     k = F.when(F.col("order_item_id") == 1, F.month("shipping_limit_date"))
     i = src["items"].withColumn("_m", F.coalesce(k, F.lit(0)))
     i = i.withColumns({
-        "price": F.when(F.col("_m") == 1, F.lit(0).cast(MONEY)).when(F.col("_m") != 2, F.col("price")),
+        "price": F.when(F.col("_m") == 1, F.lit(0).cast(MONEY)).when(F.col("_m") == 5, (F.col("price") * 100).cast(MONEY)).when(F.col("_m") != 2, F.col("price")),
         "freight_value": F.when(F.col("_m") != 3, F.col("freight_value")),
         "order_id": F.when(F.col("_m") == 4, -F.col("order_id") - 1).otherwise(F.col("order_id")),
     }).drop("_m")
-    return dict(src, orders=o, items=i)
+    c = src["customers"]
+    c = c.unionByName(c.where(F.col("customer_city") == "MACHINERY").withColumn("customer_city", F.lit(" a town ")))
+    return dict(src, orders=o, items=i, customers=c)

@@ -58,9 +58,9 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def write_rejects(rejects: DataFrame, base: str, run_id: str) -> str:
+def write_rejects(rejects: DataFrame, base: str, run_id: str, name: str = "reject_log") -> str:
     """S4: append the run's rejects under ``run_id=<id>`` (one folder per run)."""
-    path = f"{base.rstrip('/')}/reject_log"
+    path = f"{base.rstrip('/')}/{name}"
     rejects.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(path)
     return path
 
