@@ -458,6 +458,19 @@ SELECT CAST(order_id AS BIGINT) AS order_id, CAST(order_item_id AS BIGINT) AS or
 FROM fa GROUP BY order_id, order_item_id, product_id, seller_id, third""")
 
 
+@oracle("fact_reconciliation")
+def _reconciliation():
+    # per line: 1 in the source; 0, 1 or 2 in the fact. A day differs unless each of its lines is there once.
+    return with_base(f"""
+held AS (
+  SELECT date_key, price, CASE WHEN seller_id NOT IN ({_sellers_in(None, SELLER_FEEDS[0])}) THEN 0 WHEN status_category = 'Completed' THEN 2 ELSE 1 END AS n
+  FROM stg_items
+)
+SELECT CAST(date_key AS BIGINT) AS date_key, CAST(count(*) AS BIGINT) AS source_lines, CAST(sum(n) AS BIGINT) AS fact_lines,
+       CAST(sum(price * (1 - n)) AS DOUBLE) AS missing_revenue
+FROM held GROUP BY date_key HAVING count(*) FILTER (WHERE n <> 1) > 0""")
+
+
 simple("fact_full_reload", FACT_SPEC, "fact_sales")
 simple("fact_late_orders", FACT_SPEC, "fact_sales")
 

@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 
 from ..operators import dims as D
 from ..operators import facts as FA
+from ..operators import reconcile as R
 from ..operators import staging as S
 from ..sources import fixtures as FX
 from ..sources.io import nan_to_null
 from .star import Params, build_dims, stage_all
-from .warehouse import LOG, ROWS_PER_FILE, Transaction, Warehouse
+from .warehouse import LOG, ROWS_PER_FILE, Snapshot, Transaction, Warehouse
 
 CONTROL_LOG_SCHEMA = (
     "log_id long, target_table string, run_start_ts timestamp_ntz, run_end_ts timestamp_ntz, "
@@ -80,19 +81,22 @@ def incremental_fact(
 def scd2_runs(spark: SparkSession, sf_dir: str, runs: Sequence[tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
     """Apply a sequence of customer feeds ``(feed_as_of, run_date)`` to an
     empty dimension. Returns the final snapshot and per-run action counts."""
-    dim = D.empty_dim_customer(spark)
+    dim, closed = D.empty_dim_customer(spark), None
     counts = []
     for i, (as_of, run_date) in enumerate(runs, start=1):
         feed = S.stage_customers(FX.customer_feed(spark, sf_dir, as_of), run_date)
         r = D.scd2_merge(dim, feed, run_date)
         # Each snapshot is materialised before the next run reads it (as the
         # ETL job writes it); this also keeps the lineage short.
-        dim = r.dim.checkpoint(eager=True)
+        # Closed versions are done with; the next run reads current rows only.
+        versions = r.dim.checkpoint(eager=True)
+        dim, ended = versions.where("is_current"), versions.where("not is_current")
+        closed = ended if closed is None else closed.unionByName(ended)
         counts.append(D.scd2_action_counts(r.actions).withColumn("run", F.lit(i)))
     out = counts[0]
     for c in counts[1:]:
         out = out.unionByName(c)
-    return dim, out
+    return dim.unionByName(closed), out
 
 
 # ------------------------------------------------------------------ run log
@@ -408,6 +412,21 @@ def load_fact(
     return out
 
 
+def verify_load(spark: SparkSession, base: str, stg: dict[str, DataFrame], run: int) -> DataFrame:
+    """F8: the days that a load wrote, staged lines against lines of the fact and lines that wait in the failure
+    queue (``operators.reconcile``). Of the fact, only the years and days of that load are read."""
+    wh = Warehouse(spark, base)
+    snap = wh.snapshot()
+    fact, queue = wh.read("fact_sales", snap), wh.read(QUEUE, snap)
+    own = {t: {f: p for f, p in folders.items() if f.startswith(f"load=r{run}-")} for t, folders in snap.folders.items()}
+    batch = wh.read("fact_sales", Snapshot(snap.seq, snap.commit_id, own, snap.columns))
+    days = batch_days(fact, batch)
+    staged = stg["stg_items"].join(F.broadcast(batch.select("date_key").distinct()), "date_key", "left_semi")  # at most the calendar's days
+    if queue is not None:
+        staged = R.without(staged, queue.where("state = 'pending'"), QUEUE_KEY)
+    return R.compare(R.digest(staged, "order_item_id", "price"), R.digest(days, "order_item_seq", "unit_price"))
+
+
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """The current snapshot of a table that the load jobs wrote."""
     found = Warehouse(spark, base).read(name)
@@ -457,10 +476,13 @@ def load_dimensions(
         log_id += 1
     with wh.begin(log_id, "dim_customer") as tx:
         feed = stg["stg_customers"]
-        prev = tx.read("dim_customer")
+        # closed versions never change: they are appended once, and a merge reads and rewrites current rows only
+        # (the largest key is always a current row's, since a version is closed by one with a larger key)
+        prev = tx.read("dim_customer_current")
         r = D.scd2_merge(D.empty_dim_customer(spark, dict(feed.dtypes)["customer_id"]) if prev is None else prev, feed, p.run_date)
         dim = r.dim.checkpoint(eager=True)
-        tx.replace("dim_customer", dim)
+        tx.replace("dim_customer_current", dim.where("is_current"))
+        tx.append("dim_customer_history", dim.where("not is_current"))
         tx.loaded = r.actions.where(F.col("action") != "unchanged")
         out["scd2_actions"] = D.scd2_action_counts(r.actions)
     out.update({k: read_table(spark, base, k) for k in ("dim_date", "dim_seller", "dim_product", "dim_customer")})

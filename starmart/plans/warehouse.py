@@ -27,6 +27,8 @@ from ..sources.io import read_if_exists
 
 MANIFEST = "seq long, commit_id string, parent string, committed_at timestamp_ntz, table_name string, columns string, folder string, partition string"
 ROWS_PER_FILE = 10_000_000
+# tables that are stored in parts
+PARTS = {"dim_customer": ("dim_customer_current", "dim_customer_history")}
 LOG = "etl_control_log"
 
 
@@ -78,6 +80,9 @@ class Warehouse:
     def read(self, table: str, at: Snapshot | None = None) -> DataFrame | None:
         """A table as of a snapshot (default: the latest); None if no commit has it."""
         snap = self.snapshot() if at is None else at
+        if table in PARTS:
+            parts = [p for p in (self.read(n, snap) for n in PARTS[table]) if p is not None]
+            return parts[0].unionByName(parts[1]) if len(parts) > 1 else (parts or [None])[0]
         if table not in snap.folders:
             return None
         schema = StructType.fromDDL(snap.columns[table])

@@ -1,5 +1,8 @@
 """Tables under one commit log: what dies is never read, failures are one row a line, ids keep their type."""
 
+import os
+from dataclasses import replace
+
 import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
@@ -170,3 +173,36 @@ def test_ids_loaded_twice_before_keep_their_keys(spark):
         old = D.keep_absent(new, old, "seller_key").checkpoint()
         got = sorted((r.seller_key, r.seller_id or "-", r.seller_city) for r in old.collect())
         assert [(k, i) for k, i, _ in got if i != "-"] == [(1, "a"), (2, "b"), (3, "b"), (4, "gone")] and got[2][2] == "Y"
+
+
+def test_a_merge_rewrites_no_closed_version(spark, world, tmp_path):
+    base = str(tmp_path / "wh")
+    src, stg, _ = world
+
+    def closed():
+        return {f: sorted(os.listdir(f"{base}/dim_customer_history/{f}")) for f in Warehouse(spark, base).snapshot().folders["dim_customer_history"]}
+
+    moved = F.col("customer_id") == stg["stg_customers"].agg(F.min("customer_id")).first()[0]
+    before, seen = {}, []
+    for run, city in enumerate(("First", "Second", "Second", "Third"), start=1):
+        feed = stg["stg_customers"].withColumn("customer_city", F.when(moved, city).otherwise(F.col("customer_city")))
+        dim = ETL.load_dimensions(spark, src, dict(stg, stg_customers=feed), replace(P, run_date=f"2002-01-0{run}"), base, str(run), first_log_id=10 * run)["dim_customer"]
+        now = closed()
+        assert before.items() <= now.items()  # the same files, and new ones
+        before = now
+        seen.append((dim.where("not is_current").count(), dim.where(moved).agg(F.max("record_version")).first()[0]))
+        assert dim.select("customer_key").distinct().count() == dim.count()
+    assert seen == [(0, 1), (1, 2), (1, 2), (2, 3)]
+
+
+def test_changed_days_are_reconciled(spark, world, tmp_path):
+    base = str(tmp_path / "wh")
+    half = dict(world[2], dim_product=world[2]["dim_product"].where("product_key > 20"))
+    load(spark, world, base, 1, half)
+    assert ETL.verify_load(spark, base, world[1], 1).count() == 0  # waiting lines are accounted for
+    load(spark, world, base, 2)
+    assert ETL.verify_load(spark, base, world[1], 2).count() == 0
+    short = dict(world[1], stg_items=world[1]["stg_items"].where("product_id > 3"))
+    doubled = dict(world[1], stg_items=world[1]["stg_items"].unionByName(world[1]["stg_items"].limit(1)))
+    assert ETL.verify_load(spark, base, short, 1).where("fact_lines > source_lines and missing_revenue < 0").count() > 0
+    assert ETL.verify_load(spark, base, doubled, 1).select(F.col("source_lines") - F.col("fact_lines")).collect() == [(1,)]
