@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starmart.llm import encode
-from starmart.llm.common import mapped
+from starmart.llm.common import keep, mapped
 
 RANGE = 4096
 
@@ -46,7 +46,9 @@ def histogram(lengths: DataFrame) -> DataFrame:
     ``truncated_tokens``: total when every document is cut to ``length`` tokens;
     ``docs_le`` / the number of documents is the length's quantile.
     """
+    # kept, since the ranges' totals and the sums inside them both read it: texts are encoded once
     h = lengths.groupBy("length").agg(F.count(F.lit(1)).alias("docs")).withColumn("tokens", F.col("length") * F.col("docs")).withColumn("r", F.floor(F.col("length") / RANGE))
+    h = keep(lengths.sparkSession, h, "lengths")
     ranges = h.groupBy("r").agg(F.sum("docs").alias("rd"), F.sum("tokens").alias("rt"))
     later = W.orderBy(F.desc("r")).rowsBetween(W.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
