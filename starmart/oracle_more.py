@@ -577,6 +577,58 @@ SELECT customer_state, CAST(orders AS BIGINT) AS orders, CAST(customers AS BIGIN
        {_rha('ot * 100', 'nrows', 2)} AS on_time_pct FROM g""")
 
 
+# Every slice of a mart: sets of (year, month), (year) and () over the fact itself.
+_CUTS = """cut AS (SELECT f.*, c.customer_state, c.customer_city, p.product_category, f.date_key // 10000 AS y, f.date_key // 100 % 100 AS m
+  FROM fact_sales f LEFT JOIN dim_customer c ON c.customer_key = f.customer_key LEFT JOIN dim_product p ON p.product_key = f.product_key)"""
+_SLICE = "CAST(y AS BIGINT) AS slice_year, CAST(m AS BIGINT) AS slice_month"
+
+
+def _sets(*keys: str) -> str:
+    more = "".join(f", {k}" for k in keys)
+    return f"GROUP BY GROUPING SETS ((y, m{more}), (y{more}), ({', '.join(keys)}))"
+
+
+def _m1_slices():
+    return with_base(f"""{_CUTS},
+a AS (SELECT y, m, sum(gross_revenue) AS rev, count(DISTINCT order_id) AS orders, count(DISTINCT customer_key) AS customers,
+             count(DISTINCT CASE WHEN status_category = 'Completed' THEN order_id END) AS done_orders,
+             sum(CASE WHEN status_category = 'Completed' THEN is_on_time END) AS ot,
+             count(*) FILTER (WHERE status_category = 'Completed') AS done_rows
+      FROM cut {_sets()})
+SELECT {_SLICE}, CAST(rev AS DOUBLE) AS total_revenue, CAST(orders AS BIGINT) AS total_orders, CAST(customers AS BIGINT) AS total_customers,
+       {_rha(_cents('rev'), 'orders * 100', 2)} AS revenue_per_order, {_rha('ot * 100', 'done_rows', 2)} AS on_time_pct,
+       {_rha('done_orders * 100', 'orders', 2)} AS completed_order_pct
+FROM a""")
+
+
+_ORACLES["m11_cube_kpis"] = _ORACLES["m11_cube_refreshed"] = _m1_slices
+
+
+def _slices(name: str, keys: tuple[str, ...], cols: str, tail: str = "") -> None:
+    named = ", ".join(keys)
+    _ORACLES[name] = lambda: with_base(f"""{_CUTS},
+g AS (SELECT y, m, {named}, sum(gross_revenue) AS rev, count(DISTINCT order_id) AS orders, count(DISTINCT customer_key) AS customers,
+             sum(delivery_days) AS sd, count(delivery_days) AS nd, sum(is_on_time) AS ot, count(*) AS nrows
+      FROM cut {_sets(*keys)})
+SELECT {_SLICE}, {named}, {cols} FROM g {tail}""")
+
+
+_REV, _ORD = "CAST(rev AS DOUBLE) AS revenue", "CAST(orders AS BIGINT) AS orders"
+_PCT = _rha(_cents("rev") + " * 100", _cents("sum(rev) OVER (PARTITION BY y, m)"), 2) + " AS revenue_pct"
+_slices("m11_cube_top_categories", ("product_category",), f"{_REV}, {_ORD}",
+        "QUALIFY row_number() OVER (PARTITION BY y, m ORDER BY rev DESC, product_category) <= 10")
+_slices("m11_cube_categories", ("product_category",), f"{_REV}, {_ORD}")
+_slices("m11_cube_payment_types", ("primary_payment_type",), f"{_REV}, {_ORD}, {_PCT}")
+_slices("m11_cube_states", ("customer_state",), f"{_REV}, {_PCT}")
+_slices("m11_cube_cities", ("customer_state", "customer_city"), f"{_REV}, {_ORD}")
+_slices("m11_cube_order_status", ("order_status",), f"{_ORD}, {_rha('orders * 100', 'sum(orders) OVER (PARTITION BY y, m)', 2)} AS orders_pct")
+_slices("m11_cube_state_metrics", ("customer_state",),
+        f"{_ORD}, CAST(customers AS BIGINT) AS customers, {_REV}, {_rha(_cents('rev'), 'orders * 100', 2)} AS revenue_per_order, "
+        f"{_rha('sd', 'nd', 1)} AS avg_delivery_days, {_rha('ot * 100', 'nrows', 2)} AS on_time_pct")
+_ORACLES["m11_cube_monthly"] = lambda: _ORACLES["m2_monthly"]()
+_ORACLES["m11_cube_price_bands"] = lambda: _ORACLES["m8_price_band_by_year"]()
+
+
 @oracle("control_log")
 def _control_log():
     rows = [(1, "dim_date", "dim_date", None), (2, "dim_seller", "dim_seller", None), (3, "dim_product", "dim_product", None),

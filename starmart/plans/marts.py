@@ -39,7 +39,7 @@ def _fact(star: dict, year=None, month=None) -> DataFrame:
     return f.where(s)
 
 
-def _share(part: str, whole_window: Window) -> F.Column:
+def share(part: str, whole_window: Window) -> F.Column:
     return rha(cents(part) * 100, cents(F.sum(part).over(whole_window)), 2)
 
 
@@ -64,14 +64,19 @@ def m1_kpi_cards(star: dict, year=None, month=None) -> DataFrame:
         F.coalesce(F.sum("_done_orders"), F.lit(0)).alias("_done_orders"),
         F.sum("_ot").alias("_ot"),
         F.sum("_done_rows").alias("_done_rows"),
-    ).select(
-        F.round("total_revenue", 2).alias("total_revenue"),
-        "total_orders",
-        "total_customers",
-        rha(cents("total_revenue"), F.col("total_orders") * 100, 2).alias("revenue_per_order"),
-        rha(F.col("_ot") * 100, F.col("_done_rows"), 2).alias("on_time_pct"),
-        rha(F.col("_done_orders") * 100, F.col("total_orders"), 2).alias("completed_order_pct"),
-    )
+    ).select(*kpi_columns("total_revenue", F.col("total_orders"), F.col("total_customers"), F.col("_done_orders"), F.col("_ot"), F.col("_done_rows")))
+
+
+def kpi_columns(revenue: str, orders: F.Column, customers: F.Column, done_orders: F.Column, ot: F.Column, done_rows: F.Column) -> list[F.Column]:
+    """The cards from sums of lines and counts of orders and customers."""
+    return [
+        F.round(revenue, 2).alias("total_revenue"),
+        orders.alias("total_orders"),
+        customers.alias("total_customers"),
+        rha(cents(revenue), orders * 100, 2).alias("revenue_per_order"),
+        rha(ot * 100, done_rows, 2).alias("on_time_pct"),
+        rha(done_orders * 100, orders, 2).alias("completed_order_pct"),
+    ]
 
 
 # --------------------------------------------------------------------- M2
@@ -130,7 +135,7 @@ def m4_payment_types(star: dict, year=None, month=None) -> DataFrame:
         .groupBy("primary_payment_type")
         .agg(F.sum("gross_revenue").alias("revenue"), F.count_distinct("order_id").alias("orders"))
     )
-    return g.withColumn("revenue_pct", _share("revenue", Window.partitionBy())).orderBy(F.desc("revenue"))
+    return g.withColumn("revenue_pct", share("revenue", Window.partitionBy())).orderBy(F.desc("revenue"))
 
 
 # --------------------------------------------------------------------- M5 / M7
@@ -155,7 +160,7 @@ def _per_customer(star: dict, year=None, month=None) -> DataFrame:
 
 def m5_states(star: dict, year=None, month=None) -> DataFrame:
     g = _per_customer(star, year, month).groupBy("customer_state").agg(F.sum("revenue").alias("revenue"))
-    return g.withColumn("revenue_pct", _share("revenue", Window.partitionBy())).orderBy(F.desc("revenue"))
+    return g.withColumn("revenue_pct", share("revenue", Window.partitionBy())).orderBy(F.desc("revenue"))
 
 
 def m5_cities(star: dict, year=None, month=None) -> DataFrame:
@@ -175,15 +180,20 @@ def m7_state_metrics(star: dict, year=None, month=None) -> DataFrame:
         F.sum("_ot").alias("_ot"),
         F.sum("_rows").alias("_rows"),
     )
-    return g.select(
-        "customer_state",
-        "orders",
-        "customers",
-        F.round("revenue", 2).alias("revenue"),
-        rha(cents("revenue"), F.col("orders") * 100, 2).alias("revenue_per_order"),
-        rha(F.col("_sd"), F.col("_nd"), 1).alias("avg_delivery_days"),
-        rha(F.col("_ot") * 100, F.col("_rows"), 2).alias("on_time_pct"),
-    ).orderBy(F.desc("revenue"))
+    return g.select(*state_columns("revenue", "orders", "customers", "_sd", "_nd", "_ot", "_rows")).orderBy(F.desc("revenue"))
+
+
+def state_columns(revenue: str, orders: str, customers: str, sd: str, nd: str, ot: str, rows: str) -> list[F.Column]:
+    """The state table from sums and counts."""
+    return [
+        F.col("customer_state"),
+        F.col(orders).alias("orders"),
+        F.col(customers).alias("customers"),
+        F.round(revenue, 2).alias("revenue"),
+        rha(cents(revenue), F.col(orders) * 100, 2).alias("revenue_per_order"),
+        rha(F.col(sd), F.col(nd), 1).alias("avg_delivery_days"),
+        rha(F.col(ot) * 100, F.col(rows), 2).alias("on_time_pct"),
+    ]
 
 
 # --------------------------------------------------------------------- M6

@@ -17,6 +17,7 @@ from ..session import scratch_path
 from ..sources import fixtures as FX
 from ..sources.io import with_arrival
 from . import analytics as AX
+from . import cube as CU
 from . import etl as ETL
 from . import marts as M
 from .registry import register
@@ -457,6 +458,49 @@ def _m11b(spark, sf_dir):
     return M.m2_monthly(_star(spark, sf_dir), year=1999, month=3)
 
 
+def _cube(spark, sf_dir):
+    return CU.build(_star(spark, sf_dir))
+
+
+# Every slice (each month, each year, all) of the marts, merged from the year-month cube.
+for _name, _fn in (
+    ("m11_cube_kpis", CU.m1_kpi_cards),
+    ("m11_cube_top_categories", CU.m3_top_categories),
+    ("m11_cube_payment_types", CU.m4_payment_types),
+    ("m11_cube_states", CU.m5_states),
+    ("m11_cube_cities", CU.m5_cities),
+    ("m11_cube_order_status", CU.m6_order_status),
+    ("m11_cube_state_metrics", CU.m7_state_metrics),
+    ("m11_cube_categories", CU.m8_category_revenue),
+):
+    register(_name)(lambda spark, sf_dir, _f=_fn: _f(_cube(spark, sf_dir), every=True))
+
+
+@register("m11_cube_monthly")
+def _cube_monthly(spark, sf_dir):
+    return CU.m2_monthly(_cube(spark, sf_dir))
+
+
+@register("m11_cube_price_bands")
+def _cube_bands(spark, sf_dir):
+    return CU.m8_price_band_by_year(_cube(spark, sf_dir))
+
+
+@register("m11_cube_refreshed")
+def _cube_refreshed(spark, sf_dir):
+    """A cube built when the orders before the cutoff were loaded; the months of the second load are rebuilt alone."""
+    src, base = _src(spark, sf_dir), _job_base(spark)
+    cut = F.lit(INCREMENTAL_CUTOFF).cast("timestamp_ntz")
+    early = _staged(spark, dict(src, orders=src["orders"].where(F.col("order_purchase_timestamp") < cut)), base)
+    stg = _staged(spark, src, base)
+    dims = _all_dims(spark, src, stg, base)
+    ETL.load_fact(spark, early, dims, base, P.run_date, 5)
+    CU.refresh(spark, base, 6)
+    ETL.load_fact(spark, stg, dims, base, P.run_date, 7)
+    CU.refresh(spark, base, 8, months=CU.months_of_load(spark, base))
+    return CU.m1_kpi_cards(CU.read(spark, base), every=True)
+
+
 @register("control_log")
 def _control_log(spark, sf_dir):
     s = _star(spark, sf_dir)

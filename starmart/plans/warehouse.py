@@ -93,6 +93,14 @@ class Warehouse:
         found = self.spark.read.schema(schema).option("basePath", top).parquet(*[f"{top}/{n}" for n in names])
         return found.select(*schema.names)
 
+    def last_load(self, table: str) -> DataFrame:
+        """The rows that the latest commit added to a table; none if it left the table as it was."""
+        snap = self.snapshot()
+        before = self.snapshot(snap.seq - 1) if snap.seq > 1 else EMPTY
+        own = snap.folders.get(table, {})
+        new = {f: p for f, p in own.items() if f not in before.folders.get(table, {})}
+        return self.read(table, Snapshot(snap.seq, snap.commit_id, {table: new}, snap.columns))
+
     # -------------------------------------------------------------- writing
     def begin(self, log_id: int, target: str, run_by: str = "starmart") -> Transaction:
         return Transaction(self, log_id, target, run_by)
