@@ -369,6 +369,7 @@ simple("dim_price_bands", "price_band:s, product_count=count(*):i", "dim_product
 simple("fact_full", FACT_SPEC, "fact_sales")
 simple("fact_incremental", FACT_SPEC, "fact_sales")
 simple("fact_streaming", FACT_SPEC, "fact_sales")
+simple("fact_stream_feeds", FACT_SPEC, "fact_sales")
 _INCR_CUT = "2000-01-01 00:00:00"
 
 
