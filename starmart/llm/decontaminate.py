@@ -8,10 +8,10 @@ other; what is left of the range after ``window`` words are exactly the places
 where that window stands verbatim. Positions whose first two words begin no
 window can't match and stay out of the array, which loses nothing.
 
-Documents never leave their task: no shuffle, no pair of document and item is
+Documents never leave their task: no shuffle of texts, no pair of document and item is
 expanded. The test side goes to the tasks as a broadcast of ``BLOCK_BYTES`` of
-benchmark text at most; a larger benchmark is cut into blocks of items that
-pass over the documents one after the other, each with a broadcast of its own.
+benchmark text at most; a larger benchmark is cut into blocks of items, each a job of its own with a
+broadcast of its own, one after the other; their marks are merged by document row.
 
 Words: maximal runs of ASCII letters (lower-cased), digits and non-ASCII
 characters, compared by a 64-bit hash for each word.
@@ -35,11 +35,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.llm import textvec as V
-from starmart.llm.common import mapped
+from starmart.llm.common import keep, mapped
 
 WINDOW = 10
 BLOCK_BYTES = 32 << 20  # benchmark text in one broadcast
-_HITS, _ITEMS, _WORDS = "__hits", "__items", "__n_words"
+_HITS, _ITEMS, _WORDS, _ROW = "__hits", "__items", "__n_words", "__row"
 
 
 class TestSuffixes:
@@ -158,43 +158,77 @@ def shard_matches(words: V.Words, tests: TestSuffixes) -> tuple[np.ndarray, dict
     return np.cumsum(diff)[:-1] > 0, items
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> list[TestSuffixes]:
-    """The benchmark as test suffixes, in blocks of at most about ``BLOCK_BYTES`` of text."""
+def blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> tuple[int, Iterator[TestSuffixes]]:
+    """The benchmark as test suffixes: the number of blocks of at most about ``BLOCK_BYTES`` of text, and each in turn."""
     rows = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0)).alias("n")).head()["n"]
     count = 1 + int(size) // BLOCK_BYTES
-    out = []
-    for b in range(count):
-        part = rows if count == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(count)) == b)
-        got = part.collect()
-        out.append(TestSuffixes([r["i"] for r in got], [r["t"] for r in got], window))
-    return out
+
+    def each() -> Iterator[TestSuffixes]:
+        for b in range(count):
+            part = rows if count == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(count)) == b)
+            got = part.collect()  # a block
+            yield TestSuffixes([r["i"] for r in got], [r["t"] for r in got], window)
+
+    return count, each()
+
+
+def _marked(sent, text_col: str, only_hit: bool):
+    """Task that adds hit positions, items and the number of words to its rows (with ``only_hit``, in place of the text, and
+    rows without a hit go)."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tests = sent.value
+        for batch in batches:
+            hits: list = [()] * batch.num_rows
+            items: list = [()] * batch.num_rows
+            n_words = np.zeros(batch.num_rows, dtype=np.int64)
+            for i, j, w in V.each_chunk(batch[text_col]):
+                n_words[i:j] = np.diff(w.first)
+                hit, found = shard_matches(w, tests)
+                for d, ids in found.items():
+                    f, e = w.first[d], w.first[d + 1]
+                    hits[i + d] = np.flatnonzero(hit[f:e]).astype(np.int32)
+                    items[i + d] = sorted(ids)
+            own = [(n, batch[n]) for n in batch.schema.names if not (only_hit and n == text_col)]
+            new = [(_HITS, pa.array(hits, pa.list_(pa.int32()))), (_ITEMS, pa.array(items, pa.list_(pa.string()))), (_WORDS, pa.array(n_words))]
+            out = pa.RecordBatch.from_arrays([c for _, c in own + new], names=[n for n, _ in own + new])
+            if only_hit:
+                out = out.filter(pa.array([len(x) > 0 for x in items], pa.bool_()))
+            yield out
+
+    return task
+
+
+_ADDED = [T.StructField(_HITS, T.ArrayType(T.IntegerType())), T.StructField(_ITEMS, T.ArrayType(T.StringType())), T.StructField(_WORDS, T.LongType())]
 
 
 def mark(spark: SparkSession, documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """``documents`` with __n_words (long), __hits (array of hit word positions) and __items
-    (array of item ids as strings); everything else passes through."""
-    out = documents.withColumns({_HITS: F.array().cast("array<int>"), _ITEMS: F.array().cast("array<string>"), _WORDS: F.lit(0).cast("long")})
-    for tests in blocks(benchmark, item_col, item_text, window):
+    (array of item ids as strings); everything else passes through.
+
+    A benchmark of one block is a single pass. Of a larger one, each block is a job of its own over the numbered
+    texts that writes its marks (hit documents only); the driver and the tasks hold one block at a time."""
+    documents = documents.drop(_HITS, _ITEMS, _WORDS)
+    count, parts = blocks(benchmark, item_col, item_text, window)
+    if count == 1:
+        sent = spark.sparkContext.broadcast(next(parts))
+        return mapped(documents, _marked(sent, text_col, False), T.StructType([*documents.schema.fields, *_ADDED]))
+    rows = keep(spark, documents.withColumn(_ROW, F.monotonically_increasing_id()), "numbered")
+    texts = rows.select(_ROW, text_col)
+    found = None
+    for tests in parts:
         sent = spark.sparkContext.broadcast(tests)
-
-        def task(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            tests = sent.value
-            for batch in batches:
-                hits, items = batch[_HITS].to_pylist(), batch[_ITEMS].to_pylist()
-                n_words = np.zeros(batch.num_rows, dtype=np.int64)
-                for i, j, w in V.each_chunk(batch[text_col]):
-                    n_words[i:j] = np.diff(w.first)
-                    hit, found = shard_matches(w, tests)
-                    for d, ids in found.items():
-                        f, e = w.first[d], w.first[d + 1]
-                        hits[i + d] = np.union1d(hits[i + d], np.flatnonzero(hit[f:e])).astype(np.int32)
-                        items[i + d] = sorted(ids.union(items[i + d]))
-                new = {_HITS: pa.array(hits, pa.list_(pa.int32())), _ITEMS: pa.array(items, pa.list_(pa.string())), _WORDS: pa.array(n_words)}
-                yield pa.RecordBatch.from_arrays([new.get(f.name, batch[f.name]) for f in batch.schema], names=batch.schema.names)
-
-        out = mapped(out, task, T.StructType(list(out.schema.fields)))
-    return out
+        part = keep(spark, mapped(texts, _marked(sent, text_col, True), T.StructType([T.StructField(_ROW, T.LongType()), *_ADDED])), "marks")
+        sent.destroy()
+        found = part if found is None else found.unionByName(part)
+    merged = found.groupBy(_ROW).agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(_HITS)))).alias(_HITS), F.array_sort(F.array_distinct(F.flatten(F.collect_list(_ITEMS)))).alias(_ITEMS)
+    )  # a row of each block at most
+    none = spark.sparkContext.broadcast(TestSuffixes([], [], window))
+    counted = mapped(rows, _marked(none, text_col, False), T.StructType([*rows.schema.fields, *_ADDED])).drop(_HITS, _ITEMS)
+    filled = {_HITS: F.coalesce(_HITS, F.array().cast("array<int>")), _ITEMS: F.coalesce(_ITEMS, F.array().cast("array<string>"))}
+    return counted.join(merged, _ROW, "left").withColumns(filled).drop(_ROW).select(*documents.columns, _HITS, _ITEMS, _WORDS)
 
 
 def decontaminate(spark: SparkSession, documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
