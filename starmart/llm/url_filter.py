@@ -6,8 +6,9 @@ characters, ``^`` for a separator or the end. Each rule is stored under one lite
 pattern, that which the fewest URLs contain. A URL's tokens (the labels of its host, runs of letters
 and digits of its path) fetch the rules stored under them, and only those run their
 regular expression. Of the rules that fit, the longest wins; of equally long
-ones ``block``, then the pattern that sorts first. Rules without a whole literal token are stored under a
-token that every URL has.
+ones ``block``, then the one listed first. A host pattern whose literals stand beside a wildcard has no whole token: its
+tokens are the runs of ``GRAM`` characters of its literals, and where there are such rules those of a URL's host
+are tokens too. Rules without any of these (literals shorter than that) are stored under a token that every URL has.
 
 Each distinct URL is judged once. Tokens that no rule is stored under are dropped before
 anything is joined; the joins are left to Spark's size checks, with skewed keys split.
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 ANY = "*"  # the token that every URL has
 DEFAULT = "allow"
+GRAM = 4  # characters of a token within a host
 
 
 @dataclass(frozen=True)
@@ -72,6 +74,7 @@ def rule_tokens(rule: Rule) -> list[str]:
     if rule.host.startswith("*") or rule.host.endswith("*") or "*" in rule.host:
         # beside a wildcard only runs of letters and digits between hyphens are whole
         out = [f"w:{x}" for x in re.findall(r"(?<=[-.])[0-9a-z]+(?=[-.])", rule.host.lower())]
+        out += sorted({f"g:{x[k : k + GRAM]}" for x in rule.host.lower().split("*") for k in range(len(x) - GRAM + 1)})
     return out + [f"p:{m.group()}" for m in re.finditer(r"[0-9A-Za-z]+", rule.path) if m.start() > 0 and rule.path[m.start() - 1] != "*" and m.end() < len(rule.path) and rule.path[m.end()] != "*"]
 
 
@@ -85,11 +88,15 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(rest, F.lit("")), r"(?s)^[^/?#]*(/[^?#]*)", 1)
 
 
-def tokens_of(host: str = "host", path: str = "path") -> Column:
+def tokens_of(host: str = "host", path: str = "path", grams: bool = False) -> Column:
     labels = F.transform(F.split(F.col(host), r"\."), lambda x: F.concat(F.lit("h:"), x))
     words = F.transform(F.split(F.col(host), r"[-.]"), lambda x: F.concat(F.lit("w:"), x))
     parts = F.transform(F.split(F.col(path), "[^0-9A-Za-z]+"), lambda x: F.concat(F.lit("p:"), x))
-    return F.array_distinct(F.concat(labels, words, parts, F.array(F.lit(ANY))))
+    found = [labels, words, parts, F.array(F.lit(ANY))]
+    if grams:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(host) - (GRAM - 1), F.lit(1)))  # a short host is its own, fitting no gram
+        found.append(F.transform(starts, lambda k: F.concat(F.lit("g:"), F.substring(F.col(host), k, F.lit(GRAM)))))
+    return F.array_distinct(F.concat(*found))
 
 
 def index_rules(spark: SparkSession, rules: tuple[Rule, ...], urls: DataFrame) -> DataFrame:
@@ -109,7 +116,8 @@ def judge(spark: SparkSession, pages: DataFrame, url_col: str = "url", rules: tu
     rules go before the filter's own."""
     both = tuple(rules) + tuple(own)
     src = pages.withColumn("__url", F.col(url_col)).drop("host", "path", "rule", "verdict", "pattern")
-    urls = src.select("__url").where("__url is not null").distinct().withColumns({"host": host_of(F.col("__url")), "path": path_of(F.col("__url"))}).withColumn("tokens", tokens_of())
+    urls = src.select("__url").where("__url is not null").distinct().withColumns({"host": host_of(F.col("__url")), "path": path_of(F.col("__url"))})
+    urls = urls.withColumn("tokens", tokens_of(grams=any(t.startswith("g:") for r in both for t in rule_tokens(r))))
     index = index_rules(spark, both, urls)
     candidates = urls.select("__url", "host", "path", F.explode("tokens").alias("token")).join(index, "token")
     fits = candidates.where(F.expr("concat(host, '/', '\t', path) rlike regex"))
