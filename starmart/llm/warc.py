@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm.common import mapped, shared, ship
+from starmart.llm.common import keep, mapped, shared, ship
 
 RECORDS = 1000
 ARCHIVE_BYTES = 8 << 20
@@ -269,7 +269,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 def convert(spark: SparkSession, pages: DataFrame, path: str | None = None, least_bytes: int = 0) -> str:
     """Pages to ARC to WARC; returns the folder of the WARC archives."""
     path = path or shared(spark, "warc")
-    write_warc(typed(to_arc(pages), least_bytes), path)
+    # written once: both passes over the archives see the same records at the same offsets
+    write_warc(typed(keep(spark, to_arc(pages), "arc"), least_bytes), path)
     return path
 
 

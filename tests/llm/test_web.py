@@ -61,6 +61,34 @@ def test_pattern_rules(spark):
     assert got == cases
 
 
+def test_wildcard_hosts_are_indexed_by_their_rarest_run(spark):
+    own = url_filter.OWN_RULES
+    hosts = [f"site{k}.org" for k in range(40)] + ["www.casinos.org", "x-casino.net", "cas.ino.org", "spam-farm.example", "cheapxpills.org", "bets", "a", "free-bets.io"]
+    pages = spark.createDataFrame([(k, f"http://{h}/") for k, h in enumerate(hosts)], "page_id long, url string")
+    want = {f"http://{h}/": any(x in h for x in ("casino", "spam-farm", "cheap-pills", "free-bets", "adult-x", "ads-track")) for h in hosts}
+    got = {r.url: r.verdict == "block" for r in url_filter.judge(spark, pages, rules=(), own=own).collect()}
+    assert got == want
+    urls = pages.selectExpr("url", "substring(url, 8, length(url) - 8) AS host", "'/' AS path").withColumn("tokens", url_filter.tokens_of(grams=True))
+    index = url_filter.index_rules(spark, own, urls)
+    assert {r.token[:2] for r in index.collect()} == {"g:", "p:"}
+    pairs = urls.selectExpr("url", "explode(tokens) AS token").join(index, "token").count()
+    assert pairs <= 8  # of 48 URLs and 8 rules; all rules under the common token made 6 x 48
+
+
+def test_records_refer_to_records_that_exist(spark, monkeypatch):
+    """The pages come in another order at each reading."""
+    monkeypatch.setattr(warc, "RECORDS", 2)
+    from pyspark.sql import functions as F
+
+    df = spark.range(60).selectExpr("id AS page_id", "concat('http://h/', id) AS url", "concat('copy ', id % 7) AS html")
+    path = warc.convert(spark, df.repartition(5).orderBy(F.rand()))
+    text = spark.read.option("wholetext", True).text(path)
+    ids = text.selectExpr("explode(regexp_extract_all(value, 'WARC-Record-ID: <([^>]*)>', 1)) AS id")
+    refs = text.selectExpr("explode(regexp_extract_all(value, 'WARC-Refers-To: <([^>]*)>', 1)) AS id")
+    assert ids.distinct().count() == 60 and refs.count() == 53
+    assert refs.join(ids, "id", "left_anti").count() == 0
+
+
 def test_native_plan(spark):
     plan = queries.op2_url_filter(spark, SF_SMALL)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
