@@ -32,11 +32,11 @@ def shared(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def keep(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def keep(spark: SparkSession, df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write a frame as a table in the shared folder and read it back: later steps
-    start from files that every executor can read, also after one is lost."""
+    start from files that every executor can read, also after one is lost. ``options``: of the writer."""
     path = shared(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

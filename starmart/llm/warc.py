@@ -270,7 +270,7 @@ def convert(spark: SparkSession, pages: DataFrame, path: str | None = None, leas
     """Pages to ARC to WARC; returns the folder of the WARC archives."""
     path = path or shared(spark, "warc")
     # written once: both passes over the archives see the same records at the same offsets
-    write_warc(typed(keep(spark, to_arc(pages), "arc"), least_bytes), path)
+    write_warc(typed(keep(spark, to_arc(pages), "arc", compression="zstd"), least_bytes), path)
     return path
 
 
