@@ -19,7 +19,6 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from fractions import Fraction
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +31,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from starmart.llm import textvec as V
 from starmart.llm.common import keep, mapped, ship
 from starmart.llm.components import components
-from starmart.llm.ngram_join import CELL, intersections, set_key, verify
+from starmart.llm.ngram_join import CELL, cells_in, deal, intersections, set_key, unmet, verify
 
 SHINGLE = 5
 PERMUTATIONS = 128
@@ -169,26 +168,20 @@ def keyed(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def banded_cells(spark: SparkSession, documents: DataFrame, rows_in_band: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows: id, key; classes: key, id, copies; cells: comp, i, j, chunk, key, id, copies, text, sorted by cell).
+    """(rows: id, key; classes: key, id, node, copies; cells of ``ngram_join.deal`` with id, copies and text).
 
     Documents of equal shingle sets are one class with its smallest id. Bands of the signatures are joined in Spark:
     in each band's bucket every class points at the smallest one, so a bucket of n classes gives n-1 edges. Any two
-    classes of a bucket are in one connected part of these edges, and each two of a part meet in one
-    cell (``ngram_join``): two chunks of about ``CELL`` classes.
+    classes of a bucket meet in one cell: two chunks of about ``CELL`` classes.
     """
     rows = keep(spark, keyed(documents, id_col, text_col).withColumn("rid", F.monotonically_increasing_id()), "fingerprints")
-    classes = keep(spark, rows.where("key is not null").groupBy("key").agg(F.min("id").alias("id"), F.min("rid").alias("rid"), F.count(F.lit(1)).alias("copies")), "classes")
+    classes = keep(spark, rows.where("key is not null").groupBy("key").agg(F.min("id").alias("id"), F.min("rid").alias("node"), F.count(F.lit(1)).alias("copies")), "classes")
     size = rows_in_band * 2
     raw = F.unbase64("fingerprint")
     hashes = F.array(*[F.xxhash64(F.substring(raw, 1 + b * size, size)) for b in range(PERMUTATIONS // rows_in_band)])
-    bands = rows.join(classes.select("rid"), "rid", "left_semi").select("key", F.posexplode(hashes).alias("band", "h"))
-    first = bands.groupBy("band", "h").agg(F.min("key").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "h", "a")
-    parts = components(spark, bands.join(first, ["band", "h"]).where("key <> a").select("a", F.col("key").alias("b")))
-    chunks = parts.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("m"))
-    members = parts.join(chunks, "comp").join(classes.withColumnRenamed("key", "node"), "node").withColumnRenamed("node", "key").withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("m")).cast("int"))
-    texts = rows.select("rid", "text").join(members, "rid")
-    cells = texts.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).select("comp", F.least("chunk", "o").alias("i"), F.greatest("chunk", "o").alias("j"), "chunk", "key", "id", "copies", "text")
-    return rows.select("id", "key"), classes.drop("rid"), cells.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
+    texts = rows.withColumnRenamed("rid", "node").select("node", "text", hashes.alias("bands"))
+    bands = texts.join(classes.select("node"), "node", "left_semi").select("node", F.posexplode("bands").alias("band", "b"))
+    return rows.select("id", "key"), classes, deal(spark, bands, classes.select("node", "id", "copies"), texts, CELL)
 
 
 def near_pairs(spark: SparkSession, documents: DataFrame, rows_in_band: int = 4, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -199,15 +192,10 @@ def near_pairs(spark: SparkSession, documents: DataFrame, rows_in_band: int = 4,
     exact = Fraction(str(threshold))
     _, _, cells = banded_cells(spark, documents, rows_in_band, id_col, text_col)
 
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in batches:
-            yield from zip(*(batch[c].to_pylist() for c in ("comp", "i", "j", "chunk", "key", "id", "text")))
-
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, cell in groupby(members(batches), key=lambda r: r[:3]):
-            rows = sorted(cell, key=lambda r: r[4])
-            x, y, j = cell_pairs(shingle_sets(pa.array([r[6] for r in rows], pa.large_string())), np.array([r[3] == r[1] for r in rows]), exact)
-            ids = pa.array([r[5] for r in rows], kind)
+        for rows, first, earlier in cells_in(batches, "id", "text"):
+            x, y, j = cell_pairs(shingle_sets(pa.array([r[2] for r in rows], pa.large_string())), first, exact, earlier)
+            ids = pa.array([r[1] for r in rows], kind)
             if len(x):
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(x)), ids.take(pa.array(y)), pa.array(j)], names=["x", "y", "jaccard"])
 
@@ -222,18 +210,18 @@ def near_groups(spark: SparkSession, documents: DataFrame, rows_in_band: int = 4
     (other documents of an equal set or linked with it). Texts without words have no link and their own id."""
     rows, classes, cells = banded_cells(spark, documents, rows_in_band, id_col, text_col)
     checked = keep(spark, verify(cells.drop("id"), SHINGLE, threshold), "links")
-    groups = components(spark, checked.select(F.col("root").alias("a"), F.col("key").alias("b")))
-    links = checked.groupBy("key").agg(F.sum("links").alias("links"))
-    known = classes.join(links, "key", "left").join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    groups = components(spark, checked.select(F.col("root").alias("a"), F.col("node").alias("b")))
+    links = checked.groupBy("node").agg(F.sum("links").alias("links"))
+    known = classes.join(links, "node", "left").join(groups, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = known.groupBy("comp").agg(F.min("id").alias("class_id"))
     result = known.join(named, "comp").select("key", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     of = rows.join(result, "key", "left")
     return of.select(F.col("id").alias(id_col), F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
-def cell_pairs(sets: list[np.ndarray], first: np.ndarray, threshold: Fraction) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def cell_pairs(sets: list[np.ndarray], first: np.ndarray, threshold: Fraction, earlier: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Linked pairs of one cell: indices, indices, Jaccard. ``first``: member of the first chunk; if all are,
-    all pairs are compared, else those across."""
+    all pairs are compared, else those across. ``earlier`` as in ``ngram_join.cell_links``."""
     whole = bool(first.all())
     left = np.flatnonzero(first)
     right = left if whole else np.flatnonzero(~first)
@@ -243,6 +231,8 @@ def cell_pairs(sets: list[np.ndarray], first: np.ndarray, threshold: Fraction) -
     size = np.array([len(s) for s in sets])
     union = size[left][:, None] + size[right][None, :] - both
     linked = both * threshold.denominator >= union * threshold.numerator
+    if earlier is not None:
+        linked &= unmet(earlier[left], earlier[right])
     if whole:
         linked = np.triu(linked, 1)
     i, j = np.nonzero(linked)

@@ -8,7 +8,9 @@
    The connected parts of these edges hold every pair that shares a bucket.
 3. Each part is verified in cells. A part of up to ``CELL`` classes is one cell; a
    larger one is dealt into chunks, and each pair of chunks is a cell, so a task holds
-   2 * ``CELL`` texts at most. In a cell all pairs are compared exactly (intersections
+   2 * ``CELL`` texts at most. Where a large part is but a chain of small buckets, its buckets are dealt that
+   way instead of the part, whichever ships fewer texts; a pair counts in its first common band only. So a group of
+   n copies costs n^2 comparisons, a chain of n texts about n. In a cell all pairs are compared exactly (intersections
    as products of 0/1 blocks of shared shingles); what leaves it is linear: number of
    links by class, and for each connected group an edge from its smallest class to each other.
 4. The verified edges' components are the near-duplicate groups.
@@ -34,7 +36,7 @@ from pyspark.sql import types as T
 
 from starmart.llm import textvec as V
 from starmart.llm.common import keep, mapped
-from starmart.llm.components import components
+from starmart.llm.components import components, hub_join
 
 NGRAM = 5
 THRESHOLD = 0.8
@@ -75,7 +77,8 @@ def sketches(documents: DataFrame, id_col: str, text_col: str, bands: int, rows:
             yield pa.RecordBatch.from_arrays([batch["id"], batch["text"], batch["rest"], pa.array(keys, pa.binary()), lists], names=["id", "text", "rest", "key", "bands"])
 
     others = [c for c in documents.columns if c not in (id_col, text_col)]
-    src = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others]).alias("rest"))
+    pad = "_" * (1 + max((len(c) for c in others if not c.strip("_")), default=0))  # a struct needs a field
+    src = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(F.lit(0).alias(pad), *[F.col(f"`{c}`") for c in others]).alias("rest"))
     return mapped(src, task, T.StructType([*src.schema.fields, T.StructField("key", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))]))
 
 
@@ -120,9 +123,10 @@ def intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -
     return np.rint(out).astype(np.int64)
 
 
-def cell_links(texts: list[str], copies: list[int], first: np.ndarray, n: int, threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
+def cell_links(texts: list[str], copies: list[int], first: np.ndarray, n: int, threshold: Fraction, earlier: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Of one cell: links of each text (each counts the copies of its partner), and the smallest
-    index connected with it. ``first``: member of the first chunk; if all are, all pairs are compared, else those across."""
+    index connected with it. ``first``: member of the first chunk; if all are, all pairs are compared, else those across.
+    ``earlier``: the texts' hashes in bands before the cell's; a pair with an equal one is left to that band."""
     sets = _sets(texts, n)
     whole = bool(first.all())
     left = np.flatnonzero(first)
@@ -134,6 +138,8 @@ def cell_links(texts: list[str], copies: list[int], first: np.ndarray, n: int, t
     size = np.array([len(s) for s in sets])
     union = size[left][:, None] + size[right][None, :] - both
     linked = both * threshold.denominator >= union * threshold.numerator
+    if earlier is not None:
+        linked &= unmet(earlier[left], earlier[right])
     if whole:
         np.fill_diagonal(linked, False)
     weight = np.array(copies, dtype=np.int64)
@@ -152,32 +158,76 @@ def cell_links(texts: list[str], copies: list[int], first: np.ndarray, n: int, t
         root = low
 
 
-def verify(cells: DataFrame, n: int, threshold: float) -> DataFrame:
-    """Rows key, links, root for each member of each cell (comp, i, j); input sorted by cell within partitions."""
-    exact = Fraction(str(threshold))
+def unmet(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which of the left rows have no column's value in common with which of the right ones."""
+    out = np.ones((len(left), len(right)), dtype=bool)
+    for k in range(left.shape[1]):
+        out &= left[:, k][:, None] != right[:, k][None, :]
+    return out
+
+
+CELL_KEY = ("place", "band", "b", "i", "j")  # what names a cell; band -1: of a whole part
+
 
-    def grouped(batches):
+def cells_in(batches: Iterator[pa.RecordBatch], *cols: str) -> Iterator[tuple[list[tuple], np.ndarray, np.ndarray | None]]:
+    """Of each cell in sorted rows: its members by node (node and ``cols``), which of them are in the first chunk, and their
+    hashes in earlier bands (none for a cell of a whole part)."""
+
+    def members():
         for batch in batches:
-            yield from zip(*(batch[c].to_pylist() for c in ("comp", "i", "j", "chunk", "key", "copies", "text")))
+            yield from zip(*(batch[c].to_pylist() for c in (*CELL_KEY, "chunk", "earlier", "node", *cols)))
+
+    k = len(CELL_KEY)
+    for cell, found in groupby(members(), key=lambda r: r[:k]):
+        rows = sorted(found, key=lambda r: r[k + 2])
+        earlier = np.array([r[k + 1] for r in rows], dtype=np.int64).reshape(len(rows), cell[1]) if cell[1] > 0 else None
+        yield [r[k + 2 :] for r in rows], np.array([r[k] == cell[3] for r in rows]), earlier
+
+
+def deal(spark: SparkSession, banded: DataFrame, classes: DataFrame, texts: DataFrame, cell: int) -> DataFrame:
+    """Cells of all texts that share a band hash with another: ``CELL_KEY``, chunk, earlier and the columns of ``classes``
+    and ``texts``; sorted by cell within partitions. ``banded``: node, band, b (one row a class and band);
+    ``classes``: node and others; ``texts``: node, bands (its hashes in band order) and others."""
+    first = banded.groupBy("band", "b").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = keep(spark, first.withColumn("rows", F.col("n")), "first")
+    in_buckets = first.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
+    met = keep(spark, hub_join(banded, first, ["band", "b"], "rows", in_buckets), "buckets")
+    parts = keep(spark, components(spark, met.where("node <> a").select("a", F.col("node").alias("b"))), "parts")
+    chunks = lambda n: F.ceil(F.col(n) / cell).cast("int")
+    size = parts.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
+    heads = met.where("node = a").select("node", (F.col("n") * chunks("n")).alias("shipped"))
+    by_bucket = heads.groupBy("node").agg(F.sum("shipped").alias("shipped")).join(parts, "node").groupBy("comp").agg(F.sum("shipped").alias("shipped"))
+    how = size.join(by_bucket, "comp").select("comp", chunks("size").alias("m"), (F.col("size") * chunks("size") > F.col("shipped")).alias("split"), F.col("size").alias("rows"))
+    placed = hub_join(parts, how, "comp", "rows", parts.count()).join(classes, "node")
+    others = [c for c in classes.columns if c != "node"]
+    whole = placed.where(~F.col("split")).select("node", *others, F.col("comp").alias("place"), F.lit(-1).alias("band"), F.lit(0).cast("long").alias("b"), "m")
+    split = met.join(placed.where("split").select("node", *others), "node").select("node", *others, F.col("a").alias("place"), "band", "b", chunks("n").alias("m"))
+    dealt = texts.join(whole.unionByName(split).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("m")).cast("int")), "node")
+    dealt = dealt.withColumn("earlier", F.when(F.col("band") > 0, F.slice("bands", 1, F.greatest(F.col("band"), F.lit(0))))).drop("bands")
+    dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).withColumns({"i": F.least("chunk", "o"), "j": F.greatest("chunk", "o")}).drop("o", "m")
+    return dealt.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY)
+
+
+def verify(cells: DataFrame, n: int, threshold: float) -> DataFrame:
+    """Rows node, links, root for each member of each cell of ``deal``."""
+    exact = Fraction(str(threshold))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        for _, members in groupby(grouped(batches), key=lambda r: r[:3]):
-            rows = sorted(members, key=lambda r: r[4])
-            links, root = cell_links([r[6] for r in rows], [r[5] for r in rows], np.array([r[3] == r[1] for r in rows]), n, exact)
-            out += [(r[4], int(x), rows[g][4]) for r, x, g in zip(rows, links, root)]
+        for rows, first, earlier in cells_in(batches, "copies", "text"):
+            links, root = cell_links([r[2] for r in rows], [r[1] for r in rows], first, n, exact, earlier)
+            out += [(r[0], int(x), rows[g][0]) for r, x, g in zip(rows, links, root)]
             if len(out) > 10_000:
                 yield _batch(out)
                 out = []
         if out:
             yield _batch(out)
 
-    return mapped(cells, task, "key binary, links long, root binary")
+    return mapped(cells, task, "node long, links long, root long")
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    k, x, r = zip(*rows)
-    return pa.RecordBatch.from_arrays([pa.array(k, pa.binary()), pa.array(x, pa.int64()), pa.array(r, pa.binary())], names=["key", "links", "root"])
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["node", "links", "root"])
 
 
 def grouped(spark: SparkSession, documents: DataFrame, id_col: str, text_col: str, n: int, threshold: float, recall: float) -> tuple[DataFrame, DataFrame]:
@@ -187,22 +237,14 @@ def grouped(spark: SparkSession, documents: DataFrame, id_col: str, text_col: st
     sk = keep(spark, sk.withColumn("rid", F.monotonically_increasing_id()), "sketches")
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "rid")).alias("h")
     classes = keep(spark, sk.where("key is not null").groupBy("key").agg(first, F.count(F.lit(1)).alias("copies")).select("key", "h", "h.rid", "copies"), "classes")
-    # buckets: the band hashes of one row of each class
-    banded = sk.select("rid", "key", "bands").join(classes.select("rid"), "rid", "left_semi").select("key", F.posexplode("bands").alias("band", "b"))
-    buckets = banded.groupBy("band", "b").agg(F.min("key").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "b", "a")
-    edges = banded.join(buckets, ["band", "b"]).where("key <> a").select("a", F.col("key").alias("b"))
-    parts = components(spark, edges)
-    size = parts.groupBy("comp").agg(F.count(F.lit(1)).alias("n"))
-    chunk = F.pmod(F.xxhash64("key"), F.col("m")).cast("int")
-    members = parts.join(size, "comp").join(classes.withColumnRenamed("key", "node"), "node").select(F.col("node").alias("key"), "comp", "rid", "copies", F.ceil(F.col("n") / CELL).alias("m")).withColumn("chunk", chunk)
-    texts = sk.where("key is not null").select("rid", "text").join(members, "rid")
-    other = F.explode(F.sequence(F.lit(0), (F.col("m") - 1).cast("int")))
-    cells = texts.withColumn("o", other).select("comp", F.least("chunk", "o").alias("i"), F.greatest("chunk", "o").alias("j"), "chunk", "key", "copies", "text")
-    dealt = cells.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
-    checked = keep(spark, verify(dealt, n, threshold), "links")
-    groups = components(spark, checked.select(F.col("root").alias("a"), F.col("key").alias("b")))
-    links = checked.groupBy("key").agg(F.sum("links").alias("links"))
-    known = classes.join(links, "key", "left").join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    # the band hashes of one row of each class; classes go by its rid
+    node = F.col("rid").alias("node")
+    banded = sk.join(classes.select("rid"), "rid", "left_semi").select(node, F.posexplode("bands").alias("band", "b"))
+    cells = deal(spark, banded, classes.select(node, "copies"), sk.select(node, "text", "bands"), CELL)
+    checked = keep(spark, verify(cells, n, threshold), "links")
+    groups = components(spark, checked.select(F.col("root").alias("a"), F.col("node").alias("b")))
+    links = checked.groupBy("node").agg(F.sum("links").alias("links"))
+    known = classes.withColumnRenamed("rid", "node").join(links, "node", "left").join(groups, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = known.groupBy("comp").agg(F.min("h").alias("g"))
     result = known.join(named, "comp").select("key", F.col("g.id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.col("g.rid").alias("kept"))
     return sk, result

@@ -195,6 +195,52 @@ def test_join_of_a_large_group(spark, monkeypatch):
     assert sorted((str(r.doc_id), str(r.class_id), r.n_links) for r in got) == groups(rows)
 
 
+def test_join_of_a_chain(spark, monkeypatch):
+    """Texts each like the next only: one connected part, but cells by bucket, so as many rows as texts and bands at most."""
+    monkeypatch.setattr(ngram_join, "CELL", 4)
+    monkeypatch.setattr(neardup, "CELL", 4)
+    words = prose(21, 100 + 10 * 300).split()
+    rows = [(k, k, " ".join(words[10 * k : 10 * k + 100])) for k in range(300)]
+    docs = spark.createDataFrame([(i, t) for _, i, t in rows], "doc_id long, text string")
+    dealt = []
+    deal = ngram_join.deal
+    monkeypatch.setattr(ngram_join, "deal", lambda *a: dealt.append(deal(*a)) or dealt[-1])
+    got = ngram_join.ngram_join(spark, docs).collect()
+    want = groups(rows)
+    assert sorted((str(r.doc_id), str(r.class_id), r.n_links) for r in got) == want
+    assert {c for _, c, _ in want} == {"0"} and max(n for _, _, n in want) == 2
+    bands, _ = ngram_join.choose_bands()
+    cells = dealt[0].groupBy("place", "band", "b", "i", "j").count().collect()
+    assert sum(r["count"] for r in cells) <= 2 * bands * len(rows) and max(r["band"] for r in cells) > 0
+    assert max(r["count"] for r in cells) < 40
+    near = neardup.near_groups(spark, docs).collect()
+    assert sorted((str(r.doc_id), str(r.class_id), r.n_links) for r in near) == want
+    pairs = [(r.a, r.b) for r in neardup.near_pairs(spark, docs).collect()]
+    assert sorted(pairs) == [(k, k + 1) for k in range(299)]
+
+
+def test_a_pair_of_several_bands_counts_once():
+    left = np.array([[1, 2], [3, 4]])
+    assert ngram_join.unmet(left, np.array([[1, 9], [7, 8], [0, 4]])).tolist() == [[False, True, True], [True, True, False]]
+
+
+def test_columns_of_marks_only(spark):
+    """Columns named like the struct's own filler come back."""
+    docs = spark.createDataFrame([(1, prose(30, 40), "x", 5), (2, prose(30, 40), "y", 6), (3, prose(31, 40), "z", 7)], "doc_id long, text string, `_` string, `___` int")
+    kept = ngram_join.deduplicate(spark, docs)
+    assert kept.columns == docs.columns and sorted((r.doc_id, r["_"], r["___"]) for r in kept.collect()) == [(1, "x", 5), (3, "z", 7)]
+
+
+def test_components_of_a_hub(spark):
+    """A hub with most of the edges, a chain and a second hub that is its leaf."""
+    edges = [(5, k) for k in range(100, 2600)] + [(2599, k) for k in range(3000, 3400)] + [(k, k + 1) for k in range(4000, 4030)]
+    got = {r.node: r.comp for r in components.components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {5: 5, **{k: 5 for k in [*range(100, 2600), *range(3000, 3400)]}, **{k: 4000 for k in range(4000, 4031)}}
+    facts = spark.createDataFrame([(1, 9000, "a"), (2, 2, "b"), (3, 1, "c")], "u long, n long, x string")
+    rows = spark.createDataFrame([(1, 7), (1, 8), (2, 9), (4, 9)], "u long, v long")
+    assert sorted(map(tuple, components.hub_join(rows, facts, "u", "n", 9003).select("u", "v", "x").collect())) == [(1, 7, "a"), (1, 8, "a"), (2, 9, "b")]
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (102, 101), (7, 7), (None, 3)]
     got = {r.node: r.comp for r in components.components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}
