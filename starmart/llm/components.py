@@ -19,12 +19,13 @@ HUBS = 1000
 
 
 def hub_join(rows: DataFrame, facts: DataFrame, key: str | list[str], number: str, total: int) -> DataFrame:
-    """Inner join of ``rows`` with ``facts``, one row a key, of which ``number`` tells the key's rows. Keys of over 1/``HUBS`` of
-    ``total`` (of all rows with a fact, or more), fewer than ``HUBS``, are broadcast; the others meet in a shuffle."""
-    hot = F.broadcast(facts.where(F.col(number) * HUBS > total))
-    here = rows.join(hot, key)
-    rest = rows.join(hot, key, "left_anti").join(facts.where(F.col(number) * HUBS <= total), key)
-    return here.unionByName(rest).drop(number)
+    """Inner join of ``rows`` with ``facts`` (a written table with one row a key), of which ``number`` tells the key's rows. Keys of
+    over 1/``HUBS`` of all ``total`` (of all rows with a fact, or more), fewer than ``HUBS``, are broadcast; the others meet in a shuffle."""
+    hub = F.col(number) * HUBS > total
+    if facts.where(hub).isEmpty():
+        return rows.join(facts.drop(number), key)
+    hot = F.broadcast(facts.where(hub).drop(number))
+    return rows.join(hot, key).unionByName(rows.join(hot, key, "left_anti").join(facts.where(~hub).drop(number), key))
 
 
 def components(spark: SparkSession, edges: DataFrame, max_rounds: int = 50) -> DataFrame:
@@ -35,9 +36,9 @@ def components(spark: SparkSession, edges: DataFrame, max_rounds: int = 50) -> D
     for _ in range(max_rounds):
         total = 2 * before["n"]
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
-        large = hub_join(both.where("v > u"), low, "u", "n", total).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        low = keep(spark, both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n")), "low")
+        large = keep(spark, hub_join(both.where("v > u"), low, "u", "n", total).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        least = keep(spark, large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), "least")
         # every smaller neighbour, and the node itself, now point at the smallest one
         small = hub_join(large, least, "u", "n", total).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         new = keep(spark, small, "edges")

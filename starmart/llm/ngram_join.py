@@ -198,6 +198,7 @@ def deal(spark: SparkSession, banded: DataFrame, classes: DataFrame, texts: Data
     heads = met.where("node = a").select("node", (F.col("n") * chunks("n")).alias("shipped"))
     by_bucket = heads.groupBy("node").agg(F.sum("shipped").alias("shipped")).join(parts, "node").groupBy("comp").agg(F.sum("shipped").alias("shipped"))
     how = size.join(by_bucket, "comp").select("comp", chunks("size").alias("m"), (F.col("size") * chunks("size") > F.col("shipped")).alias("split"), F.col("size").alias("rows"))
+    how = keep(spark, how, "how")
     placed = hub_join(parts, how, "comp", "rows", parts.count()).join(classes, "node")
     others = [c for c in classes.columns if c != "node"]
     whole = placed.where(~F.col("split")).select("node", *others, F.col("comp").alias("place"), F.lit(-1).alias("band"), F.lit(0).cast("long").alias("b"), "m")
