@@ -27,6 +27,14 @@ def fold(id_col: str, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or the first longer form of it that no column of ``df`` has (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared(spark: SparkSession, name: str) -> str:
     """A new path below the cluster's shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -6,8 +6,8 @@ mark at both ends): if none of ``LONGEST`` characters is known, to those one sho
 A text's score for a language is the mean over its words, sharpened with the root of their number;
 the prediction is the best language, its score the share of the best in the softmax.
 
-Fitting: a bounded sample of labelled rows (about ``SAMPLE_ROWS`` by a hash of id and text; all rows
-where there are fewer), counted in Spark; for each language the ``WORDS`` most frequent words and
+Fitting: a bounded sample of labelled rows (about ``SAMPLE_ROWS`` by a hash of doc_id, where there is one, text and lang, so that copies of a
+text are drawn one by one; all rows where there are fewer), counted in Spark; for each language the ``WORDS`` most frequent words and
 ``GRAMS`` most frequent n-grams make the model, each with its true count in every language; it goes to the
 tasks as a broadcast.
 Prediction: whole texts, where they are read, without a shuffle.
@@ -31,7 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.llm.common import fold, keep, mapped
+from starmart.llm.common import fold, fresh, keep, mapped
 
 SAMPLE_ROWS = 12_000
 WORDS, GRAMS = 20_000, 12_000  # for each language
@@ -91,7 +91,7 @@ def sample(labelled: DataFrame, rows: int) -> DataFrame:
 
 
 def fit(spark: SparkSession, documents: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
-    """Model from the rows' ``text`` and ``lang``."""
+    """Model from the rows' ``text`` and ``lang``; ``doc_id``, if it is there, only draws the sample."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,7 +111,8 @@ def fit(spark: SparkSession, documents: DataFrame, rows: int = SAMPLE_ROWS) -> M
                 lang, kind, term, c = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(kind, pa.int32()), pa.array(term, pa.string()), pa.array(c, pa.int64())], names=["lang", "kind", "term", "c"])
 
-    rows_ = sample(documents.select("text", "lang").where("lang is not null and text is not null"), rows)
+    drawn = [c for c in ("doc_id", "text", "lang") if c in documents.columns]
+    rows_ = sample(documents.select(*drawn).where("lang is not null and text is not null"), rows).select("text", "lang")
     counts = keep(spark, mapped(rows_, count, "lang string, kind int, term string, c long").groupBy("lang", "kind", "term").agg(F.sum("c").alias("c")), "counts")
     word = F.col("kind") == 0
     best = W.partitionBy("lang", word).orderBy(F.desc("c"), "kind", "term")
@@ -188,5 +189,6 @@ def report(spark: SparkSession, documents: DataFrame, folds: int = 5) -> DataFra
 def keep_identified(spark: SparkSession, documents: DataFrame, least: float = 0.5) -> DataFrame:
     """Documents whose language is recognised with a score of at least ``least``; columns unchanged."""
     model = fit(spark, documents)
-    out = predict(spark, documents, model, lang_out="__lang", score_out="__score")
-    return out.where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= least)).drop("__lang", "__score")
+    lang, score = fresh(documents, "__lang"), fresh(documents, "__score")
+    out = predict(spark, documents, model, lang_out=lang, score_out=score)
+    return out.where((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).drop(lang, score)

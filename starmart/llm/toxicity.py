@@ -6,7 +6,8 @@ pair of terms, the product of their factor vectors, so that pairs count that are
 w0 + sum w_i + 1/2 sum_f ((sum v_if)^2 - sum v_if^2).
 
 Fitting: a bounded sample of labelled rows (about ``SAMPLE_ROWS`` by a hash of the id; all where there are
-fewer) is joined with its texts and hashed in Spark, which also counts in how many documents of either
+fewer; where they stand for more than twice as many rows, equal rows count once and
+an id's rows are thinned to about two by a hash of their texts) is joined with its texts and hashed in Spark, which also counts in how many documents of either
 label a bucket occurs; the ``FEATURES`` buckets that tell the labels apart best (chi-square of at least
 ``LEAST_CHI2``) enter the machine. Beside them enter the terms of pairs whose effect is not that of its terms
 alone (the ``PAIRED`` strongest at most): of the ``ORDINARY`` most frequent other buckets, with each other and with the ``TELLING`` best ones, those
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.llm import textvec as V
-from starmart.llm.common import fold, keep, mapped
+from starmart.llm.common import fold, fresh, keep, mapped
 
 BUCKETS = 1 << 22
 PREFIXES = (4, 5)
@@ -149,7 +150,7 @@ def fit(spark: SparkSession, documents: DataFrame, labels: DataFrame, rows: int
     if n > rows:
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1e6 * rows / n))
     # the sample is bounded, so it may go to every task
-    docs = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "toxic")
+    docs = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id")
 
     def terms(batch: pa.RecordBatch) -> Iterator[tuple[int, set[int]]]:
         for y, t in zip(batch["toxic"].to_pylist(), batch["text"].to_pylist()):
@@ -163,8 +164,18 @@ def fit(spark: SparkSession, documents: DataFrame, labels: DataFrame, rows: int
             keys = sorted(counts[0].keys() | counts[1].keys())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array([counts[1][k] for k in keys], pa.int64()), pa.array([counts[0][k] for k in keys], pa.int64())], names=["bucket", "a", "b"])
 
-    total = docs.agg(F.count(F.when(F.col("toxic") > 0, 1)).alias("p"), F.count(F.when(F.col("toxic") <= 0, 1)).alias("q")).head()
-    p, q = int(total["p"]), int(total["q"])
+    def sizes(df: DataFrame) -> tuple[int, int]:
+        total = df.agg(F.count(F.when(F.col("toxic") > 0, 1)).alias("p"), F.count(F.when(F.col("toxic") <= 0, 1)).alias("q")).head()
+        return int(total["p"]), int(total["q"])
+
+    p, q = sizes(docs)
+    if p + q > 2 * rows:  # few ids, many rows
+        docs = keep(spark, docs.distinct(), "labelled")
+        # about two rows of an id; the ids are a bounded sample, so their counts may go to every task
+        of_id = F.broadcast(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
+        docs = docs.join(of_id, "doc_id").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) * F.col("n") < 2_000_000)
+        p, q = sizes(docs)
+    docs = docs.select("text", "toxic")
     if not p or not q:
         share = 1.0 if p else 0.0
         return Machine(np.zeros(0, np.int64), 30.0 if share else -30.0, np.zeros(0), np.zeros((0, FACTORS)))
@@ -243,4 +254,5 @@ def report(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> Data
 def keep_clean(spark: SparkSession, documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Documents that score below ``threshold``; columns unchanged."""
     machine = fit(spark, documents, labels)
-    return predict(spark, documents, machine, out="__toxic").where(F.col("__toxic") < threshold).drop("__toxic")
+    out = fresh(documents, "__toxic")
+    return predict(spark, documents, machine, out=out).where(F.col(out) < threshold).drop(out)

@@ -37,6 +37,38 @@ def test_fit_learns_a_pair_without_marginal_effect(spark):
     assert min(got["zorp"], got["quix"]) > 0.8 and max(got["zorp quix"], got["none"]) < 0.2
 
 
+def test_an_id_with_most_rows_is_thinned(spark, monkeypatch):
+    """One id holds most rows, each text its own; the others are still learned from, and little reaches the driver."""
+    rows = [(k, f"{'zorp' if k % 2 else 'calm'} w{k % 7}", k % 2) for k in range(100)] + [(1000, f"zorp w{k}", 1) for k in range(3000)] + [(1000, "zorp again", 1)] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    seen = []
+    train = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda x, y, n: seen.append(len(x)) or train(x, y, n))
+    m = toxicity.fit(spark, docs.select("doc_id", "text"), docs.select("doc_id", "toxic").distinct(), rows=120)
+    assert 100 <= seen[0] <= 120
+    got = {r.text: r.score for r in toxicity.predict(spark, spark.createDataFrame([("zorp",), ("calm",)], "text string"), m).collect()}
+    assert got["zorp"] > 0.5 > got["calm"]
+
+
+def test_sample_draws_copies_one_by_one(spark):
+    """A third of the rows are copies of one text: their share of the sample is about a third."""
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "copy").otherwise(F.concat(F.lit("t"), "id")).alias("text"), F.lit("en").alias("lang"))
+    got = langid.sample(docs, 600)
+    n, copies = got.count(), got.where("text = 'copy'").count()
+    assert 450 < n < 750 and 0.25 < copies / n < 0.42
+    assert langid.fit(spark, docs, 600).langs == langid.fit(spark, docs.drop("doc_id"), 600).langs == ["en"]
+
+
+def test_filters_keep_columns_named_like_their_own(spark):
+    """Columns named as the filters' own come back as they were."""
+    rows = [(k, ("the green house of my friend" if k % 2 else "la casa verde de mi amigo") + f" {k}", "en" if k % 2 else "es", k) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, __toxic int").withColumns({"__LANG": F.col("doc_id") + 1, "__score": F.lit("s")})
+    got = langid.keep_identified(spark, docs)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, docs.collect()))
+    clean = toxicity.keep_clean(spark, docs, spark.createDataFrame([(0, 0), (1, 0)], "doc_id long, toxic int"))
+    assert clean.columns == docs.columns and sorted(map(tuple, clean.collect())) == sorted(map(tuple, docs.collect()))
+
+
 def test_interactions():
     rng = np.random.default_rng(4)
     x = rng.random((3000, 12)) < 0.3
