@@ -31,6 +31,15 @@ from ..operators import staging as S
 from ..sources.io import read_if_exists
 
 
+def bucketed_by_order(df: DataFrame, table: str, path: str) -> DataFrame:
+    """An extract written once as a catalog table in buckets of its order ids: a micro-batch meets its rows
+    without shuffling the whole extract again."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition("order_id").write.format("parquet").bucketBy(buckets, "order_id").sortBy("order_id").option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def make_batch_loader(
     items: DataFrame,
     payments_staged: DataFrame,
@@ -38,15 +47,16 @@ def make_batch_loader(
     fact_path: str,
     run_date: str,
     guard_existing: bool = False,
+    keyed: bool = False,
 ) -> Callable[[DataFrame, int], None]:
-    """Return the ``foreachBatch`` function writing one micro-batch."""
+    """Return the ``foreachBatch`` function writing one micro-batch. ``keyed``: ``items`` have their product and seller keys."""
 
     def load(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         so = S.stage_orders(batch).kept
         new_items = items.join(so.select("order_id"), "order_id", "left_semi")
         si = S.stage_items(new_items, so).kept
-        fb = FA.build_fact(si, so, payments_staged, dims["dim_customer"], dims["dim_product"], dims["dim_seller"], run_date)
+        fb = FA.build_fact(si, so, payments_staged, dims["dim_customer"], dims["dim_product"], dims["dim_seller"], run_date, keyed=keyed)
         rows = fb.fact
         if guard_existing:
             done = read_if_exists(spark, fact_path)
@@ -75,11 +85,12 @@ def run_incremental_stream(
     run_date: str,
     files_per_batch: int = 1,
     guard_existing: bool = False,
+    keyed: bool = False,
 ) -> None:
     """Drain the landed order extracts into the fact and stop."""
     stream = spark.readStream.schema(orders_schema).option("maxFilesPerTrigger", files_per_batch).parquet(orders_landing)
     q = (
-        stream.writeStream.foreachBatch(make_batch_loader(items, payments_staged, dims, fact_path, run_date, guard_existing))
+        stream.writeStream.foreachBatch(make_batch_loader(items, payments_staged, dims, fact_path, run_date, guard_existing, keyed))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
