@@ -53,12 +53,14 @@ class FactBuild:
     fact: DataFrame  # final projection, lookups resolved
     failures: DataFrame  # rows with any surrogate lookup miss or no date (+ failed_dims)
     assembled: DataFrame  # before failure routing (for required-column audits)
+    carried: DataFrame  # the fact with the product attributes that its lines carry
 
 
-def key_map(dim: DataFrame, id_col: str, key_col: str, alias: str) -> DataFrame:
+def key_map(dim: DataFrame, id_col: str, key_col: str, alias: str, carry: Sequence[str] = ()) -> DataFrame:
     """(id, key) with one row per id, so that a lookup never multiplies lines: the latest key of an id
-    loaded twice (``duplicate_members`` counts those)."""
-    return dim.groupBy(F.col(id_col).alias(alias)).agg(F.max(key_col).alias(key_col))
+    loaded twice (``duplicate_members`` counts those). ``carry``: attributes of that key's row."""
+    held = [F.max_by(c, key_col).alias(c) for c in carry]
+    return dim.groupBy(F.col(id_col).alias(alias)).agg(F.max(key_col).alias(key_col), *held)
 
 
 def duplicate_members(dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -73,14 +75,14 @@ def duplicate_members(dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     return out
 
 
-def with_line_keys(items: DataFrame, dim_product: DataFrame, dim_seller: DataFrame) -> DataFrame:
-    """The lines with their product and seller keys (NULL where the lookup misses).
+def with_line_keys(items: DataFrame, dim_product: DataFrame, dim_seller: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """The lines with their product and seller keys (NULL where the lookup misses), and the product attributes ``carry``.
 
     The lookups come first, while a line is only its ids and money: a dimension too large to broadcast then
     shuffles narrow lines, and what follows stays partitioned by order.
     """
-    items = items.drop("product_key", "seller_key")
-    pmap = key_map(dim_product, "product_id", "product_key", "_p_id")
+    items = items.drop("product_key", "seller_key", *carry)
+    pmap = key_map(dim_product, "product_id", "product_key", "_p_id", carry)
     smap = key_map(dim_seller, "seller_id", "seller_key", "_s_id")
     f = items.join(pmap, items["product_id"] == pmap["_p_id"], "left").drop("_p_id")
     return f.join(smap, f["seller_id"] == smap["_s_id"], "left").drop("_s_id")
@@ -96,6 +98,7 @@ def build_fact(
     run_date: str,
     materialize: bool = False,
     keyed: bool = False,
+    carry: Sequence[str] = (),
 ) -> FactBuild:
     """Items of the selected orders joined to order fields, order-level
     payments and the three surrogate keys.
@@ -105,7 +108,7 @@ def build_fact(
     orders (one row per order, several times fewer than lines), so the
     customer lookup never reshuffles the line-level fact; payments are
     pre-aggregated per order. Products and sellers are looked up on the narrow
-    lines (``with_line_keys``; ``keyed``: the caller has done so); items, orders and payments then all meet on
+    lines (``with_line_keys``; ``keyed``: the caller has done so, ``carry``: with these product attributes); items, orders and payments then all meet on
     order_id, which the fact stays partitioned by. Surrogate lookups are left joins against (id, key); the
     customer lookup uses current versions only; an id held by several rows
     resolves to its latest key. Lines without a date or with a lookup that
@@ -141,8 +144,9 @@ def build_fact(
     if materialize:  # both outputs written: assemble once
         f = stored(f)
     ok = F.size("failed_dims") == 0
-    failures = f.where(~ok)
-    return FactBuild(_as_fact(f.where(ok), run_date).select(*FACT_COLUMNS), failures, f)
+    failures = f.where(~ok).drop(*carry)
+    fact = _as_fact(f.where(ok), run_date)
+    return FactBuild(fact.select(*FACT_COLUMNS), failures, f.drop(*carry), fact.select(*FACT_COLUMNS, *carry))
 
 
 def _as_fact(lines: DataFrame, run_date: str) -> DataFrame:

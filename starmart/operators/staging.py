@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expr as E
@@ -75,8 +75,9 @@ def stage_orders(orders: DataFrame, key: str = "order_id") -> Staged:
         F.col("order_delivered_customer_date") < F.col("order_purchase_timestamp")
     )
     rej_bad = o.where(bad).withColumn(REJECT_REASON, F.lit(R_DELIVERY_BEFORE_PURCHASE))
-    # Anti join on the offending ids (deduplicated map-side first).
-    kept = o.join(o.where(bad).select(key).distinct(), key, "left_anti")
+    # Marked within the rows of an id, so that the extract is read and dealt once. A missing id matches no other row: it is kept.
+    marked = o.withColumn("_offends", F.max(bad).over(Window.partitionBy(key)))
+    kept = marked.where(F.col(key).isNull() | ~F.col("_offends")).drop("_offends")
     return Staged(derive_order_fields(kept), union_rejects([rej_null, rej_bad]))
 
 

@@ -19,6 +19,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .analytics import per_order
 from .marts import COMPLETED, kpi_columns, rha, share, state_columns
 from .warehouse import Warehouse
@@ -32,9 +33,8 @@ def month_of(date_key: str = "date_key") -> Column:
     return F.expr(f"{date_key} div 100").cast("int")
 
 
-def _months(star: dict[str, DataFrame], months: Iterable[int] | None) -> DataFrame:
+def _months(f: DataFrame, months: Iterable[int] | None) -> DataFrame:
     """The fact, or the rows of some months: ranges of ``date_key`` that reach the scan, year folders as literals."""
-    f = star["fact_sales"]
     if months is not None:
         months = sorted(months)  # at most the calendar's
         days = F.lit(False)
@@ -46,11 +46,24 @@ def _months(star: dict[str, DataFrame], months: Iterable[int] | None) -> DataFra
     return f
 
 
-def build(star: dict[str, DataFrame], months: Iterable[int] | None = None) -> dict[str, DataFrame]:
-    """The three tables, of all months or of the given ones."""
-    f = _months(star, months)
-    c = star["dim_customer"].select("customer_key", "customer_state", "customer_city", F.lit(True).alias("known"))
+def build(star: dict[str, DataFrame], months: Iterable[int] | None = None, tables: Iterable[str] = TABLES) -> dict[str, DataFrame]:
+    """The three tables (or those of ``tables``), of all months or of the given ones. Orders and customers are counted from one
+    grain, stored where both are built, so that a fact that is still a plan is assembled once for them."""
+    tables, out = set(tables), {}
+    if tables & {"cube_orders", "cube_customers"}:
+        grain = _grain(star, months)
+        if tables >= {"cube_orders", "cube_customers"}:
+            grain = stored(grain)
+        out = {"cube_orders": _order_cells(grain), "cube_customers": _customers(grain)}
+    if "cube_products" in tables:
+        out["cube_products"] = _product_cells(star, months)
+    return {n: out[n] for n in TABLES if n in tables}
+
 
+def _grain(star: dict[str, DataFrame], months: Iterable[int] | None) -> DataFrame:
+    """One row per month, customer, status and payment type, with the customer's state and city."""
+    f = _months(star["fact_sales"], months)
+    c = star["dim_customer"].select("customer_key", "customer_state", "customer_city", F.lit(True).alias("known"))
     # lines -> orders (one shuffle), then all attribute grains of an order in one aggregation
     done = F.col("status_category") == COMPLETED
     orders = per_order(
@@ -58,26 +71,42 @@ def build(star: dict[str, DataFrame], months: Iterable[int] | None = None) -> di
         revenue=F.sum("gross_revenue"), done_ot=F.sum(F.when(done, F.col("is_on_time"))), done_rows=F.count_if(done),
         ot=F.sum("is_on_time"), sd=F.sum("delivery_days"), nd=F.count("delivery_days"), rows=F.count(F.lit(1)),
     ).withColumns({"month": month_of(), "done_orders": (F.col("done_rows") > 0).cast("long"), "orders": F.lit(1).cast("long")})
+    # one row per customer and month before the cells are laid over them
+    grain = orders.groupBy("month", "customer_key", "order_status", "primary_payment_type").agg(*[F.sum(x).alias(x) for x in _ADDED])
+    return grain.join(c, "customer_key", "left")
+
+
+def _order_cells(grain: DataFrame) -> DataFrame:
     by = F.array(
         _cell("all", True), _cell("status", True, "order_status"), _cell("payment", True, "primary_payment_type"),
         _cell("state", "known", "customer_state"), _cell("city", "known", "customer_state", "customer_city"),
     )
-    # one row per customer and month before the cells are laid over them
-    grain = orders.groupBy("month", "customer_key", "order_status", "primary_payment_type").agg(*[F.sum(x).alias(x) for x in _ADDED])
-    cells = grain.join(c, "customer_key", "left").withColumn("cell", F.explode(F.filter(by, lambda x: x["held"])))
-    by_order = cells.groupBy("month", "cell.part", "cell.a", "cell.b").agg(*[F.sum(x).alias(x) for x in _ADDED])
+    cells = grain.withColumn("cell", F.explode(F.filter(by, lambda x: x["held"])))
+    return cells.groupBy("month", "cell.part", "cell.a", "cell.b").agg(*[F.sum(x).alias(x) for x in _ADDED])
 
-    p = star["dim_product"].select("product_key", "product_category", "price_band")
-    lines = per_order(f, "product_key", "date_key", revenue=F.sum("gross_revenue")).join(p, "product_key")
-    kinds = F.array(_cell("category", True, "product_category"), _cell("band", True, "price_band"))
-    of_order = lines.withColumn("cell", F.explode(kinds)).groupBy(month_of().alias("month"), "cell.part", "cell.a", "order_id").agg(F.sum("revenue").alias("revenue"))
-    by_product = of_order.groupBy("month", "part", "a").agg(F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("orders"))
 
-    bought = f.select(month_of().alias("month"), "customer_key").distinct().join(c, "customer_key", "left")
-    customers = bought.groupBy("month", "known", "customer_state", F.expr("bitmap_bucket_number(customer_key)").alias("bucket")).agg(
+def _customers(grain: DataFrame) -> DataFrame:
+    """Bitmaps of the customers. Their keys are dealt by month and bucket first, so each bitmap is made whole in one task:
+    partial bitmaps of every task (4 KB each, however few their customers) would outgrow the keys themselves."""
+    keys = grain.select("month", "customer_key", "known", "customer_state", F.expr("bitmap_bucket_number(customer_key)").alias("bucket"))
+    return keys.repartition("month", "bucket").distinct().groupBy("month", "known", "customer_state", "bucket").agg(
         F.expr("bitmap_construct_agg(bitmap_bit_position(customer_key))").alias("customers")
     )
-    return {"cube_orders": by_order, "cube_products": by_product, "cube_customers": customers}
+
+
+def _product_cells(star: dict[str, DataFrame], months: Iterable[int] | None) -> DataFrame:
+    """Cells by category and price band. Lines that carry their product's attributes (``fact_products``) are dealt by order already;
+    others meet the products and are then dealt by order, once: the cells of an order need no shuffle of their own."""
+    if "fact_products" in star:
+        lines = _months(star["fact_products"], months)
+    else:
+        p = star["dim_product"].select("product_key", "product_category", "price_band")
+        f = _months(star["fact_sales"], months).select("order_id", "product_key", "date_key", "gross_revenue")
+        lines = f.join(p, "product_key").drop("product_key").repartition("order_id")
+    held = per_order(lines, "date_key", "product_category", "price_band", revenue=F.sum("gross_revenue"))
+    kinds = F.array(_cell("category", True, "product_category"), _cell("band", True, "price_band"))
+    of_order = held.withColumn("cell", F.explode(kinds)).groupBy(month_of().alias("month"), "cell.part", "cell.a", "order_id").agg(F.sum("revenue").alias("revenue"))
+    return of_order.groupBy("month", "part", "a").agg(F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("orders"))
 
 
 def _cell(part: str, held: bool | str, a: str | None = None, b: str | None = None) -> Column:

@@ -16,9 +16,14 @@ from ..operators import dims as D
 from ..operators import facts as FA
 from ..operators import staging as S
 from ..operators.routing import union_rejects
+from ..session import stored
 from ..sources import fixtures as FX
 
 
+# what the year-month cube groups lines by
+PRODUCT_ATTRIBUTES = ("product_category", "price_band")
+
+
 @dataclass(frozen=True)
 class Params:
     """Run parameters; the defaults are the source system's values."""
@@ -67,13 +72,14 @@ def stage_all(src: dict[str, DataFrame], p: Params, materialize: bool = False) -
 def build_dims(spark: SparkSession, src: dict[str, DataFrame], stg: dict[str, DataFrame], p: Params) -> dict[str, DataFrame]:
     """The four dimensions. Key assignment runs small materialising jobs
     (range sample, chunk checkpoint); the three keyed dimensions are
-    independent, so they are built as concurrent Spark jobs."""
+    independent, so they are built as concurrent Spark jobs. They are stored, so that every
+    lookup knows their size: a small one is broadcast before any line is shuffled to it."""
     from concurrent.futures import ThreadPoolExecutor
 
     builders = {
-        "dim_seller": lambda: D.build_dim_seller(src["sellers"], p.run_date),
-        "dim_product": lambda: D.build_dim_product(stg["stg_products"], p.run_date),
-        "dim_customer": lambda: D.scd2_merge(D.empty_dim_customer(spark), stg["stg_customers"], p.run_date).dim,
+        "dim_seller": lambda: stored(D.build_dim_seller(src["sellers"], p.run_date)),
+        "dim_product": lambda: stored(D.build_dim_product(stg["stg_products"], p.run_date)),
+        "dim_customer": lambda: stored(D.scd2_merge(D.empty_dim_customer(spark), stg["stg_customers"], p.run_date).dim),
     }
     with ThreadPoolExecutor(max_workers=len(builders)) as ex:
         futs = {k: ex.submit(fn) for k, fn in builders.items()}
@@ -85,11 +91,13 @@ def fact_of_extract(
     src: dict[str, DataFrame], stg: dict[str, DataFrame], dims: dict[str, DataFrame], p: Params, orders: DataFrame | None = None
 ) -> FA.FactBuild:
     """The fact of a lazily staged extract (of ``orders``, by default all staged ones). Lines get their product and seller keys
-    before they are staged, so staging and assembly share one shuffle of the lines by order."""
-    lines = S.stage_items(FA.with_line_keys(src["items"], dims["dim_product"], dims["dim_seller"]), stg["stg_orders"]).kept
+    before they are staged, so staging and assembly share one shuffle of the lines by order. The products' attributes of the
+    cube come along (a reader that does not take them prunes them)."""
+    carry = [c for c in PRODUCT_ATTRIBUTES if c in dims["dim_product"].columns]
+    lines = S.stage_items(FA.with_line_keys(src["items"], dims["dim_product"], dims["dim_seller"], carry), stg["stg_orders"]).kept
     return FA.build_fact(
         lines, stg["stg_orders"] if orders is None else orders, stg["stg_payments"], dims["dim_customer"], dims["dim_product"],
-        dims["dim_seller"], p.run_date, keyed=True,
+        dims["dim_seller"], p.run_date, keyed=True, carry=carry,
     )
 
 
@@ -97,7 +105,7 @@ def build_star(spark: SparkSession, src: dict[str, DataFrame], p: Params, waterm
     stg = stage_all(src, p)
     dims = build_dims(spark, src, stg, p)
     fb = fact_of_extract(src, stg, dims, p, FA.incremental_orders(stg["stg_orders"], watermark))
-    return {**stg, **dims, "fact_sales": fb.fact, "fact_failures": fb.failures, "fact_assembled": fb.assembled}
+    return {**stg, **dims, "fact_sales": fb.fact, "fact_failures": fb.failures, "fact_assembled": fb.assembled, "fact_products": fb.carried}
 
 
 def star_from_fixtures(spark: SparkSession, sf_dir: str, p: Params = FIXTURE_PARAMS) -> dict[str, DataFrame]:
